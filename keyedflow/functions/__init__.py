@@ -7,7 +7,6 @@ from .text import (
     md5_key,
     not_blank,
     random_surrogate,
-    rekey_line,
     salted_surrogate,
     split_fields,
     strict_integer,

@@ -55,7 +55,8 @@ def strict_integer(text: Column, dtype: str = "bigint") -> Column:
 
 def count_blank_is_one(text: Column) -> Column:
     """A 32-bit count where a blank field stands for 1; null marks a bad value."""
-    return F.when(not_blank(text), strict_integer(text, "int")).otherwise(F.lit(1)).cast("bigint")
+    number = strict_integer(text, "int").cast("bigint")
+    return F.coalesce(number, F.when(~not_blank(text), F.lit(1).cast("bigint")))
 
 
 def count_empty_is_zero(text: Column) -> Column:
@@ -93,10 +94,3 @@ def timed_surrogate(uid: Column) -> Column:
 def salted_surrogate(uid: Column, salt: str) -> Column:
     """The repeatable form: the same id and salt give the same key."""
     return F.md5(F.concat(uid, F.lit(salt)))
-
-
-def rekey_line(line: Column, key: Column, sep: str = ",") -> Column:
-    """Drop the literal `;NULL`, replace the two leading fields by `key`; null if there are not two."""
-    fields = split_fields(F.replace(line, F.lit(";NULL"), F.lit("")), sep)
-    rest = F.slice(fields, F.lit(3), F.size(fields) - 2)
-    return F.when(F.size(fields) >= 2, F.concat(key, F.lit(sep), F.array_join(rest, sep)))

@@ -50,9 +50,10 @@ def cell_lookup(
     Versions are reduced before the join, so a row with very many versions costs one row.
     """
     pairs = _pairs(columns)
-    wanted = cells.where(
-        F.struct("cf", "cq").isin([F.struct(F.lit(cf), F.lit(cq)) for cf, cq in pairs])
-    )
+    chosen = F.lit(False)
+    for cf, qualifiers in columns.items():
+        chosen = chosen | ((F.col("cf") == cf) & F.col("cq").isin(list(qualifiers)))
+    wanted = cells.where(chosen)
     cell_id = ["row_key", "cf", "cq"]
     newest = wanted.groupBy(*cell_id).agg(F.max(F.struct("ts", "value")).alias("_newest"))
     table = newest.select(*cell_id, F.lit(0).cast("bigint").alias("_at"), "_newest.value")

@@ -3,6 +3,7 @@
 Every function takes a batch or streaming DataFrame and adds no shuffle.
 """
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -35,9 +36,16 @@ MATCH = LineFormat(MATCH_FIELDS, MATCH_FIELDS[:5], "row_key", "count", count_bla
 MATCH_SUM = LineFormat(MATCH_FIELDS, MATCH_FIELDS[:5], "row_key", "count", count_empty_is_zero)
 
 
-def _arity_ok(line: Column, fmt: LineFormat) -> Column:
-    size = F.size(split_fields(line, fmt.sep))
-    return F.coalesce(size == len(fmt.fields), F.lit(False))
+def _split(lines: DataFrame, line: str, sep: str, arity: int) -> DataFrame:
+    """Add the fields of each line as the array `_fields`.
+
+    The array goes through a one-element `explode`. Filters on the fields would otherwise be pushed
+    below the split with a copy of it for every use, and each line would be split many times.
+    """
+    text = F.col(line)
+    # Lines of separators only have no field; that matters only where one field is a good line.
+    fields = split_fields(text, sep) if arity < 2 else F.split(F.rtrim(text, F.lit(sep)), re.escape(sep))
+    return lines.select("*", F.explode(F.array(fields)).alias("_fields"))
 
 
 def parse_fields(
@@ -47,7 +55,7 @@ def parse_fields(
     """Keep lines with exactly `len(fields)` fields and name them."""
     parts = F.col("_fields")
     return (
-        lines.select(*keep, split_fields(F.col(line), sep).alias("_fields"))
+        _split(lines, line, sep, len(fields))
         .where(F.size(parts) == len(fields))
         .select(*keep, *[F.get(parts, i).alias(name) for i, name in enumerate(fields)])
     )
@@ -74,15 +82,33 @@ def line_keys(
     return parse_fields(lines, fmt.fields, line, keep, fmt.sep).select(*keep, key)
 
 
-def reject_reason(line: Column, fmt: LineFormat) -> Column:
-    """`arity`, `bad_count`, or null for a good line."""
-    reason = F.when(~_arity_ok(line, fmt), F.lit("arity"))
+def with_reason(lines: DataFrame, fmt: LineFormat, line: str = "line") -> DataFrame:
+    """Add `reason`: `arity`, `bad_count`, or null for a good line."""
+    parts = F.col("_fields")
+    arity_ok = F.coalesce(F.size(parts) == len(fmt.fields), F.lit(False))
+    reason = F.when(~arity_ok, F.lit("arity"))
     if fmt.count_field is not None:
-        text = F.get(split_fields(line, fmt.sep), fmt.fields.index(fmt.count_field))
-        reason = reason.when(fmt.read_count(text).isNull(), F.lit("bad_count"))
-    return reason
+        count = fmt.read_count(F.get(parts, fmt.fields.index(fmt.count_field)))
+        reason = reason.when(count.isNull(), F.lit("bad_count"))
+    split = _split(lines, line, fmt.sep, len(fmt.fields))
+    return split.withColumn("reason", reason).drop("_fields")
 
 
 def quarantine(lines: DataFrame, fmt: LineFormat, line: str = "line") -> DataFrame:
     """The complement of `keyed_lines`: each rejected line, unchanged, with its reason."""
-    return lines.withColumn("reason", reject_reason(F.col(line), fmt)).where("reason is not null")
+    return with_reason(lines, fmt, line).where("reason is not null")
+
+
+def rekey_lines(
+    lines: DataFrame, key: Column, line: str = "line", sep: str = ",", drop_literal: str = ";NULL"
+) -> DataFrame:
+    """Take the literal out, and replace the two leading fields of each line by `key`.
+
+    Lines of fewer than two fields are left out.
+    """
+    cleaned = lines.withColumn("_cleaned", F.replace(F.col(line), F.lit(drop_literal), F.lit("")))
+    fields = F.col("_fields")
+    rest = F.slice(fields, F.lit(3), F.size(fields) - 2)
+    split = _split(cleaned, "_cleaned", sep, 2).where(F.size(fields) >= 2)
+    rekeyed = F.concat(key, F.lit(sep), F.array_join(rest, sep))
+    return split.withColumn(line, rekeyed).drop("_cleaned", "_fields")

@@ -102,10 +102,10 @@ _NAMESPACED = f"""(select split_part(line, '/', 1) as namespace, split_part(line
     from {_request_batches()} b group by 1, 2)"""
 
 ORACLE: dict[str, str] = {
-    "parse_match_fields": f"""select seq, {", ".join(
+    "parse_fields": f"""select seq, {", ".join(
         f"f[{i + 1}] as {c}" for i, c in enumerate(MATCH_FIELDS))}
         from {_split(fixtures.match_lines)} s where len(f) = 10""",
-    "quarantine_match": QUARANTINE,
+    "quarantine": QUARANTINE,
     "quarantine_stream": QUARANTINE,
     "row_key": f"""select 'profile' as kind, seq, {PROFILE_KEY} as key
         from {_split(fixtures.profile_lines)} p where len(f) = 10
@@ -116,7 +116,7 @@ ORACLE: dict[str, str] = {
         array_to_string(list_slice(f, 3, len(f)), ',') as line from (select seq, line,
         string_split(regexp_replace(replace(line, ';NULL', ''), ',+$', ''), ',') as f
         from {_lines(fixtures.raw_profile_lines)} l) r where len(f) >= 2""",
-    "percent_format": """select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    "format_percent": """select l_orderkey, l_linenumber, l_partkey, l_suppkey,
         format('{:,.1f}%', l_discount * 100) as discount_pct,
         format('{:,.2f}%', -l_tax * 100) as tax_pct,
         format('{:,.0f}%', l_quantity * 100) as quantity_pct from lineitem""",

@@ -6,10 +6,8 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import (
-    decode_state, encode_state, format_percent, rekey_line, salted_surrogate,
-)
-from ..operators import cells, counts, lookup, profile, rollup
+from ..functions import decode_state, encode_state, format_percent, salted_surrogate
+from ..operators import cells, counts, lines, lookup, profile, rollup
 from ..operators.each import each
 from ..operators.lines import (
     MATCH, MATCH_FIELDS, MATCH_SUM, PROFILE, keyed_lines, line_keys, parse_fields, quarantine,
@@ -26,9 +24,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,17 +46,17 @@ def derived(spark: SparkSession, sf_dir: str, fixture) -> DataFrame:
 # -- lines ----------------------------------------------------------------------------------
 
 
-@query
+@query("parse_fields")
 def parse_match_fields(spark, sf_dir):
     return parse_fields(derived(spark, sf_dir, fixtures.match_lines), MATCH_FIELDS)
 
 
-@query
+@query("quarantine")
 def quarantine_match(spark, sf_dir):
     return quarantine(derived(spark, sf_dir, fixtures.match_lines).select("seq", "line"), MATCH)
 
 
-@query
+@query("row_key")
 def row_key(spark, sf_dir):
     profiles = line_keys(derived(spark, sf_dir, fixtures.profile_lines), PROFILE)
     matches = line_keys(derived(spark, sf_dir, fixtures.match_lines), MATCH)
@@ -64,21 +65,21 @@ def row_key(spark, sf_dir):
     )
 
 
-@query
+@query("etl_rows")
 def etl_rows(spark, sf_dir):
     """The ten-column row: key, then every field but the first, with the count as a number."""
     rows = keyed_lines(derived(spark, sf_dir, fixtures.match_lines), MATCH_SUM)
     return rows.select("seq", "row_key", *MATCH_FIELDS[1:])
 
 
-@query
+@query("rekey_lines")
 def rekey_lines(spark, sf_dir):
     raw = derived(spark, sf_dir, fixtures.raw_profile_lines)
-    key = salted_surrogate(F.get(F.split("line", ","), 1), "s1")
-    return raw.select("seq", rekey_line(F.col("line"), key).alias("line")).where("line is not null")
+    uid = F.split_part("line", F.lit(","), F.lit(2))
+    return lines.rekey_lines(raw, salted_surrogate(uid, "s1"))
 
 
-@query
+@query("format_percent")
 def percent_format(spark, sf_dir):
     items = load(spark, sf_dir, "lineitem")
     return items.select(
@@ -92,45 +93,45 @@ def percent_format(spark, sf_dir):
 # -- counts and sums ------------------------------------------------------------------------
 
 
-@query
+@query("match_count")
 def match_count(spark, sf_dir):
     return counts.match_count(keyed_lines(derived(spark, sf_dir, fixtures.match_lines), MATCH))
 
 
-@query
+@query("match_sum_state")
 def match_sum_state(spark, sf_dir):
     return counts.match_count(keyed_lines(derived(spark, sf_dir, fixtures.match_lines), MATCH_SUM))
 
 
-@query
+@query("request_count")
 def request_count(spark, sf_dir):
     requests = derived(spark, sf_dir, fixtures.request_lines)
     return counts.count_rows(requests, F.col("line").alias("word"))
 
 
-@query
+@query("key_count")
 def key_count(spark, sf_dir):
     keys = line_keys(derived(spark, sf_dir, fixtures.match_lines), MATCH)
     return counts.count_rows(keys, "row_key")
 
 
-@query
+@query("global_count")
 def global_count(spark, sf_dir):
     return counts.global_count(load(spark, sf_dir, "events"))
 
 
-@query
+@query("word_count")
 def word_count(spark, sf_dir):
     return counts.word_count(derived(spark, sf_dir, fixtures.tab_lines))
 
 
-@query
+@query("document_word_count")
 def document_word_count(spark, sf_dir):
     """Whole texts, split at spaces."""
     return counts.word_count(load(spark, sf_dir, "documents"), "text", " ")
 
 
-@query
+@query("each_word_count")
 def each_word_count(spark, sf_dir):
     def split(batch: pd.DataFrame) -> pd.DataFrame:
         return batch["line"].str.rstrip("\t").str.split("\t").explode().to_frame("word")
@@ -139,7 +140,7 @@ def each_word_count(spark, sf_dir):
     return counts.count_rows(each(tabs, split, "word string"), "word")
 
 
-@query
+@query("partition_word_count")
 def partition_word_count(spark, sf_dir):
     return counts.partition_word_count(derived(spark, sf_dir, fixtures.tab_lines), 8)
 
@@ -151,17 +152,17 @@ def _profile_rows(spark, sf_dir):
     return keyed_lines(derived(spark, sf_dir, fixtures.profile_lines), PROFILE)
 
 
-@query
+@query("profile_upsert_keep")
 def profile_upsert_keep(spark, sf_dir):
     return profile.profile_upsert(_profile_rows(spark, sf_dir))
 
 
-@query
+@query("profile_upsert_refresh")
 def profile_upsert_refresh(spark, sf_dir):
     return profile.profile_upsert(_profile_rows(spark, sf_dir), profile.REFRESH_IDENTITY)
 
 
-@query
+@query("profile_days")
 def profile_days(spark, sf_dir):
     return profile.profile_days(_profile_rows(spark, sf_dir))
 
@@ -169,7 +170,7 @@ def profile_days(spark, sf_dir):
 # -- lookups and changes by key -------------------------------------------------------------
 
 
-@query
+@query("range_scan")
 def range_scan(spark, sf_dir):
     orders = load(spark, sf_dir, "orders")
     lower, upper = (F.lit(dt.datetime(y, 1, 1)).cast("timestamp_ntz") for y in (1996, 1998))
@@ -178,7 +179,7 @@ def range_scan(spark, sf_dir):
     )
 
 
-@query
+@query("insert_if_absent")
 def insert_if_absent(spark, sf_dir):
     rows = load(spark, sf_dir, "orders").select(
         (F.col("o_custkey") + 500).alias("c_custkey"),
@@ -189,7 +190,7 @@ def insert_if_absent(spark, sf_dir):
     return lookup.insert_if_absent(table, rows, ["c_custkey"])
 
 
-@query
+@query("update_by_key")
 def update_by_key(spark, sf_dir):
     updates = load(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"),
@@ -200,14 +201,14 @@ def update_by_key(spark, sf_dir):
     return lookup.update_by_key(load(spark, sf_dir, "customer"), updates, ["c_custkey"])
 
 
-@query
+@query("delete_by_key")
 def delete_by_key(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
     gone = orders.select(F.col("o_custkey").alias("c_custkey"))
     return lookup.delete_by_key(load(spark, sf_dir, "customer"), gone, ["c_custkey"])
 
 
-@query
+@query("state_lookup")
 def state_lookup(spark, sf_dir):
     requests = load(spark, sf_dir, "events").select(
         F.col("event_id").alias("pos"),
@@ -235,53 +236,53 @@ def _request_table(spark, mode="transactional"):
     return jobs.count_table(spark, shared_dir(spark, "request_count"), mode=mode)
 
 
-def _commit(table: KeyedTable, batch_id: int, lines: DataFrame) -> None:
-    table.commit(jobs.one_each(lines, "line"), batch_id)
+def _commit(table: KeyedTable, batch_id: int, batch: DataFrame) -> None:
+    table.commit(jobs.one_each(batch, "line"), batch_id)
 
 
-def _replay(spark, sf_dir, mode, change=lambda lines: lines) -> DataFrame:
+def _replay(spark, sf_dir, mode, change=lambda batch: batch) -> DataFrame:
     """Commit three batches, then deliver the middle one again, with `change` made to its lines."""
     table = _request_table(spark, mode)
     batches = _request_batches(spark, sf_dir)
-    for batch_id, lines in enumerate(batches):
-        _commit(table, batch_id, lines)
+    for batch_id, batch in enumerate(batches):
+        _commit(table, batch_id, batch)
     _commit(table, 1, change(batches[1]))
     return table.view()
 
 
-@query
+@query("replay_transactional")
 def replay_transactional(spark, sf_dir):
     return _replay(spark, sf_dir, "transactional")
 
 
-@query
+@query("replay_opaque")
 def replay_opaque(spark, sf_dir):
-    def change(lines):
-        return lines.withColumn("line", F.concat(F.lit("again/"), "line"))
+    def change(batch):
+        return batch.withColumn("line", F.concat(F.lit("again/"), "line"))
 
     return _replay(spark, sf_dir, "opaque", change)
 
 
-@query
+@query("replay_non_transactional")
 def replay_non_transactional(spark, sf_dir):
     return _replay(spark, sf_dir, "non_transactional")
 
 
-@query
+@query("compacted_table")
 def compacted_table(spark, sf_dir):
     """Fold all but the last batch; what is replayed after that still counts once."""
     table = _request_table(spark)
     batches = _request_batches(spark, sf_dir)
-    for batch_id, lines in enumerate(batches):
-        _commit(table, batch_id, lines)
+    for batch_id, batch in enumerate(batches):
+        _commit(table, batch_id, batch)
     table.compact(keep=1)
     table.vacuum()
-    for batch_id, lines in enumerate(batches):
-        _commit(table, batch_id, lines)
+    for batch_id, batch in enumerate(batches):
+        _commit(table, batch_id, batch)
     return table.view()
 
 
-@query
+@query("deleted_keys")
 def deleted_keys(spark, sf_dir):
     """Delete the keys of one event type after the first batch; later batches count afresh."""
     table = _request_table(spark)
@@ -299,9 +300,9 @@ def _namespaced_table(spark, sf_dir) -> KeyedTable:
         spark, shared_dir(spark, "kv"), merge,
         "namespace string, key string, n bigint, txid bigint", partition_by=["namespace"],
     )
-    for txid, lines in enumerate(_request_batches(spark, sf_dir)):
+    for txid, batch in enumerate(_request_batches(spark, sf_dir)):
         parts = F.split("line", "/")
-        rows = lines.select(
+        rows = batch.select(
             parts[0].alias("namespace"), parts[1].alias("key"),
             F.lit(1).cast("bigint").alias("n"), F.lit(txid).cast("bigint").alias("txid"),
         )
@@ -309,14 +310,14 @@ def _namespaced_table(spark, sf_dir) -> KeyedTable:
     return table
 
 
-@query
+@query("kv_namespaced")
 def kv_namespaced(spark, sf_dir):
     """One hash per namespace, each value in the JSON form an external store holds."""
     state = _namespaced_table(spark, sf_dir).view()
     return state.select("namespace", "key", encode_state(F.col("n"), F.col("txid")).alias("state"))
 
 
-@query
+@query("namespaced_lookup")
 def namespaced_lookup(spark, sf_dir):
     """Look keys up in one namespace; only its folder is read."""
     state = _namespaced_table(spark, sf_dir).view().where("namespace = 'click'").select(
@@ -344,12 +345,12 @@ def _cells(spark, sf_dir) -> DataFrame:
     return cells.cells_put(rows, "row", _INFO, ts="version", write_time=-F.col("event_id") - 1)
 
 
-@query
+@query("cells_put")
 def cells_put(spark, sf_dir):
     return _cells(spark, sf_dir)
 
 
-@query
+@query("cell_lookup")
 def cell_lookup(spark, sf_dir):
     """Newest versions where the asked time is 0, the version of that time otherwise."""
     requests = load(spark, sf_dir, "events").select(
@@ -361,7 +362,7 @@ def cell_lookup(spark, sf_dir):
     return cells.cell_lookup(requests, _cells(spark, sf_dir), wanted, "asked", spread=["pos"])
 
 
-@query
+@query("counter_increment")
 def counter_increment(spark, sf_dir):
     rows = load(spark, sf_dir, "events").select(
         F.concat(F.lit("r"), F.col("user_id")).alias("row"), "event_type"
@@ -369,12 +370,12 @@ def counter_increment(spark, sf_dir):
     return cells.counter_increment(rows, "row", {"daily": ["event_type", "hits"], "all": ["hits"]}, 2)
 
 
-@query
+@query("calendar_rollup")
 def calendar_rollup(spark, sf_dir):
     return rollup.calendar_rollup(derived(spark, sf_dir, fixtures.url_events), "shortid", "day")
 
 
-@query
+@query("calendar_rollup_iso")
 def calendar_rollup_iso(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select(
         "o_orderstatus", F.date_format("o_orderdate", "yyyyMMdd").alias("day")
@@ -382,13 +383,13 @@ def calendar_rollup_iso(spark, sf_dir):
     return rollup.calendar_rollup(orders, "o_orderstatus", "day", iso_year=True)
 
 
-@query
+@query("rollup_bad_days")
 def rollup_bad_days(spark, sf_dir):
     events = derived(spark, sf_dir, fixtures.url_events)
     return rollup.bad_days(events.select("seq", "shortid", "day"), "day")
 
 
-@query
+@query("rollup_retention")
 def rollup_retention(spark, sf_dir):
     events = derived(spark, sf_dir, fixtures.url_events)
     rolled = rollup.calendar_rollup(events, "shortid", "day", ts="ts")
@@ -401,9 +402,8 @@ def rollup_retention(spark, sf_dir):
 def _archived(spark, sf_dir, fixture, fmt="parquet") -> str:
     """The lines written as an archive of daily folders, which the streams read."""
     path = shared_dir(spark, "lines")
-    lines = derived(spark, sf_dir, fixture)
     columns = ["line"] if fmt == "text" else ["seq", "line"]
-    dated = lines.select(*columns, F.date_format("ts", "yyyyMMdd").alias("dt"))
+    dated = derived(spark, sf_dir, fixture).select(*columns, F.date_format("ts", "yyyyMMdd").alias("dt"))
     dated.write.partitionBy("dt").format(fmt).save(path)
     return path
 
@@ -425,7 +425,7 @@ def _run(job, *args, **kwargs) -> None:
     job(*args, every=None, **kwargs).awaitTermination()
 
 
-@query
+@query("match_count_stream")
 def match_count_stream(spark, sf_dir):
     stream = _line_stream(spark, sf_dir, fixtures.match_lines)
     table = jobs.match_snapshot_table(spark, shared_dir(spark, "match"))
@@ -433,19 +433,19 @@ def match_count_stream(spark, sf_dir):
     return table.view()
 
 
-@query
+@query("match_sum_stream")
 def match_sum_stream(spark, sf_dir):
     stream = _line_stream(spark, sf_dir, fixtures.match_lines)
     table = jobs.match_sum_table(spark, shared_dir(spark, "match_sum"))
 
-    def to_rows(lines):
-        return keyed_lines(lines, MATCH_SUM)
+    def to_rows(batch):
+        return keyed_lines(batch, MATCH_SUM)
 
     _run(jobs.table_job, stream, table, to_rows, shared_dir(spark, "checkpoint"))
     return table.view()
 
 
-@query
+@query("request_count_stream")
 def request_count_stream(spark, sf_dir):
     stream = _line_stream(spark, sf_dir, fixtures.request_lines)
     table = _request_table(spark)
@@ -460,17 +460,17 @@ def _profile_stream(spark, sf_dir) -> tuple[KeyedTable, KeyedTable]:
     return attrs, days
 
 
-@query
+@query("profile_stream")
 def profile_stream(spark, sf_dir):
     return _profile_stream(spark, sf_dir)[0].view().select("mid", *PROFILE.fields)
 
 
-@query
+@query("profile_days_stream")
 def profile_days_stream(spark, sf_dir):
     return _profile_stream(spark, sf_dir)[1].view()
 
 
-@query
+@query("quarantine_stream")
 def quarantine_stream(spark, sf_dir):
     stream = _line_stream(spark, sf_dir, fixtures.match_lines)
     path = shared_dir(spark, "rejected")
@@ -478,7 +478,7 @@ def quarantine_stream(spark, sf_dir):
     return spark.read.schema("seq bigint, line string, reason string").parquet(path)
 
 
-@query
+@query("word_count_stream")
 def word_count_stream(spark, sf_dir):
     """Text files in nested folders, moved to another folder once they are counted."""
     path = _archived(spark, sf_dir, fixtures.tab_lines, "text")
@@ -490,7 +490,7 @@ def word_count_stream(spark, sf_dir):
     return table.view()
 
 
-@query
+@query("archive_daily")
 def archive_daily(spark, sf_dir):
     """The raw lines as text below their processing date, here a given one."""
     stream = _line_stream(spark, sf_dir, fixtures.request_lines)

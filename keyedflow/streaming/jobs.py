@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.dates import today
 from ..operators.counts import match_merge, request_merge, words
-from ..operators.lines import MATCH, MATCH_FIELDS, PROFILE, LineFormat, keyed_lines, quarantine, reject_reason
+from ..operators.lines import MATCH, MATCH_FIELDS, PROFILE, LineFormat, keyed_lines, quarantine, with_reason
 from ..operators.merge import Merge
 from ..operators.profile import DAYS, KEEP_IDENTITY, profile_merge
 from ..sources.keyed_table import KeyedTable, Mode
@@ -74,10 +74,10 @@ def match_count_job(
 
     Line and reject counts of each batch are in the query progress under `lines`.
     """
-    watched = lines.observe(
+    watched = with_reason(lines, fmt).observe(
         "lines",
         F.count(F.lit(1)).alias("lines"),
-        F.count_if(reject_reason(F.col("line"), fmt).isNotNull()).alias("rejected"),
+        F.count("reason").alias("rejected"),
     )
     counts = match_merge(tuple(order)).aggregate(keyed_lines(watched, fmt, keep=order))
 

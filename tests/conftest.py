@@ -9,7 +9,5 @@ from keyedflow.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session(8, "8g", 8)
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    return session
+def spark():
+    return local_session(8, "8g", 8)

@@ -1,0 +1,90 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyedflow.operators.lookup import (
+    absent_rows, delete_by_key, insert_if_absent, lookup, range_scan, update_by_key,
+)
+
+
+def test_lookup_with_a_hot_key_equals_a_plain_join(spark):
+    requests = spark.range(3000).select(
+        F.col("id").alias("pos"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            F.concat(F.lit("k"), F.col("id") % 700)).alias("key"),
+    )
+    table = spark.range(500).select(
+        F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("v")
+    ).union(spark.createDataFrame([("hot", -1), ("never", -2)], "key string, v bigint"))
+    found = lookup(requests, table, ["key"], spread=["pos"])
+    assert found.columns == ["key", "pos", "v"]
+    plain = requests.join(table, "key", "left").select("key", "pos", "v")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_a_hot_key_is_spread_over_many_partitions(spark):
+    requests = spark.range(10000).select(F.col("id").alias("pos"), F.lit("hot").alias("key"))
+    table = spark.createDataFrame([("hot", 1)], "key string, v bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = lookup(requests, table, ["key"], spread=["pos"])
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 10000 and len(sizes) >= 3 and max(sizes) < 6000
+
+
+def test_lookup_with_identical_requests_and_compound_keys(spark):
+    requests = spark.createDataFrame([("a", 1)] * 5 + [("a", 2)], "x string, y int")
+    table = spark.createDataFrame([("a", 1, 10)], "x string, y int, v int")
+    found = lookup(requests, table, ["x", "y"])
+    assert sorted(map(tuple, found.collect()), key=str) == [("a", 1, 10)] * 5 + [("a", 2, None)]
+
+
+def test_lookup_is_by_equality(spark):
+    table = spark.createDataFrame([("a0", 1), ("a ", 2)], "key string, v int")
+    requests = spark.createDataFrame([("a",)], "key string")
+    assert lookup(requests, table, ["key"]).first().v is None
+
+
+def test_range_scan_is_half_open(spark):
+    table = spark.range(20).select("id", (F.col("id") * 2).alias("v"), F.lit(0).alias("w"))
+    found = range_scan(table, "id", 10, 12, ["v"])
+    assert found.columns == ["v"] and sorted(r.v for r in found.collect()) == [20, 22]
+
+
+def test_insert_if_absent_takes_the_first_new_row(spark):
+    table = spark.createDataFrame([(1, "old")], "k int, v string")
+    rows = spark.createDataFrame([(1, "x", 0), (2, "later", 5), (2, "first", 3)], "k int, v string, seq int")
+    assert [tuple(r) for r in absent_rows(table, rows, ["k"]).collect()] == [(2, "first")]
+    assert sorted(map(tuple, insert_if_absent(table, rows, ["k"]).collect())) == [(1, "old"), (2, "first")]
+
+
+def test_update_by_key_applies_partial_updates_in_order(spark):
+    table = spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "k int, v string, w string")
+    updates = spark.createDataFrame(
+        [(1, "v1", None, 1), (1, "v2", "w1", 2), (1, None, "w2", 3), (9, "no", "no", 1)],
+        "k int, v string, w string, seq int",
+    )
+    found = sorted(map(tuple, update_by_key(table, updates, ["k"]).collect()))
+    assert found == [(1, "v2", "w2"), (2, "c", "d")]
+
+
+def test_delete_by_key(spark):
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    gone = spark.createDataFrame([(2,), (2,), (7,)], "k int")
+    assert [tuple(r) for r in delete_by_key(table, gone, ["k"]).collect()] == [(1, "a")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_lookups_against_a_dictionary(spark, seed):
+    rng = random.Random(seed)
+    stored = {f"k{i}": i for i in rng.sample(range(60), 30)}
+    asked = [f"k{min(rng.randrange(60), rng.randrange(60))}" for _ in range(400)]
+    requests = spark.createDataFrame(list(enumerate(asked)), "pos int, key string")
+    table = spark.createDataFrame(list(stored.items()), "key string, v int")
+    found = {r.pos: r.v for r in lookup(requests, table, ["key"], spread=["pos"]).collect()}
+    assert found == {i: stored.get(k) for i, k in enumerate(asked)}
