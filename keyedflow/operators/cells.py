@@ -55,13 +55,15 @@ def cell_lookup(
         chosen = chosen | ((F.col("cf") == cf) & F.col("cq").isin(list(qualifiers)))
     wanted = cells.where(chosen)
     cell_id = ["row_key", "cf", "cq"]
-    newest = wanted.groupBy(*cell_id).agg(F.max(F.struct("ts", "value")).alias("_newest"))
-    table = newest.select(*cell_id, F.lit(0).cast("bigint").alias("_at"), "_newest.value")
-    at = F.lit(0).cast("bigint")
+    # One pass: a version competes for the newest, filed under time 0, and is kept under its own time.
+    newest, at = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+    times = F.array(newest)
     if ts is not None:
-        at = F.when(F.col(ts) > 0, F.col(ts)).otherwise(at)
-        exact = wanted.groupBy(*cell_id, F.col("ts").alias("_at")).agg(F.max("value").alias("value"))
-        table = table.unionByName(exact.where("_at > 0"))
+        at = F.when(F.col(ts) > 0, F.col(ts)).otherwise(newest)
+        times = F.when(F.col("ts") > 0, F.array(newest, F.col("ts"))).otherwise(times)
+    filed = wanted.select(*cell_id, "ts", "value", F.explode(times).alias("_at"))
+    best = filed.groupBy(*cell_id, "_at").agg(F.max(F.struct("ts", "value")).alias("_best"))
+    table = best.select(*cell_id, "_at", "_best.value")
     asked = F.array(*[F.struct(F.lit(cf).alias("cf"), F.lit(cq).alias("cq")) for cf, cq in pairs])
     probes = requests.withColumn("_at", at).select("*", F.inline(asked))
     return lookup(probes, table, [*cell_id, "_at"], spread).drop("_at")

@@ -8,20 +8,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is hot when it holds more than this share of the requests, so fewer than 1 / HOT_SHARE
-# keys can be hot: that bounds what is broadcast, whatever the data.
+# A key is hot when it holds more than this share of the requests. Fewer than 1 / HOT_SHARE keys can
+# be hot, whatever the data: that bounds what is broadcast.
 HOT_SHARE = 1 / 200
+# Keys a frequent-items sketch tracks, and the groups sketches are merged in before the last merge.
+SKETCH_KEYS, SKETCH_GROUPS = 1000, 256
 
 
 def _hot_keys(requests: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The hot keys with the number of salts each gets: its share of the shuffle partitions."""
+    """Hashes of the hot keys, with the number of salts each gets: its share of the partitions.
+
+    One pass with a sketch of fixed size per task, so no keys are shuffled. The sketch may overlook
+    a key just above the threshold; that key is then joined unsalted, with the same result.
+    """
     spark = requests.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = requests.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    share = F.col("_n") / total
-    return counts.where(share > HOT_SHARE).select(
-        *on, F.ceil(share * partitions).cast("int").alias("_salts")
+    sketches = (
+        requests.select(F.xxhash64(*on).alias("_hash"))
+        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate(_hash, {SKETCH_KEYS})").alias("_sketch"),
+            F.count(F.lit(1)).alias("_n"),
+        )
+    )
+    merged = f"approx_top_k_combine(_sketch, {SKETCH_KEYS})"
+    most = int(1 / HOT_SHARE)
+    # Grouped by a constant, as a merge without groups fails on partitions that hold no sketch.
+    top = sketches.groupBy(F.lit("all")).agg(
+        F.expr(f"approx_top_k_estimate({merged}, {most})").alias("_top"), F.sum("_n").alias("_n")
+    )
+    keys = top.select(F.inline("_top"), "_n")
+    share = F.col("count") / F.col("_n")
+    return keys.where(share > HOT_SHARE).select(
+        F.col("item").alias("_hash"), F.ceil(share * partitions).cast("int").alias("_salts")
     )
 
 
@@ -34,17 +53,21 @@ def lookup(
     `spread` columns (a position or id; all columns if not given), and only the table rows of hot
     keys are repeated, once per salt. Carry a position column to get the request order back.
     """
-    on = list(on)
+    on, key_hash = list(on), F.xxhash64(*on)
     hot = F.broadcast(_hot_keys(requests, on))
-    spread = list(spread or requests.columns)
-    salted = requests.join(hot, on, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int"), F.lit(0))
-    )
+    salt = F.pmod(F.xxhash64(*(spread or requests.columns)), F.col("_salts")).cast("int")
     salts = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.col("_salts") - 1)
     )
-    repeated = table.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
-    return salted.drop("_salts").join(repeated, [*on, "_salt"], "left").drop("_salt")
+    salted = (
+        requests.withColumn("_hash", key_hash).join(hot, "_hash", "left")
+        .withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hash", "_salts")
+    )
+    repeated = (
+        table.withColumn("_hash", key_hash).join(hot, "_hash", "left")
+        .withColumn("_salt", F.explode(salts)).drop("_hash", "_salts")
+    )
+    return salted.join(repeated, [*on, "_salt"], "left").drop("_salt")
 
 
 def range_scan(table: DataFrame, key: str, lower, upper, columns: Sequence[str]) -> DataFrame:

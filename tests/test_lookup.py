@@ -44,6 +44,14 @@ def test_lookup_with_identical_requests_and_compound_keys(spark):
     assert sorted(map(tuple, found.collect()), key=str) == [("a", 1, 10)] * 5 + [("a", 2, None)]
 
 
+def test_lookup_with_no_requests_or_an_empty_table(spark):
+    requests = spark.range(50).select(F.col("id").alias("pos"), F.lit("a").alias("key"))
+    table = spark.createDataFrame([("a", 1)], "key string, v int")
+    assert lookup(requests.where("pos < 0"), table, ["key"]).collect() == []
+    missed = lookup(requests, table.where("v > 1"), ["key"], ["pos"]).collect()
+    assert len(missed) == 50 and {r.v for r in missed} == {None}
+
+
 def test_lookup_is_by_equality(spark):
     table = spark.createDataFrame([("a0", 1), ("a ", 2)], "key string, v int")
     requests = spark.createDataFrame([("a",)], "key string")

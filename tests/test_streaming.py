@@ -1,0 +1,163 @@
+"""Streams over several files equal their batch twins, also across restarts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyedflow.operators.counts import match_count
+from keyedflow.operators.lines import MATCH, PROFILE, keyed_lines, quarantine
+from keyedflow.operators.profile import profile_days, profile_upsert
+from keyedflow.plans import fixtures
+from keyedflow.plans.queries import derived
+from keyedflow.sources.lines import parquet_line_stream, text_line_stream
+from keyedflow.streaming import jobs
+
+SF = "/root/testdata/sf0.001"
+BOUNDS = (0, 300, 301, 700, 1000)
+
+
+class Source:
+    """Lines as a folder of files, one per range of seq, which can arrive bit by bit."""
+
+    def __init__(self, spark, path, fixture):
+        self.spark, self.path = spark, str(path)
+        self.lines = derived(spark, SF, fixture).select("seq", "line").persist()
+        self.sent = 0
+
+    def send(self, files):
+        for low, high in list(zip(BOUNDS, BOUNDS[1:]))[self.sent : self.sent + files]:
+            part = self.lines.where((F.col("seq") >= low) & (F.col("seq") < high))
+            part.coalesce(1).write.mode("append").parquet(self.path)
+        self.sent += files
+
+    def stream(self):
+        return parquet_line_stream(self.spark, self.path, "seq bigint, line string", 1)
+
+
+def same(left, right):
+    columns = sorted(left.columns)
+    assert columns == sorted(right.columns)
+    rows = [sorted(map(tuple, df.select(*columns).collect()), key=str) for df in (left, right)]
+    assert rows[0] == rows[1] and rows[0]
+
+
+def finish(query):
+    query.awaitTermination()
+    return query
+
+
+def test_match_count_resumes_from_its_checkpoint(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.match_lines)
+    table = jobs.match_snapshot_table(spark, str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    for files in (2, 2):
+        source.send(files)
+        query = finish(jobs.match_count_job(source.stream(), table, str(tmp_path / "c"), None))
+        seen = [p.observedMetrics["lines"] for p in query.recentProgress if p.numInputRows]
+        assert len(seen) == 2
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    same(table.view(), match_count(keyed_lines(source.lines, MATCH)))
+    rejected = quarantine(source.lines.where("seq >= 301"), MATCH).count()
+    assert sum(m.rejected for m in seen) == rejected and sum(m.lines for m in seen) == 699
+    table.compact(keep=1)
+    same(table.view(), match_count(keyed_lines(source.lines, MATCH)))
+
+
+@pytest.mark.parametrize("mode", ["transactional", "opaque"])
+def test_replaying_all_batches_from_a_new_checkpoint_changes_nothing(spark, tmp_path, mode):
+    source = Source(spark, tmp_path / "in", fixtures.request_lines)
+    source.send(4)
+    table = jobs.count_table(spark, str(tmp_path / "t"), mode=mode)
+    batch = source.lines.groupBy(F.col("line").alias("word")).agg(F.count("*").alias("n"))
+    for checkpoint in ("c0", "c1"):
+        finish(jobs.request_count_job(source.stream(), table, str(tmp_path / checkpoint), None))
+        same(table.view(), batch)
+
+
+def test_a_new_generation_counts_new_lines_under_old_batch_ids(spark, tmp_path):
+    totals = []
+    for generation in (0, 1):
+        source = Source(spark, tmp_path / f"in{generation}", fixtures.request_lines)
+        source.send(4)
+        table = jobs.count_table(spark, str(tmp_path / "t"), generation=generation)
+        finish(jobs.request_count_job(source.stream(), table, str(tmp_path / f"c{generation}"), None))
+        totals.append(table.view().agg(F.sum("n")).first()[0])
+    assert totals == [1000, 2000]
+
+
+def test_profile_job_equals_batch_across_a_restart(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.profile_lines)
+    attrs, days = jobs.profile_tables(spark, str(tmp_path / "t"))
+    for files in (1, 3):
+        source.send(files)
+        finish(jobs.profile_job(source.stream(), attrs, days, str(tmp_path / "c"), None))
+    rows = keyed_lines(source.lines, PROFILE)
+    same(attrs.view(), profile_upsert(rows))
+    same(days.view(), profile_days(rows))
+
+
+def test_a_batch_that_died_between_its_two_tables_is_completed(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.profile_lines)
+    source.send(4)
+    attrs, days = jobs.profile_tables(spark, str(tmp_path / "t"))
+    first = keyed_lines(source.lines.where("seq < 300"), PROFILE)
+    attrs.commit(first, 0)  # and then the driver was lost
+    finish(jobs.profile_job(source.stream(), attrs, days, str(tmp_path / "c"), None))
+    rows = keyed_lines(source.lines, PROFILE)
+    same(attrs.view(), profile_upsert(rows))
+    same(days.view(), profile_days(rows))
+
+
+def test_a_failing_batch_stops_the_query_and_the_restart_completes_it(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.request_lines)
+    source.send(4)
+    table = jobs.count_table(spark, str(tmp_path / "t"))
+    calls = []
+
+    def sometimes(batch):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return jobs.one_each(batch, "line")
+
+    with pytest.raises(Exception, match="lost"):
+        finish(jobs.table_job(source.stream(), table, sometimes, str(tmp_path / "c"), None))
+    finish(jobs.table_job(source.stream(), table, sometimes, str(tmp_path / "c"), None))
+    batch = source.lines.groupBy(F.col("line").alias("word")).agg(F.count("*").alias("n"))
+    same(table.view(), batch)
+
+
+def test_text_files_in_nested_folders_are_archived(spark, tmp_path):
+    for i, text in enumerate(("a\tb\n", "a\n", "c\tc\t\t\n")):
+        folder = tmp_path / "in" / f"d{i}" / "e"
+        folder.mkdir(parents=True)
+        (folder / "part.txt").write_text(text)
+    (tmp_path / "in" / "skip.csv").write_text("z\n")
+    table = jobs.count_table(spark, str(tmp_path / "t"))
+    done = tmp_path / "done"
+    stream = text_line_stream(spark, str(tmp_path / "in"), str(done), max_files=1)
+    finish(jobs.word_count_job(stream, table, str(tmp_path / "c"), None))
+    assert {r.word: r.n for r in table.view().collect()} == {"a": 2, "b": 1, "c": 2}
+    assert list(done.rglob("*.txt"))
+
+
+def test_archive_and_quarantine_write_each_line_once(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.match_lines)
+    for files in (2, 2):
+        source.send(files)
+        finish(jobs.archive_job(source.stream(), str(tmp_path / "a"), str(tmp_path / "ca"), None))
+        finish(jobs.archive_job(
+            source.stream(), str(tmp_path / "p"), str(tmp_path / "cp"), None, fmt="parquet"))
+        finish(jobs.quarantine_job(
+            source.stream(), MATCH, str(tmp_path / "q"), str(tmp_path / "cq"), None))
+    archived = spark.read.text(str(tmp_path / "a"))
+    assert archived.select("dt").distinct().count() in (1, 2)
+    same(archived.select(F.col("value").alias("line")), source.lines.select("line"))
+    same(spark.read.parquet(str(tmp_path / "p")).drop("dt"), source.lines)
+    same(spark.read.parquet(str(tmp_path / "q")), quarantine(source.lines, MATCH))
+
+
+def test_print_job(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.request_lines)
+    source.send(1)
+    query = finish(jobs.print_job(source.stream(), str(tmp_path / "c"), None))
+    assert sum(p.numInputRows for p in query.recentProgress) == 300

@@ -38,8 +38,8 @@ def test_split_wants_one_character(spark):
 
 @pytest.mark.parametrize(
     "text, blank",
-    [("", True), ("  ", True), ("\t\n", True), ("　 ", True), (" a ", False),
-     (" ", False), ("\x00", False), (None, True)],
+    [("", True), ("  ", True), ("\t\n", True), ("\u3000\u2003", True), (" a ", False),
+     ("\u00a0", False), ("\x00", False), (None, True)],
 )
 def test_blank(spark, text, blank):
     assert value(spark, text, K.not_blank) is not blank
@@ -64,7 +64,7 @@ def test_counts(spark, text, one, zero):
     "parts, bytes_of",
     [
         (("ab", "c"), "abc"), (("a", "bc"), "abc"), (("\t u", "s \n\x00"), "u" + "s"),
-        (("a b", "\tc"), "a b\tc"), (("ü", "漢"), "ü漢"), (("　", ""), "　"),
+        (("a b", "\tc"), "a b\tc"), (("ü", "漢"), "ü漢"), (("\u3000", ""), "\u3000"),
     ],
 )
 def test_md5_key(spark, parts, bytes_of):
