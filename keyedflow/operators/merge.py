@@ -31,14 +31,22 @@ class Merge:
             return df.select(*self.keys).distinct()
         return df.groupBy(*self.keys).agg(*aggs)
 
-    def partial(self, rows: DataFrame) -> DataFrame:
-        """One partial per key. The extreme is taken over (order, values), so a retried task and
-        rows with equal order values still give one answer."""
+    def _ordered(self, columns: Sequence[str]) -> Column:
+        return F.struct(*self.order, *[c for c in columns if c not in self.order])
 
-        def ordered(columns: Sequence[str]) -> Column:
-            return F.struct(*self.order, *[c for c in columns if c not in self.order])
+    def partial(self, rows: DataFrame, unique_keys: bool = False) -> DataFrame:
+        """One partial per key. The extreme is taken over (order, values), so a retried task and
+        rows with equal order values still give one answer.
 
-        return self._reduce(rows, ordered(self.firsts), ordered(self.lasts))
+        Rows that hold each key once already (`unique_keys`) become partials without a shuffle.
+        """
+        first, last = self._ordered(self.firsts), self._ordered(self.lasts)
+        if not unique_keys:
+            return self._reduce(rows, first, last)
+        columns = [F.col(c) for c in self.sums]
+        columns += [first.alias("_first")] if self.firsts else []
+        columns += [last.alias("_last")] if self.lasts else []
+        return rows.select(*self.keys, *columns)
 
     def combine(self, partials: DataFrame) -> DataFrame:
         return self._reduce(partials, F.col("_first"), F.col("_last"))

@@ -35,6 +35,8 @@ class KeyedTable:
       transactional      nothing; the batch has the same rows as before
       opaque             replaces the first one; the batch may hold other rows
       non_transactional  adds again
+
+    compact_every: fold the log whenever it holds that many batches, all but the newest `keep`.
     """
 
     def __init__(
@@ -46,9 +48,12 @@ class KeyedTable:
         mode: Mode = "transactional",
         generation: int = 0,
         partition_by: Sequence[str] = (),
+        compact_every: int | None = None,
+        keep: int = 1,
     ):
         self.spark, self.path, self.merge = spark, path.rstrip("/"), merge
         self.mode, self.generation, self.partition_by = mode, generation, list(partition_by)
+        self.compact_every, self.keep = compact_every, keep
         rows = spark.createDataFrame([], schema)
         self._partials = merge.partial(rows).schema
         self._keys = rows.select(*merge.keys).schema
@@ -77,6 +82,9 @@ class KeyedTable:
 
     def _write(self, df: DataFrame, kind: str, version: Version) -> None:
         attempt = 1 + max(self._attempts(kind, False).get(version, [-1]))
+        if self.partition_by:
+            # One file per folder and task would be very many; this also splits a large folder.
+            df = df.hint("rebalance", *self.partition_by)
         df.write.partitionBy(*self.partition_by).parquet(self._folder(kind, version, attempt))
 
     # -- writing ------------------------------------------------------------------------------
@@ -85,8 +93,11 @@ class KeyedTable:
         taken = [*self._committed("log"), *self._committed("base"), *self._committed("deletes")]
         return 1 + max((n for g, n in taken if g == self.generation), default=-1)
 
-    def commit(self, rows: DataFrame, batch_id: int) -> bool:
-        """Add a batch; False if it was already there and nothing was done."""
+    def commit(self, rows: DataFrame, batch_id: int, unique_keys: bool = False) -> bool:
+        """Add a batch; False if it was already there and nothing was done.
+
+        `unique_keys` says that the rows hold each key once, which saves a shuffle.
+        """
         if self.mode == "non_transactional":
             batch_id = self._next_batch()
         version = (self.generation, batch_id)
@@ -96,7 +107,9 @@ class KeyedTable:
             return False
         if folded:
             raise ValueError(f"batch {version} is folded and can no longer be replaced")
-        self._write(self.merge.partial(rows), "log", version)
+        self._write(self.merge.partial(rows, unique_keys), "log", version)
+        if self.compact_every and len(self._unfolded()) >= self.compact_every:
+            self.compact(self.keep)
         return True
 
     def delete(self, keys: DataFrame, batch_id: int) -> None:
@@ -107,19 +120,24 @@ class KeyedTable:
             return
         self._write(keys.select(*self.merge.keys).distinct(), "deletes", version)
 
+    def _unfolded(self) -> list[Version]:
+        base = self._base()
+        return sorted(v for v in self._committed("log") if base is None or v > base[0])
+
     def compact(self, keep: int = 1) -> bool:
         """Fold all but the newest `keep` batches into a new base, files sorted by key.
 
         Keep the batches an opaque source may still replay. Readers of the old base are not
         disturbed; `vacuum()` removes what is folded.
         """
-        base = self._base()
-        newer = sorted(v for v in self._committed("log") if base is None or v > base[0])
+        newer = self._unfolded()
         cut = newer[: max(len(newer) - keep, 0)]
         if not cut:
             return False
         folded = self.merge.combine(self._partials_upto(cut[-1]))
-        self._write(folded.sortWithinPartitions(*self.merge.keys), "base", cut[-1])
+        if not self.partition_by:
+            folded = folded.sortWithinPartitions(*self.merge.keys)
+        self._write(folded, "base", cut[-1])
         return True
 
     def vacuum(self) -> None:

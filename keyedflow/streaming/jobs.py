@@ -82,7 +82,8 @@ def match_count_job(
     counts = match_merge(tuple(order)).aggregate(keyed_lines(watched, fmt, keep=order))
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        table.commit(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
+        changed = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        table.commit(changed, batch_id, unique_keys=True)
 
     writer = counts.writeStream.outputMode("update").foreachBatch(commit)
     with _rocksdb_state(lines.sparkSession):

@@ -98,6 +98,26 @@ def test_folding_changes_nothing(spark, tmp_path, mode):
     assert view(t)["x"] == ("a0", "b9", 20)
 
 
+def test_folding_by_itself(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path), MERGE, SCHEMA, compact_every=3, keep=1)
+    data = [("x", i, f"a{i}", f"b{i}", i) for i in range(7)]
+    for i, row in enumerate(data):
+        t.commit(rows(spark, row), i)
+        assert view(t) == expected(data[: i + 1])
+    bases = files.glob(spark, f"{tmp_path}/base/generation=*/batch_id=*")
+    assert sorted(b.rsplit("=")[-1] for b in bases) == ["1", "3", "5"]
+
+
+def test_rows_with_unique_keys_need_no_shuffle(spark, tmp_path):
+    data = [("x", 1, "a0", "b0", 0), ("y", 2, "a1", "b1", 1)]
+    t = table(spark, tmp_path)
+    t.commit(rows(spark, *data), 0, unique_keys=True)
+    t.commit(rows(spark, ("x", 1, "a2", "b2", 2)), 1)
+    assert view(t) == {"x": ("a0", "b2", 2), "y": ("a1", "b1", 2)}
+    plan = MERGE.partial(rows(spark, *data), unique_keys=True)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
 def test_replay_of_folded_batches(spark, tmp_path):
     for mode in ("transactional", "opaque"):
         t = table(spark, tmp_path / mode, mode)
