@@ -18,8 +18,8 @@ def match_count(rows: DataFrame, order=("seq",)) -> DataFrame:
     return match_merge(order).aggregate(rows)
 
 
-def request_merge(key: str = "word") -> Merge:
-    return Merge(keys=(key,), sums=("n",))
+def request_merge() -> Merge:
+    return Merge(keys=("word",), sums=("n",))
 
 
 def count_rows(rows: DataFrame, *keys: str | Column, name: str = "n") -> DataFrame:

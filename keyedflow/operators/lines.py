@@ -37,11 +37,13 @@ MATCH_SUM = LineFormat(MATCH_FIELDS, MATCH_FIELDS[:5], "row_key", "count", count
 
 
 def _split(lines: DataFrame, line: str, sep: str, arity: int) -> DataFrame:
-    """Add the fields of each line as the array `_fields`.
+    """Add the fields of each line as the array `_fields`, unless that was done before.
 
     The array goes through a one-element `explode`. Filters on the fields would otherwise be pushed
     below the split with a copy of it for every use, and each line would be split many times.
     """
+    if "_fields" in lines.columns:
+        return lines
     text = F.col(line)
     # Lines of separators only have no field; that matters only where one field is a good line.
     fields = split_fields(text, sep) if arity < 2 else F.split(F.rtrim(text, F.lit(sep)), re.escape(sep))
@@ -82,21 +84,20 @@ def line_keys(
     return parse_fields(lines, fmt.fields, line, keep, fmt.sep).select(*keep, key)
 
 
-def with_reason(lines: DataFrame, fmt: LineFormat, line: str = "line") -> DataFrame:
-    """Add `reason`: `arity`, `bad_count`, or null for a good line."""
+def check_lines(lines: DataFrame, fmt: LineFormat, line: str = "line") -> DataFrame:
+    """Add `reason`: `arity`, `bad_count`, or null for a good line; and the fields as `_fields`."""
     parts = F.col("_fields")
     arity_ok = F.coalesce(F.size(parts) == len(fmt.fields), F.lit(False))
     reason = F.when(~arity_ok, F.lit("arity"))
     if fmt.count_field is not None:
         count = fmt.read_count(F.get(parts, fmt.fields.index(fmt.count_field)))
         reason = reason.when(count.isNull(), F.lit("bad_count"))
-    split = _split(lines, line, fmt.sep, len(fmt.fields))
-    return split.withColumn("reason", reason).drop("_fields")
+    return _split(lines, line, fmt.sep, len(fmt.fields)).withColumn("reason", reason)
 
 
 def quarantine(lines: DataFrame, fmt: LineFormat, line: str = "line") -> DataFrame:
     """The complement of `keyed_lines`: each rejected line, unchanged, with its reason."""
-    return with_reason(lines, fmt, line).where("reason is not null")
+    return check_lines(lines, fmt, line).drop("_fields").where("reason is not null")
 
 
 def rekey_lines(

@@ -5,9 +5,12 @@ join with it; the requests of a lookup can, and are salted.
 """
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
+from .merge import Merge
+
 # A key is hot when it holds more than this share of the requests. Fewer than 1 / HOT_SHARE keys can
 # be hot, whatever the data: that bounds what is broadcast.
 HOT_SHARE = 1 / 200
@@ -45,13 +48,15 @@ def _hot_keys(requests: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def lookup(
-    requests: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str] | None = None
+    requests: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[str] | None = None,
+    merge: Merge | None = None,
 ) -> DataFrame:
     """For each request the row stored under its key, nulls for a miss.
 
-    `table` holds one row per key. Requests of a hot key are spread over salts by a hash of the
-    `spread` columns (a position or id; all columns if not given), and only the table rows of hot
-    keys are repeated, once per salt. Carry a position column to get the request order back.
+    `table` holds one row per key, or, with `merge`, partials of that merge, which are then merged
+    on the way. Requests of a hot key are spread over salts by a hash of the `spread` columns (a
+    position or id; all columns if not given), and only the table rows of hot keys are repeated,
+    once per salt. Carry a position column to get the request order back.
     """
     on, key_hash = list(on), F.xxhash64(*on)
     hot = F.broadcast(_hot_keys(requests, on))
@@ -67,6 +72,10 @@ def lookup(
         table.withColumn("_hash", key_hash).join(hot, "_hash", "left")
         .withColumn("_salt", F.explode(salts)).drop("_hash", "_salts")
     )
+    if merge is not None:
+        # Merged by key and salt, which is how the join wants it: the table is shuffled once.
+        per_salt = replace(merge, keys=(*on, "_salt"))
+        repeated = per_salt.finish(per_salt.combine(repeated))
     return salted.join(repeated, [*on, "_salt"], "left").drop("_salt")
 
 

@@ -66,6 +66,13 @@ def _request_batches() -> str:
 
 REQUESTS = f"select line as word, count(*) as n from {_lines(fixtures.request_lines)} r group by line"
 
+STATE_LOOKUP = f"""select r.pos, r.word, s.n from (
+        select event_id as pos, concat(event_type, '/', user_id % 12) as word from events) r
+        left join ({REQUESTS}) s on r.word = s.word"""
+
+KEY_COUNT = f"""select {MATCH_KEY} as row_key, count(*) as n
+        from {_split(fixtures.match_lines)} s where len(f) = 10 group by 1"""
+
 QUARANTINE = f"""select seq, line, reason from (select seq, line,
     case when len(f) <> 10 then 'arity' when {COUNT_INT} is null then 'bad_count' end as reason
     from {_split(fixtures.match_lines)} s) q where reason is not null"""
@@ -128,8 +135,8 @@ ORACLE: dict[str, str] = {
     "request_count_stream": REQUESTS,
     "compacted_table": REQUESTS,
     "replay_transactional": REQUESTS,
-    "key_count": f"""select {MATCH_KEY} as row_key, count(*) as n
-        from {_split(fixtures.match_lines)} s where len(f) = 10 group by 1""",
+    "key_count": KEY_COUNT,
+    "key_count_stream": KEY_COUNT,
     "global_count": "select '__global__' as key, count(*) as n from events",
     "word_count": WORDS,
     "word_count_stream": WORDS,
@@ -157,9 +164,8 @@ ORACLE: dict[str, str] = {
             from orders group by o_custkey) u on o_custkey = c_custkey""",
     "delete_by_key": """select * from customer where c_custkey not in (
         select o_custkey from orders where o_orderstatus = 'P')""",
-    "state_lookup": f"""select r.pos, r.word, s.n from (
-        select event_id as pos, concat(event_type, '/', user_id % 12) as word from events) r
-        left join ({REQUESTS}) s on r.word = s.word""",
+    "state_lookup": STATE_LOOKUP,
+    "table_lookup": STATE_LOOKUP,
     "replay_opaque": f"""select case when batch = 1 then 'again/' || line else line end as word,
         count(*) as n from {_request_batches()} b group by 1""",
     "replay_non_transactional": f"""select line as word,

@@ -250,6 +250,20 @@ def _replay(spark, sf_dir, mode, change=lambda batch: batch) -> DataFrame:
     return table.view()
 
 
+@query("table_lookup")
+def table_lookup(spark, sf_dir):
+    """Look every request up in a table that holds a base and newer batches."""
+    table = _request_table(spark)
+    for batch_id, batch in enumerate(_request_batches(spark, sf_dir)):
+        _commit(table, batch_id, batch)
+    table.compact(keep=1)
+    requests = load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("pos"),
+        F.concat("event_type", F.lit("/"), F.col("user_id") % 12).alias("word"),
+    )
+    return table.lookup(requests, spread=["pos"])
+
+
 @query("replay_transactional")
 def replay_transactional(spark, sf_dir):
     return _replay(spark, sf_dir, "transactional")
@@ -437,12 +451,16 @@ def match_count_stream(spark, sf_dir):
 def match_sum_stream(spark, sf_dir):
     stream = _line_stream(spark, sf_dir, fixtures.match_lines)
     table = jobs.match_sum_table(spark, shared_dir(spark, "match_sum"))
+    _run(jobs.match_sum_job, stream, table, shared_dir(spark, "checkpoint"))
+    return table.view()
 
-    def to_rows(batch):
-        return keyed_lines(batch, MATCH_SUM)
 
-    _run(jobs.table_job, stream, table, to_rows, shared_dir(spark, "checkpoint"))
-    return table.view()
+@query("key_count_stream")
+def key_count_stream(spark, sf_dir):
+    stream = _line_stream(spark, sf_dir, fixtures.match_lines)
+    table = _request_table(spark)
+    _run(jobs.key_count_job, stream, table, shared_dir(spark, "checkpoint"))
+    return table.view().withColumnRenamed("word", "row_key")
 
 
 @query("request_count_stream")

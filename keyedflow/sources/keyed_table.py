@@ -189,4 +189,4 @@ class KeyedTable:
 
     def lookup(self, requests: DataFrame, spread: Sequence[str] | None = None) -> DataFrame:
         """The stored row of each requested key, nulls for a miss."""
-        return lookup(requests, self.view(), self.merge.keys, spread)
+        return lookup(requests, self._partials_upto(), self.merge.keys, spread, self.merge)

@@ -10,13 +10,17 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.dates import today
 from ..operators.counts import match_merge, request_merge, words
-from ..operators.lines import MATCH, MATCH_FIELDS, PROFILE, LineFormat, keyed_lines, quarantine, with_reason
+from ..operators.lines import (
+    MATCH, MATCH_FIELDS, MATCH_SUM, PROFILE, LineFormat, check_lines, keyed_lines, line_keys,
+    quarantine,
+)
 from ..operators.merge import Merge
 from ..operators.profile import DAYS, KEEP_IDENTITY, profile_merge
-from ..sources.keyed_table import KeyedTable, Mode
+from ..sources.keyed_table import KeyedTable
 
 SNAPSHOT_INTERVAL = "60 seconds"
 
@@ -55,60 +59,82 @@ def table_job(
 
 # -- match count ----------------------------------------------------------------------------
 
+_MATCH_COLUMNS = "row_key string, {}, count bigint".format(
+    ", ".join(f"{c} string" for c in MATCH_FIELDS[:8])
+)
 
-def match_snapshot_table(spark: SparkSession, path: str, generation: int = 0) -> KeyedTable:
+
+def _names(ddl: str) -> tuple[str, ...]:
+    return tuple(StructType.fromDDL(ddl).names)
+
+
+def match_snapshot_table(spark: SparkSession, path: str, **options) -> KeyedTable:
     """What `match_count_job` maintains: per key the values of the newest batch that changed it."""
     values = (*MATCH_FIELDS[:8], "count")
     merge = Merge(keys=("row_key",), lasts=values, order=("batch_id",))
-    schema = "row_key string, {}, count bigint, batch_id bigint".format(
-        ", ".join(f"{c} string" for c in MATCH_FIELDS[:8])
-    )
-    return KeyedTable(spark, path, merge, schema, mode="opaque", generation=generation)
+    schema = f"{_MATCH_COLUMNS}, batch_id bigint"
+    return KeyedTable(spark, path, merge, schema, mode="opaque", **options)
 
 
 def match_count_job(
     lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL,
-    order: Sequence[str] = ("seq",), fmt: LineFormat = MATCH,
+    order: Sequence[str] = ("seq",), fmt: LineFormat = MATCH, output_mode: str = "update",
 ) -> StreamingQuery:
     """Running count per key with first-seen columns, written every `every`.
 
-    Line and reject counts of each batch are in the query progress under `lines`.
+    `update` writes the keys a batch changed, `complete` every key each time. Line and reject
+    counts of each batch are in the query progress under `lines`.
     """
-    watched = with_reason(lines, fmt).observe(
-        "lines",
-        F.count(F.lit(1)).alias("lines"),
-        F.count("reason").alias("rejected"),
+    checked = check_lines(lines, fmt).observe(
+        "lines", F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected")
     )
-    counts = match_merge(tuple(order)).aggregate(keyed_lines(watched, fmt, keep=order))
+    counts = match_merge(tuple(order)).aggregate(keyed_lines(checked, fmt, keep=order))
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         changed = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         table.commit(changed, batch_id, unique_keys=True)
 
-    writer = counts.writeStream.outputMode("update").foreachBatch(commit)
+    writer = counts.writeStream.outputMode(output_mode).foreachBatch(commit)
     with _rocksdb_state(lines.sparkSession):
         return _start(writer, checkpoint, every)
 
 
 def match_sum_table(
-    spark: SparkSession, path: str, mode: Mode = "transactional", generation: int = 0
+    spark: SparkSession, path: str, order: str = "seq bigint", **options
 ) -> KeyedTable:
-    schema = "seq bigint, row_key string, {}, count bigint".format(
-        ", ".join(f"{c} string" for c in MATCH_FIELDS[:8])
-    )
-    return KeyedTable(spark, path, match_merge(), schema, mode, generation)
+    """`order` is the DDL of the order columns, as in `timestamp timestamp, offset bigint`."""
+    merge = match_merge(_names(order))
+    return KeyedTable(spark, path, merge, f"{order}, {_MATCH_COLUMNS}", **options)
+
+
+def match_sum_job(
+    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL
+) -> StreamingQuery:
+    """Persistent sum per key with first-seen columns; an empty count adds 0."""
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return keyed_lines(batch, MATCH_SUM, keep=table.merge.order)
+
+    return table_job(lines, table, to_rows, checkpoint, every)
+
+
+def key_count_job(
+    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL
+) -> StreamingQuery:
+    """Persistent count of lines per key, into a `count_table`."""
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return one_each(line_keys(batch, MATCH, keep=()), "row_key")
+
+    return table_job(lines, table, to_rows, checkpoint, every)
 
 
 # -- request count and word count -----------------------------------------------------------
 
 
-def count_table(
-    spark: SparkSession, path: str, key: str = "word", mode: Mode = "transactional",
-    generation: int = 0,
-) -> KeyedTable:
-    return KeyedTable(
-        spark, path, request_merge(key), f"{key} string, n bigint", mode, generation
-    )
+def count_table(spark: SparkSession, path: str, **options) -> KeyedTable:
+    """Counts per `word`."""
+    return KeyedTable(spark, path, request_merge(), "word string, n bigint", **options)
 
 
 def one_each(rows: DataFrame, key: str | Column = "word") -> DataFrame:
@@ -135,35 +161,32 @@ def word_count_job(
 
 
 def profile_tables(
-    spark: SparkSession, path: str, firsts=KEEP_IDENTITY, order: Sequence[str] = ("seq",),
-    order_types: Sequence[str] = ("bigint",), mode: Mode = "transactional", generation: int = 0,
+    spark: SparkSession, path: str, firsts=KEEP_IDENTITY, order: str = "seq bigint", **options
 ) -> tuple[KeyedTable, KeyedTable]:
-    """The attribute table and the active-days table."""
-    ordered = ", ".join(f"{c} {t}" for c, t in zip(order, order_types, strict=True))
+    """The attribute table and the active-days table; `order` is the DDL of the order columns."""
     fields = ", ".join(f"{c} string" for c in PROFILE.fields)
     attrs = KeyedTable(
-        spark, f"{path}/attrs", profile_merge(firsts, tuple(order)),
-        f"{ordered}, mid string, {fields}", mode, generation,
-    )
-    days = KeyedTable(
-        spark, f"{path}/days", DAYS, "mid string, day string", mode, generation
+        spark, f"{path}/attrs", profile_merge(firsts, _names(order)),
+        f"{order}, mid string, {fields}", **options,
     )
+    days = KeyedTable(spark, f"{path}/days", DAYS, "mid string, day string", **options)
     return attrs, days
 
 
 def profile_job(
     lines: DataFrame, attrs: KeyedTable, days: KeyedTable, checkpoint: str,
-    every: str | None = SNAPSHOT_INTERVAL, order: Sequence[str] = ("seq",),
+    every: str | None = SNAPSHOT_INTERVAL,
 ) -> StreamingQuery:
-    """Upsert profiles and add active days. The parsed batch is kept for the two writes."""
+    """Upsert profiles and add active days.
+
+    The lines of a batch are parsed for each of the two tables: that took less time than caching
+    the parsed rows, and needs no memory.
+    """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        rows = keyed_lines(batch, PROFILE, keep=order).persist()
-        try:
-            attrs.commit(rows, batch_id)
-            days.commit(rows.select("mid", F.col("last_date").alias("day")), batch_id)
-        finally:
-            rows.unpersist()
+        rows = keyed_lines(batch, PROFILE, keep=attrs.merge.order)
+        attrs.commit(rows, batch_id)
+        days.commit(rows.select("mid", F.col("last_date").alias("day")), batch_id)
 
     return _start(lines.writeStream.foreachBatch(commit), checkpoint, every)
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyedflow.operators.counts import match_count
-from keyedflow.operators.lines import MATCH, PROFILE, keyed_lines, quarantine
+from keyedflow.operators.lines import MATCH, MATCH_SUM, PROFILE, keyed_lines, quarantine
 from keyedflow.operators.profile import profile_days, profile_upsert
 from keyedflow.plans import fixtures
 from keyedflow.plans.queries import derived
@@ -156,6 +156,19 @@ def test_archive_and_quarantine_write_each_line_once(spark, tmp_path):
     same(spark.read.parquet(str(tmp_path / "q")), quarantine(source.lines, MATCH))
 
 
+def test_complete_mode_and_a_compound_order(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.match_lines)
+    source.send(4)
+    stream = source.stream().withColumn("day", F.lit(1))
+    table = jobs.match_snapshot_table(spark, str(tmp_path / "t"), compact_every=2)
+    finish(jobs.match_count_job(
+        stream, table, str(tmp_path / "c"), None, order=("day", "seq"), output_mode="complete"))
+    same(table.view(), match_count(keyed_lines(source.lines, MATCH)))
+    sums = jobs.match_sum_table(spark, str(tmp_path / "s"), order="day int, seq bigint")
+    finish(jobs.match_sum_job(stream, sums, str(tmp_path / "cs"), None))
+    same(sums.view(), match_count(keyed_lines(source.lines, MATCH_SUM)))
+
+
 def test_print_job(spark, tmp_path):
     source = Source(spark, tmp_path / "in", fixtures.request_lines)
     source.send(1)
