@@ -73,6 +73,11 @@ STATE_LOOKUP = f"""select r.pos, r.word, s.n from (
 KEY_COUNT = f"""select {MATCH_KEY} as row_key, count(*) as n
         from {_split(fixtures.match_lines)} s where len(f) = 10 group by 1"""
 
+REKEYED = f"""select seq, md5(string_split(line, ',')[2] || 's1') || ',' ||
+        array_to_string(list_slice(f, 3, len(f)), ',') as line from (select seq, line,
+        string_split(regexp_replace(replace(line, ';NULL', ''), ',+$', ''), ',') as f
+        from {_lines(fixtures.raw_profile_lines)} l) r where len(f) >= 2"""
+
 QUARANTINE = f"""select seq, line, reason from (select seq, line,
     case when len(f) <> 10 then 'arity' when {COUNT_INT} is null then 'bad_count' end as reason
     from {_split(fixtures.match_lines)} s) q where reason is not null"""
@@ -119,10 +124,8 @@ ORACLE: dict[str, str] = {
         union all select 'match', seq, {MATCH_KEY}
         from {_split(fixtures.match_lines)} m where len(f) = 10""",
     "etl_rows": f"select seq, row_key, {', '.join(MATCH_FIELDS[1:])} from {_match_rows(COUNT_LONG)} m",
-    "rekey_lines": f"""select seq, md5(string_split(line, ',')[2] || 's1') || ',' ||
-        array_to_string(list_slice(f, 3, len(f)), ',') as line from (select seq, line,
-        string_split(regexp_replace(replace(line, ';NULL', ''), ',+$', ''), ',') as f
-        from {_lines(fixtures.raw_profile_lines)} l) r where len(f) >= 2""",
+    "rekey_lines": REKEYED,
+    "rekey_files": f"select line from ({REKEYED}) r",
     "format_percent": """select l_orderkey, l_linenumber, l_partkey, l_suppkey,
         format('{:,.1f}%', l_discount * 100) as discount_pct,
         format('{:,.2f}%', -l_tax * 100) as tax_pct,

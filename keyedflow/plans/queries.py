@@ -344,6 +344,18 @@ def namespaced_lookup(spark, sf_dir):
     return found.select("pos", "key", decode_state(F.col("state")).getField("value").alias("n"))
 
 
+@query("rekey_files")
+def rekey_files(spark, sf_dir):
+    """Lines read from text files, re-keyed, and written to text files again."""
+    source, target = shared_dir(spark, "raw"), shared_dir(spark, "rekeyed")
+    raw = derived(spark, sf_dir, fixtures.raw_profile_lines)
+    raw.select("line").write.text(source)
+    uid = F.split_part("line", F.lit(","), F.lit(2))
+    read = line_sources.text_lines(spark, source)
+    lines.rekey_lines(read, salted_surrogate(uid, "s1")).write.text(target)
+    return line_sources.text_lines(spark, target)
+
+
 # -- cells and rollups ----------------------------------------------------------------------
 
 _INFO = {"info": ["event_type", "props"], "who": ["uid"]}
@@ -443,7 +455,12 @@ def _run(job, *args, **kwargs) -> None:
 def match_count_stream(spark, sf_dir):
     stream = _line_stream(spark, sf_dir, fixtures.match_lines)
     table = jobs.match_snapshot_table(spark, shared_dir(spark, "match"))
-    _run(jobs.match_count_job, stream, table, shared_dir(spark, "checkpoint"))
+    context = spark.sparkContext
+    local = context.master.startswith("local")
+    _run(
+        jobs.match_count_job, stream, table, shared_dir(spark, "checkpoint"),
+        state_partitions=context.defaultParallelism if local else None,
+    )
     return table.view()
 
 

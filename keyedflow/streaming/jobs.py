@@ -24,7 +24,6 @@ from ..sources.keyed_table import KeyedTable
 
 SNAPSHOT_INTERVAL = "60 seconds"
 
-_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -35,14 +34,20 @@ def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> Stre
 
 
 @contextmanager
-def _rocksdb_state(spark: SparkSession):
-    """A query takes its state store from the session when it starts."""
-    before = spark.conf.get(_STATE_STORE)
-    spark.conf.set(_STATE_STORE, _ROCKSDB)
+def _state_settings(spark: SparkSession, partitions: int | None):
+    """A query takes its state store and its number of state partitions from the session when it
+    first starts; later starts take the number from the checkpoint."""
+    settings = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}
+    if partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(_STATE_STORE, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def table_job(
@@ -79,11 +84,14 @@ def match_snapshot_table(spark: SparkSession, path: str, **options) -> KeyedTabl
 def match_count_job(
     lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL,
     order: Sequence[str] = ("seq",), fmt: LineFormat = MATCH, output_mode: str = "update",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Running count per key with first-seen columns, written every `every`.
 
     `update` writes the keys a batch changed, `complete` every key each time. Line and reject
-    counts of each batch are in the query progress under `lines`.
+    counts of each batch are in the query progress under `lines`. The state keeps the number of
+    partitions it starts with (the session's shuffle partitions, unless given) for good, so choose
+    it for the size the state will have.
     """
     checked = check_lines(lines, fmt).observe(
         "lines", F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected")
@@ -95,7 +103,7 @@ def match_count_job(
         table.commit(changed, batch_id, unique_keys=True)
 
     writer = counts.writeStream.outputMode(output_mode).foreachBatch(commit)
-    with _rocksdb_state(lines.sparkSession):
+    with _state_settings(lines.sparkSession, state_partitions):
         return _start(writer, checkpoint, every)
 
 

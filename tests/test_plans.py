@@ -7,7 +7,7 @@ import pytest
 from keyedflow.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-BATCH = [n for n in QUERIES if not re.search("stream|archive|replay|kv|namespaced|table|deleted", n)]
+BATCH = [n for n in QUERIES if not re.search("stream|archive|replay|kv|namespaced|table|deleted|files", n)]
 
 
 def plan(spark, name):
