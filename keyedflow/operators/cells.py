@@ -8,9 +8,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .lookup import lookup
+from .merge import Merge
 
 Columns = Mapping[str, Sequence[str]]
 
+# How stored counters merge.
+COUNTERS = Merge(("row_key", "cf", "cq"), sums=("value",))
+
 
 def _pairs(columns: Columns) -> list[tuple[str, str]]:
     return [(cf, cq) for cf, qualifiers in columns.items() for cq in qualifiers]

@@ -3,9 +3,10 @@
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import calendar_buckets, valid_day
+from .merge import Merge
 
 # Seconds a bucket is kept after it was last written, per rollup.
 RETENTION_SECONDS = {"daily": 604800, "weekly": 2678400, "monthly": 31536000}
@@ -26,17 +27,30 @@ def calendar_rollup(
     return buckets.groupBy(id_column, "cf", "cq").agg(F.sum("n").alias("n"), *newest)
 
 
+def rollup_merge(id_column: str) -> Merge:
+    """How stored rollups merge: counts add up, the time is that of the newest row."""
+    return Merge((id_column, "cf", "cq"), sums=("n",), lasts=("last_ts",), order=("last_ts",))
+
+
 def bad_days(rows: DataFrame, day: str) -> DataFrame:
     """Rows whose day is not a `yyyyMMdd` date; the rollup leaves them out."""
     return rows.where(~valid_day(F.col(day))).withColumn("reason", F.lit("bad_date"))
 
 
-def rollup_retention(
-    rollup: DataFrame, as_of: dt.datetime, seconds: Mapping[str, int] = RETENTION_SECONDS
-) -> DataFrame:
-    """Drop buckets last written longer ago than their rollup is kept."""
+def retained(
+    as_of: dt.datetime, last_ts: Column | None = None, seconds: Mapping[str, int] = RETENTION_SECONDS
+) -> Column:
+    """True for buckets last written no longer ago than their rollup is kept."""
+    last_ts = F.col("last_ts") if last_ts is None else last_ts
     keep = F.lit(False)
     for family, ttl in seconds.items():
         oldest = F.lit(as_of - dt.timedelta(seconds=ttl)).cast("timestamp_ntz")
-        keep = keep | ((F.col("cf") == family) & (F.col("last_ts") >= oldest))
-    return rollup.where(keep)
+        keep = keep | ((F.col("cf") == family) & (last_ts >= oldest))
+    return keep
+
+
+def rollup_retention(
+    rollup: DataFrame, as_of: dt.datetime, seconds: Mapping[str, int] = RETENTION_SECONDS
+) -> DataFrame:
+    """Drop the buckets that are no longer kept."""
+    return rollup.where(retained(as_of, seconds=seconds))

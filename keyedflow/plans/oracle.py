@@ -113,6 +113,11 @@ _NAMESPACED = f"""(select split_part(line, '/', 1) as namespace, split_part(line
     '[' || max(batch) || ',' || count(*) || ']' as state, count(*) as n
     from {_request_batches()} b group by 1, 2)"""
 
+RETAINED = f"""select shortid, cf, cq, count(*) as n, max(ts) as last_ts
+        from {_URL_BUCKETS} b group by shortid, cf, cq
+        having max(ts) >= timestamp '2024-02-10' - to_seconds(case cf when 'daily' then 604800
+            when 'weekly' then 2678400 else 31536000 end)"""
+
 ORACLE: dict[str, str] = {
     "parse_fields": f"""select seq, {", ".join(
         f"f[{i + 1}] as {c}" for i, c in enumerate(MATCH_FIELDS))}
@@ -202,10 +207,13 @@ ORACLE: dict[str, str] = {
         from {_ORDER_BUCKETS} b group by all""",
     "rollup_bad_days": f"""select seq, shortid, day, 'bad_date' as reason
         from {_lines(fixtures.url_events)} u where try_strptime(day, '%Y%m%d') is null""",
-    "rollup_retention": f"""select shortid, cf, cq, count(*) as n, max(ts) as last_ts
-        from {_URL_BUCKETS} b group by shortid, cf, cq
-        having max(ts) >= timestamp '2024-02-10' - to_seconds(case cf when 'daily' then 604800
-            when 'weekly' then 2678400 else 31536000 end)""",
+    "rollup_retention": RETAINED,
+    "rollup_stream": RETAINED,
+    "counter_stream": f"""select row_key, cf, cq, count(*) as value from (
+        select shortid as row_key, 'daily' as cf, day as cq from {_lines(fixtures.url_events)} a
+        union all select shortid, 'daily', 'hits' from {_lines(fixtures.url_events)} b
+        union all select shortid, 'all', 'hits' from {_lines(fixtures.url_events)} c) h
+        group by all""",
     "archive_daily": f"""select line as value, '2024-02-01' as dt, count(*) as n
         from {_lines(fixtures.request_lines)} r group by line""",
 }

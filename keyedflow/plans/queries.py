@@ -425,11 +425,12 @@ def rollup_retention(spark, sf_dir):
 # -- streams --------------------------------------------------------------------------------
 
 
-def _archived(spark, sf_dir, fixture, fmt="parquet") -> str:
+def _archived(spark, sf_dir, fixture, columns=("seq", "line"), fmt="parquet") -> str:
     """The lines written as an archive of daily folders, which the streams read."""
     path = shared_dir(spark, "lines")
-    columns = ["line"] if fmt == "text" else ["seq", "line"]
-    dated = derived(spark, sf_dir, fixture).select(*columns, F.date_format("ts", "yyyyMMdd").alias("dt"))
+    dated = derived(spark, sf_dir, fixture).select(
+        *columns, F.date_format("ts", "yyyyMMdd").alias("dt")
+    )
     dated.write.partitionBy("dt").format(fmt).save(path)
     return path
 
@@ -516,7 +517,7 @@ def quarantine_stream(spark, sf_dir):
 @query("word_count_stream")
 def word_count_stream(spark, sf_dir):
     """Text files in nested folders, moved to another folder once they are counted."""
-    path = _archived(spark, sf_dir, fixtures.tab_lines, "text")
+    path = _archived(spark, sf_dir, fixtures.tab_lines, ["line"], "text")
     stream = line_sources.text_line_stream(
         spark, path, archive_dir=shared_dir(spark, "done"), max_files=_a_third(spark, path)
     )
@@ -536,3 +537,29 @@ def archive_daily(spark, sf_dir):
     return spark.read.schema("value string, dt string").text(path).groupBy("value", "dt").agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+def _url_stream(spark, sf_dir) -> DataFrame:
+    path = _archived(spark, sf_dir, fixtures.url_events, ["seq", "ts", "shortid", "day"])
+    schema = "seq bigint, ts timestamp_ntz, shortid string, day string"
+    return line_sources.parquet_line_stream(spark, path, schema, _a_third(spark, path))
+
+
+@query("rollup_stream")
+def rollup_stream(spark, sf_dir):
+    """Stored rollups, expired when they are folded."""
+    table = jobs.rollup_table(spark, shared_dir(spark, "rollup"), "shortid")
+    checkpoint = shared_dir(spark, "checkpoint")
+    _run(jobs.rollup_job, _url_stream(spark, sf_dir), table, "shortid", "day", "ts", checkpoint)
+    last_ts = F.col("_last.last_ts")
+    table.compact(keep=0, where=rollup.retained(dt.datetime(2024, 2, 10), last_ts))
+    return table.view()
+
+
+@query("counter_stream")
+def counter_stream(spark, sf_dir):
+    table = jobs.counter_table(spark, shared_dir(spark, "counters"))
+    checkpoint = shared_dir(spark, "checkpoint")
+    columns = {"daily": ["day", "hits"], "all": ["hits"]}
+    _run(jobs.counter_job, _url_stream(spark, sf_dir), table, "shortid", columns, checkpoint)
+    return table.view()

@@ -18,7 +18,7 @@ import re
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.lookup import lookup
 from ..operators.merge import Merge
@@ -124,17 +124,20 @@ class KeyedTable:
         base = self._base()
         return sorted(v for v in self._committed("log") if base is None or v > base[0])
 
-    def compact(self, keep: int = 1) -> bool:
+    def compact(self, keep: int = 1, where: Column | None = None) -> bool:
         """Fold all but the newest `keep` batches into a new base, files sorted by key.
 
-        Keep the batches an opaque source may still replay. Readers of the old base are not
-        disturbed; `vacuum()` removes what is folded.
+        Keep the batches an opaque source may still replay. With `where`, keys whose folded partial
+        does not meet it are dropped (last-seen values are below `_last` there). Readers of the old
+        base are not disturbed; `vacuum()` removes what is folded.
         """
         newer = self._unfolded()
         cut = newer[: max(len(newer) - keep, 0)]
         if not cut:
             return False
         folded = self.merge.combine(self._partials_upto(cut[-1]))
+        if where is not None:
+            folded = folded.where(where)
         if not self.partition_by:
             folded = folded.sortWithinPartitions(*self.merge.keys)
         self._write(folded, "base", cut[-1])

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.dates import today
+from ..operators.cells import COUNTERS, Columns, counter_increment
 from ..operators.counts import match_merge, request_merge, words
 from ..operators.lines import (
     MATCH, MATCH_FIELDS, MATCH_SUM, PROFILE, LineFormat, check_lines, keyed_lines, line_keys,
@@ -20,6 +21,7 @@ from ..operators.lines import (
 )
 from ..operators.merge import Merge
 from ..operators.profile import DAYS, KEEP_IDENTITY, profile_merge
+from ..operators.rollup import calendar_rollup, rollup_merge
 from ..sources.keyed_table import KeyedTable
 
 SNAPSHOT_INTERVAL = "60 seconds"
@@ -52,12 +54,15 @@ def _state_settings(spark: SparkSession, partitions: int | None):
 
 def table_job(
     lines: DataFrame, table: KeyedTable, to_rows: Callable[[DataFrame], DataFrame],
-    checkpoint: str, every: str | None = SNAPSHOT_INTERVAL,
+    checkpoint: str, every: str | None = SNAPSHOT_INTERVAL, unique_keys: bool = False,
 ) -> StreamingQuery:
-    """Persistent aggregate: each batch of lines becomes rows, and those a commit to the table."""
+    """Persistent aggregate: each batch of lines becomes rows, and those a commit to the table.
+
+    `unique_keys` says that `to_rows` gives each key once.
+    """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        table.commit(to_rows(batch), batch_id)
+        table.commit(to_rows(batch), batch_id, unique_keys)
 
     return _start(lines.writeStream.foreachBatch(commit), checkpoint, every)
 
@@ -199,6 +204,45 @@ def profile_job(
     return _start(lines.writeStream.foreachBatch(commit), checkpoint, every)
 
 
+# -- counters and rollups -------------------------------------------------------------------
+
+
+def counter_table(spark: SparkSession, path: str, **options) -> KeyedTable:
+    schema = "row_key string, cf string, cq string, value bigint"
+    return KeyedTable(spark, path, COUNTERS, schema, **options)
+
+
+def counter_job(
+    rows: DataFrame, table: KeyedTable, row_key: str, columns: Columns, checkpoint: str,
+    every: str | None = SNAPSHOT_INTERVAL, increment: int = 1,
+) -> StreamingQuery:
+    """Persistent counters per row key, family and qualifier; see `counter_increment`."""
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return counter_increment(batch, row_key, columns, increment)
+
+    return table_job(rows, table, to_rows, checkpoint, every, unique_keys=True)
+
+
+def rollup_table(spark: SparkSession, path: str, id_column: str, **options) -> KeyedTable:
+    """Rollup counts. To expire buckets, fold with
+    `table.compact(where=retained(as_of, F.col("_last.last_ts")))`."""
+    schema = f"{id_column} string, cf string, cq string, n bigint, last_ts timestamp_ntz"
+    return KeyedTable(spark, path, rollup_merge(id_column), schema, **options)
+
+
+def rollup_job(
+    rows: DataFrame, table: KeyedTable, id_column: str, day: str, ts: str, checkpoint: str,
+    every: str | None = SNAPSHOT_INTERVAL,
+) -> StreamingQuery:
+    """Persistent daily, monthly and weekly counts per id."""
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return calendar_rollup(batch, id_column, day, ts)
+
+    return table_job(rows, table, to_rows, checkpoint, every, unique_keys=True)
+
+
 # -- raw lines ------------------------------------------------------------------------------
 
 

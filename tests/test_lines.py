@@ -1,3 +1,7 @@
+import hashlib
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +120,28 @@ def test_each_with_set_up_and_clean_up(spark, tmp_path):
     df = lines(spark, "a", "drop", "b").coalesce(1)
     assert [r.line for r in each(df, fn, "line string", setup, cleanup).collect()] == ["p-a", "p-b"]
     assert open(log).read() == "p-"
+
+
+def test_random_lines_against_a_plain_reading(spark):
+    rng = random.Random(7)
+    pieces = [",", ",", ",", "a", "", " ", "7", "+3", "x", "\t", "\u00fc"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(40))) for _ in range(12000)]
+
+    def fields(text):
+        parts = text.rstrip(",").split(",")
+        return parts if len(parts) == 10 else None
+
+    def count(text):
+        if not text.strip():
+            return 1
+        return int(text) if re.fullmatch("[+-]?[0-9]+", text) and int(text) < 2**31 else None
+
+    df = lines(spark, *texts)
+    good = {r.seq: r for r in keyed_lines(df, MATCH).collect()}
+    expected = {i: f for i, f in enumerate(map(fields, texts)) if f and count(f[8]) is not None}
+    assert set(good) == set(expected) and len(expected) > 100
+    for seq, f in expected.items():
+        key = "".join(f[:5]).strip("".join(map(chr, range(33))))
+        assert good[seq].row_key == hashlib.md5(key.encode()).hexdigest()
+        assert [good[seq][c] for c in MATCH_FIELDS] == [*f[:8], count(f[8]), f[9]]
+    assert quarantine(df, MATCH).count() == len(texts) - len(expected)
