@@ -85,7 +85,10 @@ class KeyedTable:
         if self.partition_by:
             # One file per folder and task would be very many; this also splits a large folder.
             df = df.hint("rebalance", *self.partition_by)
-        df.write.partitionBy(*self.partition_by).parquet(self._folder(kind, version, attempt))
+        folder = self._folder(kind, version, attempt)
+        df.write.partitionBy(*self.partition_by).parquet(folder)
+        if not files.glob(self.spark, f"{folder}/_SUCCESS"):
+            raise RuntimeError("set mapreduce.fileoutputcommitter.marksuccessfuljobs to true")
 
     # -- writing ------------------------------------------------------------------------------
 
@@ -190,6 +193,16 @@ class KeyedTable:
         """One row per key as of now. Filters on the keys reach the parquet scans."""
         return self.merge.finish(self.merge.combine(self._partials_upto()))
 
-    def lookup(self, requests: DataFrame, spread: Sequence[str] | None = None) -> DataFrame:
-        """The stored row of each requested key, nulls for a miss."""
-        return lookup(requests, self._partials_upto(), self.merge.keys, spread, self.merge)
+    def lookup(
+        self, requests: DataFrame, spread: Sequence[str] | None = None, selective: bool = False
+    ) -> DataFrame:
+        """The stored row of each requested key, nulls for a miss.
+
+        `selective` is for requests that name few of the stored keys: the stored partials are then
+        first reduced to those keys. Spark broadcasts the keys if they turn out small enough, and
+        in that case the rest of the state is read but not shuffled.
+        """
+        partials, keys = self._partials_upto(), list(self.merge.keys)
+        if selective:
+            partials = partials.join(requests.select(*keys).distinct(), keys, "left_semi")
+        return lookup(requests, partials, keys, spread, self.merge)

@@ -1,6 +1,7 @@
 """Commit modes, crashes, folding, deletes, and independence of how the input is cut in batches."""
 
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -173,6 +174,36 @@ def test_compound_keys_and_namespace_folders(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ns" in scan
 
 
+def test_lookup_merges_base_and_batches(spark, tmp_path):
+    t = table(spark, tmp_path)
+    data = [(f"k{i % 7}", 1, f"a{i:02}", f"b{i:02}", i) for i in range(40)]
+    for batch in range(4):
+        t.commit(rows(spark, *data[batch::4]), batch)
+    t.compact(keep=2)
+    asked = ["k0"] * 30 + ["k3", "k9"]
+    requests = spark.createDataFrame(list(enumerate(asked)), "pos int, k string")
+    state = expected(data)
+    for selective in (False, True):
+        found = t.lookup(requests, ["pos"], selective)
+        assert {r.pos: (r.a, r.b, r.n) for r in found.collect()} == {
+            i: state.get(k, (None, None, None)) for i, k in enumerate(asked)
+        }
+
+
+def test_lookup_shuffles_the_state_once(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.commit(rows(spark, ("x", 1, "a", "b", 0)), 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = t.lookup(spark.createDataFrame([("x", 1)], "k string, pos int"), ["pos"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Requests and state, by key and salt, and no exchange of either by key alone.
+    assert len(re.findall(r"Exchange hashpartitioning\(k#\d+, _salt#\d+, ", plan)) == 2
+    assert not re.search(r"Exchange hashpartitioning\(k#\d+, \d", plan)
+
+
 keys = st.sampled_from(["x", "y", "z"])
 events = st.lists(st.tuples(keys, st.integers(-3, 9), st.integers(1, 4)), min_size=1, max_size=25)
 
