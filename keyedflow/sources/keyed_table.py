@@ -115,13 +115,18 @@ class KeyedTable:
             self.compact(self.keep)
         return True
 
-    def delete(self, keys: DataFrame, batch_id: int) -> None:
-        """Forget what batches up to `batch_id` say about these keys; later batches start afresh."""
-        version = (self.generation, batch_id)
-        base = self._base()
-        if base is not None and version <= base[0]:
-            return
+    def delete(self, keys: DataFrame, batch_id: int | None = None) -> bool:
+        """Forget what batches up to `batch_id` (the newest, unless given) say about these keys;
+        later batches start afresh. A replay of a folded delete does nothing, as with `commit`."""
+        if batch_id is None:
+            batch_id = max(self._next_batch() - 1, 0)
+        version, base = (self.generation, batch_id), self._base()
+        if base is not None and version < base[0]:
+            if self.mode == "transactional":
+                return False
+            raise ValueError(f"batch {version} is folded together with later ones")
         self._write(keys.select(*self.merge.keys).distinct(), "deletes", version)
+        return True
 
     def _unfolded(self) -> list[Version]:
         base = self._base()
@@ -155,7 +160,9 @@ class KeyedTable:
             for version, attempts in self._attempts(kind, False).items():
                 for attempt in attempts:
                     folder = self._folder(kind, version, attempt)
-                    if version <= base[0] and not base[1].endswith(folder):
+                    if version > base[0] or (version == base[0] and kind == "deletes"):
+                        continue
+                    if folder != base[1]:
                         files.delete(self.spark, folder)
 
     # -- reading ------------------------------------------------------------------------------
@@ -171,15 +178,20 @@ class KeyedTable:
     def _partials_upto(self, upto: Version | None = None) -> DataFrame:
         """Base and newer batches, without what deletes cover. Still one row per key and batch."""
 
+        base = self._base()
+
         def counts(version: Version) -> bool:
             return (base is None or version > base[0]) and (upto is None or version <= upto)
 
-        base = self._base()
         log = [p for v, p in self._committed("log").items() if counts(v)]
         rows = self._read("log", log, self._partials)
         if base is not None:
             rows = self._read("base", [base[1]], self._partials).unionByName(rows)
-        deletes = [p for v, p in self._committed("deletes").items() if counts(v)]
+        # Deletes at the base's own version may be newer than the base, and do no harm if older.
+        deletes = [
+            p for v, p in self._committed("deletes").items()
+            if counts(v) or (base is not None and v == base[0])
+        ]
         if deletes:
             version = F.struct("generation", "batch_id")
             keys = self._read("deletes", deletes, self._keys)

@@ -5,8 +5,6 @@ import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
-
 from keyedflow.operators.merge import Merge
 from keyedflow.sources import files
 from keyedflow.sources.keyed_table import KeyedTable
@@ -158,6 +156,38 @@ def test_delete_acts_between_batches(spark, tmp_path):
     assert set(view(t)) == {"x"}
 
 
+@pytest.mark.parametrize("mode", ["transactional", "non_transactional"])
+def test_delete_of_everything_so_far(spark, tmp_path, mode):
+    t = table(spark, tmp_path, mode)
+    gone = spark.createDataFrame([("x",)], "k string")
+    for i in range(3):
+        t.commit(rows(spark, ("x", 1, "a", "b", i), ("y", 1, "a", "b", i)), i)
+    t.compact(keep=0)
+    t.delete(gone)
+    t.vacuum()
+    assert view(t) == {"y": ("a", "b", 3)}
+    t.commit(rows(spark, ("x", 5, "c", "d", 9)), 3)
+    assert view(t) == {"x": ("c", "d", 5), "y": ("a", "b", 3)}
+    t.compact(keep=0)
+    t.vacuum()
+    assert view(t) == {"x": ("c", "d", 5), "y": ("a", "b", 3)}
+
+
+def test_delete_within_what_is_folded(spark, tmp_path):
+    gone = spark.createDataFrame([("x",)], "k string")
+    for mode in ("transactional", "opaque"):
+        t = table(spark, tmp_path / mode, mode)
+        for i in range(3):
+            t.commit(rows(spark, ("x", 1, "a", "b", i)), i)
+        t.compact(keep=0)
+        if mode == "transactional":
+            assert not t.delete(gone, 1)
+        else:
+            with pytest.raises(ValueError, match="folded"):
+                t.delete(gone, 1)
+        assert view(t) == {"x": ("a", "b", 3)}
+
+
 def test_compound_keys_and_namespace_folders(spark, tmp_path):
     merge = Merge(keys=["ns", "k"], sums=["n"])
     t = KeyedTable(
