@@ -155,6 +155,7 @@ ORACLE: dict[str, str] = {
     "profile_upsert_keep": _profile(KEEP_IDENTITY),
     "profile_upsert_refresh": _profile(REFRESH_IDENTITY),
     "profile_stream": _profile(KEEP_IDENTITY),
+    "profile_refresh_stream": _profile(REFRESH_IDENTITY),
     "profile_days": f"select distinct mid, last_date as day from {_profile_rows()} p",
     "profile_days_stream": f"select distinct mid, last_date as day from {_profile_rows()} p",
     "range_scan": """select o_orderkey, o_orderpriority from orders

@@ -489,9 +489,11 @@ def request_count_stream(spark, sf_dir):
     return table.view()
 
 
-def _profile_stream(spark, sf_dir) -> tuple[KeyedTable, KeyedTable]:
+def _profile_stream(
+    spark, sf_dir, firsts=profile.KEEP_IDENTITY
+) -> tuple[KeyedTable, KeyedTable]:
     stream = _line_stream(spark, sf_dir, fixtures.profile_lines)
-    attrs, days = jobs.profile_tables(spark, shared_dir(spark, "profile"))
+    attrs, days = jobs.profile_tables(spark, shared_dir(spark, "profile"), firsts)
     _run(jobs.profile_job, stream, attrs, days, shared_dir(spark, "checkpoint"))
     return attrs, days
 
@@ -501,6 +503,12 @@ def profile_stream(spark, sf_dir):
     return _profile_stream(spark, sf_dir)[0].view().select("mid", *PROFILE.fields)
 
 
+@query("profile_refresh_stream")
+def profile_refresh_stream(spark, sf_dir):
+    attrs, _ = _profile_stream(spark, sf_dir, profile.REFRESH_IDENTITY)
+    return attrs.view().select("mid", *PROFILE.fields)
+
+
 @query("profile_days_stream")
 def profile_days_stream(spark, sf_dir):
     return _profile_stream(spark, sf_dir)[1].view()

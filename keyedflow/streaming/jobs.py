@@ -248,16 +248,16 @@ def rollup_job(
 
 def quarantine_job(
     lines: DataFrame, fmt: LineFormat, path: str, checkpoint: str,
-    every: str | None = SNAPSHOT_INTERVAL,
+    every: str | None = SNAPSHOT_INTERVAL, files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Store rejected lines with their reason; the file sink writes each exactly once."""
-    writer = quarantine(lines, fmt).writeStream.format("parquet").option("path", path)
-    return _start(writer.partitionBy("reason"), checkpoint, every)
+    rejected = quarantine(lines, fmt)
+    return _file_job(rejected, "parquet", "reason", path, checkpoint, every, files_per_batch)
 
 
 def archive_job(
     lines: DataFrame, path: str, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL,
-    day: Column | None = None, fmt: str = "text",
+    day: Column | None = None, fmt: str = "text", files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append raw lines to one folder per day: `dt` is the processing date unless given.
 
@@ -267,7 +267,18 @@ def archive_job(
     dated = lines.withColumn("dt", today() if day is None else day)
     if fmt == "text":
         dated = dated.select("line", "dt")
-    writer = dated.writeStream.format(fmt).option("path", path).partitionBy("dt")
+    return _file_job(dated, fmt, "dt", path, checkpoint, every, files_per_batch)
+
+
+def _file_job(
+    df: DataFrame, fmt: str, folder: str, path: str, checkpoint: str, every: str | None,
+    files_per_batch: int | None,
+) -> StreamingQuery:
+    """Append to files below one folder per value of a column. Every task writes a file per batch
+    and folder, unless `files_per_batch` has fewer tasks do the batch, without a shuffle."""
+    if files_per_batch is not None:
+        df = df.coalesce(files_per_batch)
+    writer = df.writeStream.format(fmt).option("path", path).partitionBy(folder)
     return _start(writer, checkpoint, every)
 
 

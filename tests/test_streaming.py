@@ -148,7 +148,8 @@ def test_archive_and_quarantine_write_each_line_once(spark, tmp_path):
         finish(jobs.archive_job(
             source.stream(), str(tmp_path / "p"), str(tmp_path / "cp"), None, fmt="parquet"))
         finish(jobs.quarantine_job(
-            source.stream(), MATCH, str(tmp_path / "q"), str(tmp_path / "cq"), None))
+            source.stream(), MATCH, str(tmp_path / "q"), str(tmp_path / "cq"), None,
+            files_per_batch=1))
     archived = spark.read.text(str(tmp_path / "a"))
     assert archived.select("dt").distinct().count() in (1, 2)
     same(archived.select(F.col("value").alias("line")), source.lines.select("line"))
