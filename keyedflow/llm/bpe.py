@@ -109,7 +109,6 @@ def _mapped_column(
     df: DataFrame, source: str, target: str, empty: str | bytes, make: Callable[[], Callable]
 ) -> DataFrame:
     """`df` with the binary column `target`: make() applied to batches of `source`, null as `empty`."""
-    value = df[source]
     kept = df.drop(target)
     schema = kept.withColumn(target, F.lit(b"")).schema
 
@@ -120,7 +119,7 @@ def _mapped_column(
             done = pa.array(apply(values), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], done], names=schema.names)
 
-    return kept.select(*(kept[c] for c in kept.columns), value.alias("_in")).mapInArrow(run, schema)
+    return df.select(*kept.columns, F.col(source).alias("_in")).mapInArrow(run, schema)
 
 
 def encode(

@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, line_dedup
-from .common import table
+from . import bpe, decontam, line_dedup, quality, sharding, simhash, tokenfile
+from .common import stored, table
 
 QUERIES, ORACLE = {}, {}
 
@@ -59,3 +59,59 @@ select doc_id, count(*) n_lines, count(*) filter (gone) n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) kept_sha256
 from marked group by doc_id
 """
+
+
+@_query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of eight and its place there, equal texts together."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
+    )
+    return sharding.assign(docs, 8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@_query
+def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures, the base rule and the verdict with its host's record."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    measured = stored(quality.measure(docs).drop("text"), "measures")
+    return quality.judge(measured).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+@_query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest document that it is linked with."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    prints = stored(simhash.fingerprints(docs), "prints")
+    return simhash.classes(prints).select(
+        "doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id"
+    )
+
+
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside windows of benchmark items, and those items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_matches(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    found = found.select("doc_id", "n_words", decontam.n_hit().alias("n_hit"), decontam.items().alias("items"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@_query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the id files, read back from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    files = tokenfile.write_ids(docs, vocabulary, public_tokenizers.PATTERN, end_id=2)
+    return tokenfile.read_ids(files).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )

@@ -1,0 +1,86 @@
+import hashlib
+import re
+
+import pytest
+
+from keyedflow.llm import decontam, queries
+
+
+def words(text):
+    folded = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
+
+
+def brute(docs, items):
+    windows = {}
+    for name, text in items:
+        w = words(text)
+        for i in range(max(len(w) - 9, min(len(w), 1))):
+            windows.setdefault(tuple(w[i : i + 10]), set()).add(str(name))
+    sizes = sorted({len(k) for k in windows})
+    out = []
+    for id, text in docs:
+        w, hit, found = words(text), set(), set()
+        for size in sizes:
+            for i in range(len(w) - size + 1):
+                names = windows.get(tuple(w[i : i + size]))
+                if names:
+                    found |= names
+                    hit |= set(range(i, i + size))
+        out.append((id, len(w), len(hit), sorted(found)))
+    return sorted(out, key=str)
+
+
+def run(docs, benchmark, **options):
+    got = decontam.find_matches(docs, benchmark, **options)
+    got = got.withColumns({"hit": decontam.n_hit(), "items": decontam.items()})
+    return sorted(((r["doc_id"], r["n_words"], r["hit"], r["items"]) for r in got.collect()), key=str)
+
+
+PASSAGE = " ".join(f"p{i}" for i in range(30))
+DOCS = [
+    (1, f"Before it, {PASSAGE}! And after."), (2, " ".join(PASSAGE.split()[3:13])), (3, " ".join(PASSAGE.split()[3:12])),
+    (4, "nothing"), (5, PASSAGE.upper() + " middle " + PASSAGE), (6, None), (7, ""), (8, "one-two three"), (9, "a a a a a a a a a a a a"),
+    (10, "tiny"), (11, "one two threes"), (12, " ".join(PASSAGE.split()[:15]) + " x " + " ".join(PASSAGE.split()[14:])),
+]
+ITEMS = [(70, PASSAGE), (8, "Other " + PASSAGE), (9, "one two, three"), (10, "a " * 11), (11, None), (12, ""), (13, "..."), (14, "tiny")]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 24, 300])
+def test_planted(spark, block_bytes):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert run(docs, items, block_bytes=block_bytes) == brute(DOCS, ITEMS)
+    clean = decontam.decontaminate(docs, items, block_bytes=block_bytes)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [3, 4, 6, 7, 11] and clean.columns == docs.columns
+
+
+def test_longest_matches_and_places(spark):
+    docs = spark.createDataFrame(DOCS[:1], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS[:2], "item_id long, text string")
+    found = decontam.find_matches(docs, items).first()["matches"]
+    assert sorted(tuple(m) for m in found) == [
+        ("70", 0, 2, 30), ("8", 1, 2, 30)
+    ]
+
+
+def test_edges(spark, edge_docs, no_docs, documents):
+    items = spark.createDataFrame([(1, "same text here"), (2, "字 ab"), (3, "b c d"), (4, "WORD")], "item_id long, text string")
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    clash = edge_docs.withColumnRenamed("shard", "matches")
+    assert run(clash, items) == brute(rows, [tuple(r) for r in items.collect()])
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.decontaminate(edge_docs, none).count() == edge_docs.count()
+    assert decontam.find_matches(no_docs, items).count() == 0
+
+
+def test_query(spark, sf_dir, documents):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    want = [
+        (d, n, h, len(i), hashlib.sha256(",".join(i).encode()).hexdigest(), h > 0) for d, n, h, i in brute(documents, items)
+    ]
+    got = [
+        (r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])
+        for r in queries.op4_decontamination(spark, sf_dir).collect()
+    ]
+    assert sorted(got) == sorted(want) and any(r[-1] for r in got)

@@ -1,0 +1,58 @@
+from collections import defaultdict
+
+from keyedflow.llm import line_dedup, queries
+
+SPACES = " \t\n\x0b\x0c\r"
+FOLD = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def brute(rows):
+    holders = defaultdict(set)
+    key = lambda line: line.strip(SPACES).translate(FOLD)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 20:
+                holders[key(line)].add(doc_id)
+    out = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if len(holders[key(x)]) < 3 or max(holders[key(x)]) == doc_id]
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out)
+
+
+def run(df):
+    rows = line_dedup.line_dedup(df).collect()
+    return sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in rows)
+
+
+def test_edges(edge_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    assert run(edge_docs) == brute(rows)
+    clash = edge_docs.withColumnsRenamed({"n_words": "n_lines", "shard": "pos"})
+    assert run(clash) == brute(rows)
+
+
+def test_table(spark, documents):
+    assert run(spark.createDataFrame(documents, "doc_id long, text string")) == brute(documents)
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    line = "a line of more than twenty characters"
+    rows = [(1, line), (1, line + "\nx"), (2, line), (2, line)]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    rows += [(None, line + "\nlast")]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [
+        (0, "last"), (1, ""), (1, "x"), (2, line), (2, line)
+    ]
+
+
+def test_empty(no_docs):
+    got = line_dedup.line_dedup(no_docs)
+    assert got.count() == 0 and got.columns == [*no_docs.columns, "n_lines", "n_dropped"]
+
+
+def test_plan_has_no_python(spark, sf_dir):
+    plan = queries.op10_line_dedup(spark, sf_dir)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

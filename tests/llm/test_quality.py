@@ -1,0 +1,71 @@
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from keyedflow.llm import quality, queries
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    inside = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+    lines = text.split("\n")
+    dups = sum(
+        1 for i, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x) and x in lines[:i]
+    ) if len(lines) < 3000 else None
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dups, len(inside)
+
+
+def test_measures(both):
+    extra = ["a a a a", "a b c a b c d", "a b a b a", "x\nx\n \n \nx", "#*$%&|<> x", "a b c x a b c y b c x"]
+    for text in [t for _, t in both] + extra:
+        n, chars, symbols, _, dups, repeats = quality.measure_text(text or "")
+        assert (n, chars, symbols, dups, repeats) == brute(text), text
+
+
+def hosts(spark):
+    """A good host, one that is nearly all symbols, one that nearly always fails, and a tiny one."""
+    clean = " ".join(f"sensible{i}" for i in range(80))
+    noisy = " ".join(f"#{i} $$ word" for i in range(40))
+    rows = [("good", clean)] * 60 + [("good", noisy)] * 2 + [("noisy", noisy)] * 50 + [("noisy", clean)] * 10
+    rows += [("bad", "short")] * 400 + [("bad", clean)] + [("tiny", noisy), ("tiny", clean), (None, clean)]
+    rows += [(f"h{i}", clean) for i in range(40)]
+    return spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(rows)], "doc_id long, source string, text string")
+
+
+def test_hosts(spark):
+    measured = quality.measure(hosts(spark)).cache()
+    kept = {
+        (r["source"], r["clean"]): r["kept"]
+        for r in quality.judge(measured).withColumn("clean", F.col("text").startswith("sensible")).collect()
+    }
+    assert kept[("good", True)] and kept[("good", False)]
+    assert kept[("noisy", True)] and not kept[("noisy", False)]
+    assert not kept[("bad", True)] and not kept[("bad", False)]
+    assert kept[("tiny", True)] and kept[("tiny", False)] and kept[(None, True)]
+    rates = {r["source"]: r["rate_symbols"] for r in quality.host_rates(measured).collect()}
+    assert rates["tiny"] < 0.5 < rates["noisy"] < 50 / 60  # shrunk towards the mean
+
+
+def test_edges(edge_docs, no_docs):
+    clash = edge_docs.withColumnRenamed("shard", "kept")
+    got = quality.judge(quality.measure(clash).cache())
+    rows = got.collect()
+    assert len(rows) == edge_docs.count()
+    assert all(r["base_failed"] and not r["kept"] for r in rows if r["n_words"] < 50)
+    assert got.columns == ["doc_id", "text", "source", *quality.MEASURES, "base_failed", "kept"]
+    assert quality.judge(quality.measure(no_docs)).count() == 0
+
+
+def test_query(spark, sf_dir, documents):
+    got = {r["doc_id"]: r for r in queries.op5_host_quality(spark, sf_dir).collect()}
+    assert len(got) == len(documents)
+    for doc_id, text in documents:
+        r = got[doc_id]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == brute(text)
+        failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        assert r["base_failed"] == failed and (not failed or not r["kept"])
+    assert sum(r["kept"] for r in got.values()) > 0.6 * len(got)

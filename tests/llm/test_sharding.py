@@ -1,0 +1,80 @@
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyedflow.llm import queries, sharding
+
+
+def least_by_force(sizes, shards):
+    """The smallest capacity for contiguous runs, by trying the sums of all runs."""
+    sums = sorted({sum(sizes[i:j]) for i in range(len(sizes)) for j in range(i + 1, len(sizes) + 1)})
+    for capacity in sums:
+        runs, left = 1, capacity
+        for s in sizes:
+            if s > capacity:
+                break
+            if s > left:
+                runs, left = runs + 1, capacity
+            left -= s
+        else:
+            if runs <= shards:
+                return capacity
+
+
+def check(df, rows, shards):
+    groups = {}
+    for r in rows:
+        groups[r["_group"]] = groups.get(r["_group"], 0) + r["size"]
+    sizes = [groups[g] for g in sorted(groups)]
+    capacity, cuts = sharding.cut_points(df, shards)
+    assert capacity == (least_by_force(sizes, shards) or 0)
+    filled = [0] * shards
+    for g, s in groups.items():
+        filled[sum(g >= c for c in cuts)] += s
+    assert max(filled, default=0) == capacity
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_least_capacity(spark, seed):
+    rng = random.Random(seed)
+    near = rng.getrandbits(63)  # many groups inside one narrow range
+    groups = [rng.getrandbits(64) - (1 << 63) for _ in range(15)] + [near + rng.randrange(2000) for _ in range(25)]
+    rows = [(g, rng.choice([1, 5, 1000])) for g in groups for _ in range(rng.randint(1, 3))]
+    df = spark.createDataFrame(rows, "_group long, size long").cache()
+    for shards in (1, 2, 8):
+        check(df, df.collect(), shards)
+
+
+def test_table_and_slots(spark, sf_dir, documents):
+    got = queries.op6_sharding(spark, sf_dir).collect()
+    text = dict(documents)
+    assert sorted(r["doc_id"] for r in got) == sorted(text)
+    shard_of, slots = {}, {}
+    for r in got:
+        raw = (text[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 1, zlib.crc32(raw), "bytes")
+        assert shard_of.setdefault(raw, r["shard"]) == r["shard"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and max(slots) <= 7
+    docs = spark.createDataFrame(documents, "doc_id long, text string")
+    rows = sharding._sizes(docs, "text").cache()
+    check(rows, rows.collect(), 8)
+
+
+def test_edges(spark, edge_docs, no_docs):
+    got = sharding.assign(edge_docs, 8)
+    assert got.columns == ["doc_id", "source", "n_words", "size", "shard", "slot"]
+    rows = got.collect()
+    assert len(rows) == edge_docs.count()
+    assert {r["size"] for r in rows if r["doc_id"] in (0, 1)} == {1}
+    assert sharding.assign(no_docs, 8).count() == 0
+    hot = spark.range(300).withColumnRenamed("id", "doc_id").withColumn("text", F.lit("same"))
+    rows = sharding.assign(hot, 8).collect()
+    assert len({r["shard"] for r in rows}) == 1 and sorted(r["slot"] for r in rows) == list(range(300))
+
+
+def test_plan_has_no_python(spark, sf_dir):
+    plan = queries.op6_sharding(spark, sf_dir)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
