@@ -1,5 +1,10 @@
 """What the operators of this package share."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.files import shared_dir
@@ -23,6 +28,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about `size` bytes of one text or binary column, to bound what a
+    worker holds as Python objects. A single longer value is a part of its own."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(lengths.astype(np.int64)) // size
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                yield batch.slice(start, end - start)
+
+
 def residue(id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`: the folds of the learned models."""
     return F.crc32(F.col(id).cast("string")) % modulus

@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .common import slices
+
 WINDOW, BLOCK_BYTES, SHARD_WORDS = 10, 16 << 20, 1 << 20
 
 MATCHES = "array<struct<item:string,item_start:int,start:int,words:int>>"
@@ -160,7 +162,7 @@ def find_matches(
         def run(batches: Iterator[pa.RecordBatch], sent=sent, schema=schema) -> Iterator[pa.RecordBatch]:
             tests = TestSuffixes(sent.value, window)
             at = len(columns)
-            for batch in batches:
+            for batch in slices(batches, at + 2, 16 << 20):
                 before = batch.column(at + 1).to_pylist()
                 found, counts, shard, size = [], [], [], 0
                 for value in batch.column(at + 2):

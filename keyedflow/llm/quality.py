@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .common import slices
+
 #: Fixed rule values: words, share of words in repeated windows; see `base_failed`.
 MIN_WORDS, WINDOW = 50, 3
 SYMBOLS = "#*$%&|<>"
@@ -63,7 +65,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at):
             rows = [measure_text(t or "") for t in batch.column(at).to_pylist()]
             values = zip(*rows) if rows else [()] * len(MEASURES)
             columns = [*batch.columns, *(pa.array(list(v), pa.int64()) for v in values)]

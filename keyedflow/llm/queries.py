@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, line_dedup, quality, sharding, simhash, tokenfile
+from . import bpe, decontam, line_dedup, lm, quality, sharding, simhash, tokenfile
 from .common import stored, table
 
 QUERIES, ORACLE = {}, {}
@@ -115,3 +115,9 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_ids(files).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@_query
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by the backoff model and by unigrams."""
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import stored
+from .common import slices, stored
 
 RADIUS, TILE, BLOCK = 4, 2048, 512
 
@@ -56,10 +56,11 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4) -> DataF
     """`docs` with `fingerprint` (long, its 64 bits) in place of `text`; whole texts."""
     kept = docs.drop(text, "fingerprint")
     schema = T.StructType([*kept.schema, T.StructField("fingerprint", T.LongType())])
+    width = len(kept.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in slices(batches, width):
+            texts = batch.column(width).to_pylist()
             found = np.array([fingerprint_of(t or "", shingle) for t in texts], np.uint64)
             columns = [*batch.columns[:-1], pa.array(found.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)

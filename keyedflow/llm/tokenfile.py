@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.files import shared_dir
-from .common import stored
+from .common import slices, stored
 from .pretokens import PretokenCache
 
 MAGIC = b"EFID0001"
@@ -148,7 +148,7 @@ def _write_file(folder: str, part: int, batches: Iterator[pa.RecordBatch], encod
     width, end = np.dtype(encoder.dtype).itemsize, np.array([end_id], encoder.dtype).tobytes()
     docs, lengths = [], []
     with fs.open_output_stream(temporary) as out:
-        for batch in batches:
+        for batch in slices(batches, 1):
             docs += batch.column(0).to_pylist()
             for ids in encoder.encode([t or "" for t in batch.column(1).to_pylist()]):
                 out.write(ids)
