@@ -18,6 +18,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import slices
 from .pretokens import PretokenCache
 
 
@@ -105,33 +106,47 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _mapped_column(
-    df: DataFrame, source: str, target: str, empty: str | bytes, make: Callable[[], Callable]
+def _mapped(
+    df: DataFrame, source: str, targets: list[str], empty: str | bytes, make: Callable[[], Callable]
 ) -> DataFrame:
-    """`df` with the binary column `target`: make() applied to batches of `source`, null as `empty`."""
-    kept = df.drop(target)
-    schema = kept.withColumn(target, F.lit(b"")).schema
+    """`df` with binary columns: make() turns a list of values of `source`, null as `empty`, into
+    a list for each of them."""
+    kept = df.drop(*targets)
+    schema, width = kept.withColumns({t: F.lit(b"") for t in targets}).schema, len(kept.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
-        for batch in batches:
-            values = [empty if v is None else v for v in batch.column(batch.num_columns - 1).to_pylist()]
-            done = pa.array(apply(values), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], done], names=schema.names)
+        for batch in slices(batches, width):
+            *columns, values = batch.columns
+            done = apply([empty if v is None else v for v in values.to_pylist()])
+            arrays = [*columns, *(pa.array(d, pa.binary()) for d in done)]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return df.select(*kept.columns, F.col(source).alias("_in")).mapInArrow(run, schema)
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids"
+    docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids",
+    decoded: str | None = None,
 ) -> DataFrame:
     """`docs` with a binary column `ids`: the token ids of `text` as little-endian unsigned 32-bit
-    integers, none for a null text. `vocabulary`: path of the rank file, the same on all machines."""
-    return _mapped_column(docs, text, ids, "", lambda: codec(vocabulary, pattern).encode)
+    integers, none for a null text. With `decoded`, the ids are decoded in the same pass into a
+    column of that name. `vocabulary`: path of the rank file, the same on all machines."""
+
+    def make():
+        own = codec(vocabulary, pattern)
+
+        def apply(texts: list[str]) -> list[list[bytes]]:
+            encoded = own.encode(texts)
+            return [encoded, own.decode(encoded)] if decoded else [encoded]
+
+        return apply
+
+    return _mapped(docs, text, [ids, decoded] if decoded else [ids], "", make)
 
 
 def decode(
     docs: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
     """`docs` with a binary column `decoded`: the bytes that `ids` stand for. Null ids give none."""
-    return _mapped_column(docs, ids, decoded, b"", lambda: codec(vocabulary, pattern).decode)
+    return _mapped(docs, ids, [decoded], b"", lambda: lambda raw: [codec(vocabulary, pattern).decode(raw)])

@@ -23,8 +23,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes they stand for, as counts and digests."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
-    both = bpe.decode(ids, vocabulary, public_tokenizers.PATTERN)
+    both = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded="decoded")
     return both.select(
         "doc_id", _u32_count("ids").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
