@@ -1,10 +1,11 @@
 """The query of each operator, over the whole of its table, and its SQL where SQL can express it."""
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, line_dedup, lm, quality, sharding, simhash, tokenfile
-from .common import stored, table
+from . import bpe, decontam, extract, line_dedup, lm, quality, sharding, simhash, tokenfile, toxicity
+from .common import residue, stored, table
 
 QUERIES, ORACLE = {}, {}
 
@@ -120,3 +121,24 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability by the backoff model and by unigrams."""
     return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's calibrated toxicity score, learned from the labels of the training fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(residue("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return scorer.score(docs).select("doc_id", held_out, "score", "predicted")
+
+
+@_query
+def op2_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
