@@ -52,6 +52,8 @@ def dropped_positions(
         .groupBy("key1", "key2").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("keeper"))
         .where(F.col("n") >= min_docs).drop("n")
     )
+    # Stored, both sides of the join arrive by an exchange of their own, so Spark can split a hot key.
+    shared = stored(shared, "shared_lines")
     gone = lines.join(shared, ["key1", "key2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
     return gone.groupBy("doc", "row1", "row2").agg(
         F.sort_array(F.collect_set("pos")).alias("dropped")
