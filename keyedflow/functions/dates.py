@@ -1,8 +1,16 @@
 """Calendar expressions over `yyyyMMdd` text."""
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 
+def local_time(value: dt.datetime) -> Column:
+    """A time without a zone as a literal. It goes by way of text: a datetime object would be moved
+    from the Python process's zone to the session's."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def today() -> Column:
     """The processing date as `yyyyMMdd`."""
     return F.date_format(F.current_date(), "yyyyMMdd")

@@ -12,8 +12,9 @@ from .merge import Merge
 
 Columns = Mapping[str, Sequence[str]]
 
-# How stored counters merge.
+# How stored counters merge, and stored cells: a version put again has the newer batch's value.
 COUNTERS = Merge(("row_key", "cf", "cq"), sums=("value",))
+CELLS = Merge(("row_key", "cf", "cq", "ts"), lasts=("value",), order=("generation", "batch_id"))
 
 
 def _pairs(columns: Columns) -> list[tuple[str, str]]:
@@ -59,18 +60,23 @@ def cell_lookup(
         chosen = chosen | ((F.col("cf") == cf) & F.col("cq").isin(list(qualifiers)))
     wanted = cells.where(chosen)
     cell_id = ["row_key", "cf", "cq"]
-    # One pass: a version competes for the newest, filed under time 0, and is kept under its own time.
-    newest, at = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
-    times = F.array(newest)
-    if ts is not None:
-        at = F.when(F.col(ts) > 0, F.col(ts)).otherwise(newest)
-        times = F.when(F.col("ts") > 0, F.array(newest, F.col("ts"))).otherwise(times)
-    filed = wanted.select(*cell_id, "ts", "value", F.explode(times).alias("_at"))
-    best = filed.groupBy(*cell_id, "_at").agg(F.max(F.struct("ts", "value")).alias("_best"))
-    table = best.select(*cell_id, "_at", "_best.value")
     asked = F.array(*[F.struct(F.lit(cf).alias("cf"), F.lit(cq).alias("cq")) for cf, cq in pairs])
-    probes = requests.withColumn("_at", at).select("*", F.inline(asked))
-    return lookup(probes, table, [*cell_id, "_at"], spread).drop("_at")
+    at = F.lit(0) if ts is None else F.coalesce(F.col(ts), F.lit(0))
+    probes = requests.select("*", at.cast("bigint").alias("_at"), F.inline(asked))
+    # The newest versions: reduced in each task before they are shuffled.
+    best = wanted.groupBy(*cell_id).agg(F.max(F.struct("ts", "value")).alias("_best"))
+    newest = lookup(
+        probes.where("_at <= 0"), best.select(*cell_id, "_best.value"), cell_id, spread
+    ).drop("_at")
+    if ts is None:
+        return newest
+    # Versions of an exact time: only those that some request asks for.
+    exact = probes.where("_at > 0")
+    timed = wanted.withColumnRenamed("ts", "_at")
+    keys = [*cell_id, "_at"]
+    some = timed.join(exact.select(*keys).distinct(), keys, "left_semi")
+    some = some.groupBy(*keys).agg(F.max("value").alias("value"))
+    return newest.unionByName(lookup(exact, some, keys, spread).drop("_at"))
 
 
 def counter_increment(

@@ -39,7 +39,11 @@ def word_count(lines: DataFrame, line: str = "line", sep: str = "\t") -> DataFra
 def partition_word_count(
     lines: DataFrame, partitions: int, line: str = "line", sep: str = "\t"
 ) -> DataFrame:
-    """Deal the words round-robin to `partitions` partitions and count inside each one."""
+    """Deal the words round-robin to `partitions` partitions and count inside each one.
+
+    Every single word is shuffled before it is counted. That is what this form means; for totals
+    over large data use `word_count`.
+    """
     dealt = words(lines, line, sep).repartition(partitions)
     return count_rows(dealt.withColumn("part", F.spark_partition_id()), "part", "word")
 

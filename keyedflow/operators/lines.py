@@ -105,7 +105,7 @@ def rekey_lines(
 ) -> DataFrame:
     """Take the literal out, and replace the two leading fields of each line by `key`.
 
-    Lines of fewer than two fields are left out.
+    Lines of fewer than two fields are left out; `short_lines` gives those.
     """
     cleaned = lines.withColumn("_cleaned", F.replace(F.col(line), F.lit(drop_literal), F.lit("")))
     fields = F.col("_fields")
@@ -113,3 +113,13 @@ def rekey_lines(
     split = _split(cleaned, "_cleaned", sep, 2).where(F.size(fields) >= 2)
     rekeyed = F.concat(key, F.lit(sep), F.array_join(rest, sep))
     return split.withColumn(line, rekeyed).drop("_cleaned", "_fields")
+
+
+def short_lines(
+    lines: DataFrame, line: str = "line", sep: str = ",", drop_literal: str = ";NULL"
+) -> DataFrame:
+    """The lines that `rekey_lines` leaves out, unchanged, with the reason."""
+    cleaned = F.replace(F.col(line), F.lit(drop_literal), F.lit(""))
+    split = _split(lines.withColumn("_cleaned", cleaned), "_cleaned", sep, 2)
+    short = split.where(~F.coalesce(F.size("_fields") >= 2, F.lit(False)))
+    return short.drop("_cleaned", "_fields").withColumn("reason", F.lit("arity"))

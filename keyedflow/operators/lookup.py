@@ -11,40 +11,42 @@ from pyspark.sql import DataFrame, functions as F
 
 from .merge import Merge
 
-# A key is hot when it holds more than this share of the requests. Fewer than 1 / HOT_SHARE keys can
-# be hot, whatever the data: that bounds what is broadcast.
-HOT_SHARE = 1 / 200
-# Keys a frequent-items sketch tracks, and the groups sketches are merged in before the last merge.
-SKETCH_KEYS, SKETCH_GROUPS = 1000, 256
+# A key is hot when it holds more requests than this many mean partitions.
+HOT_PARTITIONS = 2
+# Keys a frequent-items sketch tracks per key that can be hot, and in all at least and at most; groups
+# sketches are merged in before the last merge.
+SKETCH_FACTOR, SKETCH_LEAST, SKETCH_MOST, SKETCH_GROUPS = 8, 1000, 500_000, 256
 
 
 def _hot_keys(requests: DataFrame, on: Sequence[str]) -> DataFrame:
     """Hashes of the hot keys, with the number of salts each gets: its share of the partitions.
 
-    One pass with a sketch of fixed size per task, so no keys are shuffled. The sketch may overlook
-    a key just above the threshold; that key is then joined unsalted, with the same result.
+    One pass with a sketch of fixed size per task, so no keys are shuffled. Fewer than half as many
+    keys as partitions can be hot, whatever the data: that bounds what comes to the driver, and what
+    is broadcast. The sketch may overlook a key just above the threshold; that key is then joined
+    unsalted, with the same result. As the result is a fixed list, both sides of the join agree.
     """
     spark = requests.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = max(partitions // HOT_PARTITIONS, 1)
+    tracked = min(max(SKETCH_FACTOR * most, SKETCH_LEAST), SKETCH_MOST)
     sketches = (
         requests.select(F.xxhash64(*on).alias("_hash"))
         .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group"))
         .agg(
-            F.expr(f"approx_top_k_accumulate(_hash, {SKETCH_KEYS})").alias("_sketch"),
+            F.expr(f"approx_top_k_accumulate(_hash, {tracked})").alias("_sketch"),
             F.count(F.lit(1)).alias("_n"),
         )
     )
-    merged = f"approx_top_k_combine(_sketch, {SKETCH_KEYS})"
-    most = int(1 / HOT_SHARE)
+    merged = f"approx_top_k_combine(_sketch, {tracked})"
     # Grouped by a constant, as a merge without groups fails on partitions that hold no sketch.
     top = sketches.groupBy(F.lit("all")).agg(
         F.expr(f"approx_top_k_estimate({merged}, {most})").alias("_top"), F.sum("_n").alias("_n")
     )
     keys = top.select(F.inline("_top"), "_n")
-    share = F.col("count") / F.col("_n")
-    return keys.where(share > HOT_SHARE).select(
-        F.col("item").alias("_hash"), F.ceil(share * partitions).cast("int").alias("_salts")
-    )
+    load = F.col("count") / F.col("_n") * partitions  # in mean partitions
+    found = keys.where(load > HOT_PARTITIONS).select("item", F.ceil(load).cast("int")).collect()
+    return spark.createDataFrame([tuple(r) for r in found], "_hash long, _salts int")
 
 
 def lookup(

@@ -5,7 +5,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import calendar_buckets, valid_day
+from ..functions.dates import calendar_buckets, local_time, valid_day
 from .merge import Merge
 
 # Seconds a bucket is kept after it was last written, per rollup.
@@ -44,7 +44,7 @@ def retained(
     last_ts = F.col("last_ts") if last_ts is None else last_ts
     keep = F.lit(False)
     for family, ttl in seconds.items():
-        oldest = F.lit(as_of - dt.timedelta(seconds=ttl)).cast("timestamp_ntz")
+        oldest = local_time(as_of - dt.timedelta(seconds=ttl))
         keep = keep | ((F.col("cf") == family) & (last_ts >= oldest))
     return keep
 

@@ -27,7 +27,7 @@ def match_lines(d: Dialect) -> str:
     return f"""
     select event_id as seq, ts, concat(concat_ws(',',
         concat('u', user_id), concat('db', event_id % 2), concat('TAB_', upper(event_type)),
-        'cmVj', 'ZXh0', concat('6.7.', event_id % 10), concat('n', event_id % 5), 'isafe',
+        'cmVj', 'ZXh0', concat('6.7.', event_id % 10), concat('n', event_id % 5), 'prod1',
         case when event_id % 11 = 0 then '' when event_id % 13 = 0 then '  '
              when event_id % 89 = 0 then 'x' when event_id % 83 = 0 then '99999999999'
              when event_id % 79 = 0 then '1.5' when event_id % 17 = 0 then '+3'

@@ -78,9 +78,14 @@ REKEYED = f"""select seq, md5(string_split(line, ',')[2] || 's1') || ',' ||
         string_split(regexp_replace(replace(line, ';NULL', ''), ',+$', ''), ',') as f
         from {_lines(fixtures.raw_profile_lines)} l) r where len(f) >= 2"""
 
-QUARANTINE = f"""select seq, line, reason from (select seq, line,
-    case when len(f) <> 10 then 'arity' when {COUNT_INT} is null then 'bad_count' end as reason
-    from {_split(fixtures.match_lines)} s) q where reason is not null"""
+
+def _rejects(fixture, count: str = "0") -> str:
+    return f"""select seq, line, reason from (select seq, line,
+        case when len(f) <> 10 then 'arity' when {count} is null then 'bad_count' end as reason
+        from {_split(fixture)} s) q where reason is not null"""
+
+
+QUARANTINE = _rejects(fixtures.match_lines, COUNT_INT)
 
 WORDS = f"""select word, count(*) as n from (
     select unnest(string_split(regexp_replace(line, '\\t+$', ''), chr(9))) as word
@@ -118,6 +123,29 @@ RETAINED = f"""select shortid, cf, cq, count(*) as n, max(ts) as last_ts
         having max(ts) >= timestamp '2024-02-10' - to_seconds(case cf when 'daily' then 604800
             when 'weekly' then 2678400 else 31536000 end)"""
 
+CELL_LOOKUP = f"""with cells as (select * from {_EVENT_CELLS} c),
+        newest as (select row_key, cf, cq, arg_max(value, ts) as value from cells group by all),
+        requests as (select event_id as pos, concat('r', user_id) as row_key,
+            case when event_id % 2 = 0 then 0 else event_id end as asked from events),
+        probes as (select * from requests cross join
+            (values ('info', 'event_type'), ('info', 'none'), ('who', 'uid')) w(cf, cq))
+        select p.row_key, p.cf, p.cq, p.pos, p.asked,
+            case when p.asked > 0 then e.value else n.value end as value
+        from probes p
+        left join newest n on n.row_key = p.row_key and n.cf = p.cf and n.cq = p.cq
+        left join cells e on e.row_key = p.row_key and e.cf = p.cf and e.cq = p.cq
+            and e.ts = p.asked and p.asked > 0"""
+
+UPDATED = """select c_custkey, c_name, c_nationkey,
+        coalesce(new_bal, c_acctbal) as c_acctbal, coalesce(new_seg, c_mktsegment) as c_mktsegment
+        from customer left join (
+            select o_custkey, arg_max(o_orderpriority, o_orderkey) as new_seg,
+                arg_max(o_totalprice, o_orderkey) filter (where o_orderstatus = 'F') as new_bal
+            from orders group by o_custkey) u on o_custkey = c_custkey"""
+
+BAD_DAYS = f"""select seq, shortid, day, 'bad_date' as reason
+        from {_lines(fixtures.url_events)} u where try_strptime(day, '%Y%m%d') is null"""
+
 ORACLE: dict[str, str] = {
     "parse_fields": f"""select seq, {", ".join(
         f"f[{i + 1}] as {c}" for i, c in enumerate(MATCH_FIELDS))}
@@ -149,6 +177,7 @@ ORACLE: dict[str, str] = {
     "word_count": WORDS,
     "word_count_stream": WORDS,
     "each_word_count": WORDS,
+    "partition_word_count": WORDS,
     "document_word_count": """select word, count(*) as n from (
         select unnest(string_split(regexp_replace(text, ' +$', ''), ' ')) as word from documents) w
         group by word""",
@@ -165,12 +194,8 @@ ORACLE: dict[str, str] = {
             select o_custkey + 500 as c_custkey, concat('Order#', o_orderkey) as c_name,
                 o_orderkey as seq from orders) o
         where c_custkey not in (select c_custkey from customer) group by c_custkey""",
-    "update_by_key": """select c_custkey, c_name, c_nationkey,
-        coalesce(new_bal, c_acctbal) as c_acctbal, coalesce(new_seg, c_mktsegment) as c_mktsegment
-        from customer left join (
-            select o_custkey, arg_max(o_orderpriority, o_orderkey) as new_seg,
-                arg_max(o_totalprice, o_orderkey) filter (where o_orderstatus = 'F') as new_bal
-            from orders group by o_custkey) u on o_custkey = c_custkey""",
+    "update_by_key": UPDATED,
+    "update_stored": UPDATED,
     "delete_by_key": """select * from customer where c_custkey not in (
         select o_custkey from orders where o_orderstatus = 'P')""",
     "state_lookup": STATE_LOOKUP,
@@ -180,6 +205,16 @@ ORACLE: dict[str, str] = {
     "replay_non_transactional": f"""select line as word,
         cast(sum(case when batch = 1 then 2 else 1 end) as bigint) as n
         from {_request_batches()} b group by 1""",
+    "snapshot_new_checkpoint": _match_count(COUNT_INT),
+    "delete_then_first_batch": f"""select line as word, count(*) as n from {_request_batches()} b
+        where not (batch = 0 and line in (select line from {_request_batches()} c
+            where batch = 0 and line like 'click/%')) group by 1""",
+    "late_batch_after_fold": REQUESTS,
+    "global_count_stream": "select '__global__' as key, count(*) as n from events",
+    "namespaced_stream": f"select namespace, key, n from {_NAMESPACED} k",
+    "match_sum_rejects": _rejects(fixtures.match_lines, COUNT_LONG),
+    "key_count_rejects": _rejects(fixtures.match_lines),
+    "profile_rejects": _rejects(fixtures.profile_lines),
     "deleted_keys": f"""select line as word, count(*) as n from {_request_batches()} b
         where not (batch = 0 and line like 'click/%') group by 1""",
     "kv_namespaced": f"select namespace, key, state from {_NAMESPACED} k",
@@ -187,18 +222,8 @@ ORACLE: dict[str, str] = {
         from customer left join {_NAMESPACED} k
         on k.namespace = 'click' and k.key = cast(c_custkey % 13 as varchar)""",
     "cells_put": f"select * from {_EVENT_CELLS} c",
-    "cell_lookup": f"""with cells as (select * from {_EVENT_CELLS} c),
-        newest as (select row_key, cf, cq, arg_max(value, ts) as value from cells group by all),
-        requests as (select event_id as pos, concat('r', user_id) as row_key,
-            case when event_id % 2 = 0 then 0 else event_id end as asked from events),
-        probes as (select * from requests cross join
-            (values ('info', 'event_type'), ('info', 'none'), ('who', 'uid')) w(cf, cq))
-        select p.row_key, p.cf, p.cq, p.pos, p.asked,
-            case when p.asked > 0 then e.value else n.value end as value
-        from probes p
-        left join newest n on n.row_key = p.row_key and n.cf = p.cf and n.cq = p.cq
-        left join cells e on e.row_key = p.row_key and e.cf = p.cf and e.cq = p.cq
-            and e.ts = p.asked and p.asked > 0""",
+    "cell_lookup": CELL_LOOKUP,
+    "cells_stream": CELL_LOOKUP,
     "counter_increment": """select row_key, cf, cq, cast(2 * count(*) as bigint) as value from (
         select concat('r', user_id) as row_key, 'daily' as cf, event_type as cq from events
         union all select concat('r', user_id), 'daily', 'hits' from events
@@ -206,8 +231,8 @@ ORACLE: dict[str, str] = {
     "calendar_rollup": f"select shortid, cf, cq, count(*) as n from {_URL_BUCKETS} b group by all",
     "calendar_rollup_iso": f"""select o_orderstatus, cf, cq, count(*) as n
         from {_ORDER_BUCKETS} b group by all""",
-    "rollup_bad_days": f"""select seq, shortid, day, 'bad_date' as reason
-        from {_lines(fixtures.url_events)} u where try_strptime(day, '%Y%m%d') is null""",
+    "rollup_bad_days": BAD_DAYS,
+    "rollup_rejects": BAD_DAYS,
     "rollup_retention": RETAINED,
     "rollup_stream": RETAINED,
     "counter_stream": f"""select row_key, cf, cq, count(*) as value from (

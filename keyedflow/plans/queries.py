@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import decode_state, encode_state, format_percent, salted_surrogate
+from ..functions.dates import local_time
 from ..operators import cells, counts, lines, lookup, profile, rollup
 from ..operators.each import each
 from ..operators.lines import (
@@ -142,7 +143,9 @@ def each_word_count(spark, sf_dir):
 
 @query("partition_word_count")
 def partition_word_count(spark, sf_dir):
-    return counts.partition_word_count(derived(spark, sf_dir, fixtures.tab_lines), 8)
+    """Counts inside each partition, added up: partition ids themselves are physical."""
+    parts = counts.partition_word_count(derived(spark, sf_dir, fixtures.tab_lines), 8)
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 # -- profiles -------------------------------------------------------------------------------
@@ -173,7 +176,7 @@ def profile_days(spark, sf_dir):
 @query("range_scan")
 def range_scan(spark, sf_dir):
     orders = load(spark, sf_dir, "orders")
-    lower, upper = (F.lit(dt.datetime(y, 1, 1)).cast("timestamp_ntz") for y in (1996, 1998))
+    lower, upper = (local_time(dt.datetime(y, 1, 1)) for y in (1996, 1998))
     return lookup.range_scan(
         orders, "o_orderdate", lower, upper, ["o_orderkey", "o_orderpriority"]
     )
@@ -190,15 +193,39 @@ def insert_if_absent(spark, sf_dir):
     return lookup.insert_if_absent(table, rows, ["c_custkey"])
 
 
-@query("update_by_key")
-def update_by_key(spark, sf_dir):
-    updates = load(spark, sf_dir, "orders").select(
+def _updates(spark, sf_dir) -> DataFrame:
+    return load(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("c_custkey"),
         F.col("o_orderkey").alias("seq"),
         F.col("o_orderpriority").alias("c_mktsegment"),
         F.expr("case when o_orderstatus = 'F' then o_totalprice end").alias("c_acctbal"),
     )
-    return lookup.update_by_key(load(spark, sf_dir, "customer"), updates, ["c_custkey"])
+
+
+@query("update_by_key")
+def update_by_key(spark, sf_dir):
+    customers = load(spark, sf_dir, "customer")
+    return lookup.update_by_key(customers, _updates(spark, sf_dir), ["c_custkey"])
+
+
+@query("update_stored")
+def update_stored(spark, sf_dir):
+    """The same updates, stored in batches: a null leaves the column as it is. Rows that were put
+    are present; updates of other keys wait for such a row and do not show."""
+    customers = load(spark, sf_dir, "customer")
+    columns = [c for c in customers.columns if c != "c_custkey"]
+    merge = Merge(["c_custkey"], sums=["present"], patches=columns)
+    rows = customers.withColumns({
+        "seq": F.lit(-1).cast("bigint"), "present": F.lit(1).cast("bigint")
+    })
+    table = KeyedTable(spark, shared_dir(spark, "customers"), merge, rows.schema, compact_every=3)
+    table.commit(rows, 0, unique_keys=True)
+    updates = _updates(spark, sf_dir).withColumn("present", F.lit(0).cast("bigint"))
+    missing = {c: F.lit(None).cast(rows.schema[c].dataType) for c in columns if c not in updates.columns}
+    updates = updates.withColumns(missing).select(*rows.columns)
+    for batch in (3, 1, 2):  # in any order: the order column decides
+        table.commit(updates.where(F.col("seq") % 3 == batch - 1), batch)
+    return table.view().where("present > 0").drop("present")
 
 
 @query("delete_by_key")
@@ -308,19 +335,56 @@ def deleted_keys(spark, sf_dir):
     return table.view()
 
 
-def _namespaced_table(spark, sf_dir) -> KeyedTable:
-    merge = Merge(["namespace", "key"], sums=["n"], lasts=["txid"], order=["txid"])
-    table = KeyedTable(
-        spark, shared_dir(spark, "kv"), merge,
-        "namespace string, key string, n bigint, txid bigint", partition_by=["namespace"],
-    )
-    for txid, batch in enumerate(_request_batches(spark, sf_dir)):
-        parts = F.split("line", "/")
-        rows = batch.select(
-            parts[0].alias("namespace"), parts[1].alias("key"),
-            F.lit(1).cast("bigint").alias("n"), F.lit(txid).cast("bigint").alias("txid"),
+@query("snapshot_new_checkpoint")
+def snapshot_new_checkpoint(spark, sf_dir):
+    """Snapshots by a stream of a new checkpoint win, though its batch ids start again at 0."""
+    table = jobs.match_snapshot_table(spark, shared_dir(spark, "snapshots"))
+    rows = match_count(spark, sf_dir)
+    for batch_id in (0, 5):
+        older = rows.withColumn("count", F.col("count") - 1)
+        table.commit(older, batch_id, unique_keys=True, stream="first checkpoint")
+    table.commit(rows, 0, unique_keys=True, stream="second checkpoint")
+    return table.view()
+
+
+@query("delete_then_first_batch")
+def delete_then_first_batch(spark, sf_dir):
+    """A delete before the first batch of a table, and of a checkpoint, covers none of it."""
+    table = _request_table(spark)
+    batches = _request_batches(spark, sf_dir)
+    gone = batches[0].where("line like 'click/%'").withColumnRenamed("line", "word")
+    table.delete(gone)
+    table.commit(jobs.one_each(batches[0], "line"), 0, stream="first checkpoint")
+    table.delete(gone)
+    for batch_id in (1, 2):
+        table.commit(
+            jobs.one_each(batches[batch_id], "line"), batch_id - 1, stream="second checkpoint"
         )
-        table.commit(rows, txid)
+    return table.view()
+
+
+@query("late_batch_after_fold")
+def late_batch_after_fold(spark, sf_dir):
+    """A batch that was not folded with the later ones counts when it comes, and once."""
+    table = _request_table(spark)
+    batches = _request_batches(spark, sf_dir)
+    for batch_id in (0, 2):
+        _commit(table, batch_id, batches[batch_id])
+    table.compact(keep=0)
+    for batch_id in (1, 0, 1, 2):
+        _commit(table, batch_id, batches[batch_id])
+    table.compact(keep=0)
+    _commit(table, 1, batches[1])
+    table.vacuum()
+    return table.view()
+
+
+def _namespaced_table(spark, sf_dir) -> KeyedTable:
+    table = jobs.namespaced_table(spark, shared_dir(spark, "kv"))
+    parts = F.split("line", "/")
+    one = F.lit(1).cast("bigint").alias("n")
+    for batch_id, batch in enumerate(_request_batches(spark, sf_dir)):
+        table.commit(batch.select(parts[0].alias("namespace"), parts[1].alias("key"), one), batch_id)
     return table
 
 
@@ -328,14 +392,14 @@ def _namespaced_table(spark, sf_dir) -> KeyedTable:
 def kv_namespaced(spark, sf_dir):
     """One hash per namespace, each value in the JSON form an external store holds."""
     state = _namespaced_table(spark, sf_dir).view()
-    return state.select("namespace", "key", encode_state(F.col("n"), F.col("txid")).alias("state"))
+    return state.select("namespace", "key", encode_state(F.col("n"), F.col("batch_id")).alias("state"))
 
 
 @query("namespaced_lookup")
 def namespaced_lookup(spark, sf_dir):
     """Look keys up in one namespace; only its folder is read."""
     state = _namespaced_table(spark, sf_dir).view().where("namespace = 'click'").select(
-        "key", encode_state(F.col("n"), F.col("txid")).alias("state")
+        "key", encode_state(F.col("n"), F.col("batch_id")).alias("state")
     )
     requests = load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("pos"), (F.col("c_custkey") % 13).cast("string").alias("key")
@@ -371,6 +435,17 @@ def _cells(spark, sf_dir) -> DataFrame:
     return cells.cells_put(rows, "row", _INFO, ts="version", write_time=-F.col("event_id") - 1)
 
 
+_WANTED = {"info": ["event_type", "none"], "who": ["uid"]}
+
+
+def _cell_requests(spark, sf_dir) -> DataFrame:
+    return load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("pos"),
+        F.concat(F.lit("r"), F.col("user_id")).alias("row_key"),
+        F.expr("case when event_id % 2 = 0 then 0 else event_id end").alias("asked"),
+    )
+
+
 @query("cells_put")
 def cells_put(spark, sf_dir):
     return _cells(spark, sf_dir)
@@ -379,13 +454,8 @@ def cells_put(spark, sf_dir):
 @query("cell_lookup")
 def cell_lookup(spark, sf_dir):
     """Newest versions where the asked time is 0, the version of that time otherwise."""
-    requests = load(spark, sf_dir, "events").select(
-        F.col("event_id").alias("pos"),
-        F.concat(F.lit("r"), F.col("user_id")).alias("row_key"),
-        F.expr("case when event_id % 2 = 0 then 0 else event_id end").alias("asked"),
-    )
-    wanted = {"info": ["event_type", "none"], "who": ["uid"]}
-    return cells.cell_lookup(requests, _cells(spark, sf_dir), wanted, "asked", spread=["pos"])
+    requests = _cell_requests(spark, sf_dir)
+    return cells.cell_lookup(requests, _cells(spark, sf_dir), _WANTED, "asked", spread=["pos"])
 
 
 @query("counter_increment")
@@ -456,12 +526,7 @@ def _run(job, *args, **kwargs) -> None:
 def match_count_stream(spark, sf_dir):
     stream = _line_stream(spark, sf_dir, fixtures.match_lines)
     table = jobs.match_snapshot_table(spark, shared_dir(spark, "match"))
-    context = spark.sparkContext
-    local = context.master.startswith("local")
-    _run(
-        jobs.match_count_job, stream, table, shared_dir(spark, "checkpoint"),
-        state_partitions=context.defaultParallelism if local else None,
-    )
+    _run(jobs.match_count_job, stream, table, shared_dir(spark, "checkpoint"))
     return table.view()
 
 
@@ -498,6 +563,52 @@ def _profile_stream(
     return attrs, days
 
 
+@query("global_count_stream")
+def global_count_stream(spark, sf_dir):
+    """All lines, stored under the reserved key."""
+    stream = _line_stream(spark, sf_dir, fixtures.request_lines)
+    table = _request_table(spark)
+    _run(jobs.global_count_job, stream, table, shared_dir(spark, "checkpoint"))
+    return table.view().withColumnRenamed("word", "key")
+
+
+@query("namespaced_stream")
+def namespaced_stream(spark, sf_dir):
+    stream = _line_stream(spark, sf_dir, fixtures.request_lines)
+    table = jobs.namespaced_table(spark, shared_dir(spark, "kv"))
+    parts = F.split("line", "/")
+    checkpoint = shared_dir(spark, "checkpoint")
+    _run(jobs.namespaced_count_job, stream, table, parts[0], parts[1], checkpoint)
+    return table.view().select("namespace", "key", "n")
+
+
+def _rejects_of(spark, sf_dir, fixture, job, *tables) -> DataFrame:
+    path = shared_dir(spark, "rejects")
+    stream = _line_stream(spark, sf_dir, fixture)
+    _run(job, stream, *tables, shared_dir(spark, "checkpoint"), rejects=path)
+    stored = spark.read.schema("seq bigint, line string, reason string, stream string, batch_id long")
+    return stored.parquet(path).select("seq", "line", "reason")
+
+
+@query("match_sum_rejects")
+def match_sum_rejects(spark, sf_dir):
+    """What the running job rejects, stored beside its table."""
+    table = jobs.match_sum_table(spark, shared_dir(spark, "match_sum"))
+    return _rejects_of(spark, sf_dir, fixtures.match_lines, jobs.match_sum_job, table)
+
+
+@query("key_count_rejects")
+def key_count_rejects(spark, sf_dir):
+    table = _request_table(spark)
+    return _rejects_of(spark, sf_dir, fixtures.match_lines, jobs.key_count_job, table)
+
+
+@query("profile_rejects")
+def profile_rejects(spark, sf_dir):
+    tables = jobs.profile_tables(spark, shared_dir(spark, "profile"))
+    return _rejects_of(spark, sf_dir, fixtures.profile_lines, jobs.profile_job, *tables)
+
+
 @query("profile_stream")
 def profile_stream(spark, sf_dir):
     return _profile_stream(spark, sf_dir)[0].view().select("mid", *PROFILE.fields)
@@ -571,3 +682,38 @@ def counter_stream(spark, sf_dir):
     columns = {"daily": ["day", "hits"], "all": ["hits"]}
     _run(jobs.counter_job, _url_stream(spark, sf_dir), table, "shortid", columns, checkpoint)
     return table.view()
+
+
+@query("rollup_rejects")
+def rollup_rejects(spark, sf_dir):
+    """Rows of bad days, stored by the running rollup."""
+    table, path = jobs.rollup_table(spark, shared_dir(spark, "rollup"), "shortid"), shared_dir(spark, "bad")
+    checkpoint = shared_dir(spark, "checkpoint")
+    _run(jobs.rollup_job, _url_stream(spark, sf_dir), table, "shortid", "day", "ts", checkpoint, rejects=path)
+    stored = spark.read.schema("seq bigint, shortid string, day string, reason string")
+    return stored.parquet(path)
+
+
+@query("cells_stream")
+def cells_stream(spark, sf_dir):
+    """Cells put in batches, folded and partly delivered again, read back by newest and exact version."""
+    path = shared_dir(spark, "events")
+    events = load(spark, sf_dir, "events").select(
+        F.concat(F.lit("r"), F.col("user_id")).alias("row"),
+        "event_type", "props", F.concat(F.lit("u"), F.col("user_id")).alias("uid"),
+        F.expr("case when event_id % 10 = 0 then 0 else event_id end").alias("version"), "event_id",
+        F.date_format("ts", "yyyyMMdd").alias("dt"),
+    )
+    events.write.partitionBy("dt").parquet(path)
+    schema = "row string, event_type string, props string, uid string, version bigint, event_id bigint"
+    table = jobs.cells_table(spark, shared_dir(spark, "cells"), compact_every=2)
+    # The second checkpoint delivers everything again: a version put twice is there once.
+    for checkpoint in ("first", "second"):
+        stream = line_sources.parquet_line_stream(spark, path, schema, _a_third(spark, path))
+        _run(
+            jobs.cells_job, stream, table, "row", _INFO, shared_dir(spark, checkpoint), ts="version",
+            write_time=-F.col("event_id") - 1,
+        )
+    return cells.cell_lookup(
+        _cell_requests(spark, sf_dir), table.view(), _WANTED, "asked", spread=["pos"]
+    )

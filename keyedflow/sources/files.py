@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -16,19 +17,52 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [str(status.getPath().toString()) for status in fs.globStatus(path) or []]
 
 
+def modified(spark: SparkSession, pattern: str) -> dict[str, float]:
+    """Paths and when they were last changed, in seconds."""
+    path, fs = _fs(spark, pattern)
+    found = fs.globStatus(path) or []
+    return {str(s.getPath().toString()): s.getModificationTime() / 1000 for s in found}
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _fs(spark, path)
     fs.delete(hadoop_path, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    hadoop_path, fs = _fs(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears as a whole or not at all; its name must be new."""
+    hadoop_path, fs = _fs(spark, path)
+    if fs.exists(hadoop_path):
+        raise FileExistsError(path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(draft, hadoop_path):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="keyedflow-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below `spark.checkpoint.dir`, which all executors can reach.
 
-    Only a local session may do without that setting.
+    A cluster sets it. Where it is unset, as on a single machine, it is one temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="keyedflow-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -27,8 +27,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **kwargs) -> DataFrame:
 
 
 def write_jdbc(
-    df: DataFrame, url: str, table: str, mode: str = "append", batch_size: int = 20000,
-    **extra: str,
+    df: DataFrame, url: str, table: str, mode: str = "append", **extra: str
 ) -> None:
-    options = jdbc_options(url, table, batchsize=str(batch_size), **extra)
+    """`extra`: Spark's options, such as `batchsize`."""
+    options = jdbc_options(url, table, **extra)
     df.write.format("jdbc").options(**options).mode(mode).save()

@@ -7,22 +7,24 @@ state lives in RocksDB and which emits the full new value of each changed key.
 
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions.dates import today
-from ..operators.cells import COUNTERS, Columns, counter_increment
-from ..operators.counts import match_merge, request_merge, words
+from ..functions.dates import today, valid_day
+from ..operators.cells import CELLS, COUNTERS, Columns, cells_put, counter_increment
+from ..operators.counts import GLOBAL_KEY, match_merge, request_merge, words
 from ..operators.lines import (
     MATCH, MATCH_FIELDS, MATCH_SUM, PROFILE, LineFormat, check_lines, keyed_lines, line_keys,
     quarantine,
 )
 from ..operators.merge import Merge
 from ..operators.profile import DAYS, KEEP_IDENTITY, profile_merge
-from ..operators.rollup import calendar_rollup, rollup_merge
-from ..sources.keyed_table import KeyedTable
+from ..operators.rollup import bad_days, calendar_rollup, rollup_merge
+from ..sources.keyed_table import VERSION, KeyedTable
 
 SNAPSHOT_INTERVAL = "60 seconds"
 
@@ -52,17 +54,60 @@ def _state_settings(spark: SparkSession, partitions: int | None):
             spark.conf.set(key, value)
 
 
+def stream_id(batch: DataFrame) -> str | None:
+    """The id that the running stream keeps in its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+@contextmanager
+def _read_once(df: DataFrame, needed: bool = True):
+    """Keep what is written to two places, so that its source is read once."""
+    if needed:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        if needed:
+            df.unpersist()
+
+
+def store_rejects(batch: DataFrame, rejects: DataFrame, path: str, batch_id: int) -> None:
+    """The rejects of a batch in a folder of its own, which the batch delivered again replaces."""
+    folder = f"{path}/stream={stream_id(batch)}/batch_id={batch_id}"
+    rejects.write.mode("overwrite").parquet(folder)
+
+
+def _checked(lines: DataFrame, fmt: LineFormat) -> DataFrame:
+    """Lines with their fields and the reason to reject them; the counts are in the progress."""
+    return check_lines(lines, fmt).observe(
+        "lines", F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected")
+    )
+
+
+def _rejected(checked: DataFrame) -> DataFrame:
+    return checked.where("reason is not null").drop("_fields")
+
+
 def table_job(
     lines: DataFrame, table: KeyedTable, to_rows: Callable[[DataFrame], DataFrame],
     checkpoint: str, every: str | None = SNAPSHOT_INTERVAL, unique_keys: bool = False,
+    replays: bool = False, rejects: str | None = None,
+    to_rejects: Callable[[DataFrame], DataFrame] = _rejected,
 ) -> StreamingQuery:
     """Persistent aggregate: each batch of lines becomes rows, and those a commit to the table.
 
-    `unique_keys` says that `to_rows` gives each key once.
+    unique_keys: `to_rows` gives each key once.
+    replays: this checkpoint delivers the batches of the table's `generation` again, so ids that are
+      there are skipped or replaced. Otherwise every checkpoint brings batches of its own.
+    rejects: a folder for what `to_rejects` finds in a batch, stored along with it.
     """
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        table.commit(to_rows(batch), batch_id, unique_keys)
+        with _read_once(batch, rejects is not None):
+            if rejects is not None:
+                store_rejects(batch, to_rejects(batch), rejects, batch_id)
+            stream = None if replays else stream_id(batch)
+            table.commit(to_rows(batch), batch_id, unique_keys, stream)
 
     return _start(lines.writeStream.foreachBatch(commit), checkpoint, every)
 
@@ -81,9 +126,9 @@ def _names(ddl: str) -> tuple[str, ...]:
 def match_snapshot_table(spark: SparkSession, path: str, **options) -> KeyedTable:
     """What `match_count_job` maintains: per key the values of the newest batch that changed it."""
     values = (*MATCH_FIELDS[:8], "count")
-    merge = Merge(keys=("row_key",), lasts=values, order=("batch_id",))
-    schema = f"{_MATCH_COLUMNS}, batch_id bigint"
-    return KeyedTable(spark, path, merge, schema, mode="opaque", **options)
+    merge = Merge(keys=("row_key",), lasts=values, order=VERSION)
+    schema = f"{_MATCH_COLUMNS}, generation bigint, batch_id bigint"
+    return KeyedTable(spark, path, merge, schema, mode="opaque", versioned=True, **options)
 
 
 def match_count_job(
@@ -98,14 +143,11 @@ def match_count_job(
     partitions it starts with (the session's shuffle partitions, unless given) for good, so choose
     it for the size the state will have.
     """
-    checked = check_lines(lines, fmt).observe(
-        "lines", F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected")
-    )
-    counts = match_merge(tuple(order)).aggregate(keyed_lines(checked, fmt, keep=order))
+    rows = keyed_lines(_checked(lines, fmt), fmt, keep=order)
+    counts = match_merge(tuple(order)).aggregate(rows)
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        table.commit(changed, batch_id, unique_keys=True)
+        table.commit(batch, batch_id, unique_keys=True, stream=stream_id(batch))
 
     writer = counts.writeStream.outputMode(output_mode).foreachBatch(commit)
     with _state_settings(lines.sparkSession, state_partitions):
@@ -121,25 +163,31 @@ def match_sum_table(
 
 
 def match_sum_job(
-    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL
+    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL,
+    **options,
 ) -> StreamingQuery:
-    """Persistent sum per key with first-seen columns; an empty count adds 0."""
+    """Persistent sum per key with first-seen columns; an empty count adds 0.
+
+    `options` of this and the next job: `replays` and `rejects` of `table_job`.
+    """
 
     def to_rows(batch: DataFrame) -> DataFrame:
         return keyed_lines(batch, MATCH_SUM, keep=table.merge.order)
 
-    return table_job(lines, table, to_rows, checkpoint, every)
+    return table_job(_checked(lines, MATCH_SUM), table, to_rows, checkpoint, every, **options)
 
 
 def key_count_job(
-    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL
+    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL,
+    **options,
 ) -> StreamingQuery:
-    """Persistent count of lines per key, into a `count_table`."""
+    """Persistent count of lines per key, into a `count_table`. Only the arity is checked."""
+    fmt = replace(MATCH, count_field=None)
 
     def to_rows(batch: DataFrame) -> DataFrame:
-        return one_each(line_keys(batch, MATCH, keep=()), "row_key")
+        return one_each(line_keys(batch, fmt, keep=()), "row_key")
 
-    return table_job(lines, table, to_rows, checkpoint, every)
+    return table_job(_checked(lines, fmt), table, to_rows, checkpoint, every, **options)
 
 
 # -- request count and word count -----------------------------------------------------------
@@ -157,10 +205,48 @@ def one_each(rows: DataFrame, key: str | Column = "word") -> DataFrame:
 
 
 def request_count_job(
-    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL
+    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL,
+    replays: bool = False,
 ) -> StreamingQuery:
     """Count whole lines."""
-    return table_job(lines, table, lambda batch: one_each(batch, "line"), checkpoint, every)
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return one_each(batch, "line")
+
+    return table_job(lines, table, to_rows, checkpoint, every, replays=replays)
+
+
+def global_count_job(
+    lines: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL
+) -> StreamingQuery:
+    """Count all lines, into a `count_table` under the reserved key."""
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return one_each(batch, F.lit(GLOBAL_KEY))
+
+    return table_job(lines, table, to_rows, checkpoint, every)
+
+
+def namespaced_table(spark: SparkSession, path: str, **options) -> KeyedTable:
+    """Counts per namespace and key, and the batch that last changed each; a folder per namespace."""
+    merge = Merge(("namespace", "key"), sums=("n",), lasts=("batch_id",), order=VERSION)
+    schema = "namespace string, key string, n bigint, generation bigint, batch_id bigint"
+    return KeyedTable(
+        spark, path, merge, schema, partition_by=["namespace"], versioned=True, **options
+    )
+
+
+def namespaced_count_job(
+    lines: DataFrame, table: KeyedTable, namespace: Column, key: Column, checkpoint: str,
+    every: str | None = SNAPSHOT_INTERVAL,
+) -> StreamingQuery:
+    """Count lines per key, each in its namespace."""
+    one = F.lit(1).cast("bigint").alias("n")
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return batch.select(namespace.alias("namespace"), key.alias("key"), one)
+
+    return table_job(lines, table, to_rows, checkpoint, every)
 
 
 def word_count_job(
@@ -188,20 +274,27 @@ def profile_tables(
 
 def profile_job(
     lines: DataFrame, attrs: KeyedTable, days: KeyedTable, checkpoint: str,
-    every: str | None = SNAPSHOT_INTERVAL,
+    every: str | None = SNAPSHOT_INTERVAL, rejects: str | None = None,
 ) -> StreamingQuery:
     """Upsert profiles and add active days.
 
-    The lines of a batch are parsed for each of the two tables: that took less time than caching
-    the parsed rows, and needs no memory.
+    Both tables come from one aggregate by device and day, which is kept for the batch, so the
+    lines are read and parsed once. `rejects` is a folder for rejected lines.
     """
+    per_day = replace(attrs.merge, keys=("mid", "day"))
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        rows = keyed_lines(batch, PROFILE, keep=attrs.merge.order)
-        attrs.commit(rows, batch_id)
-        days.commit(rows.select("mid", F.col("last_date").alias("day")), batch_id)
+        stream = stream_id(batch)
+        with _read_once(batch, rejects is not None):
+            if rejects is not None:
+                store_rejects(batch, _rejected(batch), rejects, batch_id)
+            rows = keyed_lines(batch, PROFILE, keep=attrs.merge.order)
+            partials = per_day.partial(rows.withColumn("day", F.col("last_date")))
+            with _read_once(partials):
+                attrs.commit(partials, batch_id, stream=stream, partials=True)
+                days.commit(partials.select("mid", "day"), batch_id, True, stream)
 
-    return _start(lines.writeStream.foreachBatch(commit), checkpoint, every)
+    return _start(_checked(lines, PROFILE).writeStream.foreachBatch(commit), checkpoint, every)
 
 
 # -- counters and rollups -------------------------------------------------------------------
@@ -224,6 +317,27 @@ def counter_job(
     return table_job(rows, table, to_rows, checkpoint, every, unique_keys=True)
 
 
+def cells_table(spark: SparkSession, path: str, **options) -> KeyedTable:
+    """Cells with their versions; `cell_lookup` takes its view."""
+    schema = (
+        "row_key string, cf string, cq string, ts bigint, value string, "
+        "generation bigint, batch_id bigint"
+    )
+    return KeyedTable(spark, path, CELLS, schema, versioned=True, **options)
+
+
+def cells_job(
+    rows: DataFrame, table: KeyedTable, row_key: str, columns: Columns, checkpoint: str,
+    ts: str | None = None, every: str | None = SNAPSHOT_INTERVAL, write_time: Column | None = None,
+) -> StreamingQuery:
+    """Put the configured columns of each row as cells; see `cells_put`."""
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        return cells_put(batch, row_key, columns, ts, write_time)
+
+    return table_job(rows, table, to_rows, checkpoint, every)
+
+
 def rollup_table(spark: SparkSession, path: str, id_column: str, **options) -> KeyedTable:
     """Rollup counts. To expire buckets, fold with
     `table.compact(where=retained(as_of, F.col("_last.last_ts")))`."""
@@ -233,14 +347,19 @@ def rollup_table(spark: SparkSession, path: str, id_column: str, **options) -> K
 
 def rollup_job(
     rows: DataFrame, table: KeyedTable, id_column: str, day: str, ts: str, checkpoint: str,
-    every: str | None = SNAPSHOT_INTERVAL,
+    every: str | None = SNAPSHOT_INTERVAL, rejects: str | None = None,
 ) -> StreamingQuery:
-    """Persistent daily, monthly and weekly counts per id."""
+    """Persistent daily, monthly and weekly counts per id; `rejects` is a folder for bad days."""
+    bad = F.when(~valid_day(F.col(day)), 1)
+    rows = rows.observe("lines", F.count(F.lit(1)).alias("lines"), F.count(bad).alias("rejected"))
 
     def to_rows(batch: DataFrame) -> DataFrame:
         return calendar_rollup(batch, id_column, day, ts)
 
-    return table_job(rows, table, to_rows, checkpoint, every, unique_keys=True)
+    return table_job(
+        rows, table, to_rows, checkpoint, every, unique_keys=True, rejects=rejects,
+        to_rejects=lambda batch: bad_days(batch, day),
+    )
 
 
 # -- raw lines ------------------------------------------------------------------------------
@@ -275,13 +394,20 @@ def _file_job(
     files_per_batch: int | None,
 ) -> StreamingQuery:
     """Append to files below one folder per value of a column. Every task writes a file per batch
-    and folder, unless `files_per_batch` has fewer tasks do the batch, without a shuffle."""
+    and folder; with `files_per_batch` the finished rows are dealt anew to that many tasks."""
     if files_per_batch is not None:
-        df = df.coalesce(files_per_batch)
+        df = df.repartition(files_per_batch)
     writer = df.writeStream.format(fmt).option("path", path).partitionBy(folder)
     return _start(writer, checkpoint, every)
 
 
-def print_job(df: DataFrame, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL) -> StreamingQuery:
-    """Print the rows of each batch on the driver's console."""
-    return _start(df.writeStream.format("console").option("truncate", False), checkpoint, every)
+def print_job(
+    df: DataFrame, checkpoint: str, every: str | None = SNAPSHOT_INTERVAL, rows: int = 20
+) -> StreamingQuery:
+    """Print up to `rows` rows of each batch on the driver's console; no others come to the driver."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"Batch {batch_id}")
+        batch.show(rows, truncate=False)
+
+    return _start(df.writeStream.foreachBatch(show), checkpoint, every)

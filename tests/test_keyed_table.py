@@ -5,6 +5,8 @@ import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
 from keyedflow.operators.merge import Merge
 from keyedflow.sources import files
 from keyedflow.sources.keyed_table import KeyedTable
@@ -66,15 +68,19 @@ def test_opaque_replacement_is_reversible(spark, tmp_path):
     assert view(t) == before
 
 
-def test_uncommitted_attempts_do_not_count_and_are_redone(spark, tmp_path):
+def test_a_write_that_died_does_not_count_and_is_redone(spark, tmp_path, monkeypatch):
     t = table(spark, tmp_path)
     t.commit(rows(spark, ("x", 1, "a", "b", 0)), 0)
-    t.commit(rows(spark, ("x", 1, "a", "c", 1)), 1)
-    # A job that died: its files are there, its marker is not.
-    files.delete(spark, str(tmp_path / "log/generation=0/batch_id=1/attempt=0/_SUCCESS"))
+    with monkeypatch.context() as m:  # the data is there, the manifest is not
+        m.setattr(t, "_publish", lambda *args: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            t.commit(rows(spark, ("x", 1, "a", "c", 1)), 1)
     assert view(t) == {"x": ("a", "b", 1)}
     assert t.commit(rows(spark, ("x", 1, "a", "c", 1)), 1)
     assert view(t) == {"x": ("a", "c", 2)}
+    assert len(files.glob(spark, f"{tmp_path}/log/generation=*/batch_id=*/attempt=*")) == 3
+    t.vacuum()
+    assert len(files.glob(spark, f"{tmp_path}/log/generation=*/batch_id=*/attempt=*")) == 2
 
 
 @pytest.mark.parametrize("mode", ["transactional", "opaque", "non_transactional"])
@@ -98,13 +104,68 @@ def test_folding_changes_nothing(spark, tmp_path, mode):
 
 
 def test_folding_by_itself(spark, tmp_path):
-    t = KeyedTable(spark, str(tmp_path), MERGE, SCHEMA, compact_every=3, keep=1)
+    t = KeyedTable(spark, str(tmp_path), MERGE, SCHEMA, compact_every=3, keep=1, retain=0)
     data = [("x", i, f"a{i}", f"b{i}", i) for i in range(7)]
     for i, row in enumerate(data):
         t.commit(rows(spark, row), i)
         assert view(t) == expected(data[: i + 1])
-    bases = files.glob(spark, f"{tmp_path}/base/generation=*/batch_id=*")
-    assert sorted(b.rsplit("=")[-1] for b in bases) == ["1", "3", "5"]
+    assert [r.version for r in t.manifest().runs] == [(0, 1), (0, 3), (0, 5)]
+    assert t.manifest().folded == {0: [[0, 5]]} and len(t.manifest().log) == 1
+    assert len(files.glob(spark, f"{tmp_path}/log/generation=*/batch_id=*/attempt=*")) == 1
+
+
+def test_levels_listings_and_folders_stay_few(spark, tmp_path, monkeypatch):
+    """A row is rewritten once per level, and a commit lists the same few files ever after."""
+    t = KeyedTable(spark, str(tmp_path), MERGE, SCHEMA, compact_every=2, keep=0, retain=0, buckets=2)
+    calls, merged = [], []
+    glob, live = files.glob, t._live
+    monkeypatch.setattr(files, "glob", lambda *a: calls.append(len(r := glob(*a))) or r)
+    monkeypatch.setattr(t, "_live", lambda s, pieces, *a: merged.append(len(pieces)) or live(s, pieces, *a))
+    per_commit = []
+    for i in range(50):
+        calls.clear()
+        t.commit(rows(spark, ("x", 1, "a", "b", i), (f"k{i}", 1, "a", "b", i)), i)
+        per_commit.append((len(calls), max(calls, default=0)))
+    assert max(per_commit[10:]) == max(per_commit[30:]) and max(n for n, _ in per_commit) <= 3
+    state = t.manifest()
+    assert max(r.level for r in state.runs) == 2 and len(state.runs) <= 3 * 3
+    # 25 folds of two batches: three in four read the log alone.
+    assert len(merged) == 25 and sum(n == 2 for n in merged) >= 18
+    assert len(view(t)) == 51 and view(t)["x"][2] == 50
+
+
+def test_a_fold_reads_the_log_and_lookups_read_their_buckets(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path), MERGE, SCHEMA, buckets=8)
+    for i in range(3):
+        data = [(f"k{n}", 1, "a", "b", i) for n in range(100)]
+        t.commit(rows(spark, *data), i)
+        if i == 0:
+            t.compact(keep=0)
+    state = t.manifest()
+    inputs = t._live(state, state.log).inputFiles()
+    assert inputs and all("/log/" in f for f in inputs)
+    asked = spark.createDataFrame([("k7", 0)], "k string, pos int")
+    found = t.lookup(asked, ["pos"], selective=True)
+    assert found.first().n == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_bucket#\d+ (=|IN)", plan)
+
+
+def test_a_view_begun_before_a_fold_and_vacuum_is_complete_or_fails(spark, tmp_path):
+    t = table(spark, tmp_path)
+    for i in range(4):
+        t.commit(rows(spark, ("x", 1, "a", "b", i)), i)
+    begun = t.view()
+    t.compact(keep=0)
+    t.vacuum(retain=3600)
+    assert begun.first().n == 4
+    begun = t.view()
+    t.commit(rows(spark, ("x", 1, "a", "b", 4)), 4)
+    t.compact(keep=0, where=F.lit(True))
+    t.vacuum()
+    with pytest.raises(Exception, match="(?i)not exist|FileNotFound"):
+        begun.collect()
+    assert view(t)["x"][2] == 5
 
 
 def test_rows_with_unique_keys_need_no_shuffle(spark, tmp_path):
@@ -141,6 +202,74 @@ def test_generations_keep_batch_ids_apart(spark, tmp_path):
     assert not table(spark, tmp_path).commit(rows(spark, ("x", 1, "a", "b", 0)), 0)
 
 
+def test_streams_have_their_own_generations(spark, tmp_path):
+    t = table(spark, tmp_path)
+    assert t.commit(rows(spark, ("x", 1, "a", "b", 0)), 0, stream="s")
+    assert not t.commit(rows(spark, ("x", 1, "a", "b", 0)), 0, stream="s")
+    assert t.commit(rows(spark, ("x", 1, "a", "c", 1)), 0, stream="t")
+    t.compact(keep=0)
+    assert not t.commit(rows(spark, ("x", 1, "a", "c", 1)), 0, stream="t")
+    assert t.commit(rows(spark, ("x", 1, "a", "d", 2)), 1, stream="s")
+    assert view(t) == {"x": ("a", "d", 3)}
+
+
+@pytest.mark.parametrize("mode", ["transactional", "opaque"])
+def test_a_late_batch_counts_once(spark, tmp_path, mode):
+    t = table(spark, tmp_path, mode)
+    for i in (0, 2):
+        t.commit(rows(spark, ("x", 1, "a", "b", i)), i)
+    t.compact(keep=0)
+    assert t.manifest().folded == {0: [[0, 0], [2, 2]]}
+    assert t.commit(rows(spark, ("x", 1, "a", "b", 1)), 1)
+    t.compact(keep=0)
+    assert view(t) == {"x": ("a", "b", 3)} and t.manifest().folded == {0: [[0, 2]]}
+
+
+def test_a_delete_covers_no_later_batch(spark, tmp_path):
+    gone = spark.createDataFrame([("x",)], "k string")
+    t = table(spark, tmp_path)
+    assert not t.delete(gone) and not t.delete(gone, 0)
+    t.commit(rows(spark, ("x", 7, "a", "b", 0)), 0)
+    assert view(t) == {"x": ("a", "b", 7)}
+    assert t.delete(gone, 5)  # made for a batch to come: covers what there is
+    t.commit(rows(spark, ("x", 2, "c", "d", 1)), 1)
+    assert view(t) == {"x": ("c", "d", 2)}
+    again = table(spark, tmp_path, generation=1)
+    again.delete(gone)
+    again.commit(rows(spark, ("x", 3, "e", "f", 2)), 0)
+    assert view(again) == {"x": ("e", "f", 3)}
+    again.compact(keep=0)
+    again.vacuum()
+    assert view(again) == {"x": ("e", "f", 3)} and not again.manifest().deletes
+
+
+def test_a_batch_behind_a_folded_delete_is_refused(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.commit(rows(spark, ("x", 1, "a", "b", 0)), 0)
+    t.commit(rows(spark, ("y", 1, "a", "b", 2)), 2)
+    t.delete(spark.createDataFrame([("x",)], "k string"), 2)
+    t.compact(keep=0)
+    with pytest.raises(ValueError, match="delete"):
+        t.commit(rows(spark, ("x", 1, "a", "b", 1)), 1)
+    assert view(t) == {"y": ("a", "b", 1)}
+
+
+def test_deletes_reach_older_runs(spark, tmp_path):
+    t = table(spark, tmp_path)
+    for i in range(6):
+        t.commit(rows(spark, ("x", 1, "a", "b", i), ("y", 1, "a", "b", i)), i)
+        if i % 2:
+            t.compact(keep=0)
+    t.delete(spark.createDataFrame([("x",)], "k string"))
+    assert set(view(t)) == {"y"}
+    t.commit(rows(spark, ("x", 5, "c", "d", 9)), 6)
+    for _ in range(2):
+        assert view(t) == {"x": ("c", "d", 5), "y": ("a", "b", 6)}
+        t.compact(keep=0)
+        t.vacuum()
+    assert not t.manifest().deletes and len(t.manifest().runs) == 1
+
+
 def test_delete_acts_between_batches(spark, tmp_path):
     t = table(spark, tmp_path)
     t.commit(rows(spark, ("x", 1, "a0", "b0", 0), ("y", 1, "a0", "b0", 0)), 0)
@@ -179,13 +308,14 @@ def test_delete_within_what_is_folded(spark, tmp_path):
         t = table(spark, tmp_path / mode, mode)
         for i in range(3):
             t.commit(rows(spark, ("x", 1, "a", "b", i)), i)
+            if i == 0:
+                t.delete(gone, 0)
         t.compact(keep=0)
         if mode == "transactional":
-            assert not t.delete(gone, 1)
-        else:
-            with pytest.raises(ValueError, match="folded"):
-                t.delete(gone, 1)
-        assert view(t) == {"x": ("a", "b", 3)}
+            assert not t.delete(gone, 0)  # the same delete again
+        with pytest.raises(ValueError, match="folded"):
+            t.delete(gone, 1)
+        assert view(t) == {"x": ("a", "b", 2)}
 
 
 def test_compound_keys_and_namespace_folders(spark, tmp_path):

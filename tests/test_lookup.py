@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyedflow.operators.lookup import (
-    absent_rows, delete_by_key, insert_if_absent, lookup, range_scan, update_by_key,
+    _hot_keys, absent_rows, delete_by_key, insert_if_absent, lookup, range_scan, update_by_key,
 )
 
 
@@ -37,6 +37,39 @@ def test_a_hot_key_is_spread_over_many_partitions(spark):
     assert sum(sizes) == 10000 and len(sizes) >= 3 and max(sizes) < 6000
 
 
+def test_hot_is_relative_to_the_partitions(spark):
+    """0.4 % of the requests is little among 8 partitions, and 8 mean partitions among 2000."""
+    requests = spark.range(50_000).select(
+        F.col("id").alias("pos"),
+        F.when(F.col("id") % 250 == 0, F.lit("warm")).otherwise(
+            F.concat(F.lit("k"), F.col("id") % 20_011)).alias("key"),
+    )
+    assert _hot_keys(requests, ["key"]).count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", 2000)
+    try:
+        hot = _hot_keys(requests, ["key"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    warm = spark.range(1).select(F.xxhash64(F.lit("warm"))).first()[0]
+    assert {r["_hash"]: r["_salts"] for r in hot}[warm] == 8
+
+
+def test_both_sides_agree_without_reuse_of_exchanges(spark):
+    requests = spark.range(20_000).select(
+        F.col("id").alias("pos"), F.concat(F.lit("k"), (F.col("id") % 1000 * F.col("id") % 7)).alias("key"))
+    table = spark.range(4).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("v"))
+    settings = {"spark.sql.exchange.reuse": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = sorted(map(tuple, lookup(requests, table, ["key"], spread=["pos"]).collect()), key=str)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    plain = requests.join(table, "key", "left").select("key", "pos", "v")
+    assert found == sorted(map(tuple, plain.collect()), key=str)
+
+
 def test_lookup_with_identical_requests_and_compound_keys(spark):
     requests = spark.createDataFrame([("a", 1)] * 5 + [("a", 2)], "x string, y int")
     table = spark.createDataFrame([("a", 1, 10)], "x string, y int, v int")

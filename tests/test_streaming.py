@@ -68,20 +68,33 @@ def test_replaying_all_batches_from_a_new_checkpoint_changes_nothing(spark, tmp_
     source.send(4)
     table = jobs.count_table(spark, str(tmp_path / "t"), mode=mode)
     batch = source.lines.groupBy(F.col("line").alias("word")).agg(F.count("*").alias("n"))
-    for checkpoint in ("c0", "c1"):
-        finish(jobs.request_count_job(source.stream(), table, str(tmp_path / checkpoint), None))
+    for checkpoint, replays in (("c0", False), ("c1", True)):
+        finish(jobs.request_count_job(
+            source.stream(), table, str(tmp_path / checkpoint), None, replays=replays))
         same(table.view(), batch)
 
 
-def test_a_new_generation_counts_new_lines_under_old_batch_ids(spark, tmp_path):
+def test_a_new_checkpoint_over_new_lines_loses_nothing(spark, tmp_path):
+    table = jobs.count_table(spark, str(tmp_path / "t"), compact_every=3)
     totals = []
-    for generation in (0, 1):
-        source = Source(spark, tmp_path / f"in{generation}", fixtures.request_lines)
-        source.send(4)
-        table = jobs.count_table(spark, str(tmp_path / "t"), generation=generation)
-        finish(jobs.request_count_job(source.stream(), table, str(tmp_path / f"c{generation}"), None))
+    for n in range(2):
+        source = Source(spark, tmp_path / f"in{n}", fixtures.request_lines)
+        for files in (1, 3):  # with a restart of the same stream
+            source.send(files)
+            finish(jobs.request_count_job(source.stream(), table, str(tmp_path / f"c{n}"), None))
         totals.append(table.view().agg(F.sum("n")).first()[0])
     assert totals == [1000, 2000]
+    assert sorted(table.manifest().streams.values()) == [0, 1]
+
+
+def test_snapshots_of_a_new_checkpoint_win(spark, tmp_path):
+    table = jobs.match_snapshot_table(spark, str(tmp_path / "t"))
+    for n, files in enumerate((4, 1)):
+        source = Source(spark, tmp_path / f"in{n}", fixtures.match_lines)
+        source.send(files)
+        finish(jobs.match_count_job(source.stream(), table, str(tmp_path / f"c{n}"), None))
+    newest = match_count(keyed_lines(source.lines.where("seq < 300"), MATCH))
+    same(table.view().join(newest.select("row_key"), "row_key", "left_semi"), newest)
 
 
 def test_profile_job_equals_batch_across_a_restart(spark, tmp_path):
@@ -95,18 +108,41 @@ def test_profile_job_equals_batch_across_a_restart(spark, tmp_path):
     same(days.view(), profile_days(rows))
 
 
-def test_a_batch_that_died_between_its_two_tables_is_completed(spark, tmp_path):
+def test_a_batch_that_died_between_its_two_tables_is_completed(spark, tmp_path, monkeypatch):
     source = Source(spark, tmp_path / "in", fixtures.profile_lines)
     source.send(4)
     attrs, days = jobs.profile_tables(spark, str(tmp_path / "t"))
-    first = keyed_lines(source.lines.where("seq < 300"), PROFILE)
-    attrs.commit(first, 0)  # and then the driver was lost
+    commit = days.commit
+
+    def lost(*args):
+        monkeypatch.setattr(days, "commit", commit)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(days, "commit", lost)
+    with pytest.raises(Exception, match="lost"):
+        finish(jobs.profile_job(source.stream(), attrs, days, str(tmp_path / "c"), None))
+    assert attrs.view().count() and not days.view().count()
     finish(jobs.profile_job(source.stream(), attrs, days, str(tmp_path / "c"), None))
     rows = keyed_lines(source.lines, PROFILE)
     same(attrs.view(), profile_upsert(rows))
     same(days.view(), profile_days(rows))
 
 
+@pytest.mark.parametrize("rejects", [False, True])
+def test_profile_job_reads_its_source_once(spark, tmp_path, rejects):
+    source = Source(spark, tmp_path / "in", fixtures.profile_lines)
+    source.send(4)
+    attrs, days = jobs.profile_tables(spark, str(tmp_path / "t"))
+    path = str(tmp_path / "r") if rejects else None
+    query = finish(jobs.profile_job(source.stream(), attrs, days, str(tmp_path / "c"), None, path))
+    assert sum(p.numInputRows for p in query.recentProgress) == 1000
+    if rejects:
+        seen = [p.observedMetrics["lines"] for p in query.recentProgress if p.numInputRows]
+        want = quarantine(source.lines, PROFILE)
+        same(spark.read.parquet(path).select("seq", "line", "reason"), want)
+        assert sum(m.rejected for m in seen) == want.count() and sum(m.lines for m in seen) == 1000
+
+
 def test_a_failing_batch_stops_the_query_and_the_restart_completes_it(spark, tmp_path):
     source = Source(spark, tmp_path / "in", fixtures.request_lines)
     source.send(4)
@@ -170,8 +206,9 @@ def test_complete_mode_and_a_compound_order(spark, tmp_path):
     same(sums.view(), match_count(keyed_lines(source.lines, MATCH_SUM)))
 
 
-def test_print_job(spark, tmp_path):
+def test_print_job_shows_so_many_rows(spark, tmp_path, capfd):
     source = Source(spark, tmp_path / "in", fixtures.request_lines)
     source.send(1)
-    query = finish(jobs.print_job(source.stream(), str(tmp_path / "c"), None))
-    assert sum(p.numInputRows for p in query.recentProgress) == 300
+    finish(jobs.print_job(source.stream(), str(tmp_path / "c"), None, rows=3))
+    out = capfd.readouterr().out
+    assert out.startswith("Batch 0") and "only showing top 3 rows" in out
