@@ -26,6 +26,7 @@ MIN_WORDS, WINDOW = 50, 3
 SYMBOLS = "#*$%&|<>"
 BLOCKED, DISTRUSTED = 0.9, 0.5
 
+RULE_NAMES = ("base", "symbols", "duplicate_lines", "word_length")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 

@@ -142,3 +142,72 @@ def op2_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op4_decontamination"] = rf"""
+with d as (
+  select doc_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents
+), b as (
+  select item_id, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark
+), win as (
+  select distinct cast(item_id as varchar) item, least(len(w), 10) l, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') k
+  from (select *, unnest(generate_series(1, greatest(len(w) - 9, 1))) i from b where len(w) > 0)
+), dw as (
+  select doc_id, p, l, array_to_string(w[p:p + l - 1], ' ') k from (
+    select doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) p
+    from d, (select distinct l from win) where len(w) >= l)
+), hit as (
+  select doc_id, p, l, item from dw join win using (l, k)
+), pos as (
+  select doc_id, count(distinct q) n from (select doc_id, unnest(generate_series(p, p + l - 1)) q from hit) group by 1
+), it as (
+  select doc_id, count(distinct item) n, string_agg(distinct item, ',' order by item) s from hit group by 1
+)
+select doc_id, len(w) n_words, coalesce(pos.n, 0) n_hit, coalesce(it.n, 0) n_items,
+  sha256(coalesce(it.s, '')) items_sha256, coalesce(pos.n, 0) > 0 contaminated
+from d left join pos using (doc_id) left join it using (doc_id)
+"""
+
+_RULES = tuple(quality.RULE_NAMES)
+
+ORACLE["op5_host_quality"] = rf"""
+with d as (
+  select doc_id, source, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents
+), line as (
+  select doc_id, l, count(*) n from (select doc_id, unnest(string_split(t, chr(10))) l from d) group by 1, 2
+), dup as (
+  select doc_id, sum(n) n_lines, sum(case when regexp_matches(l, '[^\x20\x09-\x0D]') then n - 1 else 0 end) n_dup from line group by 1
+), win as (
+  select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) n
+  from (select doc_id, w, unnest(generate_series(1, len(w) - 2)) i from d)
+), rep as (
+  select doc_id, count(distinct q) n_rep from (select doc_id, unnest([i, i + 1, i + 2]) q from win where n > 1) group by 1
+), m as (
+  select d.doc_id, source, len(w) n_words, cast(coalesce(list_sum([length(x) for x in w]), 0) as bigint) word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) n_symbols, n_lines, cast(n_dup as bigint) n_dup_lines, coalesce(n_rep, 0) n_repeat_words
+  from d join dup using (doc_id) left join rep using (doc_id)
+), r as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base, 10 * n_symbols > n_words symbols,
+    10 * n_dup_lines > 3 * n_lines duplicate_lines, word_chars < 3 * n_words or word_chars > 15 * n_words word_length
+  from m
+), h as (
+  select source, count(*) n, {", ".join(f"count(*) filter ({x}) f_{x}" for x in _RULES)} from r group by source
+), s as (
+  select count(*) k, sum(n) n, sum(cast(n as double) * n) sq,
+    {", ".join(f"sum(f_{x}) f_{x}, sum(cast(f_{x} as double) * f_{x} / n) s_{x}" for x in _RULES)} from h
+), prior as (
+  select {", ".join(
+      f"f_{x} / n mean_{x}, case when f_{x} in (0, n) then 1.0 else 1 / least(greatest("
+      f"(s_{x} - f_{x} * f_{x} / n - f_{x} / n * (1 - f_{x} / n) * (k - 1)) / greatest("
+      f"f_{x} / n * (1 - f_{x} / n) * (n - sq / n - (k - 1)), 1e-9), 1 / 1001.0), 0.5) - 1 end g_{x}" for x in _RULES)}
+  from s
+), rate as (
+  select source, {", ".join(f"(f_{x} + mean_{x} * g_{x}) / (n + g_{x}) rate_{x}" for x in _RULES)} from h, prior
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base base_failed,
+  not base and not (rate_base > {quality.BLOCKED}
+    {" ".join(f"or ({x} and rate_{x} > {quality.DISTRUSTED})" for x in _RULES if x != "base")}) kept
+from r join rate on r.source is not distinct from rate.source
+"""
