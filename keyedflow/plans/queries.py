@@ -691,7 +691,7 @@ def rollup_rejects(spark, sf_dir):
     checkpoint = shared_dir(spark, "checkpoint")
     _run(jobs.rollup_job, _url_stream(spark, sf_dir), table, "shortid", "day", "ts", checkpoint, rejects=path)
     stored = spark.read.schema("seq bigint, shortid string, day string, reason string")
-    return stored.parquet(path)
+    return stored.parquet(path).select("seq", "shortid", "day", "reason")
 
 
 @query("cells_stream")
