@@ -5,25 +5,46 @@ stage's documents. All but the last return the columns of `documents`; `n_chars`
 empty texts and repeated rows on by the rules of their operators, and an empty table gives an empty one.
 """
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keyedflow.llm import bpe, decontam, line_dedup, quality, simhash
 from keyedflow.llm.common import stored, table
+from keyedflow.session import ship_package
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(stage: Stage) -> Stage:
+    """The stage, after the executors have this library's source."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
+@_stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and their host's record keep."""
     measured = stored(quality.measure(docs), "measured")
     return quality.judge(measured).where("kept").select(*docs.columns)
 
 
+@_stage
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that three or more of them share."""
     kept = line_dedup.line_dedup(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     return kept.select(*docs.columns)
 
 
+@_stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints: the one of the smallest id.
 
@@ -45,11 +66,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.where(F.col("times") == 1).select(*columns).union(again.select(*columns))
 
 
+@_stage
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, and whether they decode to its text."""
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
