@@ -2,14 +2,16 @@
 
 Byte-pair encoders cut a text by a pattern and encode each match by itself. Natural text repeats its
 words, so a worker keeps the ids of parts that it has met. A part ends before a space that stands
-alone between two other characters: whatever follows, the pattern starts a match there.
+alone between two other characters: whatever follows, the pattern starts a match there. A part is
+kept when it is met for the second time, so the many that occur once do not displace the others.
 """
 
 import gc
-from collections.abc import Callable, Iterable, Iterator
+import re
+from collections.abc import Callable, Iterator
 
-#: Entries of each of a worker's two caches, and characters that are looked up at a time.
-CACHE_ENTRIES, SLICE_CHARS = 300_000, 3_000_000
+#: Entries of a worker's cache, marks for parts met before, and characters looked up at a time.
+CACHE_ENTRIES, MARKS, SLICE_CHARS = 600_000, 1 << 22, 3_000_000
 
 
 class PretokenCache:
@@ -20,25 +22,25 @@ class PretokenCache:
 
         self.encode_words = encode_words
         self.split = regex.compile(pattern).findall
-        self.space_run = regex.compile(r"\s\s").search
+        # All that the pattern's white space holds, and a little more.
+        self.space_run = re.compile(r"\s\s").search
         self.lone_space = regex.compile(r"(?<=\S) (?=\S)").split
         self.edge_space = regex.compile(r"^\s|\s\Z").search
         self.parts: dict[str, bytes] = {}  # by a part without the space before it
-        self.words: dict[str, bytes] = {}
+        self.marks = bytearray(MARKS)
 
     def _cut(self, text: str) -> list[str]:
-        if self.space_run(text) or self.edge_space(text):
+        if self.edge_space(text) or self.space_run(text):
             return self.lone_space(text)
         return text.split(" ")
 
-    def _words(self, texts: Iterable[list[str]]) -> None:
-        """Have the ids of all these matches in `words`."""
-        known = self.words
-        new = list({w for words in texts for w in words if w not in known})
-        known.update(zip(new, self.encode_words(new)))
-
-    def _whole(self, words: list[str]) -> bytes:
-        return b"".join([self.words[w] for w in words])
+    def _matches(self, part: str) -> list[str]:
+        """The pattern's matches in a part and the space before it."""
+        if part.isalpha():
+            return [" " + part]
+        if part[-1] in ".,;:" and part[:-1].isalpha():
+            return [" " + part[:-1], part[-1]]
+        return self.split(" " + part)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text; whole texts, in slices of a bounded size unless one is longer."""
@@ -58,22 +60,29 @@ class PretokenCache:
 
     def _slice(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]
-        first = [self.split(parts[0]) for parts in cut]
-        known = self.parts
-        missing = {p for parts in cut for p in parts[1:] if p not in known}
-        matches = {p: self.split(" " + p) for p in missing}
-        self._words(first)
-        self._words(matches.values())
-        for part, words in matches.items():
-            known[part] = self._whole(words)
-        ids = [
-            self._whole(words) + b"".join([known[p] for p in parts[1:]])
-            for parts, words in zip(cut, first)
+        first = [self.split(parts.pop(0)) for parts in cut]
+        known, marks = self.parts, self.marks
+        found = [list(map(known.get, parts)) for parts in cut]  # None for a part not met yet
+        gaps = [[i for i, ids in enumerate(f) if ids is None] if None in f else () for f in found]
+        missing = {parts[i] for parts, gap in zip(cut, gaps) for i in gap}
+        matches = {p: self._matches(p) for p in missing}
+        new = list({w for m in (*first, *matches.values()) for w in m})
+        words = dict(zip(new, self.encode_words(new)))
+        learned = {p: b"".join([words[w] for w in m]) for p, m in matches.items()}
+        for parts, ids, gap in zip(cut, found, gaps):
+            for i in gap:
+                p = parts[i]
+                ids[i] = learned[p]
+                mark = hash(p) & (MARKS - 1)
+                if marks[mark]:
+                    known[p] = learned[p]
+                else:
+                    marks[mark] = 1
+        result = [
+            b"".join([words[w] for w in m]) + b"".join(ids) for m, ids in zip(first, found)
         ]
         # When full, keep what this slice used: the frequent parts are among it.
         if len(known) > CACHE_ENTRIES:
-            self.parts = {p: known[p] for parts in cut for p in parts[1:]}
-        if len(self.words) > CACHE_ENTRIES:
-            used = {w for words in (*first, *matches.values()) for w in words}
-            self.words = {w: self.words[w] for w in used}
-        return ids
+            self.parts = {p: known[p] for parts in cut for p in parts if p in known}
+            self.marks = bytearray(MARKS)
+        return result

@@ -11,7 +11,8 @@ Elias-Fano keeps of each value the low bits as they are, and the high bits as on
 by select(i), the place of the i-th one; the only table for it has a 32-bit count for every 4096 bits. A file takes about
 2 + log2(ids / documents) bits for a boundary.
 
-A file is written under a name of its own and then renamed, and its content depends on its rows alone, so a task that is
+The folder must be one that all executors share, in a file system that pyarrow opens by its address (local or mounted
+paths, hdfs, s3, gs). A file is written under a name of its own and then renamed, and its content depends on its rows alone, so a task that is
 run again, or twice, leaves the same file. Null and empty texts have only the end id. Documents without an id come first
 and are read back without one. Rows of one id are ordered by their text's hash. An empty table gives no file and reads back as
 an empty table. Only the id and the text are written, so other columns do no harm.
@@ -113,14 +114,17 @@ class IdEncoder:
         self.model = tokenizer.model
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.alphabet = byte_alphabet()
+        width = np.dtype(self.dtype).itemsize
+        self.raw = [i.to_bytes(width, "little") for i in range(tokenizer.get_vocab_size())]
         self.cache = PretokenCache(pattern, self._encode_words)
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        tokenize, alphabet = self.model.tokenize, self.alphabet
-        return [
-            np.array([t.id for t in tokenize(w.encode().decode("latin-1").translate(alphabet))], self.dtype).tobytes()
-            for w in words
+        tokenize, alphabet, raw, space = self.model.tokenize, self.alphabet, self.raw, self.alphabet[32]
+        written = [
+            space + w[1:] if w.isascii() and w[0] == " " and w[1:].isalpha()
+            else w.encode().decode("latin-1").translate(alphabet) for w in words
         ]
+        return [b"".join([raw[t.id] for t in tokenize(w)]) for w in written]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         return self.cache.encode(texts)
@@ -238,6 +242,7 @@ def write_ids(
             })
 
     written = stored(dealt.mapInArrow(run, "folder string, part int, docs long, ids long"), "files")
+    # One row for each file of thousands of documents, so one task can add them up.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("ids").over(before), F.lit(0))
     return written.select("folder", "part", "docs", first.alias("first_id"))
@@ -263,5 +268,6 @@ def read_ids(files: DataFrame, docs_at_once: int = 1024) -> DataFrame:
                         "ids": pa.array([ids[a:b].tobytes() for a, b in zip(*local)], pa.binary()),
                     })
 
-    spread = files.repartition("part")
+    # A number of partitions that is given is not merged: few rows here stand for much to read.
+    spread = files.repartition(max(files.count(), 1), "part")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
