@@ -180,8 +180,10 @@ with d as (
 ), dup as (
   select doc_id, sum(n) n_lines, sum(case when regexp_matches(l, '[^\x20\x09-\x0D]') then n - 1 else 0 end) n_dup from line group by 1
 ), win as (
-  select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) n
-  from (select doc_id, w, unnest(generate_series(1, len(w) - 2)) i from d)
+  select doc_id, i, count(*) over (partition by doc_id, k) n from (
+    select doc_id, unnest(generate_series(1, len(w) - 2)) i,
+      unnest([array_to_string(w[x:x + 2], ' ') for x in generate_series(1, len(w) - 2)]) k
+    from d)
 ), rep as (
   select doc_id, count(distinct q) n_rep from (select doc_id, unnest([i, i + 1, i + 2]) q from win where n > 1) group by 1
 ), m as (
