@@ -36,8 +36,8 @@ HEAD, SHARE, ORDER = 1e-6, 1e-5, 3
 ADD, DISCOUNT = 0.1, 0.5
 #: A word never holds white space, so this can stand for the end of a text.
 END = b" "
-#: Counts that a task holds before it passes them on.
-HELD = 1_000_000
+#: Different words, and words in all, that a task counts before it passes the counts on.
+HELD_WORDS, HELD_TOKENS = 500_000, 2_000_000
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -62,7 +62,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for text in _texts(batches):
         held.update(tokens_of(text))
-        if len(held) > HELD:
+        if len(held) > HELD_WORDS:
             yield flush()
             held.clear()
     yield flush()
@@ -84,14 +84,10 @@ class Grams:
     def __init__(self, words: dict[bytes, int], levels: list[np.ndarray]):
         self.words, self.levels = words, levels
 
-    def number(self, tokens: list[list[bytes]]) -> np.ndarray:
-        """Word numbers of all texts, -1 for others, and a -1 after each text."""
-        get, other = self.words.get, repeat(-1)
-        out = np.full(sum(map(len, tokens)) + len(tokens), -1, np.int64)
-        at = 0
-        for t in tokens:
-            out[at : at + len(t)] = np.fromiter(map(get, t, other), np.int64, len(t))
-            at += len(t) + 1
+    def number(self, tokens: list[bytes]) -> np.ndarray:
+        """The numbers of a text's words, -1 for others, and a -1 after the text."""
+        out = np.full(len(tokens) + 1, -1, np.int64)
+        out[:-1] = np.fromiter(map(self.words.get, tokens, repeat(-1)), np.int64, len(tokens))
         return out
 
     def next_keys(self, ids: np.ndarray) -> np.ndarray:
@@ -123,19 +119,19 @@ def gram_counts(training: DataFrame, grams: Grams, least: int) -> tuple[np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        slice_, size = [], 0
+        held, size = [], 0  # as numbers: words as objects would take far more
 
         def counted() -> pa.RecordBatch:
-            keys, n = np.unique(own.next_keys(own.number(slice_)), return_counts=True)
+            ids = np.concatenate(held) if held else np.empty(0, np.int64)
+            keys, n = np.unique(own.next_keys(ids), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
 
         for text in _texts(batches):
-            tokens = tokens_of(text)
-            slice_.append(tokens)
-            size += len(tokens)
-            if size > 4 * HELD:
+            held.append(own.number(tokens_of(text)))
+            size += len(held[-1])
+            if size > HELD_TOKENS:
                 yield counted()
-                slice_, size = [], 0
+                held, size = [], 0
         yield counted()
 
     counts = training.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
