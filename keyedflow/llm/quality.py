@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import slices
+from .common import slices, stored
 
 #: Fixed rule values: words, share of words in repeated windows; see `base_failed`.
 MIN_WORDS, WINDOW = 50, 3
@@ -124,12 +124,23 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
 
 
 def judge(measured: DataFrame, host: str = "source") -> DataFrame:
-    """`measured` with `base_failed` and `kept`. It is read twice, so store it first."""
-    rates = host_rates(measured, host).withColumnRenamed(host, "_host").drop("_n")
-    joined = measured.drop("base_failed", "kept").join(rates, F.col(host).eqNullSafe(F.col("_host")), "left")
-    refused = F.col("rate_base") > BLOCKED
-    for name, rule in rules().items():
-        if name != "base":
-            refused = refused | (rule & (F.col(f"rate_{name}") > DISTRUSTED))
-    result = joined.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & ~refused})
-    return result.select(*measured.drop("base_failed", "kept").columns, "base_failed", "kept")
+    """`measured` with `base_failed` and `kept`. It is read twice, so store it first.
+
+    Only hosts with a verdict against them are joined, a table that is stored so that its size is
+    known: Spark broadcasts it if it is small, and otherwise splits a host of very many documents.
+    """
+    soft = {name: rule for name, rule in rules().items() if name != "base"}
+    verdicts = host_rates(measured, host).select(
+        F.col(host).alias("_host"), (F.col("rate_base") > BLOCKED).alias("_blocked"),
+        *((F.col(f"rate_{name}") > DISTRUSTED).alias(f"_against_{name}") for name in soft),
+    )
+    against = F.col("_blocked")
+    refused = F.col("_blocked")
+    for name, rule in soft.items():
+        against = against | F.col(f"_against_{name}")
+        refused = refused | (F.col(f"_against_{name}") & rule)
+    verdicts = stored(verdicts.where(against), "verdicts")
+    columns = measured.drop("base_failed", "kept").columns
+    joined = measured.select(*columns).join(verdicts, F.col(host).eqNullSafe(F.col("_host")), "left")
+    kept = ~base_failed() & ~F.coalesce(refused, F.lit(False))
+    return joined.select(*columns, base_failed().alias("base_failed"), kept.alias("kept"))
