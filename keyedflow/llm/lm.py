@@ -1,39 +1,47 @@
-"""Language-model scores by a weighted backoff automaton.
+"""Language-model scores by a trigram backoff model that is kept as tables.
 
 Tokens are words, lower-cased in A-Z, that end at U+0020 and U+0009 to U+000D, then one end token per text. Training
 texts are those whose crc32(id as text) mod 10 is not 0.
 
 The model. Unigrams have (c + 0.1) / (N + 0.1 * (V + 1)), where the one in V + 1 stands for all unseen tokens. An n-gram
-of a higher order is kept if it makes up at least `SHARE` of the training tokens (and occurs twice). A kept n-gram has
-(c - 0.5) / c(context); what a context has left goes to its backoff, in proportion to the next lower order, so that the
-probabilities of every context sum to one. Contexts become states, kept n-grams arcs, and each state has a failure arc
-that carries its backoff weight to the state of the next shorter context. One left-to-right pass over a text carries the
-state and adds up log-probabilities.
-
-Counting. All words of all training texts are counted, in partial sums per task and one shuffle. Since an n-gram is
-never more frequent than its parts, the n-grams of order n are counted among those whose first n-1 words were kept, again
-with partial sums and one shuffle. At most 1 / SHARE n-grams of an order, and 1 / HEAD words, can reach their shares:
-that bounds what is broadcast at any size of the corpus. Words below HEAD have no arcs; their exact counts are
-joined from the table of all counts, by the word, and only their number and log-probabilities enter a text's sums.
+of a higher order is kept if it occurs `LEAST` times, at any size of the corpus (or makes up `share` of the training tokens,
+if that is given and more). A kept n-gram has (c - 0.5) / c(context); what a context has left goes to its backoff, in
+proportion to the next lower order, so that the probabilities of every context sum to one.
+
+Values. The log-probability of a text is a sum over all n-grams in it, of each order. A word adds its unigram; a kept n-gram
+adds what its own probability differs from that by the failure arc (the backoff of its context and the next lower order);
+and each adds its own backoff as a context, since every token but the end is followed by one. Other n-grams add nothing.
+So a value per n-gram is all that scoring needs, and texts and values meet in a join.
+
+Tables. Words are known by their 64-bit hash. Counts are partial sums per task and one shuffle for each order. Since an
+n-gram is never more frequent than its parts, those with a part that was not kept are left out before the shuffle as far as
+a bitmap of fixed size knows them; it never leaves out a kept one. The same bitmap thins the n-grams of the texts before the
+join. The most frequent words (`HEAD`) and n-grams (`DIRECT` at most) are broadcast and looked up in place, which changes no
+result; all others are joined.
 
 Null and empty texts consist of the end token. Rows of one id are scored one by one; repeated rows train as often as they
 occur. Null ids train, as they have no fold. Without training texts every token is unseen. Only the id and the text are read.
 """
 
+import gc
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.files import delete
 from .common import residue, slices, stored
 
-HEAD, SHARE, ORDER = 1e-6, 1e-5, 3
+HEAD, LEAST, ORDER = 1e-6, 2, 3
 ADD, DISCOUNT = 0.1, 0.5
+#: Kept n-grams that are looked up in place, at most; bits of the bitmap of kept n-grams, as a power of two.
+DIRECT, BITS = 1 << 20, 28
 #: A word never holds white space, so this can stand for the end of a text.
 END = b" "
 #: Different words, and words in all, that a task counts before it passes the counts on.
@@ -74,237 +82,307 @@ def word_counts(training: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Grams:
-    """The kept n-grams so far, for numbering those that occur in a text.
+# -- n-grams ----------------------------------------------------------------------------------
 
-    words: word -> number from 0, the end token last; levels[i]: the sorted keys of the kept n-grams of order i + 2,
-    where a key is the number of the first words (in the level before) * len(words) + the last word.
-    """
 
-    def __init__(self, words: dict[bytes, int], levels: list[np.ndarray]):
-        self.words, self.levels = words, levels
+def _names(order: int) -> list[str]:
+    return [f"w{i}" for i in range(order)]
+
+
+def key_column(names: list[str]) -> Column:
+    """The key of an n-gram: its words' hashes, each rotated by its place."""
+    key = F.col(names[0])
+    for i, name in enumerate(names[1:], 1):
+        turn = 17 * i % 64
+        turned = F.shiftleft(name, turn).bitwiseOR(F.shiftrightunsigned(name, 64 - turn))
+        key = key.bitwiseXOR(turned)
+    return key
+
+
+def keys_of(hashes: list[np.ndarray]) -> np.ndarray:
+    """The same for arrays (uint64)."""
+    key = hashes[0].copy()
+    for i, h in enumerate(hashes[1:], 1):
+        turn = 17 * i % 64
+        key ^= (h << np.uint64(turn)) | (h >> np.uint64(64 - turn))
+    return key
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """The bits of the keys' low ends (uint64): 2^BITS bits at any number of keys."""
+    low = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(low & 63 as int))")
+    words = keys.select(low.alias("low")).select(F.shiftright("low", 6).alias("at"), bit.alias("bit"))
+    rows = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def holds(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be in a bitmap."""
+    low = keys & np.uint64((1 << BITS) - 1)
+    return (bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) == 1
+
 
-    def number(self, tokens: list[bytes]) -> np.ndarray:
-        """The numbers of a text's words, -1 for others, and a -1 after the text."""
-        out = np.full(len(tokens) + 1, -1, np.int64)
-        out[:-1] = np.fromiter(map(self.words.get, tokens, repeat(-1)), np.int64, len(tokens))
-        return out
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
-    def next_keys(self, ids: np.ndarray) -> np.ndarray:
-        """The keys of the n-grams one order above the kept ones, wherever their first words are kept."""
-        size, context = len(self.words), ids
-        for n, level in enumerate(self.levels, 1):
-            context = self._keys(context[:-1], ids[n:], size)
-            context = find_sorted(level, context)
-        keys = self._keys(context[:-1], ids[len(self.levels) + 1 :], size)
-        return keys[keys >= 0]
 
-    @staticmethod
-    def _keys(context: np.ndarray, ids: np.ndarray, size: int) -> np.ndarray:
-        return np.where((context >= 0) & (ids >= 0), context * size + ids, -1)
+class Words:
+    """Texts as numbers of the words met so far, with the hashes by number."""
 
+    def __init__(self):
+        self.number = _Numbers()
 
-def find_sorted(level: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """The places of the keys in a sorted array, -1 for those not there."""
-    if not len(level):
-        return np.full(len(keys), -1, np.int64)
-    at = np.searchsorted(level, keys)
-    at[at == len(level)] = 0
-    return np.where(level[at] == keys, at, -1)
+    def of(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
+    def hashes(self) -> np.ndarray:
+        import xxhash
 
-def gram_counts(training: DataFrame, grams: Grams, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, counts), sorted, of the n-grams of the next order that occur `least` times or more."""
-    sent = training.sparkSession.sparkContext.broadcast(grams)
+        digest = xxhash.xxh64_intdigest
+        return np.fromiter((digest(w, 42) for w in self.number), np.uint64, len(self.number))
+
+
+def gram_counts(training: DataFrame, order: int, least: int, lower: np.ndarray | None) -> DataFrame:
+    """(w0, .., n): the n-grams of an order, as hashes, that occur `least` times or more.
+
+    lower: the bitmap of the kept n-grams one order below, if there is one.
+    """
+    names = _names(order)
+    sent = training.sparkSession.sparkContext.broadcast(lower)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        held, size = [], 0  # as numbers: words as objects would take far more
+        bits = sent.value
+        words, held, size = Words(), [], 0
 
         def counted() -> pa.RecordBatch:
             ids = np.concatenate(held) if held else np.empty(0, np.int64)
-            keys, n = np.unique(own.next_keys(ids), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
+            hashes, end, length = words.hashes(), words.number.get(END, -1), max(0, len(ids) - order + 1)
+            parts = [ids[i : i + length] for i in range(order)]
+            good = np.ones(length, bool)  # nothing goes on behind an end token
+            for part in parts[:-1]:
+                good &= part != end
+            if bits is not None:
+                found = holds(bits, keys_of([hashes[ids[i : i + max(0, len(ids) - order + 2)]] for i in range(order - 1)]))
+                good &= found[:length] & found[1 : length + 1]
+            parts = [part[good] for part in parts]
+            key, span = parts[0], max(1, len(hashes))
+            for i, part in enumerate(parts[1:], 1):
+                if i > 1 and span ** (i + 1) >= 1 << 62:
+                    key = np.unique(key, return_inverse=True)[1]
+                key = key * span + part
+            _, first, n = np.unique(key, return_index=True, return_counts=True)
+            columns = [pa.array(hashes[part[first]].view(np.int64)) for part in parts]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], names=[*names, "n"])
 
         for text in _texts(batches):
-            held.append(own.number(tokens_of(text)))
+            held.append(words.of(tokens_of(text)))
             size += len(held[-1])
             if size > HELD_TOKENS:
                 yield counted()
-                held, size = [], 0
+                words, held, size = Words(), [], 0
         yield counted()
 
-    counts = training.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= least).toArrow()  # at most 1 / SHARE rows
-    keys, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
+    partial = training.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
+    # The tasks have reduced them as far as they can, so they are dealt before Spark adds them up.
+    return partial.repartition(*names).groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def _release(*tables: DataFrame) -> None:
+    """Delete stored tables that are not read again, and shuffle files, which go with the driver's garbage."""
+    for df in tables:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            delete(df.sparkSession, folder)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
-# -- the automaton ----------------------------------------------------------------------------
+# -- the model --------------------------------------------------------------------------------
 
 
-class Automaton:
-    """States with arcs word -> (next state, log10 probability), a failure state and its weight.
+class Model:
+    """What scoring looks up in place, and the tables that it joins.
 
-    State 0 is the empty context; its arcs are `first_next` and `first_log`, by word number.
+    counts: (word, n) of all words; n: training tokens; total: N + 0.1 * (V + 1); head: frequent word -> number, first_log and
+    own_weight: their unigrams and backoffs by number; values: (key, n, value) of kept n-grams and of the backoff of words;
+    direct_keys, direct_values: those of the most frequent ones, sorted by key; bits: the bitmap of all keys.
     """
 
-    def __init__(self, head: dict[bytes, int], counts: np.ndarray, total: float, kept: dict[tuple, int]):
-        """head: word -> number; counts: by number; total: N + 0.1 * (V + 1); kept: n-gram -> count."""
-        self.head, self.end = head, head[END]
-        self.first_log = np.log10((counts + ADD) / total)
-        by_context: dict[tuple, list[tuple[int, int]]] = {}
-        for gram, n in kept.items():
-            by_context.setdefault(gram[:-1], []).append((gram[-1], n))
-        contexts = sorted(by_context, key=len)
-        self.state = {(): 0} | {c: i for i, c in enumerate(contexts, 1)}
-        self.arcs: list[dict[int, tuple[int, float]]] = [{}]
-        self.fail, self.weight = [0], [0.0]
-        self.first_next = [self.state.get((w,), 0) for w in range(len(counts))]
-        probability: dict[tuple, float] = {}
-
-        def lower(context: tuple, word: int) -> float:
-            """The probability of a word by the arcs and failures of a shorter context."""
-            scale = 1.0
-            while context:
-                if (p := probability.get((*context, word))) is not None:
-                    return scale * p
-                if (s := self.state.get(context)) is not None:
-                    scale *= 10 ** self.weight[s]
-                context = context[1:]
-            return scale * 10 ** float(self.first_log[word])
-
-        for context in contexts:
-            n_context = kept[context] if len(context) > 1 else int(counts[context[0]])
-            spent = below = 0.0
-            arcs = {}
-            for word, n in by_context[context]:
-                p = (n - DISCOUNT) / n_context
-                spent += p
-                below += lower(context[1:], word)
-                probability[(*context, word)] = p
-                arcs[word] = (self._after((*context, word)), math.log10(p))
-            self.arcs.append(arcs)
-            self.fail.append(self._after(context[1:]))
-            self.weight.append(math.log10((1 - spent) / (1 - below)))
-
-    def _after(self, history: tuple) -> int:
-        """The state of the longest end of a history that is one."""
-        while history not in self.state:
-            history = history[1:]
-        return self.state[history]
-
-    def traverse(self, numbers: list[int]) -> float:
-        """Log10 probability of a text without the first-order part of words that have no number (-1)."""
-        arcs, fail, weight, first_next = self.arcs, self.fail, self.weight, self.first_next
-        first_log = self._logs()
-        total, state = 0.0, 0
-        for word in numbers:
-            while state:
-                arc = arcs[state].get(word)
-                if arc is not None:
-                    state, log = arc
-                    total += log
-                    break
-                total += weight[state]
-                state = fail[state]
-            else:
-                if word >= 0:
-                    total += first_log[word]
-                    state = first_next[word]
-        return total
-
-    def _logs(self) -> list[float]:
-        if not hasattr(self, "_log_list"):
-            self._log_list = self.first_log.tolist()
-        return self._log_list
+    def __init__(self, **parts):
+        self.__dict__ |= parts
+
+
+def _values(words: DataFrame, grams: list[DataFrame]) -> DataFrame:
+    """(key, n, value, order), stored, of all kept n-grams and of the words that are contexts.
+
+    words: (w0, n, p); grams: the counts of the orders from two on, which are deleted.
+    """
+    levels, weights, used = [words], [], []
+    for order, counts in enumerate(grams, 2):
+        names, below = _names(order), levels[-1]
+        shorter = names[:-1]
+        context = below.select(*shorter, F.col("n").alias("n_context"))
+        suffix = below.select(*(F.col(a).alias(b) for a, b in zip(shorter, names[1:])), F.col("p").alias("p_lower"))
+        level = counts.join(context, shorter).join(suffix, names[1:])
+        level = stored(level.withColumn("p", (F.col("n") - DISCOUNT) / F.col("n_context")), f"grams{order}")
+        left = (1 - F.sum("p")) / (1 - F.sum("p_lower"))
+        weight = stored(level.groupBy(*shorter).agg(F.log10(left).alias("weight")), f"weights{order}")
+        weights.append(weight)
+        used += [level, weight]
+        _release(counts)
+        levels.append(level.join(weight, shorter).select(
+            *names, "n", "p", (F.log10("p") - F.log10("p_lower") - F.col("weight")).alias("own")))
+    out = []
+    for order, level in enumerate(levels, 1):
+        names = _names(order)
+        own = F.col("own") if order > 1 else F.lit(0.0)
+        if order <= len(weights):
+            level = level.join(weights[order - 1], names, "left" if order > 1 else "inner")
+            own = own + F.coalesce("weight", F.lit(0.0))
+        elif order == 1:
+            level = level.where("false")
+        out.append(level.select(key_column(names).alias("key"), "n", own.alias("value"), F.lit(order).alias("order")))
+    values = stored(reduce(DataFrame.union, out), "values")
+    _release(*used)
+    return values
 
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER, head: float = HEAD,
-          share: float = SHARE) -> tuple[DataFrame, int, float, Automaton]:
-    """(counts of all words, stored; N; N + 0.1 * (V + 1); the automaton)."""
+          share: float = 0.0) -> Model:
     in_training = F.coalesce(residue(id, 10) != 0, F.lit(True))
     training = docs.where(in_training).select(text)
     counts = stored(word_counts(training), "words")
     n, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     n = n or 0
     total = n + ADD * (distinct + 1)
+    least = max(LEAST, math.ceil(share * n))
+    p = (F.col("n") + ADD) / F.lit(total)
+    words = counts.where(F.col("n") >= least).select(F.xxhash64("word").alias("w0"), "n", p.alias("p"))
+    grams, bits = [], None
+    for size in range(2, order + 1):
+        grams.append(stored(gram_counts(training, size, least, bits), f"counts{size}"))
+        if size < order:
+            bits = bitmap(grams[-1].select(key_column(_names(size)).alias("key")))
+    values = _values(words, grams)
+
     # at most 1 / head words, and the end token
     frequent = counts.where((F.col("n") >= head * n) | (F.col("word") == F.lit(END)))
-    rows = sorted((bytes(w), c) for w, c in zip(*(c.to_pylist() for c in frequent.toArrow().columns)))
-    seen = dict(rows)
-    seen.setdefault(END, 0)
-    words = {w: i for i, w in enumerate(seen)}
-    least = max(2, math.ceil(share * n))
-    common = [w for w in words if seen[w] >= least or w == END]
-    small = Grams({w: i for i, w in enumerate(common)}, [])
-    to_head = [words[w] for w in common]
-    kept: dict[tuple, int] = {}
-    grams: list[tuple] = [(i,) for i in to_head]
-    for _ in range(2, order + 1):
-        keys, found = gram_counts(training, small, least)
-        grams = [(*grams[k // len(common)], to_head[k % len(common)]) for k in keys.tolist()]
-        kept |= dict(zip(grams, found.tolist()))
-        small = Grams(small.words, [*small.levels, keys])
-    return counts, n, total, Automaton(words, np.array(list(seen.values()), np.float64), total, kept)
+    weights = values.where(F.col("order") == 1).select("key", "value")
+    frequent = frequent.withColumn("key", F.xxhash64("word")).join(weights, "key", "left")
+    rows = frequent.select("word", "n", F.coalesce("value", F.lit(0.0)).alias("value")).toArrow()
+    seen = {w: i for i, w in enumerate(rows.column("word").to_pylist())}
+    n_seen, own_weight = rows.column("n").to_numpy().astype(np.float64), rows.column("value").to_numpy()
+    if END not in seen:
+        seen[END] = len(seen)
+        n_seen, own_weight = np.append(n_seen, 0.0), np.append(own_weight, 0.0)
+
+    # the least count whose n-grams, with all more frequent ones, are DIRECT at most
+    longer = values.where(F.col("order") > 1)
+    sizes, so_far, bound = longer.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).toLocalIterator(), 0, None
+    for r in sizes:
+        so_far += r["k"]
+        if so_far > DIRECT:
+            break
+        bound = r["n"]
+    direct = longer.where(F.lit(False) if bound is None else F.col("n") >= bound).select("key", "value").toArrow()
+    keys = direct.column("key").to_numpy().view(np.uint64)
+    at = np.argsort(keys)
+    rest = values.where(F.lit(True) if bound is None else (F.col("order") == 1) | (F.col("n") < bound)).select("key", "value")
+    return Model(
+        counts=counts, n=n, total=total, order=order, values=rest, head=seen, first_log=np.log10((n_seen + ADD) / total),
+        own_weight=own_weight, direct_keys=keys[at], direct_values=direct.column("value").to_numpy()[at], bits=bitmap(values),
+    )
 
 
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
-    counts, n, total, automaton = train(docs, id, text, **options)
-    sent = docs.sparkSession.sparkContext.broadcast(automaton)
+    model = train(docs, id, text, **options)
+    n, total, order = model.n, model.total, model.order
+    local = ("head", "first_log", "own_weight", "direct_keys", "direct_values", "bits")
+    sent = docs.sparkSession.sparkContext.broadcast({k: getattr(model, k) for k in local})
     rows = docs.select(F.coalesce(residue(id, 10) == 0, F.lit(False)).alias("held_out"), F.col(id).alias("_id"), F.col(text).alias("_text"))
     id_type = dict(rows.dtypes)["_id"]
     schema = (
         f"_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, path double, "
-        "rare array<struct<word:binary,times:int>>"
+        "rare array<struct<word:binary,times:int>>, keys array<long>"
     )
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
+        own = Model(**sent.value)
         get, other = own.head.get, repeat(-1)
         row = TaskContext.get().partitionId() << 40
         end_seen = n > 0
         for batch in slices(batches, 2):
+            numbering = Words()
+            texts = [tokens_of(t) for t in _texts([batch], 2)]
+            ids = [numbering.of(t) for t in texts]
+            size = len(numbering.number)
+            hashes = numbering.hashes()
+            by_number = list(numbering.number)
+            frequent = np.fromiter(map(get, by_number, other), np.int64, size)
+            is_rare = frequent < 0
+            log = np.where(is_rare, 0.0, own.first_log[frequent])
+            weight = np.where(is_rare, 0.0, own.own_weight[frequent])
+            rare_key = is_rare & holds(own.bits, hashes)
             out = {"row": [], "n_tokens": [], "known": [], "base": [], "path": []}
-            words, times, offsets = [], [], [0]
-            for text in _texts([batch], 2):
-                tokens = tokens_of(text)
-                numbers = list(map(get, tokens, other))
-                known = np.array(numbers)
-                known = known[known >= 0]
-                rare = Counter([t for t, i in zip(tokens, numbers) if i < 0])
-                words += rare.keys()
-                times += rare.values()
+            words, times, offsets, keys, key_offsets = [], [], [0], [], [0]
+            for numbers in ids:
+                rare = np.unique(numbers[is_rare[numbers]], return_counts=True)
+                words += [by_number[i] for i in rare[0].tolist()]
+                times += rare[1].tolist()
                 offsets.append(len(words))
+                base = float(log[numbers].sum())
+                path = base + float(weight[numbers].sum())
+                open_keys = [hashes[numbers[rare_key[numbers]]]]
+                h = hashes[numbers]
+                for k in range(2, order + 1):
+                    if len(h) < k:
+                        break
+                    found = keys_of([h[i : len(h) - k + 1 + i] for i in range(k)])
+                    found = found[holds(own.bits, found)]
+                    if len(own.direct_keys):
+                        at = np.searchsorted(own.direct_keys, found)
+                        at[at == len(own.direct_keys)] = 0
+                        here = own.direct_keys[at] == found
+                        path += float(own.direct_values[at[here]].sum())
+                        found = found[~here]
+                    open_keys.append(found)
+                open_keys = np.concatenate(open_keys)
+                keys.append(open_keys)
+                key_offsets.append(key_offsets[-1] + len(open_keys))
                 out["row"].append(row)
-                out["n_tokens"].append(len(tokens))
-                out["known"].append(len(known) if end_seen else 0)
-                out["base"].append(float(own.first_log[known].sum()))
-                out["path"].append(own.traverse(numbers))
+                out["n_tokens"].append(len(numbers))
+                out["known"].append(len(numbers) - int(rare[1].sum()) if end_seen else 0)
+                out["base"].append(base)
+                out["path"].append(path)
                 row += 1
             pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int32())], fields=list(rare_type.value_type))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+            key_lists = pa.ListArray.from_arrays(pa.array(key_offsets, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             arrays = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(0), *arrays, lists], names=["_id", "held_out", *out, "rare"]
+                [batch.column(1), batch.column(0), *arrays, lists, key_lists], names=["_id", "held_out", *out, "rare", "keys"]
             )
 
     paths = stored(rows.mapInArrow(run, schema), "paths")
-    rare = paths.select("row", F.inline("rare")).join(counts, "word", "left")
+    rare = paths.select("row", F.inline("rare")).join(model.counts, "word", "left")
     log = F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(total))
     rest = rare.groupBy("row").agg(
         F.sum(F.col("times") * log).alias("rest"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
     )
+    longer = paths.select("row", F.explode("keys").alias("key")).join(model.values, "key").groupBy("row").agg(F.sum("value").alias("longer"))
     none = F.lit(0)
-    return paths.drop("rare").join(rest, "row", "left").select(
+    return paths.drop("rare", "keys").join(rest, "row", "left").join(longer, "row", "left").select(
         F.col("_id").alias(id), "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rare_known", none)).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", none)).alias("base_score"),
-        (F.col("path") + F.coalesce("rest", none)).alias("score"),
+        (F.col("path") + F.coalesce("rest", none) + F.coalesce("longer", none)).alias("score"),
     )

@@ -96,3 +96,16 @@ def test_edges(spark, edge_docs, no_docs):
     only_held = spark.createDataFrame([(i, "a b") for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0], "doc_id long, text string")
     rows = lm.score(only_held).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in rows} == {(0, 0, 0.0)}
+
+
+def test_rare_phrases_count_at_any_size(spark, monkeypatch):
+    """An n-gram of two occurrences is kept however many tokens there are, looked up in place or joined."""
+    filler = [(i, " ".join(f"w{(i * 7919 + j * j) % 5003}" for j in range(1200))) for i in range(300)]
+    rows = filler + [(1000 + i, "seldom seen phrase") for i in range(2)]
+    model = Brute([t for i, t in rows if zlib.crc32(str(i).encode()) % 10], 3, 0)
+    assert 1e-5 * model.n > 2 and model.c[("seldom", "seen", "phrase")] == 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for direct in (1 << 20, 10):
+        monkeypatch.setattr(lm, "DIRECT", direct, raising=False)
+        got = {r["doc_id"]: r["score"] for r in lm.score(docs).where("doc_id >= 1000").collect()}
+        assert got == {1000 + i: pytest.approx(model.score("seldom seen phrase")) for i in range(2)}
