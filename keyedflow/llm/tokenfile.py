@@ -19,6 +19,7 @@ an empty table. Only the id and the text are written, so other columns do no har
 """
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -102,15 +103,20 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class IdEncoder:
-    """Ids of whole texts by a byte-level BPE file of the tokenizers library, no special tokens.
+    """Ids of whole texts by a byte-level BPE file of the tokenizers library; none are put around a text.
 
-    The library's model encodes each match of the pattern that the file's pre-tokenizer uses.
+    The library's model encodes each match of the pattern that the file's pre-tokenizer uses. With `added`, texts that may
+    hold one of the file's added tokens are encoded by the library as a whole, which recognises them by its defaults.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: bool = False):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizer = Tokenizer.from_file(path)
+        tokens = list(tokenizer.get_added_tokens_decoder().values()) if added else []
+        # Some tokens are sought in the normalised text, where they can differ from the text itself.
+        self.any_text = tokenizer.normalizer is not None and any(t.normalized for t in tokens)
+        self.holds_added = re.compile("|".join(re.escape(t.content) for t in tokens)).search if tokens else None
         self.model = tokenizer.model
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.alphabet = byte_alphabet()
@@ -127,12 +133,19 @@ class IdEncoder:
         return [b"".join([raw[t.id] for t in tokenize(w)]) for w in written]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        return self.cache.encode(texts)
+        if self.holds_added is None:
+            return self.cache.encode(texts)
+        marked = [self.any_text or self.holds_added(t) is not None for t in texts]
+        plain = self.cache.encode([t for t, m in zip(texts, marked) if not m])
+        return (self._whole(t) if m else next(plain) for t, m in zip(texts, marked))
+
+    def _whole(self, text: str) -> bytes:
+        return b"".join([self.raw[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
 
 @lru_cache(maxsize=2)
 def id_encoder(path: str, pattern: str) -> IdEncoder:
-    return IdEncoder(path, pattern)
+    return IdEncoder(path, pattern, added=True)
 
 
 # -- files ------------------------------------------------------------------------------------

@@ -79,3 +79,12 @@ def test_query(spark, sf_dir, documents, reference):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     assert not got
+
+
+def test_added_tokens(spark, tmp_path):
+    """Added tokens in a text have their own ids, as the library gives them by default."""
+    library = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "plain words", "", "<|endoftext |>"]
+    assert 50256 in library.encode(texts[0], add_special_tokens=False).ids
+    got, _ = rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2), tmp_path / "c", 4)
+    check(got, list(enumerate(texts)), lambda t: library.encode(t or "", add_special_tokens=False).ids)
