@@ -7,8 +7,10 @@ test suffix is then looked up by binary search for both ends of its range, which
 follow one another in both texts are one match, so matches come out at their longest, with their locations.
 
 Test items of fewer than `window` words are looked up whole. The benchmark is dealt to blocks of at most `BLOCK_BYTES`;
-each block is broadcast and takes one pass over the documents, without a shuffle. So what is broadcast has a bound, and the
-number of blocks grows with the benchmark. A lost task is run again.
+each block is broadcast and takes one pass over the documents. With a single block that is all, without a shuffle. With more,
+the documents are stored with a row number; a pass stores what it found by row, and its block is freed before the next is
+brought to the driver; the passes are joined by row at the end. So what is held at once has a bound, and the number of blocks
+grows with the benchmark. A lost task is run again.
 
 Null and empty texts and items have no words and match nothing. Repeated rows each get their result. With an
 empty benchmark no document is affected. Other columns are passed on, results replace columns of their names.
@@ -16,13 +18,15 @@ empty benchmark no document is affected. Other columns are passed on, results re
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import slices
+from .common import slices, stored
 
 WINDOW, BLOCK_BYTES, SHARD_WORDS = 10, 16 << 20, 1 << 20
 
@@ -128,14 +132,48 @@ class TestSuffixes:
         return out
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The items with words, in blocks; what is brought to the driver at once has that size."""
+def _dealt(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """The items with words, and the number of blocks that they are dealt to."""
     items = benchmark.where(F.col(text) != "").select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = math.ceil(total / block_bytes)
-    for n in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == n)
-        yield [(r["item"], r["text"]) for r in part.collect()]
+    return items, math.ceil(total / block_bytes)
+
+
+def _block(items: DataFrame, blocks: int, n: int) -> list[tuple[str, str]]:
+    """The items of a block; what is brought to the driver at once has that size."""
+    part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == n) if blocks else items.limit(0)
+    return [(r["item"], r["text"]) for r in part.collect()]
+
+
+def _pass(docs: DataFrame, text: str, sent: Broadcast, window: int, keep_text: bool) -> DataFrame:
+    """`docs`, whose last column is the text, with `n_words` and `matches` in one block."""
+    columns = docs.columns[:-1]
+    at = len(columns)
+    schema = T.StructType([
+        *docs.select(*columns).schema, T.StructField("n_words", T.LongType()),
+        *docs.select(F.lit(None).cast(MATCHES).alias("matches")).schema, *(docs.select(text).schema if keep_text else []),
+    ])
+    matches_type = pa.list_(pa.struct([
+        ("item", pa.string()), ("item_start", pa.int32()), ("start", pa.int32()), ("words", pa.int32())
+    ]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = TestSuffixes(sent.value, window)
+        for batch in slices(batches, at, 16 << 20):
+            found, counts, shard, size = [], [], [], 0
+            for value in batch.column(at):
+                words = words_of(value.as_py())
+                counts.append(len(words))
+                shard.append(words)
+                size += len(words)
+                if size >= SHARD_WORDS:
+                    found += tests.matches(shard)
+                    shard, size = [], 0
+            found += tests.matches(shard) if shard else []
+            arrays = [*batch.columns[:at], pa.array(counts, pa.int64()), pa.array(found, matches_type), batch.column(at)]
+            yield pa.RecordBatch.from_arrays(arrays[: len(schema)], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
 
 
 def find_matches(
@@ -144,45 +182,32 @@ def find_matches(
 ) -> DataFrame:
     """`docs` with `n_words` and `matches`: of each longest verbatim match the item, the word at which it
     begins there and here, and its words. Without `keep_text` the text is left out."""
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     docs = docs.drop("n_words", "matches")
     columns = [c for c in docs.columns if c != text]
-    state = docs.select(
-        *columns, F.lit(0).cast("long").alias("n_words"), F.lit(None).cast(MATCHES).alias("matches"), text
+    docs = docs.select(*columns, text)
+    items, blocks = _dealt(benchmark, item, item_text, block_bytes)
+    if blocks < 2:
+        return _pass(docs, text, context.broadcast(_block(items, blocks, 0)), window, keep_text)
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    docs = stored(docs.select(F.monotonically_increasing_id().alias(row), "*"), "numbered")
+    passes = []
+    for n in range(blocks):
+        sent = context.broadcast(_block(items, blocks, n))
+        found = _pass(docs.select(row, text), text, sent, window, False)
+        # The first pass gives every row its number of words.
+        found = found if n == 0 else found.where(F.size("matches") > 0)
+        passes.append(stored(found.withColumn("pass", F.lit(n)), f"matches{n}"))
+        sent.destroy()
+        del sent, found  # else the driver holds this block while it collects the next
+    by_pass = F.array_sort(F.collect_list(F.struct("pass", "matches")))
+    found = reduce(DataFrame.union, passes).groupBy(row).agg(
+        F.max(F.when(F.col("pass") == 0, F.col("n_words"))).alias("n_words"),
+        F.flatten(F.transform(by_pass, lambda p: p["matches"])).alias("matches"),
     )
-    matches_type = pa.list_(pa.struct([
-        ("item", pa.string()), ("item_start", pa.int32()), ("start", pa.int32()), ("words", pa.int32())
-    ]))
-    blocks = list(_blocks(benchmark, item, item_text, block_bytes)) or [[]]
-    for number, block in enumerate(blocks):
-        sent = spark.sparkContext.broadcast(block)
-        last = number == len(blocks) - 1
-        schema = T.StructType([f for f in state.schema if keep_text or not last or f.name != text])
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, schema=schema) -> Iterator[pa.RecordBatch]:
-            tests = TestSuffixes(sent.value, window)
-            at = len(columns)
-            for batch in slices(batches, at + 2, 16 << 20):
-                before = batch.column(at + 1).to_pylist()
-                found, counts, shard, size = [], [], [], 0
-                for value in batch.column(at + 2):
-                    words = words_of(value.as_py())
-                    counts.append(len(words))
-                    shard.append(words)
-                    size += len(words)
-                    if size >= SHARD_WORDS:
-                        found += tests.matches(shard)
-                        shard, size = [], 0
-                found += tests.matches(shard) if shard else []
-                found = [(a or []) + b for a, b in zip(before, found)]
-                arrays = [
-                    *batch.columns[:at], pa.array(counts, pa.int64()), pa.array(found, matches_type),
-                    batch.column(at + 2),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays[: len(schema)], names=schema.names)
-
-        state = state.mapInArrow(run, schema)
-    return state
+    return docs.join(found, row).select(*columns, "n_words", "matches", *([text] if keep_text else []))
 
 
 def n_hit() -> Column:

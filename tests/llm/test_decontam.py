@@ -1,5 +1,7 @@
+import gc
 import hashlib
 import re
+import weakref
 
 import pytest
 
@@ -84,3 +86,37 @@ def test_query(spark, sf_dir, documents):
         for r in queries.op4_decontamination(spark, sf_dir).collect()
     ]
     assert sorted(got) == sorted(want) and any(r[-1] for r in got)
+
+
+class Tracked(list):
+    """A list that can be watched, and that reaches the tasks as a plain one."""
+
+    def __reduce__(self):
+        return list, (list(self),)
+
+
+def test_one_block_at_a_time(spark, monkeypatch):
+    """The driver collects a block only when the one before was passed on, and has let go of that."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    held, live, collected = [], [], [0]
+    send, collect = spark.sparkContext.broadcast, type(docs).collect
+
+    def counted(df):
+        collected[-1] += 1
+        return collect(df)
+
+    def broadcast(value):
+        gc.collect()
+        block = Tracked(value)
+        held.append(weakref.ref(block))
+        live.append(sum(ref() is not None for ref in held))
+        collected.append(0)
+        return send(block)
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    found = decontam.find_matches(docs, items, block_bytes=150)
+    assert len(live) > 2 and max(live) == 1 and set(collected[1 : len(live)]) == {1}
+    found = found.withColumns({"hit": decontam.n_hit(), "items": decontam.items()})
+    assert sorted(((r["doc_id"], r["n_words"], r["hit"], r["items"]) for r in found.collect()), key=str) == brute(DOCS, ITEMS)
