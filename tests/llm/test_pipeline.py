@@ -1,5 +1,6 @@
 import hashlib
 import struct
+from collections import Counter
 
 import public_tokenizers as P
 import tiktoken
@@ -56,3 +57,19 @@ def test_stages_on_edges(spark, sf_dir, edge_docs, no_docs):
     near = corpus_pipeline.near_duplicate_stage(spark, docs, sf_dir).collect()
     ids = sorted(r["doc_id"] for r in near)
     assert {0, 1, 2, 3, 4} <= set(ids) and 11 in ids and 12 not in ids and len(ids) == len(set(ids))
+
+
+def test_host_verdicts_reach_the_pipeline(spark, sf_dir):
+    """A blocked host loses all, a distrusted one what fails the rule, another host nothing of that kind."""
+    clean = lambda i: " ".join(f"word{i}x{k}" for k in range(80))
+    noisy = lambda i: " ".join(f"#{i}x{k} $$ word" for k in range(40))
+    rows = [("good", clean, 60), ("good", noisy, 2), ("noisy", noisy, 50), ("noisy", clean, 10), ("bad", clean, 1)]
+    docs = [(host, make.__code__ is clean.__code__, make) for host, make, times in rows for _ in range(times)]
+    docs += [("bad", False, lambda i: "short")] * 400 + [(f"h{i}", True, clean) for i in range(40)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    table = [(i, make(i), "en", host, len(make(i))) for i, (host, _, make) in enumerate(docs)]
+    kept = Counter(
+        (docs[r["doc_id"]][0][0], docs[r["doc_id"]][1])
+        for r in corpus_pipeline.quality_stage(spark, spark.createDataFrame(table, columns), sf_dir).collect()
+    )
+    assert kept == {("g", True): 60, ("g", False): 2, ("n", True): 10, ("h", True): 40}
