@@ -4,7 +4,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, extract, line_dedup, lm, quality, sharding, simhash, tokenfile, toxicity
+from . import bpe, centroids, decontam, extract, line_dedup, lm, quality, sharding, simhash, tokenfile, toxicity
 from .common import residue, stored, table
 
 QUERIES, ORACLE = {}, {}
@@ -213,3 +213,49 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     {" ".join(f"or ({x} and rate_{x} > {quality.DISTRUSTED})" for x in _RULES if x != "base")}) kept
 from r join rate on r.source is not distinct from rate.source
 """
+
+
+@_query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after ten rounds, with the figures of its cluster."""
+    return centroids.with_clusters(centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+_DISTANCE = "list_sum(list_transform(list_zip(e.v, c.v), p -> (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def _near(centres: str) -> str:
+    """Each vector with its least (distance, cluster) among the rows of a CTE (n, v)."""
+    return f"""select e.vec_id, e.v, e.row, min({{'d': cast({_DISTANCE} as bigint), 'n': c.n}}) near
+        from e cross join {centres} c group by e.vec_id, e.v, e.row"""
+
+
+def _lloyd(rounds: int) -> str:
+    """The rounds written out. Components are summed by place; `s - ((s % n) + n) % n` makes the division a floor."""
+    steps = []
+    for i in range(rounds):
+        steps.append(f"""near{i} as materialized ({_near(f"c{i}")}),
+m{i} as (
+  select n, list((s - ((s % k) + k) % k) // k order by i) v from (
+    select near.n n, i, cast(sum(v[i]) as bigint) s, count(*) k
+    from near{i}, (select unnest(range(1, 65)) i) group by all) group by n
+), c{i + 1} as materialized (select n, coalesce(m{i}.v, c{i}.v) v from c{i} left join m{i} using (n)),
+""")
+    return "".join(steps)
+
+
+ORACLE["op11_centroid_clusters"] = f"""
+with e as materialized (
+  select vec_id, row_number() over () as row, list_transform(embedding, x -> cast(floor(1024 * cast(x as double)) as bigint)) v
+  from embeddings
+  where len(embedding) = 64 and list_count(list_filter(embedding, x -> isfinite(x))) = 64
+), c0 as materialized (
+  select row_number() over (order by sha256('3:' || vec_id), v) - 1 n, v from e
+  qualify row_number() over (order by sha256('3:' || vec_id), v) <= 8
+),
+{_lloyd(10)} last as materialized ({_near("c10")}),
+f as (select near.n n, sum(near.d) inertia from last group by 1)
+select vec_id, cast(near.n as int) "cluster", near.d distance, cast(f.inertia as bigint) cluster_inertia,
+  cast((select sum(inertia) from f) as bigint) inertia, sha256(array_to_string(c10.v, ',')) centroid_sha256
+from last join f on f.n = near.n join c10 on c10.n = near.n
+"""

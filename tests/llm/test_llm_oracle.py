@@ -15,7 +15,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 def test_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert sorted(QUERIES) == sorted([*(q for q in QUERIES if q.startswith("op")), "pipeline"])
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
 
 
 def test_rule_names(spark):
