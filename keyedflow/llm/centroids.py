@@ -40,7 +40,7 @@ class Clustering:
 
 
 def integers(vectors: DataFrame, id: str, vector: str, dims: int, scale: int) -> DataFrame:
-    """The kept vectors as (id, v) with integer components."""
+    """The kept vectors as (id, v, norm): integer components and the sum of their squares."""
     kept = vectors.select(F.col(id).alias("id"), F.col(vector).alias("x")).where(F.size("x") == dims)
     kept = kept.where(F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))))
 
@@ -49,19 +49,23 @@ def integers(vectors: DataFrame, id: str, vector: str, dims: int, scale: int) ->
         large = F.raise_error(F.concat(F.lit("component out of range: "), x.cast("string"))).cast("bigint")
         return F.when(F.abs(number) <= LARGEST, F.floor(number)).otherwise(large)
 
-    return kept.select("id", F.transform("x", integer).alias("v"))
+    whole = kept.select("id", F.transform("x", integer).alias("v"))
+    return whole.withColumn("norm", F.aggregate("v", F.lit(0).cast("bigint"), lambda total, x: total + x * x))
 
 
-def distance(v: str, centroid: list[int]) -> str:
-    """Squared Euclidean distance of a column to a literal vector, as SQL text, which is quicker to build than columns."""
-    literal = f"array({', '.join(f'{n}L' for n in centroid)})"
-    squares = f"zip_with({v}, {literal}, (x, y) -> (x - y) * (x - y))"
-    return f"aggregate({squares}, 0L, (total, square) -> total + square)"
+def distance(v: str, norm: str, centroid: list[int]) -> str:
+    """Squared Euclidean distance of a vector to a literal one, |v|^2 + |c|^2 - 2 v c with the first term given.
 
+    SQL text, which is quicker to build than columns.
+    """
+    literal = f"array({', '.join(f'{-2 * n}L' for n in centroid)})"
+    products = f"zip_with({v}, {literal}, (x, y) -> x * y)"
+    return f"aggregate({products}, {norm} + {sum(n * n for n in centroid)}L, (total, product) -> total + product)"
 
-def nearest(v: str, centroids: list[list[int]]) -> Column:
+
+def nearest(v: str, norm: str, centroids: list[list[int]]) -> Column:
     """A struct (distance, cluster)."""
-    each = (f"named_struct('distance', {distance(v, c)}, 'cluster', {n})" for n, c in enumerate(centroids))
+    each = (f"named_struct('distance', {distance(v, norm, c)}, 'cluster', {n})" for n, c in enumerate(centroids))
     return F.expr(f"array_min(array({', '.join(each)}))")
 
 
@@ -74,7 +78,7 @@ def first_centroids(rows: DataFrame, clusters: int, seed: int) -> list[list[int]
 def _moved(rows: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
     """One round: the floored means of the clusters, an empty one where it was."""
     dims = len(centroids[0])
-    near = rows.select(nearest("v", centroids)["cluster"].alias("cluster"), "v")
+    near = rows.select(nearest("v", "norm", centroids)["cluster"].alias("cluster"), "v")
     sums = near.groupBy("cluster").agg(F.expr("count(1) n"), *[F.expr(f"sum(v[{i}]) s{i}") for i in range(dims)])
     moved = list(centroids)
     for row in sums.collect():  # one row a cluster
@@ -94,7 +98,7 @@ def cluster(
         return Clustering(none, [], [], [])
     for _ in range(rounds):
         centroids = _moved(rows, centroids)
-    near = rows.select(F.col("id").alias(id), nearest("v", centroids).alias("near"))
+    near = rows.select(F.col("id").alias(id), nearest("v", "norm", centroids).alias("near"))
     assigned = stored(near.select(id, "near.cluster", "near.distance"), "assigned")
     found = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("distance").alias("inertia")).collect()
     by = {r["cluster"]: r for r in found}

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 
 #: Entries of a worker's cache, marks for parts met before, and characters looked up at a time.
 CACHE_ENTRIES, MARKS, SLICE_CHARS = 600_000, 1 << 22, 3_000_000
+#: Entries of a generation of `PartCache`, and the characters of the longest part that is kept.
+GENERATION, LONGEST = 250_000, 64
 
 
 class PretokenCache:
@@ -86,3 +88,50 @@ class PretokenCache:
             self.parts = {p: known[p] for parts in cut for p in parts if p in known}
             self.marks = bytearray(MARKS)
         return result
+
+
+class _Known(dict):
+    """Values made when first asked for, in two generations: what is used of the older one moves to the newer."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            self[key] = value
+        return value
+
+    def bound(self, entries: int) -> None:
+        if len(self) > entries:
+            self.older = dict(self)
+            self.clear()
+
+
+class PartCache:
+    """Ids of texts by way of their parts, each looked up once; `encode_word` gives those of a match of the pattern."""
+
+    def __init__(self, pattern: str, encode_word: Callable[[str], bytes]):
+        self.cutter = PretokenCache(pattern, lambda words: [])
+        self.encode_word = encode_word
+        self.words, self.parts = _Known(encode_word), _Known(self._part)
+
+    def _part(self, part: str) -> bytes:
+        """The ids of a part and the space before it."""
+        if part.isalpha():
+            return self.encode_word(" " + part)
+        if part[-1] in ".,;:" and part[:-1].isalpha():
+            return self.parts[part[:-1]] + self.words[part[-1]]
+        return b"".join(map(self.words.__getitem__, self.cutter.split(" " + part)))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        word, part, split, cut = self.words.__getitem__, self.parts.__getitem__, self.cutter.split, self.cutter._cut
+        for text in texts:
+            parts = cut(text)
+            first = split(parts.pop(0))
+            yield b"".join(map(word, first)) + b"".join(map(part, parts))
+            self.parts.bound(GENERATION)
+            self.words.bound(GENERATION)

@@ -4,7 +4,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, centroids, decontam, extract, line_dedup, lm, quality, sharding, simhash, tokenfile, toxicity
+from . import bpe, centroids, decontam, extract, line_dedup, lm, packing, quality, resample, sharding, simhash, tokenfile, toxicity
 from .common import residue, stored, table
 
 QUERIES, ORACLE = {}, {}
@@ -221,7 +221,7 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_clusters(centroids.cluster(table(spark, sf_dir, "embeddings")))
 
 
-_DISTANCE = "list_sum(list_transform(list_zip(e.v, c.v), p -> (p[1] - p[2]) * (p[1] - p[2])))"
+_DISTANCE = "list_sum(list_transform(list_zip(e.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
 
 
 def _near(centres: str) -> str:
@@ -246,9 +246,9 @@ m{i} as (
 
 ORACLE["op11_centroid_clusters"] = f"""
 with e as materialized (
-  select vec_id, row_number() over () as row, list_transform(embedding, x -> cast(floor(1024 * cast(x as double)) as bigint)) v
+  select vec_id, row_number() over () as row, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) v
   from embeddings
-  where len(embedding) = 64 and list_count(list_filter(embedding, x -> isfinite(x))) = 64
+  where len(embedding) = 64 and list_count(list_filter(embedding, lambda x: isfinite(x))) = 64
 ), c0 as materialized (
   select row_number() over (order by sha256('3:' || vec_id), v) - 1 n, v from e
   qualify row_number() over (order by sha256('3:' || vec_id), v) <= 8
@@ -259,3 +259,20 @@ select vec_id, cast(near.n as int) "cluster", near.d distance, cast(f.inertia as
   cast((select sum(inertia) from f) as bigint) inertia, sha256(array_to_string(c10.v, ',')) centroid_sha256
 from last join f on f.n = near.n join c10 on c10.n = near.n
 """
+
+
+@_query
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark's text, its noisy score and its place in the draw."""
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resample.resample(docs, target)
+
+
+@_query
+def op13_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, and its place in a sequence."""
+    docs = table(spark, sf_dir, "documents")
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=0)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.files import shared_dir
 from .common import slices, stored
-from .pretokens import PretokenCache
+from .pretokens import PartCache
 
 MAGIC = b"EFID0001"
 DOCS_PER_FILE = 8192
@@ -122,15 +122,15 @@ class IdEncoder:
         self.alphabet = byte_alphabet()
         width = np.dtype(self.dtype).itemsize
         self.raw = [i.to_bytes(width, "little") for i in range(tokenizer.get_vocab_size())]
-        self.cache = PretokenCache(pattern, self._encode_words)
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        tokenize, alphabet, raw, space = self.model.tokenize, self.alphabet, self.raw, self.alphabet[32]
-        written = [
-            space + w[1:] if w.isascii() and w[0] == " " and w[1:].isalpha()
-            else w.encode().decode("latin-1").translate(alphabet) for w in words
-        ]
-        return [b"".join([raw[t.id] for t in tokenize(w)]) for w in written]
+        self.cache = PartCache(pattern, self._encode_word)
+
+    def _encode_word(self, word: str) -> bytes:
+        if word.isascii() and word[0] == " " and word[1:].isalpha():
+            written = self.alphabet[32] + word[1:]
+        else:
+            written = word.encode().decode("latin-1").translate(self.alphabet)
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.model.tokenize(written)])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         if self.holds_added is None:

@@ -101,6 +101,6 @@ def test_floor_of_means(spark):
 
 def test_plan_is_native_and_sums_are_partial(spark, sf_dir):
     rows = centroids.integers(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", 64, 1024)
-    near = rows.select(centroids.nearest("v", [[0] * 64, [1] * 64])["cluster"].alias("cluster"), "v")
+    near = rows.select(centroids.nearest("v", "norm", [[0] * 64, [1] * 64])["cluster"].alias("cluster"), "v")
     plan = near.groupBy("cluster").agg({"cluster": "count"})._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "partial_count" in plan
