@@ -4,7 +4,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
@@ -54,6 +54,22 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def publish_folder(df: DataFrame, path: str) -> bool:
+    """Write `df` as parquet to a folder that appears as a whole; left as it is if it is there already."""
+    spark = df.sparkSession
+    hadoop_path, fs = _fs(spark, path)
+    if fs.exists(hadoop_path):
+        return False
+    parent = hadoop_path.getParent()
+    draft = spark._jvm.org.apache.hadoop.fs.Path(parent.getParent(), f".{parent.getName()}-{uuid.uuid4().hex}")
+    df.write.parquet(str(draft.toString()))
+    fs.mkdirs(parent)
+    if not fs.rename(draft, hadoop_path):
+        fs.delete(draft, True)
+        raise FileExistsError(path)
+    return True
+
+
 @lru_cache(maxsize=1)
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="keyedflow-")
