@@ -57,10 +57,12 @@ def _profile(firsts) -> str:
     return f"select mid, {picks} from {_profile_rows()} p group by mid"
 
 
+BATCH_OF = """case when ts < timestamp '{}' then 0
+        when ts < timestamp '{}' then 1 else 2 end""".format(*fixtures.BATCH_BOUNDS)
+
+
 def _request_batches() -> str:
-    first, second = fixtures.BATCH_BOUNDS
-    return f"""(select line, case when ts < timestamp '{first}' then 0
-        when ts < timestamp '{second}' then 1 else 2 end as batch
+    return f"""(select line, {BATCH_OF} as batch
         from {_lines(fixtures.request_lines)} r)"""
 
 
@@ -243,3 +245,7 @@ ORACLE: dict[str, str] = {
     "archive_daily": f"""select line as value, '2024-02-01' as dt, count(*) as n
         from {_lines(fixtures.request_lines)} r group by line""",
 }
+
+from .event_oracle import EVENT_ORACLE  # noqa: E402  it uses the fragments above
+
+ORACLE |= EVENT_ORACLE

@@ -717,3 +717,6 @@ def cells_stream(spark, sf_dir):
     return cells.cell_lookup(
         _cell_requests(spark, sf_dir), table.view(), _WANTED, "asked", spread=["pos"]
     )
+
+
+from . import event_queries  # noqa: E402, F401  registers its queries with the functions above
