@@ -2,7 +2,8 @@
 
 Texts that are equal form a group, which is never split. Groups are ordered by the 64-bit hash of their text, which
 mixes sources evenly, and cut into `shards` contiguous runs such that the largest run is as small as possible: the
-smallest capacity that a greedy filling meets is found by binary search, and the cuts are those of the filling.
+smallest capacity that a greedy filling meets is found by binary search. Greedy filling would leave the last shards small or
+empty where one large group sets the capacity; so, within it, the cuts are those nearest to an even share of what is left.
 
 The group sizes never come to the driver. It holds a histogram over ranges of the hash, and refines only the ranges in
 which a cut falls, by 4096 each. While a cut still falls inside a range, the search treats it as divisible, which
@@ -11,7 +12,7 @@ brings at most (shards - 1) * 4096 rows to the driver, and there are at most six
 
 Null and empty texts have size 1. An empty table gives an empty one. Repeated rows share their text's shard.
 Texts whose hashes collide would share one as well. Groups larger than the rest allows make shards uneven, as
-they must. With fewer groups than shards some shards stay empty. Other columns are passed on; `size`, `shard`
+they must; the others share the rest evenly. With fewer groups than shards some shards stay empty. Other columns are passed on; `size`, `shard`
 and `slot` replace columns of these names.
 """
 
@@ -68,6 +69,58 @@ def _least_capacity(ranges: list[Range], shards: int) -> tuple[int, list[tuple[i
     return high, _fill(starts, ranges, high, shards)
 
 
+def _level(sizes: list[int], total: int, shards: int) -> float:
+    """An even share of the rest for each shard, beside those that one group alone makes larger. sizes: of single groups."""
+    level, large = total / shards, []
+    while True:
+        more = [s for s in sizes if s > level]
+        if len(more) == len(large) or len(more) >= shards:
+            return level
+        large = more
+        level = (total - sum(large)) / (shards - len(large))
+
+
+def _even(starts: list[int], ranges: list[Range], capacity: int, shards: int) -> list[tuple[int, bool]]:
+    """Places where shards end, like those of `_fill`, such that none is larger than `capacity`, none is empty if there are
+    ranges enough, and each is as near to an even share of what is left as its groups allow."""
+    total, n = starts[-1], len(ranges)
+    # The least place from which on 0, 1, .. shards hold the rest.
+    rest = [total]
+    for _ in range(shards - 1):
+        place = max(rest[-1] - capacity, 0)
+        i = bisect_right(starts, place) - 1
+        rest.append(starts[i + 1] if i < n and starts[i] < place and ranges[i].single else place)
+    at, ends = 0, []
+    for left in range(shards, 1, -1):
+        first = bisect_right(starts, at) - 1
+        singles = [r.size for r in ranges[first:] if r.single]
+        low, high = rest[left - 1], min(at + capacity, total)
+        share = _level(singles, total - at, left)
+        # What lies before the next group that is larger than that is shared by a whole number of shards, as many as
+        # leave one for each larger group and for what lies behind each of them.
+        large = [i for i in range(first, n) if ranges[i].single and ranges[i].size > share]
+        before = starts[large[0]] - at if large else 0
+        if before > 0:
+            behind = sum(starts[i + 1] < starts[j] for i, j in zip(large, [*large[1:], n]))
+            share = before / max(min(round(before / share), left - len(large) - behind), 1)
+        place = min(max(at + share, low), high)
+        i = bisect_right(starts, place) - 1
+        if i < n and starts[i] < place and not ranges[i].single:
+            inside, end = True, place
+        else:
+            inside = False
+            bounds = [b for b in (i, i + 1) if b <= n and low <= starts[b] <= high]
+            good = [b for b in bounds if starts[b] > at and (n - b >= left - 1 or n < shards)]
+            i = min(good or bounds, key=lambda b: abs(starts[b] - place))
+            end = starts[i]
+        if end >= total:
+            break
+        if end > at:
+            ends.append((i, inside))
+        at = end
+    return ends
+
+
 def _refined(rows: DataFrame, parents: list[tuple[int, int]]) -> list[Range]:
     """The non-empty parts of each range (bits, value), with the sizes of the groups in them."""
     out = []
@@ -94,8 +147,12 @@ def cut_points(rows: DataFrame, shards: int) -> tuple[int, list[int]]:
     if not ranges:
         return 0, []
     while True:
-        capacity, ends = _least_capacity(ranges, shards)
-        open_ranges = {ranges[i] for i, inside in ends if inside}
+        starts = [0, *accumulate(r.size for r in ranges)]
+        capacity, fullest = _least_capacity(ranges, shards)
+        ends = _even(starts, ranges, capacity, shards)
+        open_ranges = {ranges[i] for i, inside in [*fullest, *ends] if inside}
+        if len(ranges) < shards:
+            open_ranges |= {r for r in ranges if not r.single}
         if not open_ranges:
             return capacity, [ranges[i].low for i, _ in ends]
         finer = _refined(rows, [(r.bits, r.value) for r in open_ranges])

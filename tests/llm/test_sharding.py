@@ -1,5 +1,6 @@
 import random
 import zlib
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,3 +79,42 @@ def test_edges(spark, edge_docs, no_docs):
 def test_plan_has_no_python(spark, sf_dir):
     plan = queries.op6_sharding(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def even_cuts(sizes, shards):
+    ranges = [sharding.Range(i, 64, i, s, True) for i, s in enumerate(sizes)]
+    starts = [0, *accumulate(sizes)]
+    capacity, _ = sharding._least_capacity(ranges, shards)
+    cuts = [0, *(i for i, _ in sharding._even(starts, ranges, capacity, shards)), len(sizes)]
+    return capacity, [sum(sizes[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def test_even_within_the_least_capacity():
+    rng = random.Random(6)
+    for _ in range(500):
+        sizes = [rng.choice([1, 2, 5, 8, 60, rng.choice([60, 900])]) for _ in range(rng.randint(1, 30))]
+        shards = rng.randint(1, 9)
+        capacity, filled = even_cuts(sizes, shards)
+        assert capacity == least_by_force(sizes, shards) == max(filled) and len(filled) <= shards
+        if len(sizes) >= shards:
+            assert len(filled) == shards and min(filled) > 0
+
+
+def test_one_large_text_among_small_ones(spark):
+    """The large one fills a shard alone, and the others share the rest evenly."""
+    assert even_cuts([60] * 20 + [900] + [60] * 39, 8) == (900, [600, 600, 900, 480, 480, 480, 420, 480])
+    docs = spark.createDataFrame([(i, f"{i:059d}") for i in range(60)] + [(60, "x" * 899)], "doc_id long, text string")
+    filled = {r["shard"]: r["s"] for r in sharding.assign(docs, 8).groupBy("shard").agg(F.sum("size").alias("s")).collect()}
+    small = [s for s in filled.values() if s != 900]
+    assert len(filled) == 8 and len(small) == 7 and max(small) - min(small) <= 360 and max(filled.values()) == 900
+
+
+def test_a_third_of_all_rows_are_copies(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.repeat(F.lit("y"), 166)).otherwise(F.concat(F.repeat(F.lit("t"), 200), "id")).alias("text"))
+    filled = {r["shard"]: r["s"] for r in sharding.assign(docs, 8).groupBy("shard").agg(F.sum("size").alias("s")).collect()}
+    assert len(filled) == 8 and max(filled.values()) == 167_000
+    # Only what lies on one side of the copies, less than a share, is smaller than the others.
+    small = sorted(filled.values())[:-1]
+    assert small[-1] < 1.2 * small[1]
