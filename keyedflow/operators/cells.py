@@ -52,31 +52,26 @@ def cell_lookup(
     """The chosen cells of each requested row key: the newest version, or, where the request's `ts`
     is above 0, the version of exactly that time. A miss gives a null value.
 
-    Versions are reduced before the join, so a row with very many versions costs one row.
+    The newest version of a cell is filed under time 0 beside the versions of the times asked for, so one lookup, with one pass for
+    its hot keys, finds both. All are reduced before the join, so a row with very many versions costs one row.
     """
     pairs = _pairs(columns)
     chosen = F.lit(False)
     for cf, qualifiers in columns.items():
         chosen = chosen | ((F.col("cf") == cf) & F.col("cq").isin(list(qualifiers)))
     wanted = cells.where(chosen)
-    cell_id = ["row_key", "cf", "cq"]
+    cell_id, keys = ["row_key", "cf", "cq"], ["row_key", "cf", "cq", "_at"]
     asked = F.array(*[F.struct(F.lit(cf).alias("cf"), F.lit(cq).alias("cq")) for cf, cq in pairs])
-    at = F.lit(0) if ts is None else F.coalesce(F.col(ts), F.lit(0))
+    at = F.lit(0) if ts is None else F.greatest(F.coalesce(F.col(ts), F.lit(0)), F.lit(0))
     probes = requests.select("*", at.cast("bigint").alias("_at"), F.inline(asked))
-    # The newest versions: reduced in each task before they are shuffled.
     best = wanted.groupBy(*cell_id).agg(F.max(F.struct("ts", "value")).alias("_best"))
-    newest = lookup(
-        probes.where("_at <= 0"), best.select(*cell_id, "_best.value"), cell_id, spread
-    ).drop("_at")
-    if ts is None:
-        return newest
-    # Versions of an exact time: only those that some request asks for.
-    exact = probes.where("_at > 0")
-    timed = wanted.withColumnRenamed("ts", "_at")
-    keys = [*cell_id, "_at"]
-    some = timed.join(exact.select(*keys).distinct(), keys, "left_semi")
-    some = some.groupBy(*keys).agg(F.max("value").alias("value"))
-    return newest.unionByName(lookup(exact, some, keys, spread).drop("_at"))
+    found = best.select(*cell_id, F.lit(0).cast("bigint").alias("_at"), "_best.value")
+    if ts is not None:
+        # Versions of an exact time: only those that some request asks for.
+        timed = wanted.withColumnRenamed("ts", "_at")
+        some = timed.join(probes.where("_at > 0").select(*keys).distinct(), keys, "left_semi")
+        found = found.unionByName(some.groupBy(*keys).agg(F.max("value").alias("value")))
+    return lookup(probes, found, keys, spread).drop("_at")
 
 
 def counter_increment(

@@ -3,7 +3,7 @@
 from ..operators.lines import MATCH_FIELDS
 from . import fixtures
 from .oracle import (
-    BATCH_OF, COUNT_INT, MATCH_KEY, REQUESTS, WORDS, _URL_BUCKETS, _lines, _match_count, _match_rows, _profile_rows, _split,
+    BATCH_OF, COUNT_INT, REPLACED, REQUESTS, TWICE, WORDS, _URL_BUCKETS, _lines, _match_count, _match_rows, _profile_rows, _split,
 )
 
 _FIRSTS = ", ".join(f"arg_min_null({c}, seq) as {c}" for c in MATCH_FIELDS[:8])
@@ -44,4 +44,8 @@ EVENT_ORACLE = {
     "profile_days_bitmap": _DAYS,
     "profile_day_counts": f"select mid, count(distinct last_date) as days from {_profile_rows()} p group by mid",
     "table_function_word_count": WORDS,
+    "batch_table_transactional": REQUESTS,
+    "batch_table_opaque": REPLACED,
+    "batch_table_non_transactional": TWICE,
+    "batch_table_stream": REQUESTS,
 }

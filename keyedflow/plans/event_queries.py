@@ -11,11 +11,12 @@ from ..operators.lines import MATCH, MATCH_FIELDS, PROFILE, keyed_lines
 from ..operators.table_function import append_each
 from ..sources import lines as line_sources, ordered
 from ..sources.files import shared_dir
+from ..sources.batch_table import BatchTable
 from ..sources.keyed_table import KeyedTable
 from ..sources.periods import PeriodTable
 from ..streaming import days, dedup, jobs, state
 from . import fixtures
-from .queries import _a_third, _line_stream, _run, derived, load, query
+from .queries import _line_stream, _request_batches, _run, derived, query
 
 # -- complete days --------------------------------------------------------------------------
 
@@ -194,3 +195,43 @@ def table_function_word_count(spark, sf_dir):
     """Words by a table function, appended to the fields of their line."""
     tabs = derived(spark, sf_dir, fixtures.tab_lines).select("seq", "line")
     return counts.count_rows(append_each(tabs, _split_words, ["line"], "word string"), "word")
+
+
+# -- tables as a folder a batch ---------------------------------------------------------------
+
+
+def _batch_table(spark, mode="transactional") -> BatchTable:
+    return BatchTable(spark, shared_dir(spark, "batches"), counts.request_merge(), "word string, n bigint", mode)
+
+
+def _delivered(spark, sf_dir, mode, change=lambda batch: batch) -> DataFrame:
+    """Three batches of requests, the middle one again with `change` made to its lines, folded before the last."""
+    table, batches = _batch_table(spark, mode), _request_batches(spark, sf_dir)
+    for batch_id, batch in ((0, batches[0]), (1, batches[1]), (1, change(batches[1])), (2, batches[2])):
+        table.commit(jobs.one_each(batch, "line"), batch_id)
+    table.fold(keep=1)
+    return table.view()
+
+
+@query("batch_table_transactional")
+def batch_table_transactional(spark, sf_dir):
+    return _delivered(spark, sf_dir, "transactional")
+
+
+@query("batch_table_opaque")
+def batch_table_opaque(spark, sf_dir):
+    return _delivered(spark, sf_dir, "opaque", lambda batch: batch.withColumn("line", F.concat(F.lit("again/"), "line")))
+
+
+@query("batch_table_non_transactional")
+def batch_table_non_transactional(spark, sf_dir):
+    return _delivered(spark, sf_dir, "non_transactional")
+
+
+@query("batch_table_stream")
+def batch_table_stream(spark, sf_dir):
+    """A running request count into such a table."""
+    table = _batch_table(spark)
+    _run(jobs.request_count_job, _line_stream(spark, sf_dir, fixtures.request_lines), table, shared_dir(spark, "checkpoint"))
+    table.fold(keep=1)
+    return table.view()

@@ -148,6 +148,13 @@ UPDATED = """select c_custkey, c_name, c_nationkey,
 BAD_DAYS = f"""select seq, shortid, day, 'bad_date' as reason
         from {_lines(fixtures.url_events)} u where try_strptime(day, '%Y%m%d') is null"""
 
+# The middle batch delivered again: with other lines in its place, or counted twice.
+REPLACED = f"""select case when batch = 1 then 'again/' || line else line end as word,
+        count(*) as n from {_request_batches()} b group by 1"""
+TWICE = f"""select line as word,
+        cast(sum(case when batch = 1 then 2 else 1 end) as bigint) as n
+        from {_request_batches()} b group by 1"""
+
 ORACLE: dict[str, str] = {
     "parse_fields": f"""select seq, {", ".join(
         f"f[{i + 1}] as {c}" for i, c in enumerate(MATCH_FIELDS))}
@@ -202,11 +209,8 @@ ORACLE: dict[str, str] = {
         select o_custkey from orders where o_orderstatus = 'P')""",
     "state_lookup": STATE_LOOKUP,
     "table_lookup": STATE_LOOKUP,
-    "replay_opaque": f"""select case when batch = 1 then 'again/' || line else line end as word,
-        count(*) as n from {_request_batches()} b group by 1""",
-    "replay_non_transactional": f"""select line as word,
-        cast(sum(case when batch = 1 then 2 else 1 end) as bigint) as n
-        from {_request_batches()} b group by 1""",
+    "replay_opaque": REPLACED,
+    "replay_non_transactional": TWICE,
     "snapshot_new_checkpoint": _match_count(COUNT_INT),
     "delete_then_first_batch": f"""select line as word, count(*) as n from {_request_batches()} b
         where not (batch = 0 and line in (select line from {_request_batches()} c

@@ -54,16 +54,18 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
-def publish_folder(df: DataFrame, path: str) -> bool:
-    """Write `df` as parquet to a folder that appears as a whole; left as it is if it is there already."""
+def publish_folder(df: DataFrame, path: str, replace: bool = False) -> bool:
+    """Write `df` as parquet to a folder that appears as a whole; one that is there stays as it is, or is replaced."""
     spark = df.sparkSession
     hadoop_path, fs = _fs(spark, path)
-    if fs.exists(hadoop_path):
+    if fs.exists(hadoop_path) and not replace:
         return False
     parent = hadoop_path.getParent()
     draft = spark._jvm.org.apache.hadoop.fs.Path(parent.getParent(), f".{parent.getName()}-{uuid.uuid4().hex}")
     df.write.parquet(str(draft.toString()))
     fs.mkdirs(parent)
+    if replace:
+        fs.delete(hadoop_path, True)
     if not fs.rename(draft, hadoop_path):
         fs.delete(draft, True)
         raise FileExistsError(path)

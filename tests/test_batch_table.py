@@ -1,0 +1,117 @@
+"""A folder a batch: what a batch delivered again does, and folds that die half-way."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyedflow.operators.counts import match_count, match_merge, request_merge
+from keyedflow.operators.lines import MATCH_SUM, keyed_lines
+from keyedflow.plans import fixtures
+from keyedflow.sources import batch_table
+from keyedflow.sources.batch_table import BatchTable
+from keyedflow.streaming import jobs
+from test_streaming import Source, finish, same
+
+ROWS = "word string, n bigint"
+
+
+def rows(spark, *words):
+    return spark.createDataFrame([(w, 1) for w in words], ROWS)
+
+
+def counts(table):
+    return {r["word"]: r["n"] for r in table.view().collect()}
+
+
+@pytest.mark.parametrize("mode, again", [("transactional", {"a": 1, "b": 1}), ("opaque", {"a": 1, "c": 1}), ("non_transactional", {"a": 1, "b": 1, "c": 1})])
+def test_a_batch_again(spark, tmp_path, mode, again):
+    table = BatchTable(spark, str(tmp_path), request_merge(), ROWS, mode)
+    assert counts(table) == {}
+    table.commit(rows(spark, "a"), 0)
+    assert table.commit(rows(spark, "b"), 1)
+    assert table.commit(rows(spark, "c"), 1) == (mode != "transactional")
+    assert counts(table) == again
+    table.commit(rows(spark, "d"), 2)
+    assert table.fold(keep=1) and counts(table) == again | {"d": 1}
+    if mode == "opaque":
+        with pytest.raises(ValueError, match="folded"):
+            table.commit(rows(spark, "x"), 1)
+        table.commit(rows(spark, "e"), 2)
+        assert counts(table) == again | {"e": 1}
+    if mode == "transactional":
+        assert not table.commit(rows(spark, "x"), 0) and not table.commit(rows(spark, "x"), 2)
+    assert not table.fold(keep=1)
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_a_fold_that_dies_anywhere_changes_nothing(spark, tmp_path, monkeypatch, at):
+    table = BatchTable(spark, str(tmp_path), request_merge(), ROWS)
+    for n in range(4):
+        table.commit(rows(spark, "a", f"w{n}"), n)
+    want, calls = counts(table), []
+    publish, delete = batch_table.files.publish_folder, batch_table.files.delete
+
+    def dying(fn):
+        def call(*args, **kwargs):
+            if len(calls) == at:
+                raise RuntimeError("lost")
+            calls.append(1)
+            return fn(*args, **kwargs)
+
+        return call
+
+    monkeypatch.setattr(batch_table.files, "publish_folder", dying(publish))
+    monkeypatch.setattr(batch_table.files, "delete", dying(delete))
+    try:
+        table.fold(keep=1)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(batch_table.files, "publish_folder", publish)
+    monkeypatch.setattr(batch_table.files, "delete", delete)
+    assert counts(table) == want
+    assert not table.commit(rows(spark, "x"), 1)
+    table.commit(rows(spark, "z"), 4)
+    table.fold(keep=0)
+    assert counts(table) == want | {"z": 1} and len(table._folders()) == 1
+    assert len(batch_table.files.glob(spark, f"{tmp_path}/stream=none/batches=*")) == 1
+
+
+def test_streams_have_ids_of_their_own(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path), request_merge(), ROWS)
+    for stream in ("s", "t"):
+        for n in (0, 1, 0):
+            table.commit(rows(spark, "a"), n, stream=stream)
+    assert counts(table) == {"a": 4}
+    table.fold(keep=0)
+    assert counts(table) == {"a": 4} and len(table._folders()) == 2
+
+
+def test_running_job_with_first_seen_columns(spark, tmp_path):
+    source = Source(spark, tmp_path / "in", fixtures.match_lines)
+    table = BatchTable(spark, str(tmp_path / "t"), match_merge(), f"seq bigint, {jobs._MATCH_COLUMNS}")
+    for files in (1, 3):
+        source.send(files)
+        finish(jobs.match_sum_job(source.stream(), table, str(tmp_path / "c"), None))
+        table.fold(keep=1)
+    same(table.view(), match_count(keyed_lines(source.lines, MATCH_SUM)))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_deliveries(spark, tmp_path, seed):
+    rng, want = random.Random(seed), Counter()
+    table = BatchTable(spark, str(tmp_path), request_merge(), ROWS)
+    sent = []
+    for n in range(6):
+        words = [rng.choice("abcd") for _ in range(rng.randint(0, 5))]
+        sent.append(words)
+        want.update(words)
+        table.commit(rows(spark, *words), n)
+        if rng.random() < 0.5:
+            again = rng.randrange(len(sent))
+            assert not table.commit(rows(spark, *sent[again]), again)
+        if rng.random() < 0.4:
+            table.fold(keep=rng.randint(0, 2))
+    assert counts(table) == dict(want)
+    assert table.view().agg(F.sum("n")).first()[0] == want.total()

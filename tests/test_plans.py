@@ -73,3 +73,10 @@ def test_times_do_not_depend_on_the_zone_of_the_process(spark, monkeypatch):
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+def test_cells_are_looked_up_once(spark):
+    """Newest and exact versions meet the requests in one join, whose hot keys are found in one pass."""
+    text = plan(spark, "cell_lookup")
+    assert len(re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join \[row_key.*LeftOuter", text)) == 1
+    assert len(set(re.findall(r"Scan ExistingRDD\[_hash#\d+L?,_salts#\d+\]", text))) <= 2
