@@ -5,13 +5,17 @@ table cells that end by themselves, end tags that close what is open inside, and
 """
 
 import re
+from collections import Counter
+from collections.abc import Callable
 from html import unescape
 
+# A quote opens a value only behind `=`; elsewhere it is part of a name. What breaks off inside a tag is no text.
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)", re.S
+    rf"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^\s/>]*+(?:[\s/]++|=?+[^\s/>=]++(?:{_VALUE})?+|=)*+(?:>|\Z)", re.S
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ATTRIBUTE = re.compile(r"""=?([^\s/>=]++)(?:\s*+=\s*+("[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+))?+""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
@@ -35,23 +39,38 @@ ENDS_LIKE = {
 class Element:
     """`blocks`: the texts that stand directly in this element, with their places in the page."""
 
-    __slots__ = ("tag", "attributes", "children", "blocks", "parent", "links")
+    __slots__ = ("tag", "attributes", "children", "blocks", "parent")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: "Element | None"):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list[Element] = []
         self.blocks: list[list] = []  # [place, text, characters inside links]
 
+    def names(self) -> list[list[str]]:
+        """The names in class, id and role, each as its words in lower case."""
+        named = " ".join(self.attributes.get(k, "") for k in ("class", "id", "role")).split()
+        return [re.findall(r"[a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) for name in named]
+
     def words(self) -> list[str]:
-        """The words of class, id and role, in lower case."""
-        named = " ".join(self.attributes.get(k, "") for k in ("class", "id", "role"))
-        return re.findall(r"[a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()) if named.strip() else []
+        return [word for name in self.names() for word in name]
+
+
+def _attributes(raw: str, tag: str) -> dict[str, str]:
+    if "=" not in raw and " " not in raw:
+        return {}
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw, len(tag) + 1, len(raw) - raw.endswith(">")):
+        found.setdefault(name.lower(), unescape(value[1:].removesuffix(value[0]) if value[:1] in ("'", '"') else value))
+    return found
 
 
-def parse(html: str) -> Element:
-    """The root of the tree. Inline elements leave no node: their text belongs to the block around."""
+def parse(html: str, mute: Callable[[Element], bool] = lambda e: False) -> Element:
+    """The root of the tree. Inline elements leave no node: their text belongs to the block around, unless `mute` leaves it out."""
     root = current = Element("#root", {}, None)
     place, buffer, linked, in_link = 0, [], 0, 0
+    opened: Counter = Counter()  # elements from the root to here, by tag
+    muted: list[str] = []  # inline elements that are left out, and the element around them
+    muted_in = root
 
     def flush() -> None:
         nonlocal place, linked
@@ -67,9 +86,15 @@ def parse(html: str) -> Element:
         """Leave everything up to and including `stop`."""
         nonlocal current
         flush()
-        current = stop.parent
+        while current is not stop.parent:
+            opened[current.tag] -= 1
+            if current is muted_in:
+                muted.clear()
+            current = current.parent
 
     def nearest(tags: set[str], limits: set[str] | frozenset[str]) -> Element | None:
+        if not any(opened[t] for t in tags):
+            return None
         e = current
         while e is not root and e.tag not in limits:
             if e.tag in tags:
@@ -83,9 +108,10 @@ def parse(html: str) -> Element:
         if token is None:
             if (rest := html[at:]) and "<" in rest and re.search(r"</?[a-zA-Z][^>]*\Z", rest):
                 rest = re.sub(r"</?[a-zA-Z][^>]*\Z", "", rest)
-            buffer.append(unescape(rest))
+            if not muted:
+                buffer.append(unescape(rest))
             break
-        if token.start() > at:
+        if token.start() > at and not muted:
             text = unescape(html[at : token.start()])
             buffer.append(text)
             linked += len(text) if in_link else 0
@@ -94,6 +120,8 @@ def parse(html: str) -> Element:
             continue
         tag = _NAME.match(raw)[1].lower()
         if raw[1] == "/":
+            if muted and tag == muted[-1]:
+                muted.pop()
             if tag == "a":
                 in_link = 0
             elif tag == "br":
@@ -119,6 +147,10 @@ def parse(html: str) -> Element:
                 flush()
             if tag == "a":
                 in_link = 1
+            if tag in INLINE and tag not in VOID and (tag in muted or mute(Element(tag, _attributes(raw, tag), current))):
+                if not muted:
+                    muted_in = current
+                muted.append(tag)
             continue
         if tag in ENDS_P and (p := nearest({"p"}, {"button", "table", "td", "th", "#root"})) is not None:
             close(p)
@@ -126,12 +158,10 @@ def parse(html: str) -> Element:
             while (outer := nearest(*ENDS_LIKE[tag])) is not None:
                 close(outer)
         flush()
-        attributes = {
-            k.lower(): unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(raw, len(tag) + 1, len(raw) - 1)
-        } if "=" in raw or " " in raw else {}
-        child = Element(tag, attributes, current)
+        child = Element(tag, _attributes(raw, tag), current)
         current.children.append(child)
         if not raw.endswith("/>") or tag in ("p", "div", "li"):
             current = child
+            opened[tag] += 1
     flush()
     return root

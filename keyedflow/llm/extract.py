@@ -12,11 +12,16 @@ the other rules alone.
 A host's pages are dealt by hash to groups of about `GROUP`, so a host that holds a third of all pages is many groups, and
 no task holds more than a group. What pages of a group share is judged from distinct pages, so copies prove nothing.
 
+Names of class, id and role count by the word that says what the part is. A part that holds the page's only marked article is not
+dropped by its name, and inline elements that are adverts and the like are left out of the text around them. Pages may be nested to
+any depth and be of any length; nothing is flattened or cut.
+
 Null html is empty and gives an empty text. Null urls form one host. Repeated rows each give their row. An empty table
 gives an empty one. Other columns are passed on, those with a result's name replaced.
 """
 
 from collections import Counter
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -37,6 +42,14 @@ DROPPED_WORDS = frozenset(
 )
 
 
+# What a name may hold behind the word that says what it is, and before one that it denies or mentions.
+TAILS = frozenset(
+    "area articles bar block body box btn button buttons container content group holder icons inner item items left link links list "
+    "main news outer panel posts right row section slot text top bottom unit wrap wrapper zone".split()
+)
+DENIALS = frozenset("no not non without has have with is".split())
+
+
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
@@ -46,24 +59,69 @@ def _hidden(e: Element) -> bool:
     return "hidden" in e.attributes or e.attributes.get("aria-hidden") == "true" or "display:none" in style
 
 
-def _is_article(e: Element) -> bool:
+def _is_marked(e: Element) -> bool:
+    """Whether the page says that this is its article."""
     if e.tag in ("article", "main") or e.attributes.get("itemprop", "").lower() == "articlebody":
         return True
-    return e.tag in ("div", "section") and (
-        e.attributes.get("role", "").lower() in ("main", "article")
-        or bool(set(e.words()) & {"article", "articlebody", "post"}) and not set(e.words()) & DROPPED_WORDS
-    )
+    return e.tag in ("div", "section") and e.attributes.get("role", "").lower() in ("main", "article")
+
+
+def _named_like(e: Element, words: frozenset[str]) -> bool:
+    """Whether a name of the element says that it is one of these: `cookie-notice` is a notice, `sidebar-left` a sidebar,
+    but `no-sidebar`, `comments-open` and `alert-story` are neither sidebar nor comments nor alert."""
+    for name in e.names():
+        while len(name) > 1 and (name[-1] in TAILS or name[-1].isdigit()):
+            name = name[:-1]
+        if name and name[-1] in words and not DENIALS & set(name):
+            return True
+    return False
+
+
+def _is_article(e: Element) -> bool:
+    if _is_marked(e):
+        return True
+    named = e.tag in ("div", "section") and set(e.words()) & {"article", "articlebody", "post"}
+    return bool(named) and not _named_like(e, DROPPED_WORDS)
 
 
-def _is_dropped(e: Element, in_article: bool) -> bool:
+def _is_dropped(e: Element, in_article: bool, kept: set[int] | frozenset = frozenset()) -> bool:
+    """kept: elements, by identity, that hold the only marked article and so are not judged by their names."""
     if e.tag in DROPPED_TAGS or _hidden(e):
         return True
     if e.tag == "header" and not in_article:
         return True
-    if e.tag in ("html", "body", "article", "main"):
+    if e.tag in ("html", "body", "article", "main") or id(e) in kept:
         return False
-    words = e.words()
-    return any(w in DROPPED_WORDS for w in words) or (not in_article and "header" in words)
+    return _named_like(e, DROPPED_WORDS) or (not in_article and _named_like(e, _HEADER))
+
+
+_HEADER = frozenset(["header"])
+
+
+def is_muted(e: Element) -> bool:
+    """Whether the text of an inline element is left out."""
+    return _hidden(e) or _named_like(e, DROPPED_WORDS)
+
+
+def _holders(root: Element) -> set[int]:
+    """Elements around marked articles, if all of these lie in parts that would be dropped by name."""
+    holders: set[int] = set()
+    stack = [(root, False, False)]
+    while stack:
+        e, by_name, inside = stack.pop()
+        if e.tag in DROPPED_TAGS or _hidden(e) or (e.tag == "header" and not inside):
+            continue
+        inside = inside or _is_article(e)
+        by_name = by_name or _is_dropped(e, inside)
+        if _is_marked(e):
+            if not by_name:
+                return set()
+            up = e
+            while up is not None and id(up) not in holders:
+                holders.add(id(up))
+                up = up.parent
+        stack += [(c, by_name, inside) for c in e.children]
+    return holders
 
 
 class Node:
@@ -77,63 +135,59 @@ class Node:
         self.texts: list[tuple[int, str, float]] = []
 
 
+def _key(label: str, children: list) -> bytes:
+    """A digest of a tree: its label and its children's digests."""
+    return blake2b(label.encode("utf-8", "surrogatepass") + b"\0" + b"".join(c.key for c in children), digest_size=16).digest()
+
+
 def tree_of(root: Element) -> Node:
     """The tree of what is not dropped, with runs of like siblings merged into one node each."""
+    kept = _holders(root)
 
-    def build(e: Element, in_article: bool) -> Node:
-        inside = in_article or _is_article(e)
-        node = Node(f"{e.tag}.{'.'.join(e.words())}", inside)
+    def node_of(e: Element, in_article: bool) -> Node:
+        node = Node(f"{e.tag}.{'.'.join(e.words())}", in_article or _is_article(e))
         node.texts = [(place, text, linked / max(len(text), 1)) for place, text, linked in e.blocks]
-        for child in e.children:
-            if not _is_dropped(child, inside):
-                _append(node, build(child, inside))
         return node
 
-    def _append(parent: Node, child: Node) -> None:
-        if parent.children and parent.children[-1].label == child.label:
-            last = parent.children[-1]
-            last.texts += child.texts
-            for grandchild in child.children:
-                _append(last, grandchild)
+    # In page order, so that a node is complete before its next sibling is compared with it. By a stack, at any depth.
+    tree = node_of(root, False)
+    stack, order = [(tree, iter(root.children))], [tree]
+    while stack:
+        parent, children = stack[-1]
+        child = next((c for c in children if not _is_dropped(c, parent.article, kept)), None)
+        if child is None:
+            stack.pop()
+            continue
+        node = node_of(child, parent.article)
+        if parent.children and parent.children[-1].label == node.label:
+            parent.children[-1].texts += node.texts
+            node = parent.children[-1]
         else:
-            parent.children.append(child)
-
-    def keyed(node: Node) -> tuple:
-        node.key = (node.label, *(keyed(c) for c in node.children))
-        return node.key
-
-    # The page is walked by calls, so a tree that is nested beyond all reason is cut down first.
-    _flatten(root, 200)
-    tree = build(root, False)
-    keyed(tree)
+            parent.children.append(node)
+            order.append(node)
+        stack.append((node, iter(child.children)))
+    for node in reversed(order):
+        node.key = _key(node.label, node.children)
     return tree
 
 
-def _flatten(root: Element, depth: int) -> None:
-    """Move what lies deeper than `depth` up to there; texts keep their places."""
-    stack = [(root, 0)]
-    while stack:
-        e, d = stack.pop()
-        if d >= depth:
-            below = list(e.children)
-            while below:
-                x = below.pop()
-                if not _is_dropped(x, False):
-                    e.blocks += x.blocks
-                    below += x.children
-            e.children = []
-            e.blocks.sort()
-        stack += [(c, d + 1) for c in e.children]
-
-
 def simple_tree_matching(a: Node, b: Node, memo: dict) -> int:
     """The most pairs of elements that match, in order and under matching parents."""
     if a.label != b.label:
         return 0
-    key = (a.key, b.key)
-    if key not in memo:
-        memo[key] = 1 + _match_children(a, b, memo)[-1][-1]
-    return memo[key]
+    stack = [(a, b)]
+    while stack:
+        x, y = stack[-1]
+        if (x.key, y.key) in memo:
+            stack.pop()
+            continue
+        open_pairs = [(c, d) for c in x.children for d in y.children if c.label == d.label and (c.key, d.key) not in memo]
+        if open_pairs:
+            stack += open_pairs
+        else:
+            memo[x.key, y.key] = 1 + _match_children(x, y, memo)[-1][-1]
+            stack.pop()
+    return memo[a.key, b.key]
 
 
 def _match_children(a: Node, b: Node, memo: dict) -> list[list[int]]:
@@ -151,60 +205,67 @@ class Template:
         self.root = self._copy(first)
         self.memo: dict = {}
 
-    def _copy(self, node: Node) -> Node:
-        own = Node(node.label, node.article)
-        own.key = node.key
-        own.children = [self._copy(c) for c in node.children]
-        own.texts = Counter()  # text -> distinct pages that have it here
-        return own
-
-    def _rekey(self, node: Node) -> tuple:
-        node.key = (node.label, *(self._rekey(c) for c in node.children))
-        return node.key
+    @staticmethod
+    def _copy(node: Node) -> Node:
+        """The tree without its texts."""
+        top = Node(node.label, node.article)
+        stack = [(top, node)]
+        while stack:
+            own, other = stack.pop()
+            own.key, own.texts = other.key, Counter()  # text -> distinct pages that have it here
+            own.children = [Node(c.label, c.article) for c in other.children]
+            stack += zip(own.children, other.children)
+        return top
 
     def align(self, page: Node) -> list[tuple[Node, Node]]:
         """(template element, page element) for all elements of the page; new ones are added."""
         pairs: list[tuple[Node, Node]] = []
-        if self._align(self.root, page, pairs):
-            self._rekey(self.root)
+        grown, stack = False, [(self.root, page)]
+        while stack:
+            own, other = stack.pop()
+            pairs.append((own, other))
+            if own.key == other.key:
+                stack += zip(own.children, other.children)
+                continue
+            children = []
+            for x, y in self._steps(own, other):
+                if x is None:
+                    x = self._copy(y)
+                    grown = True
+                children.append(x)
+                if y is not None:
+                    stack.append((x, y))
+            own.children = children
+        if grown:
+            order, stack = [], [self.root]
+            while stack:
+                order.append(stack.pop())
+                stack += order[-1].children
+            for node in reversed(order):
+                node.key = _key(node.label, node.children)
         return pairs
 
-    def _align(self, own: Node, page: Node, pairs: list) -> bool:
-        pairs.append((own, page))
-        if own.key == page.key:
-            matched = list(zip(own.children, page.children))
-            return any([self._align(x, y, pairs) for x, y in matched])
+    def _steps(self, own: Node, page: Node) -> list[tuple[Node | None, Node | None]]:
+        """The children of both in one order, matching ones together."""
         best = _match_children(own, page, self.memo)
         i, j, steps = len(own.children), len(page.children), []
         while i or j:
             if i and j and best[i][j] > max(best[i - 1][j], best[i][j - 1]):
-                steps.append((i - 1, j - 1))
                 i, j = i - 1, j - 1
+                steps.append((own.children[i], page.children[j]))
             elif j and (not i or best[i][j] == best[i][j - 1]):
-                steps.append((None, j - 1))
                 j -= 1
+                steps.append((None, page.children[j]))
             else:
-                steps.append((i - 1, None))
                 i -= 1
-        children, grown = [], False
-        for x, y in reversed(steps):
-            if x is None:
-                new = self._copy(page.children[y])
-                children.append(new)
-                self._align(new, page.children[y], pairs)
-                grown = True
-            else:
-                children.append(own.children[x])
-                if y is not None:
-                    grown |= self._align(own.children[x], page.children[y], pairs)
-        own.children = children
-        return grown
+                steps.append((own.children[i], None))
+        return steps[::-1]
 
 
 def extract_group(pages: list[str]) -> list[str]:
     """The main text of each of these pages of one host."""
     distinct = {html: None for html in pages}
-    trees = {html: tree_of(parse(html)) for html in distinct}
+    trees = {html: tree_of(parse(html, is_muted)) for html in distinct}
     template, aligned = None, {}
     for html, tree in trees.items():
         template = template or Template(tree)

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 #: Entries of a worker's cache, marks for parts met before, and characters looked up at a time.
 CACHE_ENTRIES, MARKS, SLICE_CHARS = 600_000, 1 << 22, 3_000_000
 #: Entries of a generation of `PartCache`, and the characters of the longest part that is kept.
-GENERATION, LONGEST = 250_000, 64
+GENERATION, LONGEST = 300_000, 64
 
 
 class PretokenCache:
@@ -91,7 +91,8 @@ class PretokenCache:
 
 
 class _Known(dict):
-    """Values made when first asked for, in two generations: what is used of the older one moves to the newer."""
+    """Values made when asked for, in two generations: what is used of the older one moves to the newer, and the rest goes
+    when the newer one is full."""
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
@@ -112,25 +113,38 @@ class _Known(dict):
 
 
 class PartCache:
-    """Ids of texts by way of their parts, each looked up once; `encode_word` gives those of a match of the pattern."""
+    """Ids of texts by way of their parts, each looked up once.
 
-    def __init__(self, pattern: str, encode_word: Callable[[str], bytes]):
+    `encode_word` gives the ids of a match of the pattern, `encode_letters` those of ASCII letters and the space before them.
+    """
+
+    def __init__(self, pattern: str, encode_word: Callable[[str], bytes], encode_letters: Callable[[str], bytes]):
         self.cutter = PretokenCache(pattern, lambda words: [])
-        self.encode_word = encode_word
+        self.encode_word, self.encode_letters = encode_word, encode_letters
         self.words, self.parts = _Known(encode_word), _Known(self._part)
+        self.beside_space = re.compile(r" \s|\s ").search
+
+    def _cut(self, text: str) -> list[str]:
+        """Cut before each space that stands alone between two other characters."""
+        if text[:1] == " " or text[-1:] == " " or "  " in text:
+            return self.cutter.lone_space(text)
+        rare = "\n " in text or " \n" in text or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text
+        if (rare or not text.isascii()) and self.beside_space(text):
+            return self.cutter.lone_space(text)
+        return text.split(" ")
 
     def _part(self, part: str) -> bytes:
         """The ids of a part and the space before it."""
         if part.isalpha():
-            return self.encode_word(" " + part)
+            return self.encode_letters(part) if part.isascii() else self.encode_word(" " + part)
         if part[-1] in ".,;:" and part[:-1].isalpha():
             return self.parts[part[:-1]] + self.words[part[-1]]
         return b"".join(map(self.words.__getitem__, self.cutter.split(" " + part)))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        word, part, split, cut = self.words.__getitem__, self.parts.__getitem__, self.cutter.split, self.cutter._cut
+        word, part, split = self.words.__getitem__, self.parts.__getitem__, self.cutter.split
         for text in texts:
-            parts = cut(text)
+            parts = self._cut(text)
             first = split(parts.pop(0))
             yield b"".join(map(word, first)) + b"".join(map(part, parts))
             self.parts.bound(GENERATION)

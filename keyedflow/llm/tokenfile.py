@@ -120,16 +120,18 @@ class IdEncoder:
         self.model = tokenizer.model
         self.dtype = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.alphabet = byte_alphabet()
+        self.space = self.alphabet[32]
         width = np.dtype(self.dtype).itemsize
         self.raw = [i.to_bytes(width, "little") for i in range(tokenizer.get_vocab_size())]
-        self.cache = PartCache(pattern, self._encode_word)
+        self.cache = PartCache(pattern, self._encode_word, self._encode_letters)
 
-    def _encode_word(self, word: str) -> bytes:
-        if word.isascii() and word[0] == " " and word[1:].isalpha():
-            written = self.alphabet[32] + word[1:]
-        else:
-            written = word.encode().decode("latin-1").translate(self.alphabet)
+    def _encode_letters(self, letters: str) -> bytes:
+        """ASCII letters and the space before them."""
         raw = self.raw
+        return b"".join([raw[t.id] for t in self.model.tokenize(self.space + letters)])
+
+    def _encode_word(self, word: str) -> bytes:
+        raw, written = self.raw, word.encode().decode("latin-1").translate(self.alphabet)
         return b"".join([raw[t.id] for t in self.model.tokenize(written)])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:

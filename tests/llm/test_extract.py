@@ -1,5 +1,6 @@
 import html as H
 import re
+import time
 
 import pytest
 
@@ -95,3 +96,44 @@ def test_edges(spark):
     assert extract.extract(df.limit(0)).count() == 0
     hosts = [r[0] for r in df.select(extract.host_of(df["url"])).collect()]
     assert hosts == ["", "", "host.example", "host.example", "host.example", "", "host.example"]
+
+
+@pytest.mark.parametrize("html,want", [
+    ('<div class="a""><p>Hello world</p></div>', "Hello world"), ("<p title=it's>text</p><p>it's</p>", "text\nit's"),
+    ("<p a\"b='c>d' e>x</p>", "x"), ("<p>seen</p><p title=\"abc>" + "swallowed " * 50000, "seen"), ("<p =x y = z>t</p>", "t"),
+])
+def test_no_markup_in_the_text(html, want):
+    """Quotes open a value only behind an equals sign, as in browsers; an unclosed one takes the rest of the page."""
+    assert extract.extract_group([html]) == [want]
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<div class='layout no-sidebar'><article><p>In</p></article></div>", "In"), ("<div class='post comments-open'><p>In</p></div>", "In"),
+    ("<div class='alert-story'><p>In</p></div>", "In"), ("<div class='sidebar'><article><p>only</p></article></div>", "only"),
+    ("<div class='sidebar'><article><p>teaser</p></article></div><article><p>In</p></article>", "In"),
+    ("<div class='with-nav'><p>In</p></div><div class='sidebar-left'><p>s</p></div><div id='relatedPosts'><p>r</p></div>", "In"),
+    ("<nav><article>n</article></nav><div hidden><article>h</article></div><p>In</p>", "In"),
+])
+def test_articles_are_not_lost_to_a_name(html, want):
+    assert extract.extract_group([html]) == [want]
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<p>Hello <span class='advert'>BUY</span> world</p>", "Hello world"), ("<p>a <span hidden>x</span>b</p>", "a b"),
+    ("<p>a <span class='share'>b <span>c</span> d</span> e</p><p>f</p>", "a e\nf"), ("<p>x <span class=ad>open <p>next</p>", "x\nnext"),
+    ("<p>a <b class='bold'>c</b></p>", "a c"), ("<div>a <span class='ad'><div>in</div>out</span> b", "a\nb"),
+])
+def test_inline_adverts_are_left_out_of_their_block(html, want):
+    assert extract.extract_group([html]) == [want]
+
+
+def test_nesting_of_any_depth():
+    """Structure is kept at any depth: the article in a deep header stays, and deep trees are aligned."""
+    start = time.process_time()
+    deep = "<div>" * 200_000
+    assert extract.extract_group([deep + "deep"]) == ["deep"]
+    assert extract.extract_group(["<p>" + "<b>" * 200_000 + "deep"]) == ["deep"]
+    assert time.process_time() - start < 60
+    wrapped = "<div>" * 500
+    pages = [f"{wrapped}<article><header><h1>T{i}</h1></header><p>own {i}</p><p>same</p></article><div>same {'</div>' * 501}" for i in range(20)]
+    assert extract.extract_group(pages) == [f"T{i}\nown {i}" for i in range(20)]

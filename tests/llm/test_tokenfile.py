@@ -88,3 +88,14 @@ def test_added_tokens(spark, tmp_path):
     assert 50256 in library.encode(texts[0], add_special_tokens=False).ids
     got, _ = rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2), tmp_path / "c", 4)
     check(got, list(enumerate(texts)), lambda t: library.encode(t or "", add_special_tokens=False).ids)
+
+
+def test_white_space_of_every_kind(reference):
+    """Parts are cut where the library's pattern starts a match, whatever stands beside a space."""
+    import random
+
+    rng = random.Random(9)
+    kinds = [" ", " ", " ", "\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\xa0", " ", "　", "a", "B", "é", ".", "7", "'s", "\x00"]
+    texts = ["".join(rng.choice(kinds) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    own = tokenfile.IdEncoder(PATH, P.PATTERN)
+    assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(texts)] == [reference(t) for t in texts]
