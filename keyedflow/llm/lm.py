@@ -1,4 +1,4 @@
-"""Language-model scores by a trigram backoff model that is kept as tables.
+"""Language-model scores by a trigram backoff model: a weighted automaton with failure arcs, kept as a table.
 
 Tokens are words, lower-cased in A-Z, that end at U+0020 and U+0009 to U+000D, then one end token per text. Training
 texts are those whose crc32(id as text) mod 10 is not 0.
@@ -8,34 +8,35 @@ of a higher order is kept if it occurs `LEAST` times, at any size of the corpus
 if that is given and more). A kept n-gram has (c - 0.5) / c(context); what a context has left goes to its backoff, in
 proportion to the next lower order, so that the probabilities of every context sum to one.
 
-Values. The log-probability of a text is a sum over all n-grams in it, of each order. A word adds its unigram; a kept n-gram
-adds what its own probability differs from that by the failure arc (the backoff of its context and the next lower order);
-and each adds its own backoff as a context, since every token but the end is followed by one. Other n-grams add nothing.
-So a value per n-gram is all that scoring needs, and texts and values meet in a join.
+The automaton. Its states are the kept n-grams below the highest order, and the empty one. A state has an arc for each kept n-gram
+that goes on from it, with the n-gram's log-probability, and a failure arc to the state without its first word, with its
+backoff. A text is traversed once, from left to right: where the state has no arc for the next word, its failure arcs are followed, adding
+their weights, until one has; the empty state has an arc for every word. The next state is the longest kept n-gram that ends there.
+
+The whole automaton is a table of arcs by 64-bit key, and no task holds it. Texts are dealt to chunks of a few MB; each asks for the arcs
+of the n-grams that occur in it, each once, which a bitmap of fixed size thins before the join. A chunk's texts and arcs meet in one
+task, which builds this part of the automaton and traverses the texts. The most frequent words (a share of `HEAD`) and n-grams
+(`DIRECT` at most) are sent to all tasks instead, which changes no result.
 
 Tables. Words are known by their 64-bit hash. Counts are partial sums per task and one shuffle for each order. Since an
 n-gram is never more frequent than its parts, those with a part that was not kept are left out before the shuffle as far as
-a bitmap of fixed size knows them; it never leaves out a kept one. The same bitmap thins the n-grams of the texts before the
-join. The most frequent words (`HEAD`) and n-grams (`DIRECT` at most) are broadcast and looked up in place, which changes no
-result; all others are joined.
+a bitmap knows them; it never leaves out a kept one. Stored tables stay where they are until the application's folder goes, so
+lost executors can be made up for.
 
 Null and empty texts consist of the end token. Rows of one id are scored one by one; repeated rows train as often as they
 occur. Null ids train, as they have no fold. Without training texts every token is unseen. Only the id and the text are read.
 """
 
-import gc
 import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..sources.files import delete
 from .common import residue, slices, stored
 
 HEAD, LEAST, ORDER = 1e-6, 2, 3
@@ -192,63 +193,95 @@ def gram_counts(training: DataFrame, order: int, least: int, lower: np.ndarray |
     return partial.repartition(*names).groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _release(*tables: DataFrame) -> None:
-    """Delete stored tables that are not read again, and shuffle files, which go with the driver's garbage."""
-    for df in tables:
-        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            delete(df.sparkSession, folder)
-    gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
-
-
 # -- the model --------------------------------------------------------------------------------
 
 
-class Model:
-    """What scoring looks up in place, and the tables that it joins.
-
-    counts: (word, n) of all words; n: training tokens; total: N + 0.1 * (V + 1); head: frequent word -> number, first_log and
-    own_weight: their unigrams and backoffs by number; values: (key, n, value) of kept n-grams and of the backoff of words;
-    direct_keys, direct_values: those of the most frequent ones, sorted by key; bits: the bitmap of all keys.
-    """
-
-    def __init__(self, **parts):
-        self.__dict__ |= parts
-
-
-def _values(words: DataFrame, grams: list[DataFrame]) -> DataFrame:
-    """(key, n, value, order), stored, of all kept n-grams and of the words that are contexts.
+def _arcs(counts: DataFrame, least: int, total: float, grams: list[DataFrame]) -> DataFrame:
+    """(key, order, n, arc, failure), stored: of every word and kept n-gram the log-probability of its arc, and the
+    weight of the failure arc of the state that it is.
 
-    words: (w0, n, p); grams: the counts of the orders from two on, which are deleted.
+    counts: (word, n) of all words; grams: the counts of the orders from two on.
     """
-    levels, weights, used = [words], [], []
-    for order, counts in enumerate(grams, 2):
-        names, below = _names(order), levels[-1]
+    unigram = (F.col("n") + ADD) / F.lit(total)
+    words = counts.select(F.xxhash64("word").alias("w0"), "n", unigram.alias("p"))
+    levels, weights = [words], []
+    for order, found in enumerate(grams, 2):
+        names, below = _names(order), levels[-1].where(F.col("n") >= least)
         shorter = names[:-1]
         context = below.select(*shorter, F.col("n").alias("n_context"))
         suffix = below.select(*(F.col(a).alias(b) for a, b in zip(shorter, names[1:])), F.col("p").alias("p_lower"))
-        level = counts.join(context, shorter).join(suffix, names[1:])
-        level = stored(level.withColumn("p", (F.col("n") - DISCOUNT) / F.col("n_context")), f"grams{order}")
+        level = found.join(context, shorter).join(suffix, names[1:])
+        level = stored(level.select(*names, "n", ((F.col("n") - DISCOUNT) / F.col("n_context")).alias("p"), "p_lower"), f"grams{order}")
         left = (1 - F.sum("p")) / (1 - F.sum("p_lower"))
-        weight = stored(level.groupBy(*shorter).agg(F.log10(left).alias("weight")), f"weights{order}")
-        weights.append(weight)
-        used += [level, weight]
-        _release(counts)
-        levels.append(level.join(weight, shorter).select(
-            *names, "n", "p", (F.log10("p") - F.log10("p_lower") - F.col("weight")).alias("own")))
+        weights.append(level.groupBy(*shorter).agg(F.log10(left).alias("failure")))
+        levels.append(level)
     out = []
     for order, level in enumerate(levels, 1):
-        names = _names(order)
-        own = F.col("own") if order > 1 else F.lit(0.0)
+        names, failure = _names(order), F.lit(0.0)
         if order <= len(weights):
-            level = level.join(weights[order - 1], names, "left" if order > 1 else "inner")
-            own = own + F.coalesce("weight", F.lit(0.0))
-        elif order == 1:
-            level = level.where("false")
-        out.append(level.select(key_column(names).alias("key"), "n", own.alias("value"), F.lit(order).alias("order")))
-    values = stored(reduce(DataFrame.union, out), "values")
-    _release(*used)
-    return values
+            level, failure = level.join(weights[order - 1], names, "left"), F.coalesce("failure", F.lit(0.0))
+        key = key_column(names).alias("key")
+        out.append(level.select(key, F.lit(order).alias("order"), "n", F.log10("p").alias("arc"), failure.alias("failure")))
+    return stored(reduce(DataFrame.union, out), "arcs")
+
+
+class Automaton:
+    """A part of the model: arcs and failure arcs by key, for the n-grams of some texts, beside those in `direct`, which are
+    sorted by key."""
+
+    def __init__(self, order: int, unseen: float, keys: np.ndarray, arcs: np.ndarray, failures: np.ndarray, direct: tuple | None = None):
+        at = np.argsort(keys)
+        self.order, self.unseen = order, unseen
+        self.parts = [(keys[at], arcs[at], failures[at]), *([direct] if direct else [])]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether there is an n-gram of each key, its arc and its failure arc."""
+        there, arc, failure = np.zeros(len(keys), bool), np.full(len(keys), self.unseen), np.zeros(len(keys))
+        for known, arcs, failures in self.parts:
+            if len(known):
+                at = np.searchsorted(known, keys)
+                at[at == len(known)] = 0
+                found = known[at] == keys
+                there |= found
+                arc[found], failure[found] = arcs[at[found]], failures[at[found]]
+        return there, arc, failure
+
+    def traverse(self, hashes: np.ndarray, ends: list[int]) -> list[tuple[int, float, float]]:
+        """(known words, unigram score, score) of texts that follow one another in `hashes` and end at `ends`."""
+        # Of the n-grams of each order that end at a token: whether there is one, its arc, and its failure arc.
+        levels = []
+        for size in range(1, self.order + 1):
+            length = max(len(hashes) - size + 1, 0)
+            found = self.find(keys_of([hashes[i : i + length] for i in range(size)]))
+            short = min(size - 1, len(hashes))  # no n-gram ends at the first tokens
+            levels.append([[fill] * short + values.tolist() for fill, values in zip((False, 0.0, 0.0), found)])
+        known, unigram, _ = levels[0]
+        out, token = [], 0
+        for end in ends:
+            state, score, first = 0, 0.0, token  # the state is the n-gram of so many words before the token
+            n_known, base = 0, 0.0
+            while token < end:
+                while state and not levels[state][0][token]:
+                    score += levels[state - 1][2][token - 1]
+                    state -= 1
+                score += levels[state][1][token]
+                n_known += known[token]
+                base += unigram[token]
+                # The longest n-gram within the text that is a state and ends here.
+                state = min(state + 1, self.order - 1)
+                while state and not levels[state - 1][0][token]:
+                    state -= 1
+                token += 1
+            out.append((n_known, base, score))
+        return out
+
+
+class Model:
+    """order, n (training tokens), unseen (log-probability of an unseen word); arcs: the stored table; direct_*: the most frequent
+    arcs, sorted by key; bits: the bitmap of all keys of n-grams."""
+
+    def __init__(self, **parts):
+        self.__dict__ |= parts
 
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER, head: float = HEAD,
@@ -260,129 +293,86 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
     n = n or 0
     total = n + ADD * (distinct + 1)
     least = max(LEAST, math.ceil(share * n))
-    p = (F.col("n") + ADD) / F.lit(total)
-    words = counts.where(F.col("n") >= least).select(F.xxhash64("word").alias("w0"), "n", p.alias("p"))
     grams, bits = [], None
     for size in range(2, order + 1):
         grams.append(stored(gram_counts(training, size, least, bits), f"counts{size}"))
         if size < order:
             bits = bitmap(grams[-1].select(key_column(_names(size)).alias("key")))
-    values = _values(words, grams)
-
-    # at most 1 / head words, and the end token
-    frequent = counts.where((F.col("n") >= head * n) | (F.col("word") == F.lit(END)))
-    weights = values.where(F.col("order") == 1).select("key", "value")
-    frequent = frequent.withColumn("key", F.xxhash64("word")).join(weights, "key", "left")
-    rows = frequent.select("word", "n", F.coalesce("value", F.lit(0.0)).alias("value")).toArrow()
-    seen = {w: i for i, w in enumerate(rows.column("word").to_pylist())}
-    n_seen, own_weight = rows.column("n").to_numpy().astype(np.float64), rows.column("value").to_numpy()
-    if END not in seen:
-        seen[END] = len(seen)
-        n_seen, own_weight = np.append(n_seen, 0.0), np.append(own_weight, 0.0)
-
-    # the least count whose n-grams, with all more frequent ones, are DIRECT at most
-    longer = values.where(F.col("order") > 1)
+    arcs = _arcs(counts, least, total, grams)
+    longer = arcs.where(F.col("order") > 1)
+    # The least count whose n-grams, with all more frequent ones, are DIRECT at most.
     sizes, so_far, bound = longer.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).toLocalIterator(), 0, None
     for r in sizes:
         so_far += r["k"]
         if so_far > DIRECT:
             break
         bound = r["n"]
-    direct = longer.where(F.lit(False) if bound is None else F.col("n") >= bound).select("key", "value").toArrow()
+    frequent = (F.col("order") == 1) & (F.col("n") >= max(head * n, 1))  # at most 1 / head words
+    if bound is not None:
+        frequent |= (F.col("order") > 1) & (F.col("n") >= bound)
+    direct = arcs.where(frequent).select("key", "arc", "failure").toArrow()
     keys = direct.column("key").to_numpy().view(np.uint64)
     at = np.argsort(keys)
-    rest = values.where(F.lit(True) if bound is None else (F.col("order") == 1) | (F.col("n") < bound)).select("key", "value")
     return Model(
-        counts=counts, n=n, total=total, order=order, values=rest, head=seen, first_log=np.log10((n_seen + ADD) / total),
-        own_weight=own_weight, direct_keys=keys[at], direct_values=direct.column("value").to_numpy()[at], bits=bitmap(values),
+        order=order, n=n, unseen=math.log10(ADD / total), arcs=arcs.where(~frequent).select("key", "arc", "failure"),
+        direct_keys=keys[at], direct_arcs=direct.column("arc").to_numpy()[at],
+        direct_failures=direct.column("failure").to_numpy()[at], bits=bitmap(longer),
     )
 
 
+def _hashed(texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
+    """The words' hashes of texts one after another, and where each text ends."""
+    numbering = Words()
+    ids = [numbering.of(tokens_of(t)) for t in texts]
+    hashes = numbering.hashes()
+    return hashes[np.concatenate(ids)], np.cumsum([len(i) for i in ids]).tolist()
+
+
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
     model = train(docs, id, text, **options)
-    n, total, order = model.n, model.total, model.order
-    local = ("head", "first_log", "own_weight", "direct_keys", "direct_values", "bits")
-    sent = docs.sparkSession.sparkContext.broadcast({k: getattr(model, k) for k in local})
-    rows = docs.select(F.coalesce(residue(id, 10) == 0, F.lit(False)).alias("held_out"), F.col(id).alias("_id"), F.col(text).alias("_text"))
-    id_type = dict(rows.dtypes)["_id"]
-    schema = (
-        f"_id {id_type}, held_out boolean, row long, n_tokens long, known long, base double, path double, "
-        "rare array<struct<word:binary,times:int>>, keys array<long>"
-    )
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(**sent.value)
-        get, other = own.head.get, repeat(-1)
-        row = TaskContext.get().partitionId() << 40
-        end_seen = n > 0
+    n, order, unseen = model.n, model.order, model.unseen
+    sent = docs.sparkSession.sparkContext.broadcast((model.direct_keys, model.direct_arcs, model.direct_failures, model.bits))
+    held_out = F.coalesce(residue(id, 10) == 0, F.lit(False))
+    rows = docs.select(F.col(id).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
+    id_type = dict(rows.dtypes)["id"]
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Chunks of texts, each with the keys of the arcs that it needs on its first row."""
+        keys, _, _, bits = sent.value
+        chunk = TaskContext.get().partitionId() << 32
         for batch in slices(batches, 2):
-            numbering = Words()
-            texts = [tokens_of(t) for t in _texts([batch], 2)]
-            ids = [numbering.of(t) for t in texts]
-            size = len(numbering.number)
-            hashes = numbering.hashes()
-            by_number = list(numbering.number)
-            frequent = np.fromiter(map(get, by_number, other), np.int64, size)
-            is_rare = frequent < 0
-            log = np.where(is_rare, 0.0, own.first_log[frequent])
-            weight = np.where(is_rare, 0.0, own.own_weight[frequent])
-            rare_key = is_rare & holds(own.bits, hashes)
-            out = {"row": [], "n_tokens": [], "known": [], "base": [], "path": []}
-            words, times, offsets, keys, key_offsets = [], [], [0], [], [0]
-            for numbers in ids:
-                rare = np.unique(numbers[is_rare[numbers]], return_counts=True)
-                words += [by_number[i] for i in rare[0].tolist()]
-                times += rare[1].tolist()
-                offsets.append(len(words))
-                base = float(log[numbers].sum())
-                path = base + float(weight[numbers].sum())
-                open_keys = [hashes[numbers[rare_key[numbers]]]]
-                h = hashes[numbers]
-                for k in range(2, order + 1):
-                    if len(h) < k:
-                        break
-                    found = keys_of([h[i : len(h) - k + 1 + i] for i in range(k)])
-                    found = found[holds(own.bits, found)]
-                    if len(own.direct_keys):
-                        at = np.searchsorted(own.direct_keys, found)
-                        at[at == len(own.direct_keys)] = 0
-                        here = own.direct_keys[at] == found
-                        path += float(own.direct_values[at[here]].sum())
-                        found = found[~here]
-                    open_keys.append(found)
-                open_keys = np.concatenate(open_keys)
-                keys.append(open_keys)
-                key_offsets.append(key_offsets[-1] + len(open_keys))
-                out["row"].append(row)
-                out["n_tokens"].append(len(numbers))
-                out["known"].append(len(numbers) - int(rare[1].sum()) if end_seen else 0)
-                out["base"].append(base)
-                out["path"].append(path)
-                row += 1
-            pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int32())], fields=list(rare_type.value_type))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
-            key_lists = pa.ListArray.from_arrays(pa.array(key_offsets, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            arrays = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(0), *arrays, lists, key_lists], names=["_id", "held_out", *out, "rare", "keys"]
-            )
-
-    paths = stored(rows.mapInArrow(run, schema), "paths")
-    rare = paths.select("row", F.inline("rare")).join(model.counts, "word", "left")
-    log = F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(total))
-    rest = rare.groupBy("row").agg(
-        F.sum(F.col("times") * log).alias("rest"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+            hashes, _ = _hashed(batch.column(2).to_pylist())
+            needed = [np.unique(hashes)]
+            for size in range(2, order + 1):
+                length = max(len(hashes) - size + 1, 0)
+                found = keys_of([hashes[i : i + length] for i in range(size)])
+                needed.append(np.unique(found[holds(bits, found)]))
+            needed = np.concatenate(needed)
+            if len(keys):
+                at = np.searchsorted(keys, needed)
+                at[at == len(keys)] = 0
+                needed = needed[keys[at] != needed]
+            lists = pa.array([needed.view(np.int64)] + [None] * (batch.num_rows - 1), pa.list_(pa.int64()))
+            chunks = pa.array(np.full(batch.num_rows, chunk), pa.int64())
+            yield pa.RecordBatch.from_arrays([chunks, *batch.columns, lists], names=["chunk", "id", "held_out", "text", "needed"])
+            chunk += 1
+
+    def walk(texts: pa.Table, arcs: pa.Table) -> pa.Table:
+        """The scores of a chunk's texts by its part of the automaton."""
+        keys = arcs.column("key").to_numpy().view(np.uint64)
+        own = Automaton(order, unseen, keys, arcs.column("arc").to_numpy(), arcs.column("failure").to_numpy(), sent.value[:3])
+        hashes, ends = _hashed(texts.column("text").to_pylist())
+        known, base, path = zip(*own.traverse(hashes, ends))
+        columns = [texts.column("id"), texts.column("held_out"), np.diff(ends, prepend=0), known, base, path]
+        return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    chunks = stored(rows.mapInArrow(ask, f"chunk long, id {id_type}, held_out boolean, text string, needed array<long>"), "chunks")
+    needed = chunks.where("needed is not null").select("chunk", F.explode("needed").alias("key"))
+    found = needed.join(model.arcs, "key").select(F.col("chunk").alias("of"), "key", "arc", "failure")
+    scored = chunks.drop("needed").groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(
+        walk, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
-    longer = paths.select("row", F.explode("keys").alias("key")).join(model.values, "key").groupBy("row").agg(F.sum("value").alias("longer"))
-    none = F.lit(0)
-    return paths.drop("rare", "keys").join(rest, "row", "left").join(longer, "row", "left").select(
-        F.col("_id").alias(id), "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", none)).cast("long").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest", none)).alias("base_score"),
-        (F.col("path") + F.coalesce("rest", none) + F.coalesce("longer", none)).alias("score"),
+    return scored.select(
+        F.col("id").alias(id), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"
     )

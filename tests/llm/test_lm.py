@@ -109,3 +109,66 @@ def test_rare_phrases_count_at_any_size(spark, monkeypatch):
         monkeypatch.setattr(lm, "DIRECT", direct, raising=False)
         got = {r["doc_id"]: r["score"] for r in lm.score(docs).where("doc_id >= 1000").collect()}
         assert got == {1000 + i: pytest.approx(model.score("seldom seen phrase")) for i in range(2)}
+
+
+@pytest.mark.parametrize("head,share", [(0.2, 0.05), (0.5, 0.0), (1e-6, 0.1)])
+def test_what_is_sent_to_all_tasks_changes_nothing(spark, head, share):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(2)
+    model = Brute([t for i, t in enumerate(TEXTS) if zlib.crc32(str(i).encode()) % 10], 3, share)
+    got = lm.score(docs, head=head, share=share).collect()
+    assert len(got) == len(TEXTS)
+    for r in got:
+        assert r["score"] == pytest.approx(model.score(TEXTS[r["doc_id"]]))
+
+
+def automaton(order, grams):
+    """grams: words joined by a space -> (arc, failure)."""
+    words = lm.Words()
+    hashes = lambda text: [words.of([w.encode()])[0] for w in text.split()]
+    keys = []
+    for text in grams:
+        ids = hashes(text)
+        found = words.hashes()
+        keys.append(lm.keys_of([found[[i]] for i in ids])[0])
+    values = list(grams.values())
+    own = lm.Automaton(order, -9.0, lm.np.array(keys, lm.np.uint64), lm.np.array([v[0] for v in values]), lm.np.array([v[1] for v in values]))
+
+    def score(*texts):
+        ids = [hashes(t) for t in texts]
+        found = words.hashes()
+        return own.traverse(lm.np.concatenate([found[i] for i in ids]), lm.np.cumsum([len(i) for i in ids]).tolist())
+
+    return score
+
+
+def test_a_traversal_follows_failure_arcs():
+    score = automaton(3, {
+        "a": (-1, -0.1), "b": (-2, -0.2), "c": (-3, -0.3), "a b": (-0.5, -0.05), "b c": (-0.6, -0.06), "a b c": (-0.25, 0)})
+    [(known, base, path)] = score("a b c")
+    assert (known, base, path) == (3, -6, pytest.approx(-1 - 0.5 - 0.25))
+    # From "a b" there is no arc for "a": its failure arc, then that of "b", then the arc of the empty state.
+    assert score("a b a")[0][2] == pytest.approx(-1 - 0.5 - 0.05 - 0.2 - 1)
+    # From "a" to "c": one failure arc; from "c" on to "b": another, and "b c" is found from state "b".
+    assert score("a c b c")[0][2] == pytest.approx(-1 - 0.1 - 3 - 0.3 - 2 - 0.6)
+    # An unseen word leads to the empty state, and texts do not run on into one another.
+    assert score("a x b", "c", "b c")[0] == (2, -12, pytest.approx(-1 - 0.1 - 9 - 2))
+    assert [r[2] for r in score("b", "c", "b c")] == [-2, -3, pytest.approx(-2 - 0.6)]
+
+
+def test_a_chunk_asks_for_each_arc_once(spark, monkeypatch):
+    """Scores do not depend on how texts are dealt to chunks."""
+    rows = list(enumerate(TEXTS))
+    monkeypatch.setattr(lm, "DIRECT", 0)
+    results = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        results.append(sorted((r["doc_id"], round(r["score"], 9)) for r in lm.score(docs, head=1.0).collect()))
+    assert results[0] == results[1]
+
+
+def test_clashing_columns_do_no_harm(spark):
+    names = ["id", "chunk", "key", "needed", "arc", "failure", "n", "order", "word", "held_out", "score"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "doc_id long, text string, x string")
+    plain = sorted((r["doc_id"], round(r["score"], 9)) for r in lm.score(docs.drop("x")).collect())
+    clash = docs.select("doc_id", "text", *[docs["x"].alias(n) for n in names])
+    assert sorted((r["doc_id"], round(r["score"], 9)) for r in lm.score(clash).collect()) == plain
