@@ -1,6 +1,8 @@
 """What the operators of this package share."""
 
-from collections.abc import Iterator
+import inspect
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,34 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keeps_other_columns(*named: str, also: Sequence[str] = ()) -> Callable:
+    """For an operator on a DataFrame that passes columns on: all but those that its parameters `named`, and `also`, name have
+    names of their own while it runs, so that none can meet a name that it uses itself. A result replaces a column of its name.
+    """
+
+    def decorate(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(operator)
+        first = next(iter(signature.parameters))
+
+        @wraps(operator)
+        def run(*args, **kwargs) -> DataFrame:
+            call = signature.bind(*args, **kwargs)
+            call.apply_defaults()
+            df, prefix = call.arguments[first], "other"
+            used = {call.arguments[name] for name in named} | set(also)
+            while any(c.startswith(prefix) for c in df.columns):
+                prefix += "_"
+            others = {c: f"{prefix}{i}" for i, c in enumerate(df.columns) if c not in used}
+            call.arguments[first] = df.withColumnsRenamed(others)
+            out, back = operator(*call.args, **call.kwargs), {new: old for old, new in others.items()}
+            results = set(out.columns) - set(back)
+            return out.drop(*(new for new, old in back.items() if old in results)).withColumnsRenamed(back)
+
+        return run
+
+    return decorate
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in parts of about `size` bytes of one text or binary column, to bound what a
     worker holds as Python objects. A single longer value is a part of its own."""

@@ -26,7 +26,7 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import stored
+from .common import keeps_other_columns, stored
 from .dom import Element, parse
 
 #: Pages of a group, in the mean; distinct pages that prove a template text, outside and inside of an article.
@@ -291,15 +291,20 @@ def extract_group(pages: list[str]) -> list[str]:
 
 
 def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", group: int = GROUP) -> DataFrame:
-    """`pages` with `text`, the main text, and `n_chars`, its code points, in place of `html`."""
-    rows = pages.drop("text", "n_chars", "_host", "_part").withColumn("_host", host_of(F.col(url)))
+    """`pages` with `text`, the main text, and `n_chars`, its code points, in place of `html`; `_host` and `_part` are not passed on."""
+    return _extract(pages.drop("_host", "_part"), id, url, html, group)
+
+
+@keeps_other_columns("id", "url", "html")
+def _extract(pages: DataFrame, id: str, url: str, html: str, group: int) -> DataFrame:
+    rows = pages.drop("text", "n_chars").withColumn("_host", host_of(F.col(url)))
     # Only hosts of more than one group need a number of parts. Stored, the size of this table is
     # known, so Spark broadcasts it only if it is small; else it splits a hot host in the join.
     sizes = rows.groupBy("_host").agg(F.ceil(F.count(F.lit(1)) / group).cast("int").alias("_parts"))
     sizes = stored(sizes.where(F.col("_parts") > 1), "hosts")
     part = F.pmod(F.xxhash64(F.col(id), F.col(url)), F.coalesce(F.col("_parts"), F.lit(1)))
     rows = rows.join(sizes, "_host", "left").withColumn("_part", part)
-    kept = [c for c in pages.columns if c not in (html, "text", "n_chars", "_host", "_part")]
+    kept = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     rows = rows.select("_host", "_part", *kept, F.col(html).alias("_html"))
     result = T.StructType([*(rows.schema[c] for c in kept), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 

@@ -15,7 +15,7 @@ document. Other columns are passed on; `n_lines` and `n_dropped` replace columns
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import LOWER, SPACES, UPPER, stored
+from .common import LOWER, SPACES, UPPER, keeps_other_columns, stored
 
 
 def _lines(text: Column) -> Column:
@@ -60,6 +60,7 @@ def dropped_positions(
     )
 
 
+@keeps_other_columns("id", "text")
 def line_dedup(
     docs: DataFrame, id: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import slices, stored
+from .common import keeps_other_columns, slices, stored
 
 #: Fixed rule values: words, share of words in repeated windows; see `base_failed`.
 MIN_WORDS, WINDOW = 50, 3
@@ -59,6 +59,7 @@ def measure_text(text: str) -> tuple[int, ...]:
     return len(words), chars, symbols, len(lines), duplicates, _repeated_words(words)
 
 
+@keeps_other_columns("text")
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with the columns of MEASURES (long), over whole texts."""
     kept = docs.drop(*MEASURES)
@@ -123,6 +124,7 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     return counts.select(host, "_n", *(rate.alias(name) for name, rate in rates.items()))
 
 
+@keeps_other_columns("host", also=MEASURES)
 def judge(measured: DataFrame, host: str = "source") -> DataFrame:
     """`measured` with `base_failed` and `kept`. It is read twice, so store it first.
 

@@ -22,7 +22,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stored
+from .common import keeps_other_columns, stored
 
 BITS = 12
 #: Rows of a shard are numbered in so many independent cells.
@@ -190,6 +190,7 @@ def numbered(rows: DataFrame, id: str, cells: int = CELLS) -> DataFrame:
     return placed.select(*columns, slot.alias("slot"))
 
 
+@keeps_other_columns("id", "text")
 def assign(docs: DataFrame, shards: int = 8, id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` without its text, with `size`, `shard` and `slot`. The text is read once."""
     rows = stored(_sizes(docs.drop("shard", "slot"), text).drop(text), "sizes")

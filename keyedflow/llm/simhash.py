@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import slices, stored
+from .common import keeps_other_columns, slices, stored
 
 RADIUS, TILE, BLOCK = 4, 2048, 512
 
@@ -52,6 +52,7 @@ def fingerprint_of(text: str, size: int = 4) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+@keeps_other_columns("text")
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4) -> DataFrame:
     """`docs` with `fingerprint` (long, its 64 bits) in place of `text`; whole texts."""
     kept = docs.drop(text, "fingerprint")
@@ -231,6 +232,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
 
 
+@keeps_other_columns("id", also=["fingerprint"])
 def classes(prints: DataFrame, id: str = "doc_id", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """`prints` (with `fingerprint`; read several times, so store it first) with `component_id`:
     the smallest id that is reachable over links, the row's own included."""

@@ -27,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import residue, slices, stored
+from .common import keeps_other_columns, residue, slices, stored
 
 #: Labelled texts that the models are fitted on, at most (in expectation).
 SAMPLE = 20_000
@@ -191,14 +191,19 @@ class Scorer:
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """`docs` with `score` and `predicted` in place of `text`."""
-        rows = features(docs.drop("score", "predicted", "_raw"), self.strong, self.moderate, text)
-        columns = [c for c in rows.columns if c != "features"]
-        value = F.lit(self.share)
-        if self.trees is not None:
-            rows = self.trees.transform(_vectors(rows))
-            value = _interpolated(vector_to_array("_probability")[1], self.steps)
-        scored = rows.select(*columns, value.cast("double").alias("score"))
-        return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+        return _scored(docs, self, text)
+
+
+@keeps_other_columns("text")
+def _scored(docs: DataFrame, scorer: Scorer, text: str) -> DataFrame:
+    rows = features(docs, scorer.strong, scorer.moderate, text)
+    columns = [c for c in rows.columns if c != "features"]
+    value = F.lit(scorer.share)
+    if scorer.trees is not None:
+        rows = scorer.trees.transform(_vectors(rows))
+        value = _interpolated(vector_to_array("_probability")[1], scorer.steps)
+    scored = rows.select(*columns, value.cast("double").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
