@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from keyedflow.llm import bpe, decontam, line_dedup, quality, simhash
-from keyedflow.llm.common import stored, table
+from keyedflow.llm.common import keeps_other_columns, stored, table
 from keyedflow.session import ship_package
 
 
@@ -51,6 +51,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     A text without words says nothing about others, so these are left as they are. Fingerprints are those of the
     operator, over four-word shingles; repeated rows of an id are one document and one of them stays.
     """
+    return _one_of_each(docs)
+
+
+@keeps_other_columns(also=["doc_id", "text"])
+def _one_of_each(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     rows = docs.withColumns({"_row": F.xxhash64(*columns), "_worded": F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")})
     prints = stored(simhash.fingerprints(rows.select("doc_id", "_row", "_worded", "text")), "prints")
