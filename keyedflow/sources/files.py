@@ -80,7 +80,12 @@ def _local_root() -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below `spark.checkpoint.dir`, which all executors can reach.
 
-    A cluster sets it. Where it is unset, as on a single machine, it is one temporary folder.
+    A cluster sets it. Where it is unset, as on a single machine, it is one temporary folder; on a cluster that is an error,
+    because executors do not share such a folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -39,8 +39,8 @@ def publish(df: DataFrame, line: str | Column, servers: str, topic: str) -> None
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of text files. Files carry no line order across splits: where first or last seen
-    matters the line itself must hold an order column."""
+    """The lines of text files, in no order: where first or last seen matters the line itself must
+    hold an order column, or `ordered.ordered_lines` reads the files."""
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 

@@ -32,3 +32,18 @@ def test_shared_dir_is_below_the_checkpoint_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     one, other = files.shared_dir(spark, "x"), files.shared_dir(spark, "x")
     assert one != other and (root is None or one.startswith(root))
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.shared_dir(Session(), "x")
+    Session.sparkContext.master = "local[4]"
+    assert files.shared_dir(Session(), "x") != files.shared_dir(Session(), "x")
