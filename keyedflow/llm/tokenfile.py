@@ -35,6 +35,8 @@ from .pretokens import PartCache
 
 MAGIC = b"EFID0001"
 DOCS_PER_FILE = 8192
+#: Text of a file when documents alone would make more files than there are shuffle partitions.
+FILE_BYTES = 256 << 20
 #: Bits of the high part that share one count.
 SAMPLE = 4096
 
@@ -244,7 +246,10 @@ def write_ids(
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "ids")
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    files = max(-(-rows.count() // docs_per_file), 1)
+    files, partitions = max(-(-rows.count() // docs_per_file), 1), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if files > partitions:  # few large files rather than millions, whose ranges the driver would have to sort
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        files = min(files, max(partitions, -(-size // FILE_BYTES)))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
 

@@ -99,3 +99,11 @@ def test_white_space_of_every_kind(reference):
     texts = ["".join(rng.choice(kinds) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
     own = tokenfile.IdEncoder(PATH, P.PATTERN)
     assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(texts)] == [reference(t) for t in texts]
+
+
+def test_number_of_files_is_bounded_by_size(spark, tmp_path, reference):
+    docs = [(i, f"text {i}") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got, files = rows(df, tmp_path / "d", 1)
+    assert files.count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    check(got, docs, reference)
