@@ -155,6 +155,26 @@ def test_output_is_appended_to_the_fields(spark, pieces):
     assert sorted((r["id"], r["part"]) for r in kept.where("part is null").collect()) == [(2, None), (3, None)]
 
 
+def test_rows_reach_a_table_function_many_at_a_time(spark):
+    def letters(x):
+        yield (f"u{x}",)
+
+    got = append_each(spark.range(10), letters, ["id"], "word string")
+    assert "ArrowEvalPythonUDTF" not in got._jdf.queryExecution().toString()  # which makes a batch for each row
+    assert sorted(r["word"] for r in got.collect()) == sorted(f"u{x}" for x in range(10))
+
+
+def test_numbers_fit_their_columns(spark):
+    def numbers(x):
+        yield (x, x + 0.5, [x], {"a": x}, x, None)
+
+    got = append_each(spark.range(1, 2), numbers, ["id"], "d double, i int, l array<double>, s struct<a: double>, t string, b boolean")
+    assert tuple(got.first()) == (1, 1.0, 1, [1.0], (1.0,), "1", None)
+    for value, kind in ((2**40, "int"), ("5", "double"), (True, "int"), (1, "boolean"), (1, "binary")):
+        with pytest.raises(Exception, match="is no"):
+            append_each(spark.range(1), lambda _, v=value: [(v,)], ["id"], f"c {kind}").collect()
+
+
 def test_callable_from_sql(spark, pieces):
     register_each(spark, "cut_pieces", pieces, "n int, part string")
     spark.createDataFrame([(1, "a;b"), (2, "c")], "id int, text string").createOrReplaceTempView("texts")
