@@ -9,7 +9,7 @@ from ..operators.combine import Combiner, UserMerge, combined, count_combiner
 from ..operators.counts import match_merge
 from ..operators.lines import MATCH, MATCH_FIELDS, PROFILE, keyed_lines
 from ..operators.table_function import append_each
-from ..sources import lines as line_sources, ordered
+from ..sources import files, lines as line_sources, ordered
 from ..sources.files import shared_dir
 from ..sources.batch_table import BatchTable
 from ..sources.keyed_table import KeyedTable
@@ -156,9 +156,10 @@ def profile_days_dedup_stream(spark, sf_dir):
     """Active days inserted if absent while they stream in; every line comes twice, in different batches."""
     path = shared_dir(spark, "lines")
     rows = derived(spark, sf_dir, fixtures.profile_lines).select("seq", "line")
-    for _ in range(2):
-        rows.write.mode("append").parquet(path)
-    stream = line_sources.parquet_line_stream(spark, path, "seq bigint, line string", 1)
+    rows.write.parquet(path)
+    once = max(1, len(files.glob(spark, f"{path}/part-*")))  # a batch is all files of one copy, however many there are
+    rows.write.mode("append").parquet(path)
+    stream = line_sources.parquet_line_stream(spark, path, "seq bigint, line string", once)
     out = shared_dir(spark, "active")
     _run(dedup.profile_days_job, stream, out, shared_dir(spark, "checkpoint"), delay="60 days")
     return spark.read.schema("mid string, day string").parquet(out)

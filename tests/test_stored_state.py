@@ -13,6 +13,7 @@ from keyedflow.operators.profile import profile_days
 from keyedflow.operators.rollup import calendar_rollup
 from keyedflow.operators.table_function import append_each, register_each
 from keyedflow.plans import fixtures
+from keyedflow.plans.queries import derived
 from keyedflow.sources.periods import PeriodTable, period_end
 from keyedflow.streaming import dedup, jobs, state
 from keyedflow.streaming.limits import RejectLimit
@@ -204,6 +205,30 @@ def test_set_up_once_a_task_and_cleaned_up(spark, tmp_path):
     assert 1 <= lines.count("open") == lines.count("close r") <= 4
 
 
+def test_a_batch_of_the_day_stream_is_a_copy_of_the_lines(spark, tmp_path, monkeypatch):
+    """The number of batches does not grow with the number of files."""
+    from keyedflow.plans import event_queries
+
+    events = spark.range(400).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 20 as int)) as ts", "id % 7 as user_id",
+        "'view' as event_type", "1.0d as value", "'{}' as props",
+    )
+    events.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    queries = []
+
+    def run(job, *args, **kwargs):
+        queries.append(job(*args, every=None, **kwargs))
+        queries[-1].awaitTermination()
+
+    monkeypatch.setattr(event_queries, "_run", run)
+    monkeypatch.setattr(event_queries, "derived", lambda spark, sf_dir, fixture: derived(spark, sf_dir, fixture).repartition(6))
+    got = event_queries.profile_days_dedup_stream(spark, str(tmp_path))
+    days = derived(spark, str(tmp_path), fixtures.profile_lines)
+    same(got, profile_days(keyed_lines(days, PROFILE)))
+    read = [p["numInputRows"] for p in queries[0].recentProgress if p["numInputRows"]]
+    assert read == [400, 400]
+
+
 # -- a limit on rejects ---------------------------------------------------------------------
 
 
