@@ -133,6 +133,7 @@ def _fill_by_task(rows: DataFrame, vocabulary: str, pattern: str, end_id: int, c
                     start += length
                 if out.size > 4 << 20:
                     yield out.take(schema, task=task)
+        encoder.cache.forget()
         out.leave(classes.left())
         yield out.take(schema, task=task)
 

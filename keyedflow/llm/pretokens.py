@@ -4,6 +4,9 @@ Byte-pair encoders cut a text by a pattern and encode each match by itself. Natu
 words, so a worker keeps the ids of parts that it has met. A part ends before a space that stands
 alone between two other characters: whatever follows, the pattern starts a match there. A part is
 kept when it is met for the second time, so the many that occur once do not displace the others.
+
+A worker process outlives its tasks, and while it waits, stages that need no Python run beside it. So a task ends with
+`forget`, which gives up the cache; the next one fills it anew.
 """
 
 import gc
@@ -31,6 +34,10 @@ class PretokenCache:
         self.parts: dict[str, bytes] = {}  # by a part without the space before it
         self.marks = bytearray(MARKS)
 
+    def forget(self) -> None:
+        self.parts.clear()
+        self.marks = bytearray(MARKS)
+
     def _cut(self, text: str) -> list[str]:
         if self.edge_space(text) or self.space_run(text):
             return self.lone_space(text)
@@ -111,6 +118,10 @@ class _Known(dict):
             self.older = dict(self)
             self.clear()
 
+    def forget(self) -> None:
+        self.clear()
+        self.older.clear()
+
 
 class PartCache:
     """Ids of texts by way of their parts, each looked up once.
@@ -124,6 +135,10 @@ class PartCache:
         self.words, self.parts = _Known(encode_word), _Known(self._part)
         self.beside_space = re.compile(r" \s|\s ").search
 
+    def forget(self) -> None:
+        self.words.forget()
+        self.parts.forget()
+
     def _cut(self, text: str) -> list[str]:
         """Cut before each space that stands alone between two other characters."""
         if text[:1] == " " or text[-1:] == " " or "  " in text:

@@ -254,8 +254,9 @@ def write_ids(
     dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        n, ids = _write_file(folder, part, batches, id_encoder(vocabulary, pattern), end_id)
+        part, encoder = TaskContext.get().partitionId(), id_encoder(vocabulary, pattern)
+        n, ids = _write_file(folder, part, batches, encoder, end_id)
+        encoder.cache.forget()
         if n:
             yield pa.RecordBatch.from_pydict({
                 "folder": [folder], "part": pa.array([part], pa.int32()), "docs": [n], "ids": [ids],

@@ -107,3 +107,13 @@ def test_number_of_files_is_bounded_by_size(spark, tmp_path, reference):
     got, files = rows(df, tmp_path / "d", 1)
     assert files.count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     check(got, docs, reference)
+
+
+def test_forgotten_parts_are_met_anew():
+    own = tokenfile.IdEncoder(PATH, P.PATTERN)
+    texts = ["a common word, a common word", "another word: 12 words"]
+    before = list(own.encode(texts))
+    assert len(own.cache.parts) and len(own.cache.words)
+    own.cache.forget()
+    assert not own.cache.parts and not own.cache.parts.older and not own.cache.words
+    assert list(own.encode(texts)) == before
