@@ -107,10 +107,11 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def _mapped(
-    df: DataFrame, source: str, targets: list[str], empty: str | bytes, make: Callable[[], Callable]
+    df: DataFrame, source: str, targets: list[str], empty: str | bytes, make: Callable[[], Callable],
+    done_with: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """`df` with binary columns: make() turns a list of values of `source`, null as `empty`, into
-    a list for each of them."""
+    a list for each of them. A task ends with done_with()."""
     kept = df.drop(*targets)
     schema, width = kept.withColumns({t: F.lit(b"") for t in targets}).schema, len(kept.columns)
 
@@ -121,6 +122,7 @@ def _mapped(
             done = apply([empty if v is None else v for v in values.to_pylist()])
             arrays = [*columns, *(pa.array(d, pa.binary()) for d in done)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        done_with()
 
     return df.select(*kept.columns, F.col(source).alias("_in")).mapInArrow(run, schema)
 
@@ -142,7 +144,10 @@ def encode(
 
         return apply
 
-    return _mapped(docs, text, [ids, decoded] if decoded else [ids], "", make)
+    def done_with() -> None:
+        codec(vocabulary, pattern).cache.forget()
+
+    return _mapped(docs, text, [ids, decoded] if decoded else [ids], "", make, done_with)
 
 
 def decode(

@@ -3,6 +3,7 @@ import random
 import struct
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -73,3 +74,13 @@ def test_query(spark, sf_dir, documents, reference):
         assert r["n_tokens"] == len(want)
         assert r["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(want)}I", *want)).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_a_task_ends_without_a_cache(spark, codec, monkeypatch):
+    """A worker that waits for its next task holds none of the last one's parts."""
+    tasks = []
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", lambda rows, run, schema: tasks.append(run))
+    text = "a common word, a common word, a common word"
+    bpe.encode(spark.createDataFrame([(text,)], "text string"), PATH, P.PATTERN)
+    (out,) = tasks[0](iter([pa.RecordBatch.from_pydict({"text": [text], "_in": [text]})]))
+    assert ids(out.column("ids")[0].as_py()) and not codec.cache.parts
