@@ -14,7 +14,7 @@ put together by first fit, longest first. Whatever the number of tasks, few sequ
 Null and empty texts have only the end id. Very long texts are cut like others; a task holds one of them at a time.
 Repeated rows and ids are documents of their own, a null id is passed on. An empty table gives an empty one. Only the
 id and the text are read, so other columns and their names do no harm. Ids of sequences are unique, not consecutive. The pieces of
-all tasks are stored once, 16 bits an id where the vocabulary allows, and a task run again replaces what it gave.
+all tasks are stored once, with the ids as they are returned, and a task run again replaces what it gave.
 """
 
 from collections.abc import Iterator
@@ -119,14 +119,14 @@ def _fill_by_task(rows: DataFrame, vocabulary: str, pattern: str, end_id: int, c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task, schema = id_encoder(vocabulary, pattern), TaskContext.get().partitionId(), _schema("task")
         classes, out = Classes(capacity), _Rows(task << 36)
-        width, end = np.dtype(encoder.dtype).itemsize, np.array([end_id], encoder.dtype).tobytes()
+        end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, 1, 1 << 20):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
-                ids += end
-                total, start = len(ids) // width, 0
+                ids = np.frombuffer(ids, encoder.dtype).astype("<u4").tobytes() + end
+                total, start = len(ids) // 4, 0
                 for length in cut(total, capacity, slack):
-                    own = ids[start * width : (start + length) * width]
+                    own = ids[4 * start : 4 * (start + length)]
                     full = classes.add((length, doc_id, start, own, total))
                     if full:
                         out.place(full)
@@ -158,21 +158,6 @@ def _fill_left(left: DataFrame, capacity: int) -> DataFrame:
     return left.groupBy(F.expr(f"task div {TASKS}")).applyInArrow(run, _COLUMNS)
 
 
-def _wide_ids(rows: DataFrame, width: int) -> DataFrame:
-    """Ids as 32-bit integers."""
-    if width == 4:
-        return rows
-    at = rows.columns.index("ids")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, at):
-            ids = [np.frombuffer(b, "<u2").astype("<u4").tobytes() for b in batch.column(at).to_pylist()]
-            columns = [*batch.columns[:at], pa.array(ids, pa.binary()), *batch.columns[at + 1 :]]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def pack(
     docs: DataFrame, vocabulary: str, pattern: str, end_id: int, capacity: int = 1024, slack: int | None = None,
     id: str = "doc_id", text: str = "text",
@@ -187,5 +172,4 @@ def pack(
     placed = stored(_fill_by_task(rows, vocabulary, pattern, end_id, capacity, slack), "pieces")
     full = placed.where("sequence_id is not null").drop("task")
     left = _fill_left(placed.where("sequence_id is null"), capacity)
-    width = np.dtype(id_encoder(vocabulary, pattern).dtype).itemsize
-    return _wide_ids(full.union(left), width).withColumnRenamed("doc_id", id)
+    return full.union(left).withColumnRenamed("doc_id", id)

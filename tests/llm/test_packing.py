@@ -115,3 +115,10 @@ def test_full_classes_hold_a_fixed_count(spark, ids_of):
 def test_first_fit():
     sequences = packing.first_fit([(n,) for n in (3, 7, 5, 5, 10, 1)], 10)
     assert [[p[0] for p in s] for s in sequences] == [[10], [7, 3], [5, 5], [1]]
+
+
+def test_ids_pass_through_python_once(spark, edge_docs, capsys):
+    """Stored pieces hold the ids as they are returned: what reads them does so without another pass through Python."""
+    packing.pack(edge_docs, PATH, P.PATTERN, 0).explain()
+    plan = capsys.readouterr().out
+    assert "FlatMapGroupsInArrow" in plan and "MapInArrow" not in plan.replace("FlatMapGroupsInArrow", "")
