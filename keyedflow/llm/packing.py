@@ -31,6 +31,8 @@ from .tokenfile import id_encoder
 TAIL = 16
 #: Tasks whose left pieces are packed together.
 TASKS = 64
+#: Entries of a generation of a task's cache of parts: so many that a task of 16 MB need not encode a part again.
+HELD_PARTS = 600_000
 
 _COLUMNS = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, `offset` long"
 
@@ -117,7 +119,7 @@ def _fill_by_task(rows: DataFrame, vocabulary: str, pattern: str, end_id: int, c
     """The pieces of each task's documents with their sequences, and those left without; `task` numbers the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, schema = id_encoder(vocabulary, pattern), TaskContext.get().partitionId(), _schema("task")
+        encoder, task, schema = id_encoder(vocabulary, pattern, HELD_PARTS), TaskContext.get().partitionId(), _schema("task")
         classes, out = Classes(capacity), _Rows(task << 36)
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, 1, 1 << 20):

@@ -127,10 +127,13 @@ class PartCache:
     """Ids of texts by way of their parts, each looked up once.
 
     `encode_word` gives the ids of a match of the pattern, `encode_letters` those of ASCII letters and the space before them.
+    `entries`: those of a generation.
     """
 
-    def __init__(self, pattern: str, encode_word: Callable[[str], bytes], encode_letters: Callable[[str], bytes]):
-        self.cutter = PretokenCache(pattern, lambda words: [])
+    def __init__(
+        self, pattern: str, encode_word: Callable[[str], bytes], encode_letters: Callable[[str], bytes], entries: int | None = None
+    ):
+        self.cutter, self.entries = PretokenCache(pattern, lambda words: []), entries or GENERATION
         self.encode_word, self.encode_letters = encode_word, encode_letters
         self.words, self.parts = _Known(encode_word), _Known(self._part)
         self.beside_space = re.compile(r" \s|\s ").search
@@ -162,5 +165,5 @@ class PartCache:
             parts = self._cut(text)
             first = split(parts.pop(0))
             yield b"".join(map(word, first)) + b"".join(map(part, parts))
-            self.parts.bound(GENERATION)
-            self.words.bound(GENERATION)
+            self.parts.bound(self.entries)
+            self.words.bound(self.entries)

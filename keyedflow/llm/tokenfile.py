@@ -109,9 +109,10 @@ class IdEncoder:
 
     The library's model encodes each match of the pattern that the file's pre-tokenizer uses. With `added`, texts that may
     hold one of the file's added tokens are encoded by the library as a whole, which recognises them by its defaults.
+    `entries` bounds the cache of parts.
     """
 
-    def __init__(self, path: str, pattern: str, added: bool = False):
+    def __init__(self, path: str, pattern: str, added: bool = False, entries: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = tokenizer = Tokenizer.from_file(path)
@@ -125,7 +126,7 @@ class IdEncoder:
         self.space = self.alphabet[32]
         width = np.dtype(self.dtype).itemsize
         self.raw = [i.to_bytes(width, "little") for i in range(tokenizer.get_vocab_size())]
-        self.cache = PartCache(pattern, self._encode_word, self._encode_letters)
+        self.cache = PartCache(pattern, self._encode_word, self._encode_letters, entries)
 
     def _encode_letters(self, letters: str) -> bytes:
         """ASCII letters and the space before them."""
@@ -148,8 +149,8 @@ class IdEncoder:
 
 
 @lru_cache(maxsize=2)
-def id_encoder(path: str, pattern: str) -> IdEncoder:
-    return IdEncoder(path, pattern, added=True)
+def id_encoder(path: str, pattern: str, entries: int | None = None) -> IdEncoder:
+    return IdEncoder(path, pattern, added=True, entries=entries)
 
 
 # -- files ------------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from keyedflow.llm import packing, queries
+from keyedflow.llm.tokenfile import IdEncoder
 
 PATH = P.path("byte_bpe_50k.json")
 
@@ -122,3 +123,18 @@ def test_ids_pass_through_python_once(spark, edge_docs, capsys):
     packing.pack(edge_docs, PATH, P.PATTERN, 0).explain()
     plan = capsys.readouterr().out
     assert "FlatMapGroupsInArrow" in plan and "MapInArrow" not in plan.replace("FlatMapGroupsInArrow", "")
+
+
+@pytest.mark.parametrize("entries,again", [(50, 0), (5, 1)])
+def test_parts_held_by_a_task_are_encoded_once(entries, again):
+    """A cache encodes a part once if its generation holds all parts, and gives the same ids if it does not."""
+    encoder, made = IdEncoder(PATH, P.PATTERN, entries=entries), []
+    make = encoder.cache.parts.make
+    encoder.cache.parts.make = lambda part: made.append(part) or make(part)
+    texts = [f"x {'ab'[i % 2] * (i % 40 + 1)}" for i in range(120)]
+    whole = Tokenizer.from_file(PATH)
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert (len(made) > len(set(made))) == bool(again) and len(set(made)) == 40
+    encoder.cache.forget()
+    assert not encoder.cache.parts and packing.HELD_PARTS > 500_000
