@@ -1,4 +1,4 @@
-"""Language-model scores by a trigram backoff model: a weighted automaton with failure arcs, kept as a table.
+"""Language-model scores by a trigram backoff model: a weighted automaton with failure arcs, of which each chunk of texts has its part.
 
 Tokens are words, lower-cased in A-Z, that end at U+0020 and U+0009 to U+000D, then one end token per text. Training
 texts are those whose crc32(id as text) mod 10 is not 0.
@@ -13,95 +13,95 @@ that goes on from it, with the n-gram's log-probability, and a failure arc to th
 backoff. A text is traversed once, from left to right: where the state has no arc for the next word, its failure arcs are followed, adding
 their weights, until one has; the empty state has an arc for every word. The next state is the longest kept n-gram that ends there.
 
-The whole automaton is a table of arcs by 64-bit key, and no task holds it. Texts are dealt to chunks of a few MB; each asks for the arcs
-of the n-grams that occur in it, each once, which a bitmap of fixed size thins before the join. A chunk's texts and arcs meet in one
-task, which builds this part of the automaton and traverses the texts. The most frequent words (a share of `HEAD`) and n-grams
-(`DIRECT` at most) are sent to all tasks instead, which changes no result.
+The whole automaton is in no one place. Texts are stored once as chunks of about `HELD_TOKENS` word numbers. In a round, each chunk
+deals the different n-grams of one order that occur in it, with their training counts, to parts by key; a part adds the counts up
+and answers each chunk in the order asked: the count of each and, of the kept ones, a number. The key of a longer n-gram is made of
+the numbers of its beginning and its last word, so it is asked for only if all that it is made of was kept, and is exact. What the kept
+n-grams take from their contexts is added up alike: the first chunk that asked for an n-gram is the one that gives its share.
+With the answers a chunk has its arcs and failure arcs and traverses its texts. Parts grow in number with the corpus, an n-gram comes once
+from each chunk, and nothing goes through the driver but sums over all chunks and parts.
 
-Tables. Words are known by their 64-bit hash. Counts are partial sums per task and one shuffle for each order. Since an
-n-gram is never more frequent than its parts, those with a part that was not kept are left out before the shuffle as far as
-a bitmap knows them; it never leaves out a kept one. Stored tables stay where they are until the application's folder goes, so
-lost executors can be made up for.
+Words are known by their 64-bit hash. Lists are sorted, and sent as compressed differences. Stored chunks stay where they are until
+the application's folder goes, so lost executors can be made up for.
 
 Null and empty texts consist of the end token. Rows of one id are scored one by one; repeated rows train as often as they
 occur. Null ids train, as they have no fold. Without training texts every token is unseen. Only the id and the text are read.
 """
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .common import residue, slices, stored
 
 HEAD, LEAST, ORDER = 1e-6, 2, 3
 ADD, DISCOUNT = 0.1, 0.5
-#: Kept n-grams that are looked up in place, at most; bits of the bitmap of kept n-grams, as a power of two.
-DIRECT, BITS = 1 << 20, 28
+#: Bounds of what was once sent to all tasks, as is `head`. Nothing is now, so they change nothing.
+DIRECT = 1 << 20
 #: A word never holds white space, so this can stand for the end of a text.
 END = b" "
-#: Different words, and words in all, that a task counts before it passes the counts on.
-HELD_WORDS, HELD_TOKENS = 500_000, 2_000_000
+#: Tokens of a chunk; tokens for each part that counts; tokens that are traversed at a time.
+HELD_TOKENS, PART_TOKENS, WALKED = 2_000_000, 2_000_000, 200_000
+COUNT, SUM = 0, 1
+ASKS = "what int, size int, part int, chunk long, a binary, b binary, c binary, d binary, room long"
+ANSWERS = "what int, size int, part int, chunk long, a binary, b binary, c binary, room long, seen long"
 
 
 def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split() + [END]
 
 
-# -- counts -----------------------------------------------------------------------------------
-
-
-def _texts(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[str | None]:
-    for batch in batches:
-        for value in batch.column(column):
-            yield value.as_py()
-
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
 
-    def flush() -> pa.RecordBatch:
-        words = pa.array(list(held.keys()), pa.binary())
-        return pa.RecordBatch.from_arrays([words, pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+class Words:
+    """Texts as numbers of the words met so far, with the hashes by number."""
 
-    for text in _texts(batches):
-        held.update(tokens_of(text))
-        if len(held) > HELD_WORDS:
-            yield flush()
-            held.clear()
-    yield flush()
+    def __init__(self):
+        self.number = _Numbers()
 
+    def of(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """(word, n), exact, of all training texts (one column)."""
-    partial = training.mapInArrow(_count_words, "word binary, n long")
-    return partial.groupBy("word").agg(F.sum("n").alias("n"))
+    def hashes(self) -> np.ndarray:
+        import xxhash
 
+        digest = xxhash.xxh64_intdigest
+        return np.fromiter((digest(w, 42) for w in self.number), np.uint64, len(self.number))
 
-# -- n-grams ----------------------------------------------------------------------------------
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts one after another, and how many tokens each text has, its end counted: `tokens_of` by Arrow."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    text, words = pc.list_parent_indices(words).to_numpy(), words.flatten()
+    some = pc.not_equal(words, "")  # beside white space at either end of a text
+    return words.filter(some), np.bincount(text[some.to_numpy(zero_copy_only=False)], minlength=len(texts)) + 1
 
-def _names(order: int) -> list[str]:
-    return [f"w{i}" for i in range(order)]
 
+def numbered(words: list[pa.Array], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the different words and of the end token, and the texts of these `lengths` as their numbers."""
+    import xxhash
 
-def key_column(names: list[str]) -> Column:
-    """The key of an n-gram: its words' hashes, each rotated by its place."""
-    key = F.col(names[0])
-    for i, name in enumerate(names[1:], 1):
-        turn = 17 * i % 64
-        turned = F.shiftleft(name, turn).bitwiseOR(F.shiftrightunsigned(name, 64 - turn))
-        key = key.bitwiseXOR(turned)
-    return key
+    coded = pa.chunked_array(words).dictionary_encode().unify_dictionaries()
+    different = coded.chunk(0).dictionary.cast(pa.binary()).to_pylist() + [END]
+    tokens, inside = np.full(lengths.sum(), len(different) - 1, np.int32), np.ones(lengths.sum(), bool)
+    inside[np.cumsum(lengths) - 1] = False
+    tokens[inside] = np.concatenate([part.indices.to_numpy() for part in coded.chunks])
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(w, 42) for w in different), np.uint64, len(different)), tokens
 
 
 def keys_of(hashes: list[np.ndarray]) -> np.ndarray:
-    """The same for arrays (uint64)."""
+    """The keys of n-grams (uint64): their words' hashes, each rotated by its place."""
     key = hashes[0].copy()
     for i, h in enumerate(hashes[1:], 1):
         turn = 17 * i % 64
@@ -109,269 +109,395 @@ def keys_of(hashes: list[np.ndarray]) -> np.ndarray:
     return key
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """The bits of the keys' low ends (uint64): 2^BITS bits at any number of keys."""
-    low = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))
-    bit = F.expr("shiftleft(1L, cast(low & 63 as int))")
-    words = keys.select(low.alias("low")).select(F.shiftright("low", 6).alias("at"), bit.alias("bit"))
-    rows = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITS - 6), np.uint64)
-    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return out
+# -- lists of numbers -------------------------------------------------------------------------
 
 
-def holds(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which keys may be in a bitmap."""
-    low = keys & np.uint64((1 << BITS) - 1)
-    return (bits[low >> np.uint64(6)] >> (low & np.uint64(63))) & np.uint64(1) == 1
+def packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 on, compressed by bytes of one weight."""
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    head = len(values).to_bytes(8, "little") + bytes([width])
+    return head + (pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if width else b"")
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+def unpacked(data: bytes) -> np.ndarray:
+    """The same numbers (uint64)."""
+    length, width = int.from_bytes(data[:8], "little"), data[8]
+    out = np.zeros((length, 8), np.uint8)
+    if width:
+        planes = pa.decompress(data[9:], decompressed_size=length * width, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, length).T
+    return out.view("<u8").reshape(-1)
 
 
-class Words:
-    """Texts as numbers of the words met so far, with the hashes by number."""
+def packed_rising(values: np.ndarray) -> bytes:
+    """The same for a list in rising order, by differences."""
+    values = values.astype(np.uint64)
+    return (values[:1].tobytes() or bytes(8)) + packed(np.diff(values))
 
-    def __init__(self):
-        self.number = _Numbers()
 
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+def unpacked_rising(data: bytes, length: int) -> np.ndarray:
+    if not length:
+        return np.empty(0, np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(data[:8], np.uint64), unpacked(data[8:])]), dtype=np.uint64)
 
-    def hashes(self) -> np.ndarray:
-        import xxhash
 
-        digest = xxhash.xxh64_intdigest
-        return np.fromiter((digest(w, 42) for w in self.number), np.uint64, len(self.number))
+# -- parts ------------------------------------------------------------------------------------
 
 
-def gram_counts(training: DataFrame, order: int, least: int, lower: np.ndarray | None) -> DataFrame:
-    """(w0, .., n): the n-grams of an order, as hashes, that occur `least` times or more.
+def _counted(rows: list[dict], size: int, least: int) -> Iterator[dict]:
+    """Each chunk's answer: counts in training (a), the numbers of kept n-grams (b) and whether the chunk is the first to ask (c)."""
+    counts = [unpacked(r["b"]).astype(np.int64) for r in rows]
+    keys = np.concatenate([unpacked_rising(r["a"], len(n)) for r, n in zip(rows, counts)])
+    ends = np.cumsum([len(n) for n in counts])
+    at = np.argsort(keys, kind="stable")
+    keys = keys[at]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(new)
+    totals = np.add.reduceat(np.concatenate(counts)[at], starts) if len(starts) else np.empty(0, np.int64)
+    kept, run = totals >= least, np.cumsum(new) - 1
+    n, number, first = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64), np.zeros(len(keys), bool)
+    n[at] = (totals if size == 1 else np.where(kept, totals, 0))[run]
+    number[at] = np.where(kept, np.cumsum(kept) - 1, -1)[run]
+    first[at[starts]] = True
+    for row, begin, end in zip(rows, [0, *ends.tolist()], ends.tolist()):
+        own, good = slice(begin, end), number[begin:end] >= 0
+        yield row | {
+            "a": packed(n[own]), "b": packed_rising(number[own][good]), "c": np.packbits(first[own][good]).tobytes(),
+            "room": int(kept.sum()), "seen": int((totals > 0).sum()),
+        }
 
-    lower: the bitmap of the kept n-grams one order below, if there is one.
-    """
-    names = _names(order)
-    sent = training.sparkSession.sparkContext.broadcast(lower)
+
+def _summed(rows: list[dict]) -> Iterator[dict]:
+    """Each chunk's answer: three sums over all chunks for the numbers that it asked for."""
+    sums = np.zeros((3, rows[0]["room"]), np.int64)
+    given = []
+    for row in rows:
+        values = [unpacked(row[name]).astype(np.int64) for name in "bcd"]
+        given.append(unpacked_rising(row["a"], len(values[0])).astype(np.int64))
+        for total, value in zip(sums, values):
+            total[given[-1]] += value  # a chunk has a number once
+    for row, numbers in zip(rows, given):
+        yield row | {name: packed(total[numbers]) for name, total in zip("abc", sums)} | {"seen": 0}
+
+
+def _answers(asks: DataFrame, least: int) -> DataFrame:
+    names = [f.split()[0] for f in ANSWERS.split(", ")]
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.sort_by("chunk").to_pylist()
+        answered = _counted(rows, rows[0]["size"], least) if rows[0]["what"] == COUNT else _summed(rows)
+        answered = [[r[name] for name in names] for r in answered]
+        types = [pa.int32()] * 3 + [pa.int64()] + [pa.binary()] * 3 + [pa.int64()] * 2
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*answered), types)], names=names)
+
+    return asks.groupBy("what", "size", "part").applyInArrow(run, ANSWERS)
+
+
+# -- chunks -----------------------------------------------------------------------------------
+
+
+def _chunks(rows: DataFrame) -> DataFrame:
+    """Texts as numbers of their chunk's words: the hashes by number, the words, and each text's id, fold and length."""
+    id_type = dict(rows.dtypes)["id"]
+    names = ["chunk", "n_tokens", "n_training", "hashes", "tokens", "id", "held_out", "length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sent.value
-        words, held, size = Words(), [], 0
-
-        def counted() -> pa.RecordBatch:
-            ids = np.concatenate(held) if held else np.empty(0, np.int64)
-            hashes, end, length = words.hashes(), words.number.get(END, -1), max(0, len(ids) - order + 1)
-            parts = [ids[i : i + length] for i in range(order)]
-            good = np.ones(length, bool)  # nothing goes on behind an end token
-            for part in parts[:-1]:
-                good &= part != end
-            if bits is not None:
-                found = holds(bits, keys_of([hashes[ids[i : i + max(0, len(ids) - order + 2)]] for i in range(order - 1)]))
-                good &= found[:length] & found[1 : length + 1]
-            parts = [part[good] for part in parts]
-            key, span = parts[0], max(1, len(hashes))
-            for i, part in enumerate(parts[1:], 1):
-                if i > 1 and span ** (i + 1) >= 1 << 62:
-                    key = np.unique(key, return_inverse=True)[1]
-                key = key * span + part
-            _, first, n = np.unique(key, return_index=True, return_counts=True)
-            columns = [pa.array(hashes[part[first]].view(np.int64)) for part in parts]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], names=[*names, "n"])
-
-        for text in _texts(batches):
-            held.append(words.of(tokens_of(text)))
-            size += len(held[-1])
+        chunk = TaskContext.get().partitionId() << 32
+        parts, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            table = pa.Table.from_batches([ids for ids, _, _ in parts])
+            lengths, held_out = np.concatenate([n for _, _, n in parts]), np.array(table.column(1).to_pylist(), bool)
+            hashes, tokens = numbered([words for _, words, _ in parts], lengths)
+            columns = [pa.array([int(v)], pa.int64()) for v in (chunk, lengths.sum(), lengths[~held_out].sum())]
+            columns += [pa.array([v], pa.binary()) for v in (hashes.tobytes(), packed(tokens))]
+            for values in (pa.concat_arrays(table.column(0).chunks), pa.array(held_out), pa.array(lengths, pa.int64())):
+                columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        for batch in slices(batches, 2):
+            parts.append((batch.select([0, 1]), *words_of(batch.column(2))))
+            size += int(parts[-1][2].sum())
             if size > HELD_TOKENS:
-                yield counted()
-                words, held, size = Words(), [], 0
-        yield counted()
+                yield flush()
+                chunk, parts, size = chunk + 1, [], 0
+        if parts:
+            yield flush()
 
-    partial = training.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
-    # The tasks have reduced them as far as they can, so they are dealt before Spark adds them up.
-    return partial.repartition(*names).groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    schema = f"chunk long, n_tokens long, n_training long, hashes binary, tokens binary, id array<{id_type}>, held_out array<boolean>, length array<long>"
+    return stored(rows.mapInArrow(run, schema), "chunks")
 
 
-# -- the model --------------------------------------------------------------------------------
+def at_places(values: np.ndarray, place: np.ndarray, fill: int) -> np.ndarray:
+    out = np.full(len(place), fill, values.dtype)
+    found = place >= 0
+    out[found] = values[place[found]]
+    return out
 
 
-def _arcs(counts: DataFrame, least: int, total: float, grams: list[DataFrame]) -> DataFrame:
-    """(key, order, n, arc, failure), stored: of every word and kept n-gram the log-probability of its arc, and the
-    weight of the failure arc of the state that it is.
+class Grams:
+    """The different n-grams of one size in a chunk, in rising order of their keys, whose high ends name the parts.
 
-    counts: (word, n) of all words; grams: the counts of the orders from two on.
+    place: for each token the n-gram that begins there, or -1; first: a place where each begins; from the answers: n, its count in
+    training (0: not kept, of words not seen), number (-1: not kept), own (whether this chunk gives its share).
     """
-    unigram = (F.col("n") + ADD) / F.lit(total)
-    words = counts.select(F.xxhash64("word").alias("w0"), "n", unigram.alias("p"))
-    levels, weights = [words], []
-    for order, found in enumerate(grams, 2):
-        names, below = _names(order), levels[-1].where(F.col("n") >= least)
-        shorter = names[:-1]
-        context = below.select(*shorter, F.col("n").alias("n_context"))
-        suffix = below.select(*(F.col(a).alias(b) for a, b in zip(shorter, names[1:])), F.col("p").alias("p_lower"))
-        level = found.join(context, shorter).join(suffix, names[1:])
-        level = stored(level.select(*names, "n", ((F.col("n") - DISCOUNT) / F.col("n_context")).alias("p"), "p_lower"), f"grams{order}")
-        left = (1 - F.sum("p")) / (1 - F.sum("p_lower"))
-        weights.append(level.groupBy(*shorter).agg(F.log10(left).alias("failure")))
-        levels.append(level)
-    out = []
-    for order, level in enumerate(levels, 1):
-        names, failure = _names(order), F.lit(0.0)
-        if order <= len(weights):
-            level, failure = level.join(weights[order - 1], names, "left"), F.coalesce("failure", F.lit(0.0))
-        key = key_column(names).alias("key")
-        out.append(level.select(key, F.lit(order).alias("order"), "n", F.log10("p").alias("arc"), failure.alias("failure")))
-    return stored(reduce(DataFrame.union, out), "arcs")
+
+    def __init__(self, size: int, keys: np.ndarray, place: np.ndarray, first: np.ndarray, bits: int):
+        self.size, self.keys, self.place, self.first = size, keys, place, first
+        begins = [part << (64 - bits) for part in range(1, 1 << bits)]
+        self.cuts = [0, *np.searchsorted(keys, np.array(begins, np.uint64)).tolist(), len(keys)]
+
+    def asks(self, training: np.ndarray) -> Iterator[dict]:
+        n = np.bincount(self.place[training & (self.place >= 0)], minlength=len(self.keys))
+        for part, (begin, end) in enumerate(zip(self.cuts, self.cuts[1:])):
+            yield {"what": COUNT, "size": self.size, "part": part, "a": packed_rising(self.keys[begin:end]), "b": packed(n[begin:end])}
+
+    def hear(self, answers: list[dict], least: int) -> None:
+        self.n = np.concatenate([unpacked(r["a"]) for r in answers]).astype(np.int64)
+        good = self.n >= least
+        self.kept = np.flatnonzero(good)
+        self.ends = np.concatenate([[0], np.cumsum(good)])[self.cuts]
+        sizes = np.diff(self.ends).tolist()
+        self.numbers = [unpacked_rising(r["b"], size).astype(np.int64) for r, size in zip(answers, sizes)]
+        self.rooms = [r["room"] for r in answers]
+        before = np.cumsum([0, *self.rooms]).tolist()
+        self.number, self.own = np.full(len(good), -1), np.zeros(len(good), bool)
+        self.number[self.kept] = np.concatenate([numbers + b for numbers, b in zip(self.numbers, before)])
+        own = [np.unpackbits(np.frombuffer(r["c"], np.uint8), count=size) for r, size in zip(answers, sizes)]
+        self.own[self.kept] = np.concatenate(own).astype(bool)
+
+
+class Chunk:
+    """The texts of a chunk, and what it was told of their n-grams."""
+
+    def __init__(self, row: dict, bits: int, least: int, base: int, answers: pa.Table | None = None):
+        self.bits, self.least, self.base = bits, least, base
+        self.lengths = np.array(row["length"])
+        self.training = np.repeat(~np.array(row["held_out"], bool), self.lengths)
+        hashes, tokens = np.frombuffer(row["hashes"], np.uint64), unpacked(row["tokens"]).astype(np.int64)
+        at = np.argsort(hashes)
+        rank, first = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        rank[at] = np.arange(len(at))
+        self.tokens = rank[tokens]
+        first[self.tokens] = np.arange(len(tokens))
+        self.end = self.tokens[-1]  # the end token's number
+        self.grams = [Grams(1, hashes[at], self.tokens, first, bits)]
+        self.sums = {}
+        told = {}
+        for r in answers.sort_by("part").to_pylist() if answers else []:
+            told.setdefault((r["what"], r["size"]), []).append(r)
+        for (what, size), rows in sorted(told.items()):
+            if what == SUM:
+                self.sums[size] = [np.concatenate([unpacked(r[name]) for r in rows]).astype(np.int64) for name in "abc"]
+                continue
+            if size > 1:
+                self.grams.append(self.longer())
+            self.grams[-1].hear(rows, least)
+
+    def longer(self) -> Grams:
+        """The n-grams one word longer than the longest known, as far as they may be kept."""
+        size, length = len(self.grams) + 1, max(0, len(self.tokens) - len(self.grams))
+        number = [at_places(g.number, g.place, -1) for g in (self.grams[0], self.grams[-1])]
+        good = (number[1][:length] >= 0) & (number[1][1 : length + 1] >= 0)
+        if size == 2:  # nothing goes on behind an end token
+            good &= self.tokens[:length] != self.end
+        at = np.flatnonzero(good)
+        keys = number[1][at].astype(np.uint64) * np.uint64(self.base) + number[0][at + size - 1].astype(np.uint64)
+        if self.bits:  # the low end, in which neighbours differ, becomes the high one
+            keys = (keys >> np.uint64(self.bits)) | (keys << np.uint64(64 - self.bits))
+        order = np.argsort(keys)
+        keys, new = keys[order], np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        which, place = np.empty(len(keys), np.int64), np.full(len(self.tokens), -1)
+        which[order] = np.cumsum(new) - 1
+        place[at] = which
+        return Grams(size, keys[new], place, at[order[new]], self.bits)
+
+    def share_asks(self, size: int) -> Iterator[dict]:
+        """Of every kept n-gram of a size, what this chunk adds to the sums of its kept continuations: how many, their counts,
+        and the counts of what they are without their first word."""
+        context, longer = self.grams[size - 1], self.grams[size]
+        own = longer.own & (longer.n > 0)
+        first = longer.first[own]
+        of, n, lower = context.place[first], longer.n[own], context.n[context.place[first + 1]]
+        sums = [np.bincount(of, weights=w, minlength=len(context.n)).astype(np.int64)[context.kept] for w in (None, n, lower)]
+        for part, (begin, end) in enumerate(zip(context.ends, context.ends[1:])):
+            values = {name: packed(s[begin:end]) for name, s in zip("bcd", sums)}
+            yield {"what": SUM, "size": size, "part": part, "a": packed_rising(context.numbers[part]), "room": context.rooms[part]} | values
+
+    def failures(self, size: int, total: float) -> np.ndarray:
+        """The weights of the failure arcs of the n-grams of a size."""
+        grams, out = self.grams[size - 1], np.zeros(len(self.grams[size - 1].n))
+        if size in self.sums:
+            k, n, lower = self.sums[size]
+            left = 1 - (n - DISCOUNT * k) / grams.n[grams.kept]
+            if size == 1:
+                below = 1 - (lower + ADD * k) / total
+            else:
+                shorter = self.grams[size - 2]
+                below = 1 - (lower - DISCOUNT * k) / shorter.n[shorter.place[grams.first[grams.kept] + 1]]
+            some = k > 0
+            out[grams.kept[some]] = np.log10(left[some] / below[some])
+        return out
+
+    def levels(self, total: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the n-grams of each size that end at a token: whether there is one, its arc, and its failure arc."""
+        out = []
+        for size, grams in enumerate(self.grams, 1):
+            there = grams.n > 0
+            if size == 1:
+                arc = np.log10((grams.n + ADD) / total)
+            else:
+                shorter, arc = self.grams[size - 2], np.zeros(len(there))
+                arc[there] = np.log10((grams.n[there] - DISCOUNT) / shorter.n[shorter.place[grams.first[there]]])
+            short = min(size - 1, len(self.tokens))  # no n-gram ends at the first tokens
+            place = np.concatenate([np.full(short, -1), grams.place[: len(self.tokens) - short]])
+            out.append(tuple(at_places(values, place, 0) for values in (there, arc, self.failures(size, total))))
+        return out
+
+
+# -- the automaton ----------------------------------------------------------------------------
+
+
+def walk(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ends: np.ndarray) -> list[tuple[int, float, float]]:
+    """(known words, unigram score, score) of texts that follow one another and end at `ends`.
+
+    levels: of the n-grams of each order that end at a token: whether there is one in the same text, its arc, and its failure arc.
+    With an n-gram there are all that it is made of.
+    """
+    known, unigram, _ = levels[0]
+    sizes, arcs = np.ones(len(known), np.int64), unigram.copy()  # of the longest n-gram that ends at a token
+    for size, (there, arc, _) in enumerate(levels[1:], 2):
+        sizes[there], arcs[there] = size, arc[there]
+    states = np.where(known, np.minimum(sizes, len(levels) - 1), 0).tolist()  # where its arc leads to: a state of so many words
+    sizes, arcs, failures = sizes.tolist(), arcs.tolist(), [None, *(failure.tolist() for _, _, failure in levels)]
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    paths = []
+    for begin, end in zip(begins.tolist(), ends.tolist()):
+        state, path = 0, 0.0
+        for token in range(begin, end):
+            size = sizes[token]
+            while state >= size:  # no arc for this token
+                path += failures[state][token - 1]
+                state -= 1
+            path += arcs[token]
+            state = states[token]
+        paths.append(path)
+    return list(zip(np.add.reduceat(known.astype(np.int64), begins).tolist(), np.add.reduceat(unigram, begins).tolist(), paths))
 
 
 class Automaton:
-    """A part of the model: arcs and failure arcs by key, for the n-grams of some texts, beside those in `direct`, which are
-    sorted by key."""
+    """An automaton by itself: arcs and failure arcs by key."""
 
-    def __init__(self, order: int, unseen: float, keys: np.ndarray, arcs: np.ndarray, failures: np.ndarray, direct: tuple | None = None):
+    def __init__(self, order: int, unseen: float, keys: np.ndarray, arcs: np.ndarray, failures: np.ndarray):
         at = np.argsort(keys)
         self.order, self.unseen = order, unseen
-        self.parts = [(keys[at], arcs[at], failures[at]), *([direct] if direct else [])]
+        self.keys, self.arcs, self.failures = keys[at], arcs[at], failures[at]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether there is an n-gram of each key, its arc and its failure arc."""
         there, arc, failure = np.zeros(len(keys), bool), np.full(len(keys), self.unseen), np.zeros(len(keys))
-        for known, arcs, failures in self.parts:
-            if len(known):
-                at = np.searchsorted(known, keys)
-                at[at == len(known)] = 0
-                found = known[at] == keys
-                there |= found
-                arc[found], failure[found] = arcs[at[found]], failures[at[found]]
+        if len(self.keys):
+            at = np.searchsorted(self.keys, keys)
+            at[at == len(self.keys)] = 0
+            there = self.keys[at] == keys
+            arc[there], failure[there] = self.arcs[at[there]], self.failures[at[there]]
         return there, arc, failure
 
     def traverse(self, hashes: np.ndarray, ends: list[int]) -> list[tuple[int, float, float]]:
         """(known words, unigram score, score) of texts that follow one another in `hashes` and end at `ends`."""
-        # Of the n-grams of each order that end at a token: whether there is one, its arc, and its failure arc.
-        levels = []
+        levels, ends = [], np.array(ends)
+        begins = np.concatenate([[0], ends[:-1]])
         for size in range(1, self.order + 1):
-            length = max(len(hashes) - size + 1, 0)
-            found = self.find(keys_of([hashes[i : i + length] for i in range(size)]))
-            short = min(size - 1, len(hashes))  # no n-gram ends at the first tokens
-            levels.append([[fill] * short + values.tolist() for fill, values in zip((False, 0.0, 0.0), found)])
-        known, unigram, _ = levels[0]
-        out, token = [], 0
-        for end in ends:
-            state, score, first = 0, 0.0, token  # the state is the n-gram of so many words before the token
-            n_known, base = 0, 0.0
-            while token < end:
-                while state and not levels[state][0][token]:
-                    score += levels[state - 1][2][token - 1]
-                    state -= 1
-                score += levels[state][1][token]
-                n_known += known[token]
-                base += unigram[token]
-                # The longest n-gram within the text that is a state and ends here.
-                state = min(state + 1, self.order - 1)
-                while state and not levels[state - 1][0][token]:
-                    state -= 1
-                token += 1
-            out.append((n_known, base, score))
-        return out
-
-
-class Model:
-    """order, n (training tokens), unseen (log-probability of an unseen word); arcs: the stored table; direct_*: the most frequent
-    arcs, sorted by key; bits: the bitmap of all keys of n-grams."""
-
-    def __init__(self, **parts):
-        self.__dict__ |= parts
-
-
-def train(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER, head: float = HEAD,
-          share: float = 0.0) -> Model:
-    in_training = F.coalesce(residue(id, 10) != 0, F.lit(True))
-    training = docs.where(in_training).select(text)
-    counts = stored(word_counts(training), "words")
-    n, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    n = n or 0
-    total = n + ADD * (distinct + 1)
-    least = max(LEAST, math.ceil(share * n))
-    grams, bits = [], None
-    for size in range(2, order + 1):
-        grams.append(stored(gram_counts(training, size, least, bits), f"counts{size}"))
-        if size < order:
-            bits = bitmap(grams[-1].select(key_column(_names(size)).alias("key")))
-    arcs = _arcs(counts, least, total, grams)
-    longer = arcs.where(F.col("order") > 1)
-    # The least count whose n-grams, with all more frequent ones, are DIRECT at most.
-    sizes, so_far, bound = longer.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).toLocalIterator(), 0, None
-    for r in sizes:
-        so_far += r["k"]
-        if so_far > DIRECT:
-            break
-        bound = r["n"]
-    frequent = (F.col("order") == 1) & (F.col("n") >= max(head * n, 1))  # at most 1 / head words
-    if bound is not None:
-        frequent |= (F.col("order") > 1) & (F.col("n") >= bound)
-    direct = arcs.where(frequent).select("key", "arc", "failure").toArrow()
-    keys = direct.column("key").to_numpy().view(np.uint64)
-    at = np.argsort(keys)
-    return Model(
-        order=order, n=n, unseen=math.log10(ADD / total), arcs=arcs.where(~frequent).select("key", "arc", "failure"),
-        direct_keys=keys[at], direct_arcs=direct.column("arc").to_numpy()[at],
-        direct_failures=direct.column("failure").to_numpy()[at], bits=bitmap(longer),
-    )
+            length, level = max(len(hashes) - size + 1, 0), []
+            within = np.arange(len(hashes)) - np.repeat(begins, np.diff(ends, prepend=0)) >= size - 1
+            for values in self.find(keys_of([hashes[i : i + length] for i in range(size)])):
+                short = np.zeros(len(hashes) - length, values.dtype)  # no n-gram ends at the first tokens
+                level.append(np.concatenate([short, values]))
+            levels.append((level[0] & within, *level[1:]))
+        return walk(levels, ends)
+
+
+def _traversed(chunk: Chunk, total: float) -> list[tuple[int, float, float]]:
+    """The scores of a chunk's texts by its part of the automaton, some texts at a time."""
+    levels, ends, out = chunk.levels(total), np.cumsum(chunk.lengths), []
+    cuts = np.flatnonzero(np.diff(ends // WALKED)) + 1
+    for texts in np.split(ends, cuts):
+        begin = int(ends[len(out) - 1]) if out else 0
+        part = [tuple(values[begin : int(texts[-1])] for values in level) for level in levels]
+        out += walk(part, texts - begin)
+    return out
 
 
-def _hashed(texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
-    """The words' hashes of texts one after another, and where each text ends."""
-    numbering = Words()
-    ids = [numbering.of(tokens_of(t)) for t in texts]
-    hashes = numbering.hashes()
-    return hashes[np.concatenate(ids)], np.cumsum([len(i) for i in ids]).tolist()
+# -- the operator -----------------------------------------------------------------------------
 
 
-def score(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER, head: float = HEAD,
+          share: float = 0.0) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
-    model = train(docs, id, text, **options)
-    n, order, unseen = model.n, model.order, model.unseen
-    sent = docs.sparkSession.sparkContext.broadcast((model.direct_keys, model.direct_arcs, model.direct_failures, model.bits))
     held_out = F.coalesce(residue(id, 10) == 0, F.lit(False))
     rows = docs.select(F.col(id).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
     id_type = dict(rows.dtypes)["id"]
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Chunks of texts, each with the keys of the arcs that it needs on its first row."""
-        keys, _, _, bits = sent.value
-        chunk = TaskContext.get().partitionId() << 32
-        for batch in slices(batches, 2):
-            hashes, _ = _hashed(batch.column(2).to_pylist())
-            needed = [np.unique(hashes)]
-            for size in range(2, order + 1):
-                length = max(len(hashes) - size + 1, 0)
-                found = keys_of([hashes[i : i + length] for i in range(size)])
-                needed.append(np.unique(found[holds(bits, found)]))
-            needed = np.concatenate(needed)
-            if len(keys):
-                at = np.searchsorted(keys, needed)
-                at[at == len(keys)] = 0
-                needed = needed[keys[at] != needed]
-            lists = pa.array([needed.view(np.int64)] + [None] * (batch.num_rows - 1), pa.list_(pa.int64()))
-            chunks = pa.array(np.full(batch.num_rows, chunk), pa.int64())
-            yield pa.RecordBatch.from_arrays([chunks, *batch.columns, lists], names=["chunk", "id", "held_out", "text", "needed"])
-            chunk += 1
-
-    def walk(texts: pa.Table, arcs: pa.Table) -> pa.Table:
-        """The scores of a chunk's texts by its part of the automaton."""
-        keys = arcs.column("key").to_numpy().view(np.uint64)
-        own = Automaton(order, unseen, keys, arcs.column("arc").to_numpy(), arcs.column("failure").to_numpy(), sent.value[:3])
-        hashes, ends = _hashed(texts.column("text").to_pylist())
-        known, base, path = zip(*own.traverse(hashes, ends))
-        columns = [texts.column("id"), texts.column("held_out"), np.diff(ends, prepend=0), known, base, path]
+    chunks = _chunks(rows)
+    n_tokens, n = (v or 0 for v in chunks.agg(F.sum("n_tokens"), F.sum("n_training")).first())
+    bits = max(0, math.ceil(n_tokens / PART_TOKENS) - 1).bit_length()
+    least = max(LEAST, math.ceil(share * n))
+    ask_names = [f.split()[0] for f in ASKS.split(", ")]
+    ask_types = [pa.int32()] * 3 + [pa.int64()] + [pa.binary()] * 4 + [pa.int64()]
+
+    def sent(asks: Iterable[dict], chunk: int) -> pa.RecordBatch:
+        rows = [[(r | {"chunk": chunk}).get(name) for name in ask_names] for r in asks]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ask_types)], names=ask_names)
+
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                [row] = batch.slice(i, 1).to_pylist()
+                own = Chunk(row, bits, least, 0)
+                yield sent(own.grams[0].asks(own.training), row["chunk"])
+
+    needed = chunks.select("chunk", "hashes", "tokens", "held_out", "length")
+    told = stored(_answers(needed.mapInArrow(ask_words, ASKS), least), "words")
+    parts = told.groupBy("part").agg(F.first("room").alias("room"), F.first("seen").alias("seen"))
+    kept, distinct = (v or 0 for v in parts.agg(F.sum("room"), F.sum("seen")).first())
+    total = n + ADD * (distinct + 1)
+    base = kept | 1  # odd, so that n-grams of one last word are dealt to all parts, and those of one beginning too
+
+    def chunk_of(table: pa.Table, answers: pa.Table) -> tuple[dict, Chunk]:
+        [row] = table.drop_columns("id").to_pylist()
+        return row, Chunk(row, bits, least, base, answers)
+
+    def asking(size: int):
+        def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+            row, own = chunk_of(table, answers)
+            asks = []
+            if size <= order:
+                asks += own.longer().asks(own.training)
+            if size > 2:
+                asks += own.share_asks(size - 2)
+            return pa.Table.from_batches([sent(asks, row["chunk"])])
+
+        return run
+
+    def scores(table: pa.Table, answers: pa.Table) -> pa.Table:
+        _, own = chunk_of(table, answers)
+        known, base_score, path = zip(*_traversed(own, total))
+        ids, held_out = (table.column(name).combine_chunks().flatten() for name in ("id", "held_out"))
+        columns = [ids, held_out, own.lengths, known, base_score, path]
         return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    chunks = stored(rows.mapInArrow(ask, f"chunk long, id {id_type}, held_out boolean, text string, needed array<long>"), "chunks")
-    needed = chunks.where("needed is not null").select("chunk", F.explode("needed").alias("key"))
-    found = needed.join(model.arcs, "key").select(F.col("chunk").alias("of"), "key", "arc", "failure")
-    scored = chunks.drop("needed").groupBy("chunk").cogroup(found.groupBy("of")).applyInArrow(
-        walk, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    # One plan, in which the chunks are dealt once for all rounds.
+    answers = [told]
+
+    def told_chunks():
+        return chunks.groupBy("chunk").cogroup(reduce(DataFrame.union, answers).groupBy("chunk"))
+
+    for size in range(2, order + 2 if order > 1 else 2):
+        answers.append(_answers(told_chunks().applyInArrow(asking(size), ASKS), least))
+    scored = told_chunks().applyInArrow(
+        scores, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(
         F.col("id").alias(id), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"

@@ -1,8 +1,11 @@
 import math
+import os
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+import xxhash
 
 from keyedflow.llm import lm, queries
 
@@ -172,3 +175,64 @@ def test_clashing_columns_do_no_harm(spark):
     plain = sorted((r["doc_id"], round(r["score"], 9)) for r in lm.score(docs.drop("x")).collect())
     clash = docs.select("doc_id", "text", *[docs["x"].alias(n) for n in names])
     assert sorted((r["doc_id"], round(r["score"], 9)) for r in lm.score(clash).collect()) == plain
+
+
+def test_nothing_is_broadcast_and_little_stored(spark, monkeypatch):
+    """Tables of the size of the model, or of a bitmap of its n-grams, go neither to the driver nor to all tasks."""
+    sent, tables = [], {}
+    broadcast, stored = type(spark.sparkContext).broadcast, lm.stored
+
+    def store(df, name):
+        tables[name] = stored(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or broadcast(self, value))
+    monkeypatch.setattr(lm, "stored", store)
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7919 + j * j) % 5003}" for j in range(2000))) for i in range(100)], "doc_id long, text string")
+    assert lm.score(docs).count() == 100
+    assert not sent
+    size = sum(os.path.getsize(f.removeprefix("file:").replace("//", "/")) for t in tables.values() for f in t.inputFiles())
+    assert size < 4 * 100 * 2001  # bytes a token
+
+
+def test_tokens_by_arrow_are_those_of_each_text():
+    texts = ["a b", None, "", "  A\tb\x0b\x0c\r\nC  ", "\x1c \x1f\x85 \xa0x\u2003y \x00 \u0130\xc4Z", " ", "b", "\n"]
+    words, lengths = lm.words_of(pa.array(texts, pa.string()))
+    assert lengths.tolist() == [len(lm.tokens_of(t)) for t in texts]
+    more, more_lengths = lm.words_of(pa.array(["c b", "new"]))
+    hashes, tokens = lm.numbered([words, more], lm.np.concatenate([lengths, more_lengths]))
+    assert len(set(hashes.tolist())) == len(hashes)
+    own = [xxhash.xxh64_intdigest(w, 42) for t in [*texts, "c b", "new"] for w in lm.tokens_of(t)]
+    assert hashes[tokens].tolist() == own
+
+
+@pytest.mark.parametrize("values", [[], [0], [0, 0, 0], [7, 300, 2**63, 2**64 - 1], list(range(1000))])
+def test_lists_are_what_they_were(values):
+    values = lm.np.array(values, lm.np.uint64)
+    assert lm.unpacked(lm.packed(values)).tolist() == values.tolist()
+    assert lm.unpacked_rising(lm.packed_rising(values), len(values)).tolist() == values.tolist()
+
+
+def test_many_chunks_and_parts(spark, monkeypatch):
+    """Scores by definition, with chunks of a few texts and more parts than some chunk has n-grams."""
+    monkeypatch.setattr(lm, "HELD_TOKENS", 10)
+    monkeypatch.setattr(lm, "PART_TOKENS", 20)
+    rows = list(enumerate(TEXTS)) + [(7, TEXTS[7]), (None, "the cat sat on a dog")]
+    rows += [(100 + i, " ".join(f"w{(i * 31 + j * j) % 17}" for j in range(40))) for i in range(12)]
+    model = Brute([t for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 10], 3, 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(lm, "slices", lambda batches, column: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    got = lm.score(docs).collect()
+    text = dict(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["train_tokens"] == model.n
+        assert r["score"] == pytest.approx(model.score(text[r["doc_id"]]))
+
+
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_other_orders(spark, order):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(2)
+    model = Brute([t for i, t in enumerate(TEXTS) if zlib.crc32(str(i).encode()) % 10], order, 0)
+    for r in lm.score(docs, order=order).collect():
+        assert r["score"] == pytest.approx(model.score(TEXTS[r["doc_id"]]))
