@@ -47,7 +47,7 @@ DIRECT = 1 << 20
 #: A word never holds white space, so this can stand for the end of a text.
 END = b" "
 #: Tokens of a chunk; tokens for each part that counts; tokens that are traversed at a time.
-HELD_TOKENS, PART_TOKENS, WALKED = 2_000_000, 2_000_000, 200_000
+HELD_TOKENS, PART_TOKENS, WALKED = 1_200_000, 2_000_000, 200_000
 COUNT, SUM = 0, 1
 ASKS = "what int, size int, part int, chunk long, a binary, b binary, c binary, d binary, room long"
 ANSWERS = "what int, size int, part int, chunk long, a binary, b binary, c binary, room long, seen long"
@@ -145,7 +145,7 @@ def unpacked_rising(data: bytes, length: int) -> np.ndarray:
 # -- parts ------------------------------------------------------------------------------------
 
 
-def _counted(rows: list[dict], size: int, least: int) -> Iterator[dict]:
+def _counted(rows: list[dict], size: int, least: int, highest: bool = False) -> Iterator[dict]:
     """Each chunk's answer: counts in training (a), the numbers of kept n-grams (b) and whether the chunk is the first to ask (c)."""
     counts = [unpacked(r["b"]).astype(np.int64) for r in rows]
     keys = np.concatenate([unpacked_rising(r["a"], len(n)) for r, n in zip(rows, counts)])
@@ -164,7 +164,7 @@ def _counted(rows: list[dict], size: int, least: int) -> Iterator[dict]:
     for row, begin, end in zip(rows, [0, *ends.tolist()], ends.tolist()):
         own, good = slice(begin, end), number[begin:end] >= 0
         yield row | {
-            "a": packed(n[own]), "b": packed_rising(number[own][good]), "c": np.packbits(first[own][good]).tobytes(),
+            "a": packed(n[own]), "b": None if highest else packed_rising(number[own][good]), "c": np.packbits(first[own][good]).tobytes(),
             "room": int(kept.sum()), "seen": int((totals > 0).sum()),
         }
 
@@ -182,12 +182,13 @@ def _summed(rows: list[dict]) -> Iterator[dict]:
         yield row | {name: packed(total[numbers]) for name, total in zip("abc", sums)} | {"seen": 0}
 
 
-def _answers(asks: DataFrame, least: int) -> DataFrame:
+def _answers(asks: DataFrame, least: int, order: int) -> DataFrame:
     names = [f.split()[0] for f in ANSWERS.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.sort_by("chunk").to_pylist()
-        answered = _counted(rows, rows[0]["size"], least) if rows[0]["what"] == COUNT else _summed(rows)
+        size = rows[0]["size"]
+        answered = _counted(rows, size, least, size == order) if rows[0]["what"] == COUNT else _summed(rows)
         answered = [[r[name] for name in names] for r in answered]
         types = [pa.int32()] * 3 + [pa.int64()] + [pa.binary()] * 3 + [pa.int64()] * 2
         return pa.table([pa.array(c, t) for c, t in zip(zip(*answered), types)], names=names)
@@ -199,9 +200,10 @@ def _answers(asks: DataFrame, least: int) -> DataFrame:
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
-    """Texts as numbers of their chunk's words: the hashes by number, the words, and each text's id, fold and length."""
+    """Texts as numbers of their chunk's words: the hashes in rising order, the rank of each number's, the words as numbers, and
+    each text's id, fold and length."""
     id_type = dict(rows.dtypes)["id"]
-    names = ["chunk", "n_tokens", "n_training", "hashes", "tokens", "id", "held_out", "length"]
+    names = ["chunk", "n_tokens", "n_training", "hashes", "ranks", "tokens", "id", "held_out", "length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 32
@@ -212,7 +214,8 @@ def _chunks(rows: DataFrame) -> DataFrame:
             lengths, held_out = np.concatenate([n for _, _, n in parts]), np.array(table.column(1).to_pylist(), bool)
             hashes, tokens = numbered([words for _, words, _ in parts], lengths)
             columns = [pa.array([int(v)], pa.int64()) for v in (chunk, lengths.sum(), lengths[~held_out].sum())]
-            columns += [pa.array([v], pa.binary()) for v in (hashes.tobytes(), packed(tokens))]
+            at = np.argsort(hashes)
+            columns += [pa.array([v], pa.binary()) for v in (packed_rising(hashes[at]), packed(np.argsort(at)), packed(tokens))]
             for values in (pa.concat_arrays(table.column(0).chunks), pa.array(held_out), pa.array(lengths, pa.int64())):
                 columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
             return pa.RecordBatch.from_arrays(columns, names=names)
@@ -226,7 +229,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
         if parts:
             yield flush()
 
-    schema = f"chunk long, n_tokens long, n_training long, hashes binary, tokens binary, id array<{id_type}>, held_out array<boolean>, length array<long>"
+    schema = f"chunk long, n_tokens long, n_training long, hashes binary, ranks binary, tokens binary, id array<{id_type}>, held_out array<boolean>, length array<long>"
     return stored(rows.mapInArrow(run, schema), "chunks")
 
 
@@ -244,29 +247,33 @@ class Grams:
     training (0: not kept, of words not seen), number (-1: not kept), own (whether this chunk gives its share).
     """
 
-    def __init__(self, size: int, keys: np.ndarray, place: np.ndarray, first: np.ndarray, bits: int):
+    def __init__(self, size: int, keys: np.ndarray | None, place: np.ndarray, first: np.ndarray):
         self.size, self.keys, self.place, self.first = size, keys, place, first
-        begins = [part << (64 - bits) for part in range(1, 1 << bits)]
-        self.cuts = [0, *np.searchsorted(keys, np.array(begins, np.uint64)).tolist(), len(keys)]
 
-    def asks(self, training: np.ndarray) -> Iterator[dict]:
+    def asks(self, training: np.ndarray, bits: int) -> Iterator[dict]:
+        begins = [part << (64 - bits) for part in range(1, 1 << bits)]
+        cuts = [0, *np.searchsorted(self.keys, np.array(begins, np.uint64)).tolist(), len(self.keys)]
         n = np.bincount(self.place[training & (self.place >= 0)], minlength=len(self.keys))
-        for part, (begin, end) in enumerate(zip(self.cuts, self.cuts[1:])):
+        for part, (begin, end) in enumerate(zip(cuts, cuts[1:])):
             yield {"what": COUNT, "size": self.size, "part": part, "a": packed_rising(self.keys[begin:end]), "b": packed(n[begin:end])}
 
     def hear(self, answers: list[dict], least: int) -> None:
-        self.n = np.concatenate([unpacked(r["a"]) for r in answers]).astype(np.int64)
+        found = [unpacked(r["a"]).astype(np.int64) for r in answers]
+        self.n = np.concatenate(found)
         good = self.n >= least
         self.kept = np.flatnonzero(good)
-        self.ends = np.concatenate([[0], np.cumsum(good)])[self.cuts]
-        sizes = np.diff(self.ends).tolist()
+        sizes = [int((n >= least).sum()) for n in found]
+        self.ends = np.cumsum([0, *sizes]).tolist()
+        self.own = np.zeros(len(good), bool)
+        own = [np.unpackbits(np.frombuffer(r["c"], np.uint8), count=size) for r, size in zip(answers, sizes)]
+        self.own[self.kept] = np.concatenate(own).astype(bool)
+        if answers[0]["b"] is None:  # nothing goes on from those of the highest order
+            return
         self.numbers = [unpacked_rising(r["b"], size).astype(np.int64) for r, size in zip(answers, sizes)]
         self.rooms = [r["room"] for r in answers]
         before = np.cumsum([0, *self.rooms]).tolist()
-        self.number, self.own = np.full(len(good), -1), np.zeros(len(good), bool)
+        self.number = np.full(len(good), -1)
         self.number[self.kept] = np.concatenate([numbers + b for numbers, b in zip(self.numbers, before)])
-        own = [np.unpackbits(np.frombuffer(r["c"], np.uint8), count=size) for r, size in zip(answers, sizes)]
-        self.own[self.kept] = np.concatenate(own).astype(bool)
 
 
 class Chunk:
@@ -276,14 +283,12 @@ class Chunk:
         self.bits, self.least, self.base = bits, least, base
         self.lengths = np.array(row["length"])
         self.training = np.repeat(~np.array(row["held_out"], bool), self.lengths)
-        hashes, tokens = np.frombuffer(row["hashes"], np.uint64), unpacked(row["tokens"]).astype(np.int64)
-        at = np.argsort(hashes)
-        rank, first = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-        rank[at] = np.arange(len(at))
-        self.tokens = rank[tokens]
+        ranks, tokens = unpacked(row["ranks"]).astype(np.int64), unpacked(row["tokens"]).astype(np.int64)
+        self.tokens, first = ranks[tokens], np.empty(len(ranks), np.int64)
         first[self.tokens] = np.arange(len(tokens))
         self.end = self.tokens[-1]  # the end token's number
-        self.grams = [Grams(1, hashes[at], self.tokens, first, bits)]
+        hashes = unpacked_rising(row["hashes"], len(ranks)) if "hashes" in row else None  # asked for in the first round only
+        self.grams = [Grams(1, hashes, self.tokens, first)]
         self.sums = {}
         told = {}
         for r in answers.sort_by("part").to_pylist() if answers else []:
@@ -313,7 +318,7 @@ class Chunk:
         which, place = np.empty(len(keys), np.int64), np.full(len(self.tokens), -1)
         which[order] = np.cumsum(new) - 1
         place[at] = which
-        return Grams(size, keys[new], place, at[order[new]], self.bits)
+        return Grams(size, keys[new], place, at[order[new]])
 
     def share_asks(self, size: int) -> Iterator[dict]:
         """Of every kept n-gram of a size, what this chunk adds to the sums of its kept continuations: how many, their counts,
@@ -342,8 +347,8 @@ class Chunk:
             out[grams.kept[some]] = np.log10(left[some] / below[some])
         return out
 
-    def levels(self, total: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Of the n-grams of each size that end at a token: whether there is one, its arc, and its failure arc."""
+    def arcs(self, total: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of the n-grams of each size: whether there is one in the automaton, its arc, and its failure arc."""
         out = []
         for size, grams in enumerate(self.grams, 1):
             there = grams.n > 0
@@ -352,11 +357,15 @@ class Chunk:
             else:
                 shorter, arc = self.grams[size - 2], np.zeros(len(there))
                 arc[there] = np.log10((grams.n[there] - DISCOUNT) / shorter.n[shorter.place[grams.first[there]]])
-            short = min(size - 1, len(self.tokens))  # no n-gram ends at the first tokens
-            place = np.concatenate([np.full(short, -1), grams.place[: len(self.tokens) - short]])
-            out.append(tuple(at_places(values, place, 0) for values in (there, arc, self.failures(size, total))))
+            out.append((there, arc, self.failures(size, total)))
         return out
 
+    def ending(self, size: int, begin: int, end: int) -> np.ndarray:
+        """The n-gram of a size that ends at each token of a range, or -1."""
+        start, place = begin - size + 1, self.grams[size - 1].place
+        short = min(max(0, -start), end - begin)  # no n-gram ends at the first tokens
+        return np.concatenate([np.full(short, -1), place[max(0, start) : max(0, end - size + 1)]])
+
 
 # -- the automaton ----------------------------------------------------------------------------
 
@@ -422,12 +431,12 @@ class Automaton:
 
 def _traversed(chunk: Chunk, total: float) -> list[tuple[int, float, float]]:
     """The scores of a chunk's texts by its part of the automaton, some texts at a time."""
-    levels, ends, out = chunk.levels(total), np.cumsum(chunk.lengths), []
-    cuts = np.flatnonzero(np.diff(ends // WALKED)) + 1
-    for texts in np.split(ends, cuts):
-        begin = int(ends[len(out) - 1]) if out else 0
-        part = [tuple(values[begin : int(texts[-1])] for values in level) for level in levels]
-        out += walk(part, texts - begin)
+    arcs, ends, out = chunk.arcs(total), np.cumsum(chunk.lengths), []
+    for texts in np.split(ends, np.flatnonzero(np.diff(ends // WALKED)) + 1):
+        begin, end = int(ends[len(out) - 1]) if out else 0, int(texts[-1])
+        places = [chunk.ending(size, begin, end) for size in range(1, len(arcs) + 1)]
+        levels = [tuple(at_places(values, place, 0) for values in level) for level, place in zip(arcs, places)]
+        out += walk(levels, texts - begin)
     return out
 
 
@@ -441,7 +450,8 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
     rows = docs.select(F.col(id).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
     id_type = dict(rows.dtypes)["id"]
     chunks = _chunks(rows)
-    n_tokens, n = (v or 0 for v in chunks.agg(F.sum("n_tokens"), F.sum("n_training")).first())
+    n_tokens, n, n_chunks = (v or 0 for v in chunks.agg(F.sum("n_tokens"), F.sum("n_training"), F.count("chunk")).first())
+    n_chunks = max(1, n_chunks)
     bits = max(0, math.ceil(n_tokens / PART_TOKENS) - 1).bit_length()
     least = max(LEAST, math.ceil(share * n))
     ask_names = [f.split()[0] for f in ASKS.split(", ")]
@@ -456,10 +466,10 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
             for i in range(batch.num_rows):
                 [row] = batch.slice(i, 1).to_pylist()
                 own = Chunk(row, bits, least, 0)
-                yield sent(own.grams[0].asks(own.training), row["chunk"])
+                yield sent(own.grams[0].asks(own.training, bits), row["chunk"])
 
-    needed = chunks.select("chunk", "hashes", "tokens", "held_out", "length")
-    told = stored(_answers(needed.mapInArrow(ask_words, ASKS), least), "words")
+    needed = chunks.select("chunk", "hashes", "ranks", "tokens", "held_out", "length")
+    told = stored(_answers(needed.mapInArrow(ask_words, ASKS), least, order), "words")
     parts = told.groupBy("part").agg(F.first("room").alias("room"), F.first("seen").alias("seen"))
     kept, distinct = (v or 0 for v in parts.agg(F.sum("room"), F.sum("seen")).first())
     total = n + ADD * (distinct + 1)
@@ -474,7 +484,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
             row, own = chunk_of(table, answers)
             asks = []
             if size <= order:
-                asks += own.longer().asks(own.training)
+                asks += own.longer().asks(own.training, bits)
             if size > 2:
                 asks += own.share_asks(size - 2)
             return pa.Table.from_batches([sent(asks, row["chunk"])])
@@ -488,14 +498,15 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
         columns = [ids, held_out, own.lengths, known, base_score, path]
         return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    # One plan, in which the chunks are dealt once for all rounds.
-    answers = [told]
+    # One plan, in which the chunks and each round's answers are dealt once for all rounds.
+    texts = chunks.select("chunk", "ranks", "tokens", "id", "held_out", "length").repartition(n_chunks, "chunk")
+    answers = [told.repartition(n_chunks, "chunk")]
 
     def told_chunks():
-        return chunks.groupBy("chunk").cogroup(reduce(DataFrame.union, answers).groupBy("chunk"))
+        return texts.groupBy("chunk").cogroup(reduce(DataFrame.union, answers).groupBy("chunk"))
 
     for size in range(2, order + 2 if order > 1 else 2):
-        answers.append(_answers(told_chunks().applyInArrow(asking(size), ASKS), least))
+        answers.append(_answers(told_chunks().applyInArrow(asking(size), ASKS), least, order).repartition(n_chunks, "chunk"))
     scored = told_chunks().applyInArrow(
         scores, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
