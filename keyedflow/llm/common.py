@@ -2,6 +2,7 @@
 
 import inspect
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import wraps
 
 import numpy as np
@@ -30,6 +31,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of each action go when it ends. Only for actions whose results are stored and read again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def keeps_other_columns(*named: str, also: Sequence[str] = ()) -> Callable:
     """For an operator on a DataFrame that passes columns on: all but those that its parameters `named`, and `also`, name have
     names of their own while it runs, so that none can meet a name that it uses itself. A result replaces a column of its name.

@@ -21,8 +21,9 @@ n-grams take from their contexts is added up alike: the first chunk that asked f
 With the answers a chunk has its arcs and failure arcs and traverses its texts. Parts grow in number with the corpus, an n-gram comes once
 from each chunk, and nothing goes through the driver but sums over all chunks and parts.
 
-Words are known by their 64-bit hash. Lists are sorted, and sent as compressed differences. Stored chunks stay where they are until
-the application's folder goes, so lost executors can be made up for.
+Words are known by their 64-bit hash. Lists are sorted, and sent as compressed differences. Texts and answers are stored in buckets by
+chunk, so each round only shuffles its own questions and answers, whose files go when the round is stored: the disk holds one round at a
+time. Stored rounds stay where they are until the application's folder goes, so lost executors can be made up for.
 
 Null and empty texts consist of the end token. Rows of one id are scored one by one; repeated rows train as often as they
 occur. Null ids train, as they have no fold. Without training texts every token is unseen. Only the id and the text are read.
@@ -30,15 +31,16 @@ occur. Null ids train, as they have no fold. Without training texts every token
 
 import math
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import residue, slices, stored
+from ..sources.files import delete, shared_dir
+from .common import residue, shuffles_removed, slices, stored
 
 HEAD, LEAST, ORDER = 1e-6, 2, 3
 ADD, DISCOUNT = 0.1, 0.5
@@ -230,7 +232,25 @@ def _chunks(rows: DataFrame) -> DataFrame:
             yield flush()
 
     schema = f"chunk long, n_tokens long, n_training long, hashes binary, ranks binary, tokens binary, id array<{id_type}>, held_out array<boolean>, length array<long>"
-    return stored(rows.mapInArrow(run, schema), "chunks")
+    return rows.mapInArrow(run, schema)
+
+
+class Buckets:
+    """A table of rows by chunk: as many buckets as chunks, so what it holds meets what another one holds without a shuffle."""
+
+    def __init__(self, spark: SparkSession, name: str, n_chunks: int):
+        self.spark, self.n_chunks, self.path = spark, n_chunks, shared_dir(spark, name)
+        self.table = f"lm_{name}_{uuid4().hex}"
+
+    def add(self, rows: DataFrame) -> None:
+        rows.write.bucketBy(self.n_chunks, "chunk").mode("append").option("path", self.path).saveAsTable(self.table)
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def forget(self) -> None:
+        """Take its name out of the catalog. The files stay, and so does what was read of it."""
+        self.spark.sql(f"DROP TABLE {self.table}")
 
 
 def at_places(values: np.ndarray, place: np.ndarray, fill: int) -> np.ndarray:
@@ -448,10 +468,22 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
     held_out = F.coalesce(residue(id, 10) == 0, F.lit(False))
     rows = docs.select(F.col(id).alias("id"), held_out.alias("held_out"), F.col(text).alias("text"))
-    id_type = dict(rows.dtypes)["id"]
+    spark = docs.sparkSession
+    with shuffles_removed(spark):
+        scored, n = _scored(spark, rows, order, share)
+    return scored.select(
+        F.col("id").alias(id), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
+def _scored(spark: SparkSession, rows: DataFrame, order: int, share: float) -> tuple[DataFrame, int]:
+    id_type, folder = dict(rows.dtypes)["id"], shared_dir(spark, "chunks")
     chunks = _chunks(rows)
+    chunks.write.parquet(folder)
+    chunks = spark.read.schema(chunks.schema).parquet(folder)
     n_tokens, n, n_chunks = (v or 0 for v in chunks.agg(F.sum("n_tokens"), F.sum("n_training"), F.count("chunk")).first())
     n_chunks = max(1, n_chunks)
+    texts, told = (Buckets(spark, name, n_chunks) for name in ("texts", "answers"))
     bits = max(0, math.ceil(n_tokens / PART_TOKENS) - 1).bit_length()
     least = max(LEAST, math.ceil(share * n))
     ask_names = [f.split()[0] for f in ASKS.split(", ")]
@@ -469,8 +501,10 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
                 yield sent(own.grams[0].asks(own.training, bits), row["chunk"])
 
     needed = chunks.select("chunk", "hashes", "ranks", "tokens", "held_out", "length")
-    told = stored(_answers(needed.mapInArrow(ask_words, ASKS), least, order), "words")
-    parts = told.groupBy("part").agg(F.first("room").alias("room"), F.first("seen").alias("seen"))
+    told.add(_answers(needed.mapInArrow(ask_words, ASKS), least, order).repartition(n_chunks, "chunk"))
+    texts.add(chunks.select("chunk", "ranks", "tokens", "id", "held_out", "length"))
+    delete(spark, folder)  # what is needed of it is in the buckets
+    parts = stored(told.rows().groupBy("part").agg(F.first("room").alias("room"), F.first("seen").alias("seen")), "parts")
     kept, distinct = (v or 0 for v in parts.agg(F.sum("room"), F.sum("seen")).first())
     total = n + ADD * (distinct + 1)
     base = kept | 1  # odd, so that n-grams of one last word are dealt to all parts, and those of one beginning too
@@ -498,18 +532,14 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int =
         columns = [ids, held_out, own.lengths, known, base_score, path]
         return pa.table(columns, names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    # One plan, in which the chunks and each round's answers are dealt once for all rounds.
-    texts = chunks.select("chunk", "ranks", "tokens", "id", "held_out", "length").repartition(n_chunks, "chunk")
-    answers = [told.repartition(n_chunks, "chunk")]
-
     def told_chunks():
-        return texts.groupBy("chunk").cogroup(reduce(DataFrame.union, answers).groupBy("chunk"))
+        return texts.rows().groupBy("chunk").cogroup(told.rows().groupBy("chunk"))
 
     for size in range(2, order + 2 if order > 1 else 2):
-        answers.append(_answers(told_chunks().applyInArrow(asking(size), ASKS), least, order).repartition(n_chunks, "chunk"))
+        told.add(_answers(told_chunks().applyInArrow(asking(size), ASKS), least, order).repartition(n_chunks, "chunk"))
     scored = told_chunks().applyInArrow(
         scores, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
-    return scored.select(
-        F.col("id").alias(id), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+    for bucket in (texts, told):
+        bucket.forget()
+    return scored, n

@@ -1,5 +1,6 @@
 import math
 import os
+import time
 import zlib
 from collections import Counter
 
@@ -236,3 +237,26 @@ def test_other_orders(spark, order):
     model = Brute([t for i, t in enumerate(TEXTS) if zlib.crc32(str(i).encode()) % 10], order, 0)
     for r in lm.score(docs, order=order).collect():
         assert r["score"] == pytest.approx(model.score(TEXTS[r["doc_id"]]))
+
+
+def test_the_disk_holds_one_round_at_a_time(spark, monkeypatch):
+    """Shuffles go with their round, chunks when their texts are in buckets, and buckets meet without another shuffle."""
+    conf, names = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [r.tableName for r in spark.sql("SHOW TABLES").collect()]
+    before, paths, shared = spark.conf.get(conf), [], lm.shared_dir
+    monkeypatch.setattr(lm, "shared_dir", lambda spark, name: paths.append(shared(spark, name)) or paths[-1])
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7919 + j * j) % 5003}" for j in range(2000))) for i in range(100)], "doc_id long, text string")
+    there = shuffles()
+    scored = lm.score(docs)
+    assert len(scored.collect()) == len(scored.collect()) == 100
+    for _ in range(50):  # files are removed in the background
+        if not shuffles() - there:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - there
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    sizes = [sum(os.path.getsize(os.path.join(at, f)) for at, _, found in os.walk(p.removeprefix("file:")) for f in found) for p in paths]
+    assert [os.path.basename(p).split("-")[0] for p, size in zip(paths, sizes) if size] == ["texts", "answers"]
+    assert sum(sizes) < 8 * 100 * 2001  # bytes a token
+    assert spark.conf.get(conf) == before and [r.tableName for r in spark.sql("SHOW TABLES").collect()] == names
