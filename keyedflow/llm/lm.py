@@ -17,7 +17,8 @@ The whole automaton is in no one place. Texts are stored once as chunks of about
 deals the different n-grams of one order that occur in it, with their training counts, to parts by key; a part adds the counts up
 and answers each chunk in the order asked: the count of each and, of the kept ones, a number. The key of a longer n-gram is made of
 the numbers of its beginning and its last word, so it is asked for only if all that it is made of was kept, and is exact. What the kept
-n-grams take from their contexts is added up alike: the first chunk that asked for an n-gram is the one that gives its share.
+n-grams take from their contexts is added up alike: the first chunk that asked for an n-gram is the one that gives its share, and the
+sums of a context are answered to chunks where some text takes its failure arc.
 With the answers a chunk has its arcs and failure arcs and traverses its texts. Parts grow in number with the corpus, an n-gram comes once
 from each chunk, and nothing goes through the driver but sums over all chunks and parts.
 
@@ -51,7 +52,7 @@ END = b" "
 #: Tokens of a chunk; tokens for each part that counts; tokens that are traversed at a time.
 HELD_TOKENS, PART_TOKENS, WALKED = 1_200_000, 2_000_000, 200_000
 COUNT, SUM = 0, 1
-ASKS = "what int, size int, part int, chunk long, a binary, b binary, c binary, d binary, room long"
+ASKS = "what int, size int, part int, chunk long, a binary, b binary, c binary, d binary, e binary, room long"
 ANSWERS = "what int, size int, part int, chunk long, a binary, b binary, c binary, room long, seen long"
 
 
@@ -115,20 +116,25 @@ def keys_of(hashes: list[np.ndarray]) -> np.ndarray:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Numbers from 0 on, compressed by bytes of one weight."""
+    """Numbers from 0 on, the bytes of each weight compressed by themselves."""
     width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
     planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
-    head = len(values).to_bytes(8, "little") + bytes([width])
-    return head + (pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if width else b"")
+    out = [len(values).to_bytes(8, "little"), bytes([width])]
+    for plane in planes:
+        data = pa.compress(plane.tobytes(), codec="zstd", asbytes=True)
+        out += [len(data).to_bytes(8, "little"), data]
+    return b"".join(out)
 
 
 def unpacked(data: bytes) -> np.ndarray:
     """The same numbers (uint64)."""
     length, width = int.from_bytes(data[:8], "little"), data[8]
     out = np.zeros((length, 8), np.uint8)
-    if width:
-        planes = pa.decompress(data[9:], decompressed_size=length * width, codec="zstd", asbytes=True)
-        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, length).T
+    begin = 9
+    for weight in range(width):
+        end = begin + 8 + int.from_bytes(data[begin : begin + 8], "little")
+        out[:, weight] = np.frombuffer(pa.decompress(data[begin + 8 : end], decompressed_size=length, codec="zstd", asbytes=True), np.uint8)
+        begin = end
     return out.view("<u8").reshape(-1)
 
 
@@ -172,7 +178,7 @@ def _counted(rows: list[dict], size: int, least: int, highest: bool = False) ->
 
 
 def _summed(rows: list[dict]) -> Iterator[dict]:
-    """Each chunk's answer: three sums over all chunks for the numbers that it asked for."""
+    """Each chunk's answer: three sums over all chunks for the numbers (a) that it needs (e)."""
     sums = np.zeros((3, rows[0]["room"]), np.int64)
     given = []
     for row in rows:
@@ -181,6 +187,7 @@ def _summed(rows: list[dict]) -> Iterator[dict]:
         for total, value in zip(sums, values):
             total[given[-1]] += value  # a chunk has a number once
     for row, numbers in zip(rows, given):
+        numbers = numbers[np.unpackbits(np.frombuffer(row["e"], np.uint8), count=len(numbers)).astype(bool)]
         yield row | {name: packed(total[numbers]) for name, total in zip("abc", sums)} | {"seen": 0}
 
 
@@ -245,6 +252,13 @@ class Buckets:
     def add(self, rows: DataFrame) -> None:
         rows.write.bucketBy(self.n_chunks, "chunk").mode("append").option("path", self.path).saveAsTable(self.table)
 
+    def deal(self, rows: DataFrame) -> None:
+        """The same for rows that lie elsewhere. They are stored before they are dealt, so that what they were made from goes first."""
+        folder = shared_dir(self.spark, "undealt")
+        rows.write.parquet(folder)
+        self.add(self.spark.read.schema(rows.schema).parquet(folder).repartition(self.n_chunks, "chunk"))
+        delete(self.spark, folder)
+
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
@@ -315,7 +329,10 @@ class Chunk:
             told.setdefault((r["what"], r["size"]), []).append(r)
         for (what, size), rows in sorted(told.items()):
             if what == SUM:
-                self.sums[size] = [np.concatenate([unpacked(r[name]) for r in rows]).astype(np.int64) for name in "abc"]
+                needed, self.sums[size] = self.needed(size), []
+                for name in "abc":
+                    self.sums[size].append(np.zeros(len(needed), np.int64))
+                    self.sums[size][-1][needed] = np.concatenate([unpacked(r[name]) for r in rows])
                 continue
             if size > 1:
                 self.grams.append(self.longer())
@@ -340,17 +357,32 @@ class Chunk:
         place[at] = which
         return Grams(size, keys[new], place, at[order[new]])
 
+    def needed(self, size: int) -> np.ndarray:
+        """Which kept n-grams of a size are somewhere followed by a word to which they have no arc, so that their failure arc may be taken."""
+        context, longer = self.grams[size - 1], self.grams[size]
+        length = max(0, len(self.tokens) - size + 1)
+        fails = ~at_places(longer.n > 0, longer.place, False)[:length] & (context.place[:length] >= 0)
+        fails &= self.tokens[size - 1 :] != self.end  # nothing follows the end of a text
+        out = np.zeros(len(context.n), bool)
+        out[context.place[:length][fails]] = True
+        return out[context.kept]
+
     def share_asks(self, size: int) -> Iterator[dict]:
-        """Of every kept n-gram of a size, what this chunk adds to the sums of its kept continuations: how many, their counts,
-        and the counts of what they are without their first word."""
+        """Of the kept n-grams of a size, what this chunk adds to the sums of their kept continuations: how many, their counts,
+        and the counts of what they are without their first word. Those to which it adds nothing and whose sums it does not need
+        are left out."""
         context, longer = self.grams[size - 1], self.grams[size]
         own = longer.own & (longer.n > 0)
         first = longer.first[own]
         of, n, lower = context.place[first], longer.n[own], context.n[context.place[first + 1]]
         sums = [np.bincount(of, weights=w, minlength=len(context.n)).astype(np.int64)[context.kept] for w in (None, n, lower)]
+        needed = self.needed(size)
+        asked = needed | (sums[0] > 0)
         for part, (begin, end) in enumerate(zip(context.ends, context.ends[1:])):
-            values = {name: packed(s[begin:end]) for name, s in zip("bcd", sums)}
-            yield {"what": SUM, "size": size, "part": part, "a": packed_rising(context.numbers[part]), "room": context.rooms[part]} | values
+            some = asked[begin:end]
+            values = {name: packed(s[begin:end][some]) for name, s in zip("bcd", sums)}
+            values |= {"a": packed_rising(context.numbers[part][some]), "e": np.packbits(needed[begin:end][some]).tobytes()}
+            yield {"what": SUM, "size": size, "part": part, "room": context.rooms[part]} | values
 
     def failures(self, size: int, total: float) -> np.ndarray:
         """The weights of the failure arcs of the n-grams of a size."""
@@ -487,7 +519,7 @@ def _scored(spark: SparkSession, rows: DataFrame, order: int, share: float) -> t
     bits = max(0, math.ceil(n_tokens / PART_TOKENS) - 1).bit_length()
     least = max(LEAST, math.ceil(share * n))
     ask_names = [f.split()[0] for f in ASKS.split(", ")]
-    ask_types = [pa.int32()] * 3 + [pa.int64()] + [pa.binary()] * 4 + [pa.int64()]
+    ask_types = [pa.int32()] * 3 + [pa.int64()] + [pa.binary()] * 5 + [pa.int64()]
 
     def sent(asks: Iterable[dict], chunk: int) -> pa.RecordBatch:
         rows = [[(r | {"chunk": chunk}).get(name) for name in ask_names] for r in asks]
@@ -501,7 +533,7 @@ def _scored(spark: SparkSession, rows: DataFrame, order: int, share: float) -> t
                 yield sent(own.grams[0].asks(own.training, bits), row["chunk"])
 
     needed = chunks.select("chunk", "hashes", "ranks", "tokens", "held_out", "length")
-    told.add(_answers(needed.mapInArrow(ask_words, ASKS), least, order).repartition(n_chunks, "chunk"))
+    told.deal(_answers(needed.mapInArrow(ask_words, ASKS), least, order))
     texts.add(chunks.select("chunk", "ranks", "tokens", "id", "held_out", "length"))
     delete(spark, folder)  # what is needed of it is in the buckets
     parts = stored(told.rows().groupBy("part").agg(F.first("room").alias("room"), F.first("seen").alias("seen")), "parts")
@@ -513,14 +545,10 @@ def _scored(spark: SparkSession, rows: DataFrame, order: int, share: float) -> t
         [row] = table.drop_columns("id").to_pylist()
         return row, Chunk(row, bits, least, base, answers)
 
-    def asking(size: int):
+    def asking(what: int, size: int):
         def run(table: pa.Table, answers: pa.Table) -> pa.Table:
             row, own = chunk_of(table, answers)
-            asks = []
-            if size <= order:
-                asks += own.longer().asks(own.training, bits)
-            if size > 2:
-                asks += own.share_asks(size - 2)
+            asks = own.longer().asks(own.training, bits) if what == COUNT else own.share_asks(size)
             return pa.Table.from_batches([sent(asks, row["chunk"])])
 
         return run
@@ -535,8 +563,8 @@ def _scored(spark: SparkSession, rows: DataFrame, order: int, share: float) -> t
     def told_chunks():
         return texts.rows().groupBy("chunk").cogroup(told.rows().groupBy("chunk"))
 
-    for size in range(2, order + 2 if order > 1 else 2):
-        told.add(_answers(told_chunks().applyInArrow(asking(size), ASKS), least, order).repartition(n_chunks, "chunk"))
+    for what, size in [(COUNT, size) for size in range(2, order + 1)] + [(SUM, size) for size in range(1, order)]:
+        told.deal(_answers(told_chunks().applyInArrow(asking(what, size), ASKS), least, order))
     scored = told_chunks().applyInArrow(
         scores, f"id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
